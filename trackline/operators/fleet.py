@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trackline.functions.numeric import round_half_up
 from trackline.schema import LAT_RANGE, LON_RANGE, SPEED_RANGE
 
 
@@ -167,8 +168,8 @@ def headline(metrics: DataFrame, positions: DataFrame) -> DataFrame:
     s = fleet_statistics(metrics, positions)
     return s.select(
         "total_vessels", "total_positions",
-        F.round(_zd(F.col("avg_distance")), 1).alias("avg_distance_nm"),
-        F.round(_zd(F.col("valid_position_percentage")), 1).alias("quality_percentage"),
+        round_half_up(_zd(F.col("avg_distance")), 1).alias("avg_distance_nm"),
+        round_half_up(_zd(F.col("valid_position_percentage")), 1).alias("quality_percentage"),
     )
 
 

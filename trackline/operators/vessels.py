@@ -60,7 +60,7 @@ def vessel_search(metrics: DataFrame, name: str | None = None, min_distance: flo
         raise ValueError(f"limit must be in 1..{MAX_SEARCH}")
     preds = []
     if name is not None:
-        preds.append(F.col("vessel_name").ilike(F.lit(f"%{name}%")))
+        preds.append(F.col("vessel_name").ilike(f"%{name}%"))
     if min_distance is not None:
         preds.append(F.col("total_distance_nm") >= F.lit(float(min_distance)))
     if max_distance is not None:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trackline.functions.numeric import round_half_up
 from trackline.operators.clean import clean
 from trackline.operators.tracks import vessel_metrics
 from trackline.sources.fixture import raw_positions
@@ -14,13 +15,7 @@ ROUND_DIGITS = 6
 
 
 def round_double(c: F.Column, digits: int = ROUND_DIGITS) -> F.Column:
-    """Round half-up after passing through DECIMAL(38,12).
-
-    Sums are order-dependent in the last bits; the decimal step absorbs that
-    noise so values on an exact half (common for means of 3-decimal speeds)
-    round the same way on every engine.
-    """
-    return F.round(c.try_cast("decimal(38,12)"), digits).cast("double")
+    return round_half_up(c, digits)
 
 
 def rounded(df: DataFrame, digits: int = ROUND_DIGITS) -> DataFrame:

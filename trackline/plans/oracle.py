@@ -22,13 +22,13 @@ COLS = ["mmsi", "base_datetime", "latitude", "longitude", "sog", "cog", "vessel_
 DOUBLE_COLS = {"latitude", "longitude", "sog", "cog"}
 
 
-def rnd(c: str, alias: str | None = None) -> str:
-    return f"{rexpr(c)} AS {alias or c.split('.')[-1]}"
+def rnd(c: str, alias: str | None = None, digits: int = R) -> str:
+    return f"{rexpr(c, digits)} AS {alias or c.split('.')[-1]}"
 
 
-def rexpr(c: str) -> str:
+def rexpr(c: str, digits: int = R) -> str:
     """Half-up rounding through DECIMAL(38,12), the same steps as the Spark side."""
-    return f"CAST(round(CAST({c} AS DECIMAL(38,12)), {R}) AS DOUBLE)"
+    return f"CAST(round(CAST({c} AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
 
 
 def sel_raw(prefix: str = "") -> str:
@@ -47,31 +47,32 @@ CLEAN = (f"clean AS (SELECT * FROM raw WHERE NOT {INCOMPLETE} AND {COORD_OK} AND
          f" QUALIFY row_number() OVER (PARTITION BY mmsi, base_datetime ORDER BY ingest_seq) = 1)")
 
 
-def legs_ctes(method: str = "geodesic", src: str = "clean") -> tuple[list[str], str]:
+def legs_ctes(method: str = "geodesic", src: str = "clean", tag: str = "") -> tuple[list[str], str]:
     """CTEs adding previous-point columns and ``leg_nm`` per report (NULL for a vessel's first)."""
-    legs = (f"legs AS (SELECT mmsi, base_datetime, latitude, longitude, sog, vessel_name,"
+    legs = (f"legs{tag} AS (SELECT mmsi, base_datetime, latitude, longitude, sog, vessel_name,"
             f" lag(latitude) OVER w AS plat, lag(longitude) OVER w AS plon, lag(sog) OVER w AS psog,"
             f" lag(base_datetime) OVER w AS pts FROM {src} WINDOW w AS (PARTITION BY mmsi ORDER BY base_datetime))")
-    dist, last = distance_sql_ctes("legs", "plat", "plon", "latitude", "longitude", "leg_nm", method)
+    dist, last = distance_sql_ctes(f"legs{tag}", "plat", "plon", "latitude", "longitude", "leg_nm", method,
+                                   prefix=f"g{tag}")
     return [legs] + dist, last
 
 
-def metrics_ctes(method: str = "geodesic", src: str = "clean") -> list[str]:
-    """CTEs ending in ``metrics`` (unrounded, one row per vessel, with extents and leg counts)."""
-    lc, last = legs_ctes(method, src)
-    lagg = (f"lagg AS (SELECT mmsi, sum(leg_nm) AS dist, count(pts) AS leg_count,"
+def metrics_ctes(method: str = "geodesic", src: str = "clean", tag: str = "") -> list[str]:
+    """CTEs ending in ``metrics<tag>`` (unrounded, one row per vessel, with extents and leg counts)."""
+    lc, last = legs_ctes(method, src, tag)
+    lagg = (f"lagg{tag} AS (SELECT mmsi, sum(leg_nm) AS dist, count(pts) AS leg_count,"
             f" count(CASE WHEN pts IS NOT NULL AND leg_nm IS NULL THEN 1 END) AS failed_legs,"
             f" sum(CASE WHEN pts IS NOT NULL AND (psog + sog) / 2 >= 1.0"
             f" THEN datediff('microsecond', pts, base_datetime) ELSE 0 END) AS moving_us"
             f" FROM {last} GROUP BY mmsi)")
-    pagg = (f"pagg AS (SELECT mmsi, count(*) AS point_count, avg(sog) AS avg_speed_knots,"
+    pagg = (f"pagg{tag} AS (SELECT mmsi, count(*) AS point_count, avg(sog) AS avg_speed_knots,"
             f" max(sog) AS max_speed_knots, min(sog) AS min_speed_knots,"
             f" min(base_datetime) AS t0, max(base_datetime) AS t1,"
             f" arg_min_null(vessel_name, base_datetime) AS first_name,"
             f" arg_min(latitude, base_datetime) AS start_latitude, arg_min(longitude, base_datetime) AS start_longitude,"
             f" arg_max(latitude, base_datetime) AS end_latitude, arg_max(longitude, base_datetime) AS end_longitude"
             f" FROM {src} GROUP BY mmsi)")
-    m = ("metrics AS (SELECT p.mmsi, coalesce(p.first_name, 'Unknown') AS vessel_name,"
+    m = (f"metrics{tag} AS (SELECT p.mmsi, coalesce(p.first_name, 'Unknown') AS vessel_name,"
          " coalesce(l.dist, 0) AS total_distance_nm,"
          f" CAST(datediff('microsecond', p.t0, p.t1) AS DOUBLE) / {HOUR_US} AS total_time_hours,"
          f" CAST(coalesce(l.moving_us, 0) AS DOUBLE) / {HOUR_US} AS moving_time_hours,"
@@ -81,7 +82,7 @@ def metrics_ctes(method: str = "geodesic", src: str = "clean") -> list[str]:
          " p.t0 AS first_position_time, p.t1 AS last_position_time,"
          " p.start_latitude, p.start_longitude, p.end_latitude, p.end_longitude,"
          " coalesce(l.leg_count, 0) AS leg_count, coalesce(l.failed_legs, 0) AS failed_legs"
-         " FROM pagg p LEFT JOIN lagg l ON p.mmsi = l.mmsi)")
+         f" FROM pagg{tag} p LEFT JOIN lagg{tag} l ON p.mmsi = l.mmsi)")
     return lc + [lagg, pagg, m]
 
 
@@ -165,3 +166,239 @@ SELECT mmsi, vessel_name, {rnd('total_distance_nm')}, {rnd('total_time_hours')},
   {rnd('at_dock_time_hours')}, {rnd('avg_speed_knots')}, point_count
 FROM metrics WHERE total_distance_nm IS NOT NULL AND total_distance_nm > 0
 ORDER BY metrics.total_distance_nm DESC, mmsi ASC LIMIT 5"""))
+
+
+# --- fleet reports -----------------------------------------------------------
+
+def pct_sql(part: str, whole: str) -> str:
+    return f"coalesce(CAST({part} AS DOUBLE) / NULLIF({whole}, 0) * 100.0, 0.0)"
+
+
+TIME_CTE = ("ta AS (SELECT coalesce(sum(moving_time_hours), 0.0) AS total_moving_time,"
+            " coalesce(sum(at_dock_time_hours), 0.0) AS total_dock_time,"
+            " coalesce(sum(total_time_hours), 0.0) AS total_time,"
+            " coalesce(avg(moving_time_hours), 0.0) AS avg_moving_time_per_vessel,"
+            " coalesce(avg(at_dock_time_hours), 0.0) AS avg_dock_time_per_vessel,"
+            " count(*) AS vessels_count,"
+            f" {pct_sql('sum(moving_time_hours)', 'sum(total_time_hours)')} AS moving_time_percentage,"
+            f" {pct_sql('sum(at_dock_time_hours)', 'sum(total_time_hours)')} AS dock_time_percentage"
+            " FROM metrics WHERE total_time_hours > 0)")
+TIME_COLS = ["total_moving_time", "total_dock_time", "total_time", "avg_moving_time_per_vessel",
+             "avg_dock_time_per_vessel", "vessels_count", "moving_time_percentage", "dock_time_percentage"]
+TIME_INT = {"vessels_count"}
+
+
+def quality_cte(src: str, name: str = "dq") -> str:
+    base = (f"SELECT count(*) AS total_records,"
+            " count(*) FILTER (WHERE latitude IS NOT NULL AND longitude IS NOT NULL"
+            " AND latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180) AS valid_positions,"
+            " count(*) FILTER (WHERE sog IS NOT NULL AND sog >= 0 AND sog <= 50) AS valid_speeds,"
+            " count(*) FILTER (WHERE vessel_name IS NOT NULL AND vessel_name <> '') AS valid_names,"
+            " count(*) FILTER (WHERE base_datetime IS NOT NULL) AS valid_timestamps,"
+            f" count(DISTINCT mmsi) AS unique_vessels FROM {src}")
+    return (f"{name} AS (SELECT *, (valid_positions_percentage + valid_speeds_percentage"
+            f" + valid_timestamps_percentage) / 3.0 AS overall_quality_score FROM (SELECT *,"
+            f" {pct_sql('valid_positions', 'total_records')} AS valid_positions_percentage,"
+            f" {pct_sql('valid_speeds', 'total_records')} AS valid_speeds_percentage,"
+            f" {pct_sql('valid_names', 'total_records')} AS valid_names_percentage,"
+            f" {pct_sql('valid_timestamps', 'total_records')} AS valid_timestamps_percentage"
+            f" FROM ({base})))")
+
+
+QUALITY_COLS = ["total_records", "valid_positions", "valid_speeds", "valid_names", "valid_timestamps",
+                "unique_vessels", "valid_positions_percentage", "valid_speeds_percentage", "valid_names_percentage",
+                "valid_timestamps_percentage", "overall_quality_score"]
+QUALITY_INT = set(QUALITY_COLS[:6])
+
+POINTS_CTE = ("ps AS (SELECT count(DISTINCT mmsi) AS total_vessels,"
+              " coalesce(avg(point_count), 0.0) AS avg_points_per_vessel,"
+              " coalesce(min(point_count), 0) AS min_points_per_vessel,"
+              " coalesce(max(point_count), 0) AS max_points_per_vessel,"
+              " coalesce(stddev_samp(point_count), 0.0) AS stddev_points_per_vessel"
+              " FROM metrics WHERE point_count IS NOT NULL)")
+POINTS_COLS = ["total_vessels", "avg_points_per_vessel", "min_points_per_vessel", "max_points_per_vessel",
+               "stddev_points_per_vessel"]
+POINTS_INT = {"total_vessels", "min_points_per_vessel", "max_points_per_vessel"}
+
+ADDITIONAL_CTE = ("fa AS (SELECT coalesce(avg(avg_speed_knots), 0.0) AS fleet_avg_speed,"
+                  " coalesce(max(max_speed_knots), 0.0) AS fleet_max_speed,"
+                  " coalesce(avg(total_distance_nm), 0.0) AS avg_distance_per_vessel,"
+                  " coalesce(sum(total_distance_nm), 0.0) AS total_fleet_distance,"
+                  " count(DISTINCT vessel_name) AS unique_vessel_names"
+                  " FROM metrics WHERE total_distance_nm IS NOT NULL AND total_distance_nm > 0)")
+ADDITIONAL_COLS = ["fleet_avg_speed", "fleet_max_speed", "avg_distance_per_vessel", "total_fleet_distance",
+                   "unique_vessel_names"]
+ADDITIONAL_INT = {"unique_vessel_names"}
+
+STATS_CTE = ("fs AS (SELECT count(DISTINCT vm.mmsi) AS total_vessels, count(ad.mmsi) AS total_positions,"
+             " avg(vm.total_distance_nm) AS avg_distance, avg(vm.moving_time_hours) AS avg_moving_time,"
+             " avg(vm.at_dock_time_hours) AS avg_dock_time, avg(vm.avg_speed_knots) AS avg_speed_fleet,"
+             " max(vm.max_speed_knots) AS max_speed_recorded,"
+             " CAST(count(CASE WHEN ad.latitude IS NOT NULL AND ad.longitude IS NOT NULL THEN 1 END) AS DOUBLE)"
+             " * 100.0 / NULLIF(count(ad.mmsi), 0) AS valid_position_percentage"
+             " FROM metrics vm LEFT JOIN clean ad ON vm.mmsi = ad.mmsi)")
+STATS_COLS = ["total_vessels", "total_positions", "avg_distance", "avg_moving_time", "avg_dock_time",
+              "avg_speed_fleet", "max_speed_recorded", "valid_position_percentage"]
+STATS_INT = {"total_vessels", "total_positions"}
+
+
+def sel(cols: list[str], ints: set[str], src: str = "", prefix: str = "") -> str:
+    q = f"{src}." if src else ""
+    return ", ".join(f"{q}{c} AS {prefix}{c}" if c in ints else rnd(f"{q}{c}", f"{prefix}{c}") for c in cols)
+
+
+MET = [RAW, CLEAN] + metrics_ctes()
+oracle("time_analysis", with_(MET + [TIME_CTE], f"SELECT {sel(TIME_COLS, TIME_INT)} FROM ta"))
+oracle("data_quality", with_([RAW, CLEAN, quality_cte("clean")], f"SELECT {sel(QUALITY_COLS, QUALITY_INT)} FROM dq"))
+oracle("data_quality_raw", with_([RAW, quality_cte("raw")], f"SELECT {sel(QUALITY_COLS, QUALITY_INT)} FROM dq"))
+oracle("point_statistics", with_(MET + [POINTS_CTE], f"SELECT {sel(POINTS_COLS, POINTS_INT)} FROM ps"))
+oracle("fleet_additional", with_(MET + [ADDITIONAL_CTE], f"SELECT {sel(ADDITIONAL_COLS, ADDITIONAL_INT)} FROM fa"))
+oracle("fleet_statistics", with_(MET + [STATS_CTE], f"SELECT {sel(STATS_COLS, STATS_INT)} FROM fs"))
+oracle("time_share", with_(MET + [TIME_CTE], f"""
+SELECT 'moving' AS state, {rnd('total_moving_time', 'hours')}, {rnd('moving_time_percentage', 'percentage')} FROM ta
+UNION ALL
+SELECT 'docked' AS state, {rnd('total_dock_time', 'hours')}, {rnd('dock_time_percentage', 'percentage')} FROM ta"""))
+oracle("quality_long", with_([RAW, CLEAN, quality_cte("clean")], " UNION ALL ".join(
+    f"SELECT '{m}' AS metric, valid_{m} AS valid, {rnd(f'valid_{m}_percentage', 'percentage')} FROM dq"
+    for m in ["positions", "speeds", "names", "timestamps"])))
+oracle("headline", with_(MET + [STATS_CTE], f"""
+SELECT total_vessels, total_positions, {rnd('coalesce(avg_distance, 0.0)', 'avg_distance_nm', 1)},
+  {rnd('coalesce(valid_position_percentage, 0.0)', 'quality_percentage', 1)} FROM fs"""))
+
+
+def _hist(col: str) -> str:
+    return with_(MET + [
+        f"bounds AS (SELECT min({col}) AS lo, max({col}) AS hi FROM metrics WHERE {col} IS NOT NULL)",
+        f"hb AS (SELECT CAST(CASE WHEN hi = lo THEN 1 ELSE least(floor(({col} - lo) * 20.0 / (hi - lo)) + 1, 20) END"
+        f" AS INTEGER) AS bin, lo, hi FROM metrics, bounds WHERE {col} IS NOT NULL)",
+    ], f"SELECT bin, {rnd('lo + (bin - 1) * ((hi - lo) / 20.0)', 'bin_start')},"
+       f" {rnd('lo + bin * ((hi - lo) / 20.0)', 'bin_end')}, count(*) AS vessels FROM hb GROUP BY bin, lo, hi")
+
+
+oracle("distance_histogram", _hist("total_distance_nm"))
+oracle("speed_histogram", _hist("avg_speed_knots"))
+
+TOP_CTE = ("top5 AS (SELECT mmsi, total_distance_nm, row_number() OVER (ORDER BY total_distance_nm DESC, mmsi) AS r"
+           " FROM (SELECT * FROM metrics WHERE total_distance_nm IS NOT NULL AND total_distance_nm > 0"
+           " ORDER BY total_distance_nm DESC, mmsi LIMIT 5))")
+TOPW_CTE = "topw AS (SELECT " + ", ".join(
+    f"max(CASE WHEN r = {r} THEN mmsi END) AS top{r}_mmsi, max(CASE WHEN r = {r} THEN total_distance_nm END)"
+    f" AS top{r}_distance_nm" for r in range(1, 6)) + " FROM top5)"
+TOPW_COLS = [f"top{r}_{k}" for r in range(1, 6) for k in ("mmsi", "distance_nm")]
+TOPW_INT = {f"top{r}_mmsi" for r in range(1, 6)}
+
+oracle("comprehensive_report", with_(MET + [TIME_CTE, quality_cte("clean"), POINTS_CTE, ADDITIONAL_CTE, TOP_CTE,
+                                            TOPW_CTE], f"""
+SELECT {sel(TIME_COLS, TIME_INT, 'ta', 'time_')}, {sel(QUALITY_COLS, QUALITY_INT, 'dq', 'quality_')},
+  {sel(POINTS_COLS, POINTS_INT, 'ps', 'points_')}, {sel(ADDITIONAL_COLS, ADDITIONAL_INT, 'fa', 'additional_')},
+  {sel(TOPW_COLS, TOPW_INT, 'topw', 'top_')}
+FROM ta CROSS JOIN dq CROSS JOIN ps CROSS JOIN fa CROSS JOIN topw"""))
+oracle("metrics_summary", with_(MET + [STATS_CTE, TIME_CTE, quality_cte("clean")], f"""
+SELECT {sel(STATS_COLS, STATS_INT, 'fs', 'stats_')}, {sel(TIME_COLS, TIME_INT, 'ta', 'time_')},
+  {sel(QUALITY_COLS, QUALITY_INT, 'dq', 'quality_')}
+FROM fs CROSS JOIN ta CROSS JOIN dq"""))
+
+# --- vessels -----------------------------------------------------------------
+
+PAGE_COLS = ["mmsi", "vessel_name", "total_distance_nm", "total_time_hours", "moving_time_hours",
+             "at_dock_time_hours", "point_count", "avg_speed_knots", "max_speed_knots"]
+PAGE_INT = {"mmsi", "vessel_name", "point_count"}
+SEARCH_COLS = ["mmsi", "vessel_name", "total_distance_nm", "point_count", "avg_speed_knots", "max_speed_knots",
+               "moving_time_hours", "at_dock_time_hours"]
+
+oracle("vessel_page", with_(MET, f"""
+SELECT {sel(PAGE_COLS, PAGE_INT, 'metrics')}, CAST(1 AS INTEGER) AS page FROM metrics
+ORDER BY metrics.total_distance_nm DESC NULLS FIRST, metrics.mmsi LIMIT 100 OFFSET 50"""))
+oracle("vessel_search", with_(MET, f"""
+SELECT {sel(SEARCH_COLS, PAGE_INT, 'metrics')} FROM metrics
+WHERE metrics.vessel_name ILIKE '%vessel 1%' AND metrics.total_distance_nm >= 100.0
+ORDER BY metrics.total_distance_nm DESC NULLS FIRST, metrics.mmsi LIMIT 50"""))
+oracle("vessel_search_type", with_(MET, f"""
+SELECT {sel(SEARCH_COLS, PAGE_INT, 'metrics')} FROM metrics
+WHERE metrics.total_distance_nm <= 2000.0 AND metrics.mmsi IN (SELECT mmsi FROM clean WHERE vessel_type = '80')
+ORDER BY metrics.total_distance_nm DESC NULLS FIRST, metrics.mmsi LIMIT 500"""))
+POS_COLS = ["base_datetime", "latitude", "longitude", "sog", "cog", "vessel_name", "status"]
+oracle("vessel_detail", with_(MET + [
+    "rp AS (SELECT mmsi, " + ", ".join(f"{c} AS pos_{c}" for c in POS_COLS)
+    + " FROM clean WHERE mmsi = 7 ORDER BY base_datetime DESC LIMIT 100)"], f"""
+SELECT {sel(PAGE_COLS, PAGE_INT, 'm')}, rp.pos_base_datetime, {rnd('rp.pos_latitude')}, {rnd('rp.pos_longitude')},
+  {rnd('rp.pos_sog')}, {rnd('rp.pos_cog')}, rp.pos_vessel_name, rp.pos_status,
+  count(rp.mmsi) OVER () AS positions_count
+FROM metrics m LEFT JOIN rp ON m.mmsi = rp.mmsi WHERE m.mmsi = 7"""))
+oracle("recent_positions", with_([RAW, CLEAN], f"""
+SELECT mmsi, base_datetime, {rnd('latitude')}, {rnd('longitude')}, {rnd('sog')}, {rnd('cog')}, vessel_name, status,
+  CAST(row_number() OVER (PARTITION BY mmsi ORDER BY base_datetime DESC) AS INTEGER) AS recency_rank
+FROM clean QUALIFY recency_rank <= 100"""))
+
+
+def _values(rows) -> str:
+    def lit(v):
+        return str(v) if isinstance(v, int) else "'" + str(v).replace("'", "''") + "'"
+    return ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+
+
+def _dims() -> list[str]:
+    from trackline.schema import NAVIGATION_STATUS_CODES, VESSEL_TYPE_CODES
+    return [f"vt(code, description, category) AS (VALUES {_values(VESSEL_TYPE_CODES)})",
+            f"ns(code, description) AS (VALUES {_values(NAVIGATION_STATUS_CODES)})"]
+
+
+oracle("decode_types", with_([RAW, CLEAN] + _dims(), """
+SELECT c.mmsi, c.base_datetime, c.vessel_type, vt.description AS type_description, vt.category AS type_category
+FROM clean c LEFT JOIN vt ON TRY_CAST(trim(c.vessel_type) AS INTEGER) = vt.code"""))
+oracle("decode_status", with_([RAW, CLEAN] + _dims(), """
+SELECT c.mmsi, c.base_datetime, c.status, ns.description AS status_description
+FROM clean c LEFT JOIN ns ON TRY_CAST(trim(c.status) AS INTEGER) = ns.code"""))
+
+# --- traffic -----------------------------------------------------------------
+
+oracle("traffic_summary", with_([RAW, CLEAN], f"""
+SELECT count(DISTINCT mmsi) AS total_vessels, count(*) AS total_positions, min(base_datetime) AS earliest_position,
+  max(base_datetime) AS latest_position, {rnd('avg(sog)', 'avg_speed_fleet')}, {rnd('max(sog)', 'max_speed_recorded')},
+  {rexpr(pct_sql("count(*) FILTER (WHERE sog > 1)", "count(*)"))} AS moving_percentage
+FROM clean
+WHERE base_datetime >= CAST(CAST((SELECT max(base_datetime) FROM clean) AS DATE) - INTERVAL 30 DAY AS TIMESTAMP)"""))
+oracle("active_vessels", with_(MET, f"""
+SELECT ad.mmsi, ad.vessel_name, count(*) AS recent_positions, max(ad.base_datetime) AS last_seen,
+  {rnd('avg(ad.sog)', 'avg_speed')}, {rnd('vm.total_distance_nm')}, vm.point_count
+FROM clean ad LEFT JOIN metrics vm ON ad.mmsi = vm.mmsi
+WHERE ad.base_datetime >= (SELECT max(base_datetime) FROM clean) - INTERVAL 24 HOUR
+GROUP BY ad.mmsi, ad.vessel_name, vm.total_distance_nm, vm.point_count
+ORDER BY last_seen DESC"""))
+oracle("daily_traffic", with_([RAW, CLEAN], f"""
+SELECT CAST(base_datetime AS DATE) AS traffic_date, count(DISTINCT mmsi) AS unique_vessels,
+  count(*) AS total_positions, {rnd('avg(sog)', 'avg_speed')}, {rnd('max(sog)', 'max_speed')},
+  count(*) FILTER (WHERE sog > 1) AS moving_positions, count(*) FILTER (WHERE sog <= 1) AS stationary_positions
+FROM clean GROUP BY CAST(base_datetime AS DATE) ORDER BY traffic_date DESC"""))
+
+# --- table maintenance ---------------------------------------------------------
+
+SPLIT = "TIMESTAMP '2024-01-16 00:00:00'"
+SNAP = ([RAW, CLEAN, f"clean_a AS (SELECT * FROM clean WHERE base_datetime < {SPLIT})",
+         f"clean_b AS (SELECT * FROM clean WHERE base_datetime >= {SPLIT})"]
+        + metrics_ctes(src="clean_a", tag="_a") + metrics_ctes(src="clean_b", tag="_b"))
+
+oracle("insert_if_absent", with_([RAW, CLEAN] + _dims(), """
+SELECT code, description, category FROM vt
+UNION ALL
+SELECT code, 'Type ' || CAST(code AS VARCHAR) AS description, 'Unclassified' AS category
+FROM (SELECT DISTINCT TRY_CAST(trim(vessel_type) AS INTEGER) AS code FROM clean)
+WHERE code IS NOT NULL AND code NOT IN (SELECT code FROM vt)"""))
+oracle("upsert_stamped", with_(SNAP, f"""
+SELECT coalesce(n.mmsi, o.mmsi) AS mmsi,
+  {", ".join(
+      f"CASE WHEN n.mmsi IS NULL THEN o.{c} ELSE n.{c} END AS {c}" if c in ("vessel_name", "point_count")
+      else rnd(f"CASE WHEN n.mmsi IS NULL THEN o.{c} ELSE n.{c} END", c) for c in PAGE_COLS[1:])},
+  CASE WHEN o.mmsi IS NULL THEN (SELECT max(base_datetime) FROM clean) ELSE {SPLIT} END AS created_at,
+  CASE WHEN n.mmsi IS NULL THEN {SPLIT}
+       WHEN o.mmsi IS NULL OR {" OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c in PAGE_COLS[1:])}
+       THEN (SELECT max(base_datetime) FROM clean) ELSE {SPLIT} END AS updated_at
+FROM metrics_a o FULL OUTER JOIN metrics_b n ON o.mmsi = n.mmsi"""))
+oracle("table_changes", with_(SNAP, f"""
+SELECT CASE WHEN o.mmsi IS NULL THEN 'INSERT' WHEN n.mmsi IS NULL THEN 'DELETE' ELSE 'UPDATE' END AS operation,
+  'vessel_metrics' AS table_name, coalesce(n.mmsi, o.mmsi) AS record_id,
+  {rnd('o.total_distance_nm', 'old_total_distance_nm')}, {rnd('n.total_distance_nm', 'new_total_distance_nm')},
+  o.point_count AS old_point_count, n.point_count AS new_point_count,
+  o.vessel_name AS old_vessel_name, n.vessel_name AS new_vessel_name
+FROM metrics_a o FULL OUTER JOIN metrics_b n ON o.mmsi = n.mmsi
+WHERE o.mmsi IS NULL OR n.mmsi IS NULL OR {" OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c in PAGE_COLS[1:])}"""))

@@ -141,3 +141,187 @@ def q_vessel_extents(spark, sf):
 @query("top_vessels")
 def q_top_vessels(spark, sf):
     return rounded(vessels.top_vessels(metrics(spark, sf)))
+
+
+# --- fleet reports -----------------------------------------------------------
+
+@query("time_analysis")
+def q_time_analysis(spark, sf):
+    return rounded(fleet.time_analysis(metrics(spark, sf)))
+
+
+@query("data_quality")
+def q_data_quality(spark, sf):
+    return rounded(fleet.data_quality(cleaned(spark, sf)))
+
+
+@query("data_quality_raw")
+def q_data_quality_raw(spark, sf):
+    return rounded(fleet.data_quality(raw(spark, sf)))
+
+
+@query("point_statistics")
+def q_point_statistics(spark, sf):
+    return rounded(fleet.point_statistics(metrics(spark, sf)))
+
+
+@query("fleet_additional")
+def q_fleet_additional(spark, sf):
+    return rounded(fleet.fleet_additional(metrics(spark, sf)))
+
+
+@query("fleet_statistics")
+def q_fleet_statistics(spark, sf):
+    c = cleaned(spark, sf)
+    return rounded(fleet.fleet_statistics(tracks.vessel_metrics(c), c))
+
+
+@query("time_share")
+def q_time_share(spark, sf):
+    return rounded(fleet.time_share(metrics(spark, sf)))
+
+
+@query("quality_long")
+def q_quality_long(spark, sf):
+    return rounded(fleet.quality_long(cleaned(spark, sf)))
+
+
+@query("headline")
+def q_headline(spark, sf):
+    c = cleaned(spark, sf)
+    return fleet.headline(tracks.vessel_metrics(c), c)
+
+
+@query("distance_histogram")
+def q_distance_histogram(spark, sf):
+    return rounded(fleet.distance_histogram(metrics(spark, sf)))
+
+
+@query("speed_histogram")
+def q_speed_histogram(spark, sf):
+    return rounded(fleet.speed_histogram(metrics(spark, sf)))
+
+
+@query("comprehensive_report")
+def q_comprehensive_report(spark, sf):
+    c = cleaned(spark, sf)
+    m = tracks.vessel_metrics(c)
+    return rounded(fleet.comprehensive_report(m, c, vessels.top_vessels(m)))
+
+
+@query("metrics_summary")
+def q_metrics_summary(spark, sf):
+    c = cleaned(spark, sf)
+    return rounded(fleet.metrics_summary(tracks.vessel_metrics(c), c))
+
+
+# --- vessels -----------------------------------------------------------------
+
+@query("vessel_page")
+def q_vessel_page(spark, sf):
+    return rounded(vessels.vessel_page(metrics(spark, sf), limit=100, offset=50))
+
+
+@query("vessel_search")
+def q_vessel_search(spark, sf):
+    return rounded(vessels.vessel_search(metrics(spark, sf), name="vessel 1", min_distance=100.0, limit=50))
+
+
+@query("vessel_search_type")
+def q_vessel_search_type(spark, sf):
+    c = cleaned(spark, sf)
+    return rounded(vessels.vessel_search(tracks.vessel_metrics(c), max_distance=2000.0, limit=500,
+                                         positions=c, vessel_type="80"))
+
+
+@query("vessel_detail")
+def q_vessel_detail(spark, sf):
+    c = cleaned(spark, sf)
+    return rounded(vessels.vessel_detail(tracks.vessel_metrics(c), c, mmsi=7))
+
+
+@query("recent_positions")
+def q_recent_positions(spark, sf):
+    return rounded(tracks.recent_positions(cleaned(spark, sf), n=100))
+
+
+@query("decode_types")
+def q_decode_types(spark, sf):
+    d = vessels.decode_types(cleaned(spark, sf), vessels.vessel_type_codes(spark))
+    return d.select("mmsi", "base_datetime", "vessel_type", "type_description", "type_category")
+
+
+@query("decode_status")
+def q_decode_status(spark, sf):
+    d = vessels.decode_status(cleaned(spark, sf), vessels.navigation_status_codes(spark))
+    return d.select("mmsi", "base_datetime", "status", "status_description")
+
+
+# --- traffic -----------------------------------------------------------------
+
+@query("traffic_summary")
+def q_traffic_summary(spark, sf):
+    return rounded(traffic.traffic_summary(cleaned(spark, sf)))
+
+
+@query("active_vessels")
+def q_active_vessels(spark, sf):
+    c = cleaned(spark, sf)
+    return rounded(traffic.active_vessels(c, tracks.vessel_metrics(c)))
+
+
+@query("daily_traffic")
+def q_daily_traffic(spark, sf):
+    return rounded(traffic.daily_traffic(cleaned(spark, sf)))
+
+
+# --- table maintenance ---------------------------------------------------------
+
+SNAPSHOT_SPLIT = "2024-01-16 00:00:00"
+
+
+def _snapshots(spark, sf):
+    """Metrics as of the split time (old) and over the reports after it (new)."""
+    c = cleaned(spark, sf)
+    split = F.lit(SNAPSHOT_SPLIT).cast("timestamp_ntz")
+    old = tracks.vessel_metrics(c.where(F.col("base_datetime") < split))
+    new = tracks.vessel_metrics(c.where(F.col("base_datetime") >= split))
+    return c, old, new
+
+
+@query("insert_if_absent")
+def q_insert_if_absent(spark, sf):
+    from trackline.operators.changes import insert_if_absent
+    codes = vessels.vessel_type_codes(spark)
+    seen = (cleaned(spark, sf).select(F.trim("vessel_type").try_cast("int").alias("code"))
+            .where(F.col("code").isNotNull()).distinct())
+    new = seen.select("code", F.concat(F.lit("Type "), F.col("code").cast("string")).alias("description"),
+                      F.lit("Unclassified").alias("category"))
+    return insert_if_absent(codes, new, "code")
+
+
+@query("upsert_stamped")
+def q_upsert_stamped(spark, sf):
+    from trackline.operators.changes import upsert_stamped
+    c, old, new = _snapshots(spark, sf)
+    t_old = F.lit(SNAPSHOT_SPLIT).cast("timestamp_ntz")
+    current = old.withColumn("created_at", t_old).withColumn("updated_at", t_old)
+    as_of = c.agg(F.max("base_datetime")).scalar()
+    return rounded(upsert_stamped(current, new, "mmsi", as_of))
+
+
+@query("table_changes")
+def q_table_changes(spark, sf):
+    from trackline.operators.changes import table_changes
+    _, old, new = _snapshots(spark, sf)
+    ch = table_changes(old, new, "mmsi", "vessel_metrics")
+
+    def field(side, name, typ):
+        return F.get_json_object(F.col(f"{side}_values"), f"$.{name}").try_cast(typ).alias(f"{side}_{name}")
+
+    return rounded(ch.select(
+        "operation", "table_name", "record_id",
+        field("old", "total_distance_nm", "double"), field("new", "total_distance_nm", "double"),
+        field("old", "point_count", "long"), field("new", "point_count", "long"),
+        field("old", "vessel_name", "string"), field("new", "vessel_name", "string"),
+    ))
