@@ -62,11 +62,16 @@ def dedupe_positions(df: DataFrame, order_col: str = "ingest_seq") -> DataFrame:
     """One report per (mmsi, base_datetime): the first in file order.
 
     Written as an aggregation (``min_by`` on the file-order column) rather
-    than a window, so copies are pre-aggregated on the map side.
+    than a window, so copies are pre-aggregated on the map side.  One
+    ``min_by`` per column (not one struct) lets column pruning drop the
+    aggregates a consumer does not read.
     """
     rest = [c for c in df.columns if c not in KEY]
-    picked = df.groupBy(*KEY).agg(F.min_by(F.struct(*rest), F.col(order_col)).alias("_r"))
-    return picked.select(*KEY, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*df.columns)
+    order = F.col(order_col)
+    aggs = [(order if c == order_col else F.min_by(F.col(c), order)).alias(c) for c in rest]
+    if order_col in rest:
+        aggs[rest.index(order_col)] = F.min(order).alias(order_col)
+    return df.groupBy(*KEY).agg(*aggs).select(*df.columns)
 
 
 def sorted_positions(df: DataFrame) -> DataFrame:

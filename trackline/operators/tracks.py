@@ -25,17 +25,24 @@ from trackline.functions.geo import with_distance
 from trackline.schema import MOVING_PAIR_MEAN_KNOTS
 
 MICROS_PER_HOUR = 3_600_000_000
-EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+MICROS_PER_DAY = 86_400_000_000
 
 
-def epoch_micros(c: str) -> Column:
-    return F.expr(f"timestampdiff(MICROSECOND, {EPOCH}, {c})")
+def epoch_micros(c: Column | str) -> Column:
+    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ, from its fields.
+
+    Exact and independent of the session time zone (a zone-aware cast would
+    shift durations that cross a daylight-saving change).
+    """
+    ts = F.col(c) if isinstance(c, str) else c
+    return (F.unix_date(F.to_date(ts)).cast("long") * F.lit(MICROS_PER_DAY)
+            + F.hour(ts).cast("long") * F.lit(3_600_000_000)
+            + F.minute(ts).cast("long") * F.lit(60_000_000)
+            + (F.date_part(F.lit("SECOND"), ts) * F.lit(1_000_000)).cast("long"))
 
 
 def micros_between(a: Column | str, b: Column | str) -> Column:
-    a = F.col(a) if isinstance(a, str) else a
-    b = F.col(b) if isinstance(b, str) else b
-    return F.timestamp_diff("MICROSECOND", a, b)
+    return epoch_micros(b) - epoch_micros(a)
 
 
 def _is_moving(sog_prev: Column, sog: Column) -> Column:
@@ -100,8 +107,6 @@ def vessel_summary(clean: DataFrame, method: str = "geodesic", bucket_minutes: i
     agg = buckets.groupBy("mmsi").agg(
         F.sum("n").alias("point_count"),
         F.sum("sog_sum").alias("_sog_sum"),
-        F.count_if(F.col("sog_sum").isNotNull()).alias("_has_sog"),
-        F.sum(F.col("n")).alias("_n"),
         F.max("sog_max").alias("max_speed_knots"),
         F.min("sog_min").alias("min_speed_knots"),
         (F.coalesce(F.sum("leg_nm"), F.lit(0.0)) + F.coalesce(F.sum("_bnd_nm"), F.lit(0.0))).alias("total_distance_nm"),
