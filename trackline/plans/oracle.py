@@ -402,3 +402,114 @@ SELECT CASE WHEN o.mmsi IS NULL THEN 'INSERT' WHEN n.mmsi IS NULL THEN 'DELETE'
   o.vessel_name AS old_vessel_name, n.vessel_name AS new_vessel_name
 FROM metrics_a o FULL OUTER JOIN metrics_b n ON o.mmsi = n.mmsi
 WHERE o.mmsi IS NULL OR n.mmsi IS NULL OR {" OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c in PAGE_COLS[1:])}"""))
+
+
+# --- sources / sinks / streaming / pipeline (same rows after a write and read) ----
+
+NAME_NA = "CASE WHEN vessel_name = '' THEN NULL ELSE vessel_name END AS vessel_name"
+READ_BACK_SEL = (f"mmsi, base_datetime, {rnd('latitude')}, {rnd('longitude')}, {rnd('sog')}, {rnd('cog')},"
+                 f" {NAME_NA}, vessel_type, status")
+for _key in ["read_positions", "read_positions_headerless", "read_positions_standard", "read_zip_positions"]:
+    oracle(_key, with_([RAW], f"SELECT {READ_BACK_SEL} FROM raw"))
+oracle("combine_files", with_([RAW], f"""
+SELECT mmsi, base_datetime, {rnd('latitude')}, {rnd('longitude')}, {rnd('sog')}, {rnd('cog')}, {NAME_NA},
+  CASE WHEN base_datetime < {SPLIT} THEN vessel_type END AS vessel_type,
+  CASE WHEN base_datetime < {SPLIT} THEN status END AS status
+FROM raw"""))
+oracle("sink_positions", with_([RAW, CLEAN], f"""
+SELECT mmsi, base_datetime, {rnd('latitude')}, {rnd('longitude')}, {rnd('sog')}, {rnd('cog')}, vessel_name,
+  vessel_type, status, ingest_seq, CAST(base_datetime AS DATE) AS traffic_date,
+  (SELECT max(base_datetime) FROM clean) AS created_at
+FROM clean"""))
+oracle("sink_metrics", with_(MET, f"SELECT {METRIC_SELECT}, (SELECT max(base_datetime) FROM clean) AS last_updated"
+                                  " FROM metrics"))
+oracle("staging_roundtrip", ORACLE["vessel_metrics"])
+oracle("report_json", ORACLE["comprehensive_report"])
+oracle("pipeline_end_to_end", ORACLE["comprehensive_report"])
+oracle("incremental_ingest", with_([RAW, CLEAN], f"SELECT {READ_BACK_SEL} FROM clean"))
+oracle("refresh_daily", ORACLE["daily_traffic"])
+
+# --- archive catalog ------------------------------------------------------------------
+
+from trackline.sources import catalog as _cat  # noqa: E402
+from trackline.sources.fixture import listing_pages_sql  # noqa: E402
+
+
+def q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+LISTING = listing_pages_sql()
+_S = q(_cat.SIZE_PATTERN)
+LINKS = [LISTING,
+         f"frags AS (SELECT page_id, unnest(regexp_extract_all(html, {q(_cat.LINK_PATTERN)}, 0)) AS frag FROM listing)",
+         f"lk AS (SELECT page_id, regexp_extract(frag, {q(_cat.HREF_PATTERN)}, 1) AS href,"
+         f" regexp_extract(frag, {_S}, 1) AS v, upper(regexp_extract(frag, {_S}, 3)) AS u FROM frags)",
+         "links AS (SELECT page_id, href, CASE WHEN v <> '' THEN concat(v, u) END AS size_text,"
+         " CASE WHEN v <> '' THEN CAST(floor(CAST(v AS DOUBLE) * CAST(CASE u WHEN 'K' THEN 1024"
+         " WHEN 'M' THEN 1048576 WHEN 'G' THEN 1073741824 WHEN 'T' THEN 1099511627776 END AS DOUBLE))"
+         " AS BIGINT) END AS size_bytes FROM lk)"]
+
+
+def _classified(src: str, col: str, extra: str = "") -> str:
+    d, z, r = q(_cat.DAILY_PATTERN), q(_cat.ZONE_PATTERN), q(_cat.REGIONAL_PATTERN)
+    isd, isz, isr = f"regexp_matches({col}, {d})", f"regexp_matches({col}, {z})", f"regexp_matches({col}, {r})"
+    return (f"SELECT *{extra} FROM (SELECT {src}.*,"
+            f" CASE WHEN {isd} THEN 'daily' WHEN {isz} THEN 'zone' WHEN {isr} THEN 'regional' END AS type,"
+            f" CASE WHEN {isd} THEN regexp_extract({col}, {d}, 1) WHEN {isz} THEN regexp_extract({col}, {z}, 1)"
+            f" WHEN {isr} THEN regexp_extract({col}, {r}, 1) END AS year,"
+            f" CASE WHEN {isd} THEN CAST(regexp_extract({col}, {d}, 2) AS INTEGER) END AS month,"
+            f" CASE WHEN {isd} THEN CAST(regexp_extract({col}, {d}, 3) AS INTEGER) END AS day,"
+            f" CASE WHEN {isz} THEN regexp_extract({col}, {z}, 2) END AS zone,"
+            f" CASE WHEN {isz} THEN regexp_extract({col}, {z}, 3) END AS sequence,"
+            f" CASE WHEN {isr} AND NOT {isd} AND NOT {isz} THEN regexp_extract({col}, {r}, 2) END AS region"
+            f" FROM {src}) WHERE type IS NOT NULL")
+
+
+BASE_URL = q(_cat.DEFAULT_BASE_URL)
+FILES = LINKS + [
+    "zl AS (SELECT page_id, href AS filename, size_text, size_bytes FROM links"
+    " WHERE suffix(href, '.zip') AND contains(href, 'AIS'))",
+    f"files AS ({_classified('zl', 'filename', f', concat({BASE_URL}, year, ' + q('/') + ', filename) AS url')})",
+]
+FILE_COLS = ("page_id, filename, type, year, month, day, zone, sequence, region, size_text, size_bytes, url")
+YEARS = [LISTING,
+         f"hrefs AS (SELECT page_id, unnest(regexp_extract_all(html, {q(_cat.HREF_PATTERN)}, 1)) AS href"
+         " FROM listing)",
+         f"years AS (SELECT regexp_extract(href, {q(_cat.YEAR_PATTERN)}, 1) AS year, count(DISTINCT page_id) AS pages"
+         f" FROM hrefs WHERE regexp_matches(href, {q(_cat.YEAR_PATTERN)}) GROUP BY 1)"]
+ORDER_FILES = "ORDER BY coalesce(month, 0), coalesce(day, 0), filename, page_id"
+
+
+def _fmt1(x: str, unit: str) -> str:
+    return (f"CAST(CAST(round(CAST({x} AS DECIMAL(38,12)), 1) AS DECIMAL(38,1)) AS VARCHAR) || ' {unit}'")
+
+
+PRETTY = ("CASE WHEN size_bytes IS NULL OR size_bytes = 0 THEN 'unknown'"
+          f" WHEN CAST(size_bytes AS DOUBLE) > 1073741824.0 THEN {_fmt1('CAST(size_bytes AS DOUBLE) / 1073741824.0', 'GB')}"
+          f" WHEN CAST(size_bytes AS DOUBLE) > 1048576.0 THEN {_fmt1('CAST(size_bytes AS DOUBLE) / 1048576.0', 'MB')}"
+          f" ELSE {_fmt1('CAST(size_bytes AS DOUBLE) / 1024.0', 'KB')} END")
+DETAILS = ("CASE type WHEN 'daily' THEN 'Date: ' || year || '-' || lpad(CAST(month AS VARCHAR), 2, '0') || '-'"
+           " || lpad(CAST(day AS VARCHAR), 2, '0') WHEN 'zone' THEN 'Zone: ' || zone || ', Sequence: ' || sequence"
+           " WHEN 'regional' THEN 'Region: ' || region END")
+
+oracle("index_years", with_(YEARS, "SELECT year, pages FROM years ORDER BY year DESC"))
+oracle("index_files", with_(FILES, f"SELECT {FILE_COLS} FROM files"))
+oracle("archive_names", with_(LINKS + ["nm AS (SELECT page_id, href AS filename FROM links)"],
+                              _classified("nm", "filename")))
+oracle("size_to_bytes", with_(LINKS, "SELECT page_id, href, size_text, size_bytes FROM links"
+                                     " WHERE size_text IS NOT NULL"))
+oracle("archive_listing", with_(FILES, f"""
+SELECT page_id, filename, type, {PRETTY} AS size_display, {DETAILS} AS details, size_bytes,
+  (SELECT count(*) FROM files) AS total_files, coalesce((SELECT sum(size_bytes) FROM files), 0) AS total_known_bytes
+FROM files {ORDER_FILES} LIMIT 5"""))
+oracle("archive_select", with_(FILES, f"""
+(SELECT {FILE_COLS}, 'position 3' AS selected_by FROM files {ORDER_FILES} LIMIT 1 OFFSET 2)
+UNION ALL
+(SELECT {FILE_COLS}, 'pattern Zone0' AS selected_by FROM files WHERE contains(filename, 'Zone0'))"""))
+oracle("archive_urls", with_(FILES + YEARS[1:], f"""
+SELECT year, zone, {BASE_URL} || year || '/AIS_' || year || '_' || coalesce(zone, '01_01') || '.zip' AS url FROM (
+  SELECT year, CASE type WHEN 'zone' THEN 'Zone' || zone || '_' || sequence
+    WHEN 'daily' THEN lpad(CAST(month AS VARCHAR), 2, '0') || '_' || lpad(CAST(day AS VARCHAR), 2, '0')
+    ELSE region END AS zone FROM files
+  UNION ALL SELECT year, NULL AS zone FROM years)"""))

@@ -325,3 +325,226 @@ def q_table_changes(spark, sf):
         field("old", "point_count", "long"), field("new", "point_count", "long"),
         field("old", "vessel_name", "string"), field("new", "vessel_name", "string"),
     ))
+
+
+# --- sources (write the adapter rows as files, read them back) -----------------
+
+from trackline import sinks  # noqa: E402
+from trackline.schema import CANONICAL_COLUMNS, SOURCE_COLUMNS  # noqa: E402
+from trackline.session import scratch_path  # noqa: E402
+from trackline.sources import archives, catalog, positions  # noqa: E402
+from trackline.sources.fixture import listing_pages  # noqa: E402
+
+def _split():
+    return F.lit(SNAPSHOT_SPLIT).cast("timestamp_ntz")
+
+
+READ_BACK = ["mmsi", "base_datetime", "latitude", "longitude", "sog", "cog", "vessel_name", "vessel_type", "status"]
+STANDARD_HEADER = {"mmsi": "MMSI", "base_datetime": "Timestamp", "latitude": "Lat", "longitude": "Lon",
+                   "sog": "Speed", "cog": "Course", "vessel_name": "Name", "vessel_type": "ShipType",
+                   "status": "NavStatus"}
+
+
+def _as_source_text(df: DataFrame) -> DataFrame:
+    """Adapter rows as the 17 text columns of a source file (absent columns empty)."""
+    return df.select(*[(F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")).alias(src)
+                       for src, c in zip(SOURCE_COLUMNS, CANONICAL_COLUMNS)])
+
+
+def _write_csv(df: DataFrame, path: str, header: bool = True, parts: int = 4) -> str:
+    df.repartition(parts).write.mode("overwrite").option("header", header).csv(path)
+    return path
+
+
+def _typed(df: DataFrame) -> DataFrame:
+    return rounded(C.coerce_types(df).select(*READ_BACK))
+
+
+@query("read_positions")
+def q_read_positions(spark, sf):
+    path = _write_csv(_as_source_text(raw(spark, sf)), scratch_path(spark, "noaa"))
+    return _typed(positions.read_positions(spark, path))
+
+
+@query("read_positions_headerless")
+def q_read_positions_headerless(spark, sf):
+    path = _write_csv(_as_source_text(raw(spark, sf)), scratch_path(spark, "headerless"), header=False)
+    return _typed(positions.read_positions_headerless(spark, path))
+
+
+@query("read_positions_standard")
+def q_read_positions_standard(spark, sf):
+    r = raw(spark, sf)
+    text = r.select(*[F.col(c).cast("string").alias(h) for c, h in STANDARD_HEADER.items()])
+    path = _write_csv(text, scratch_path(spark, "standard"))
+    return _typed(positions.read_positions_standard(spark, path))
+
+
+@query("combine_files")
+def q_combine_files(spark, sf):
+    r = raw(spark, sf)
+    a = _write_csv(_as_source_text(r.where(F.col("base_datetime") < _split())), scratch_path(spark, "part_a"))
+    later = r.where(F.col("base_datetime") >= _split())
+    b = _write_csv(later.select(*[F.col(c).cast("string").alias(h) for c, h in STANDARD_HEADER.items()
+                                  if c not in ("vessel_type", "status")]), scratch_path(spark, "part_b"))
+    combined = positions.combine_files([positions.read_positions(spark, a),
+                                        positions.read_positions_standard(spark, b, fill_missing=False)])
+    return _typed(combined)
+
+
+@query("read_zip_positions")
+def q_read_zip_positions(spark, sf):
+    text = _as_source_text(raw(spark, sf))
+    lines = text.select(F.to_csv(F.struct(*text.columns)).alias("line"))
+    packed = archives.pack_archives(lines, archives=4)
+    return _typed(archives.parse_archive_lines(archives.archive_lines(packed)))
+
+
+@query("detect_format")
+def q_detect_format(spark, sf):
+    r = raw(spark, sf)
+    base = scratch_path(spark, "formats")
+    _write_csv(_as_source_text(r), f"{base}/noaa", parts=2)
+    _write_csv(_as_source_text(r), f"{base}/headerless", header=False, parts=2)
+    _write_csv(r.select(*[F.col(c).cast("string").alias(h) for c, h in STANDARD_HEADER.items()]),
+               f"{base}/standard", parts=2)
+    return positions.detect_format(spark, [f"{base}/noaa", f"{base}/headerless", f"{base}/standard"])
+
+
+@query("file_inventory")
+def q_file_inventory(spark, sf):
+    path = _write_csv(_as_source_text(raw(spark, sf)), scratch_path(spark, "inventory"))
+    return positions.file_inventory(spark, path, glob="*.csv")
+
+
+# --- sinks ---------------------------------------------------------------------
+
+def _as_of(df: DataFrame):
+    return df.agg(F.max("base_datetime")).scalar()
+
+
+@query("sink_positions")
+def q_sink_positions(spark, sf):
+    c = cleaned(spark, sf)
+    path = scratch_path(spark, "positions")
+    sinks.sink_positions(c, path, as_of=_as_of(c), max_records_per_file=1000)
+    back = spark.read.parquet(path)
+    return rounded(back.select(*READ_BACK, "ingest_seq", "traffic_date", "created_at"))
+
+
+@query("sink_metrics")
+def q_sink_metrics(spark, sf):
+    c = cleaned(spark, sf)
+    path = scratch_path(spark, "metrics")
+    sinks.sink_metrics(tracks.vessel_metrics(c, extended=True), path, as_of=_as_of(c))
+    return rounded(spark.read.parquet(path).select(*tracks.METRIC_COLUMNS, "last_updated"))
+
+
+@query("staging_roundtrip")
+def q_staging_roundtrip(spark, sf):
+    c = cleaned(spark, sf)
+    base = scratch_path(spark, "staging")
+    sinks.stage(c, base, "2024-01-31", "cleaned")
+    staged = sinks.read_stage(spark, base, "2024-01-31", "cleaned")
+    sinks.stage(tracks.vessel_metrics(staged), base, "2024-01-31", "metrics")
+    return rounded(sinks.read_stage(spark, base, "2024-01-31", "metrics"))
+
+
+@query("report_json")
+def q_report_json(spark, sf):
+    c = cleaned(spark, sf)
+    m = tracks.vessel_metrics(c)
+    report = fleet.comprehensive_report(m, c, vessels.top_vessels(m))
+    path = scratch_path(spark, "report")
+    sinks.report_json(report, path)
+    return rounded(sinks.read_report_json(spark, path, report))
+
+
+# --- streaming -------------------------------------------------------------------
+
+def _stream_run(spark, sf, rollup: bool):
+    from trackline.streaming.ingest import incremental_ingest
+    r = raw(spark, sf)
+    base = scratch_path(spark, "stream")
+    src = f"{base}/incoming"
+    rollup_dir = f"{base}/daily" if rollup else None
+    _write_csv(_as_source_text(r.where(F.col("base_datetime") < _split())), f"{src}/day_a")
+    incremental_ingest(spark, f"{src}/*", f"{base}/table", f"{base}/checkpoint", rollup_dir)
+    _write_csv(_as_source_text(r.where(F.col("base_datetime") >= _split())), f"{src}/day_b")
+    incremental_ingest(spark, f"{src}/*", f"{base}/table", f"{base}/checkpoint", rollup_dir)
+    return base
+
+
+@query("incremental_ingest")
+def q_incremental_ingest(spark, sf):
+    from trackline.streaming.ingest import read_positions_table
+    base = _stream_run(spark, sf, rollup=False)
+    return rounded(read_positions_table(spark, f"{base}/table").select(*READ_BACK))
+
+
+@query("refresh_daily")
+def q_refresh_daily(spark, sf):
+    from trackline.streaming.ingest import DAILY_COLUMNS
+    base = _stream_run(spark, sf, rollup=True)
+    return rounded(spark.read.parquet(f"{base}/daily").select(*DAILY_COLUMNS))
+
+
+# --- pipeline ----------------------------------------------------------------------
+
+@query("pipeline_end_to_end")
+def q_pipeline_end_to_end(spark, sf):
+    import datetime as dt
+
+    from trackline.plans.pipeline import run_pipeline
+    result = run_pipeline(spark, scratch_path(spark, "store"), raw=raw(spark, sf), as_of=dt.datetime(2024, 1, 31))
+    return rounded(result.report)
+
+
+# --- archive catalog ------------------------------------------------------------------
+
+def _files(spark, sf):
+    return catalog.index_files(listing_pages(spark, sf))
+
+
+@query("index_years")
+def q_index_years(spark, sf):
+    return catalog.index_years(listing_pages(spark, sf))
+
+
+@query("index_files")
+def q_index_files(spark, sf):
+    return _files(spark, sf)
+
+
+@query("archive_names")
+def q_archive_names(spark, sf):
+    names = catalog.links(listing_pages(spark, sf)).select("page_id", F.col("href").alias("filename"))
+    return catalog.archive_names(names)
+
+
+@query("size_to_bytes")
+def q_size_to_bytes(spark, sf):
+    return catalog.size_to_bytes(listing_pages(spark, sf))
+
+
+@query("archive_listing")
+def q_archive_listing(spark, sf):
+    return catalog.archive_listing(_files(spark, sf), max_files=5)
+
+
+@query("archive_select")
+def q_archive_select(spark, sf):
+    return catalog.archive_select(_files(spark, sf), position=3, pattern="Zone0")
+
+
+@query("archive_urls")
+def q_archive_urls(spark, sf):
+    pages = listing_pages(spark, sf)
+    files = catalog.index_files(pages)
+    zone = (F.when(F.col("type") == "zone", F.concat(F.lit("Zone"), F.col("zone"), F.lit("_"), F.col("sequence")))
+            .when(F.col("type") == "daily", F.concat(F.lpad(F.col("month").cast("string"), 2, "0"), F.lit("_"),
+                                                     F.lpad(F.col("day").cast("string"), 2, "0")))
+            .otherwise(F.col("region")))
+    requests = files.select("year", zone.alias("zone")).unionByName(
+        catalog.index_years(pages).select("year", F.lit(None).cast("string").alias("zone")))
+    return catalog.archive_urls(requests)

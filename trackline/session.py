@@ -9,6 +9,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "trackline") -> SparkSession:
     """Session for tests and the benchmark (local mode, UI off, AQE on)."""
     spark = (
@@ -23,6 +26,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
+        # generated code for the unrolled geodesic can pass HotSpot's 8000-byte
+        # JIT limit; let the JIT compile such methods (set the same on executors)
+        .config("spark.driver.extraJavaOptions", JIT_OPTIONS)
+        .config("spark.executor.extraJavaOptions", JIT_OPTIONS)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -60,3 +60,44 @@ def raw_positions_sql() -> str:
         f"raw AS (SELECT * FROM b UNION ALL SELECT {names}, ingest_seq + {COPY_SEQ_OFFSET} AS ingest_seq"
         f" FROM b WHERE ingest_seq % {COPY_EVERY} = 0)"
     )
+
+
+# The archive-index fragment appended to each page of ``pages``
+# (the test pages have links but no archive names).  Plain SQL text that both
+# Spark and DuckDB evaluate identically.  Per page: one link chosen by
+# page_id % 7 (year folder, daily / zone / regional archive, a non-archive file,
+# a second daily archive, an archive-like name without "AIS"), then an
+# optional size ("<value><unit>", unit by (page_id / 7) % 4: none, K, M, G).
+_N7 = "CAST(floor(page_id / 7) AS BIGINT)"
+_YEAR = f"CAST(2015 + {_N7} % 10 AS STRING)"
+_MM = f"lpad(CAST({_N7} % 12 + 1 AS STRING), 2, '0')"
+_DD = "lpad(CAST(CAST(floor(page_id / 84) AS BIGINT) % 28 + 1 AS STRING), 2, '0')"
+_NN = f"lpad(CAST({_N7} % 20 + 1 AS STRING), 2, '0')"
+_REGION = f"CASE {_N7} % 4 WHEN 0 THEN 'GulfCoast' WHEN 1 THEN 'Atlantic' WHEN 2 THEN 'Pacific' ELSE 'GreatLakes' END"
+LISTING_NAME_SQL = (
+    f"CASE page_id % 7"
+    f" WHEN 0 THEN concat({_YEAR}, '/')"
+    f" WHEN 1 THEN concat('AIS_', {_YEAR}, '_', {_MM}, '_', {_DD}, '.zip')"
+    f" WHEN 2 THEN concat('AIS_', {_YEAR}, '_Zone', {_NN}, '_', {_MM}, '.zip')"
+    f" WHEN 3 THEN concat('AIS_', {_YEAR}, '_', {_REGION}, '.zip')"
+    f" WHEN 4 THEN 'readme.txt'"
+    f" WHEN 5 THEN concat('AIS_', {_YEAR}, '_', {_DD}, '_', {_MM}, '.zip')"
+    f" ELSE concat('data_', {_YEAR}, '.zip') END"
+)
+_UNIT = f"CASE {_N7} % 4 WHEN 1 THEN 'K' WHEN 2 THEN 'M' WHEN 3 THEN 'G' ELSE '' END"
+_VALUE = "CAST(CAST((page_id * 37) % 9000 + 100 AS DOUBLE) / 10.0 AS STRING)"
+LISTING_FRAGMENT_SQL = (
+    f"concat('<pre><a href=\"', {LISTING_NAME_SQL}, '\">', {LISTING_NAME_SQL}, '</a>',"
+    f" CASE WHEN {_UNIT} = '' THEN '' ELSE concat('   ', {_VALUE}, {_UNIT}) END, '</pre>')"
+)
+
+
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages`` with an archive-index fragment appended to the whole html."""
+    pages = table(spark, sf_dir, "pages")
+    return pages.select("page_id", "url", F.concat(F.col("html"), F.expr(LISTING_FRAGMENT_SQL)).alias("html"))
+
+
+def listing_pages_sql() -> str:
+    """The same as a SQL CTE named ``listing``."""
+    return f"listing AS (SELECT page_id, url, concat(html, {LISTING_FRAGMENT_SQL}) AS html FROM pages)"
