@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,14 +128,14 @@ def constraint_violations(df: DataFrame, keep: str = "violations") -> DataFrame:
     for c in ["mmsi", "base_datetime", "latitude", "longitude"]:
         if c in df.columns:
             rules.append((f"nn_{c}", F.col(c).isNotNull()))
-    rules += [
-        ("chk_latitude", rng("latitude", LAT_RANGE, False)),
-        ("chk_longitude", rng("longitude", LON_RANGE, False)),
-        ("chk_sog", rng("sog", CHECK_SPEED_RANGE, True)),
-        ("chk_cog", rng("cog", CHECK_ANGLE_RANGE, True)),
+    checks = [
+        ("chk_latitude", "latitude", LAT_RANGE, False),
+        ("chk_longitude", "longitude", LON_RANGE, False),
+        ("chk_sog", "sog", CHECK_SPEED_RANGE, True),
+        ("chk_cog", "cog", CHECK_ANGLE_RANGE, True),
+        ("chk_heading", "heading", CHECK_ANGLE_RANGE, True),
     ]
-    if "heading" in df.columns:
-        rules.append(("chk_heading", rng("heading", CHECK_ANGLE_RANGE, True)))
+    rules += [(name, rng(c, lo_hi, nullable)) for name, c, lo_hi, nullable in checks if c in df.columns]
     viol = F.concat_ws(",", *[F.when(~ok, F.lit(name)) for name, ok in rules])
     out = df.withColumn("violations", viol)
     if keep == "violations":
@@ -156,12 +156,3 @@ def limit_records(df: DataFrame, n: int, order_col: str = "ingest_seq") -> DataF
     """The first ``n`` rows in file order (top-k, no global sort)."""
     return df.orderBy(F.col(order_col).asc()).limit(n)
 
-
-def with_file_order(df: DataFrame) -> DataFrame:
-    """File-order column for reads without one: (file path, position in file)."""
-    return (df.withColumn("_file", F.col("_metadata.file_path"))
-            .withColumn("_pos", F.monotonically_increasing_id()))
-
-
-def recent_window(order_desc: str = "base_datetime") -> Window:
-    return Window.partitionBy("mmsi").orderBy(F.col(order_desc).desc())
