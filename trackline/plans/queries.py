@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from trackline.operators import clean as C
 from trackline.operators import fleet, tracks, traffic, vessels
 from trackline.plans.context import cleaned, metrics, raw, rounded
+from trackline.session import materialize
 from trackline.sources.fixture import RAW_COLUMNS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -194,25 +195,25 @@ def q_headline(spark, sf):
 
 @query("distance_histogram")
 def q_distance_histogram(spark, sf):
-    return rounded(fleet.distance_histogram(metrics(spark, sf)))
+    return rounded(fleet.distance_histogram(materialize(metrics(spark, sf))))
 
 
 @query("speed_histogram")
 def q_speed_histogram(spark, sf):
-    return rounded(fleet.speed_histogram(metrics(spark, sf)))
+    return rounded(fleet.speed_histogram(materialize(metrics(spark, sf))))
 
 
 @query("comprehensive_report")
 def q_comprehensive_report(spark, sf):
     c = cleaned(spark, sf)
-    m = tracks.vessel_metrics(c)
+    m = materialize(tracks.vessel_metrics(c))
     return rounded(fleet.comprehensive_report(m, c, vessels.top_vessels(m)))
 
 
 @query("metrics_summary")
 def q_metrics_summary(spark, sf):
     c = cleaned(spark, sf)
-    return rounded(fleet.metrics_summary(tracks.vessel_metrics(c), c))
+    return rounded(fleet.metrics_summary(materialize(tracks.vessel_metrics(c)), c))
 
 
 # --- vessels -----------------------------------------------------------------
@@ -453,7 +454,7 @@ def q_staging_roundtrip(spark, sf):
 @query("report_json")
 def q_report_json(spark, sf):
     c = cleaned(spark, sf)
-    m = tracks.vessel_metrics(c)
+    m = materialize(tracks.vessel_metrics(c))
     report = fleet.comprehensive_report(m, c, vessels.top_vessels(m))
     path = scratch_path(spark, "report")
     sinks.report_json(report, path)

@@ -66,3 +66,15 @@ def local_fs_path(path: str) -> str:
     if path.startswith("file:"):
         return path[len("file:"):]
     return path
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and return a frame reading it back.
+
+    For small derived tables (per-vessel metrics) that feed several
+    consumers: one computation instead of one per consumer, and a lineage cut
+    that survives the loss of an executor (a reliable checkpoint, not a
+    local one).
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
