@@ -75,3 +75,16 @@ def test_file_inventory(spark, tmp_path):
     _write(tmp_path, "empty.csv", "")
     inv = positions.file_inventory(spark, str(tmp_path), glob="*.csv").collect()
     assert [os.path.basename(r["path"]) for r in inv] == ["x.csv"]
+
+
+def test_gzip_csv_and_create_tables(spark, tmp_path):
+    import gzip
+    p = tmp_path / "day.csv.gz"
+    p.write_bytes(gzip.compress(SAMPLE_CSV.encode()))
+    assert positions.read_positions(spark, str(p)).count() == 15
+    from trackline.sinks import create_tables
+    names = create_tables(spark, str(tmp_path / "store"))
+    names2 = create_tables(spark, str(tmp_path / "store"))  # idempotent
+    assert names == names2 and "traffic_date" in spark.table(names[0]).columns
+    spark.sql(f"DROP TABLE {names[0]}")
+    spark.sql(f"DROP TABLE {names[1]}")

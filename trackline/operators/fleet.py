@@ -50,7 +50,12 @@ def time_analysis(metrics: DataFrame) -> DataFrame:
     )
 
 
-def data_quality(positions: DataFrame) -> DataFrame:
+def distinct_count(c: str, approx: bool = False) -> Column:
+    """Exact COUNT(DISTINCT c), or HyperLogLog++ (``approx_count_distinct``) when ``approx``."""
+    return F.approx_count_distinct(c) if approx else F.count_distinct(c)
+
+
+def data_quality(positions: DataFrame, approx_distinct: bool = False) -> DataFrame:
     """Share of valid positions, speeds, names and timestamps; overall score."""
     lat, lon, sog = F.col("latitude"), F.col("longitude"), F.col("sog")
     base = positions.agg(
@@ -60,7 +65,7 @@ def data_quality(positions: DataFrame) -> DataFrame:
         F.count_if(sog.isNotNull() & (sog >= SPEED_RANGE[0]) & (sog <= SPEED_RANGE[1])).alias("valid_speeds"),
         F.count_if(F.col("vessel_name").isNotNull() & (F.col("vessel_name") != "")).alias("valid_names"),
         F.count_if(F.col("base_datetime").isNotNull()).alias("valid_timestamps"),
-        F.count_distinct("mmsi").alias("unique_vessels"),
+        distinct_count("mmsi", approx_distinct).alias("unique_vessels"),
     )
     t = F.col("total_records")
     out = base.select(

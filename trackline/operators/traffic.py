@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackline.operators.fleet import pct
+from trackline.operators.fleet import distinct_count, pct
 from trackline.schema import MOVING_POINT_KNOTS
 
 
@@ -22,13 +22,14 @@ def _as_of(positions: DataFrame, as_of: dt.datetime | None) -> Column:
     return positions.agg(F.max("base_datetime")).scalar()
 
 
-def traffic_summary(positions: DataFrame, as_of: dt.datetime | None = None, days: int = 30) -> DataFrame:
+def traffic_summary(positions: DataFrame, as_of: dt.datetime | None = None, days: int = 30,
+                    approx_distinct: bool = False) -> DataFrame:
     """Reports since midnight ``days`` days before the as-of date: vessels, reports, speeds."""
     now = _as_of(positions, as_of)
     since = F.date_sub(F.to_date(now), days).cast("timestamp_ntz")
     recent = positions.where(F.col("base_datetime") >= since)
     base = recent.agg(
-        F.count_distinct("mmsi").alias("total_vessels"),
+        distinct_count("mmsi", approx_distinct).alias("total_vessels"),
         F.count(F.lit(1)).alias("total_positions"),
         F.min("base_datetime").alias("earliest_position"),
         F.max("base_datetime").alias("latest_position"),
@@ -62,11 +63,11 @@ def active_vessels(positions: DataFrame, metrics: DataFrame, as_of: dt.datetime
             .orderBy(F.col("last_seen").desc(), F.col("mmsi").asc(), F.col("vessel_name").asc_nulls_first()))
 
 
-def daily_traffic(positions: DataFrame) -> DataFrame:
+def daily_traffic(positions: DataFrame, approx_distinct: bool = False) -> DataFrame:
     """Per UTC date: vessels, reports, mean/max speed, moving (> 1 kn) and stationary (<= 1 kn) reports."""
     sog = F.col("sog")
     return (positions.groupBy(F.to_date("base_datetime").alias("traffic_date")).agg(
-        F.count_distinct("mmsi").alias("unique_vessels"),
+        distinct_count("mmsi", approx_distinct).alias("unique_vessels"),
         F.count(F.lit(1)).alias("total_positions"),
         F.avg(sog).alias("avg_speed"),
         F.max(sog).alias("max_speed"),

@@ -42,14 +42,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this is set by the deployment and must be a shared file
     system.  Only when it is unset (local tests) do we create one.
     """
-    sc = spark.sparkContext
-    found = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- remote sessions have no SparkContext
+        sc = None
+    found = sc.getCheckpointDir() if sc is not None else None
     if not found:
-        found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+        found = spark.conf.get("spark.checkpoint.dir", None)
+        if not found and sc is not None:
+            found = sc.getConf().get("spark.checkpoint.dir", None)
         if not found:
-            found = tempfile.mkdtemp(prefix="trackline-ckpt-")
-        sc.setCheckpointDir(found)
-        found = sc.getCheckpointDir() or found
+            found = tempfile.mkdtemp(prefix="trackline-ckpt-")  # unset: local tests only
+        if sc is not None:
+            sc.setCheckpointDir(found)
+            found = sc.getCheckpointDir() or found
     return found
 
 
@@ -78,3 +84,21 @@ def materialize(df):
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Settings for a large run: shuffle partitions sized so each holds ~``target_partition_bytes``.
+
+    AQE coalesces small partitions at run time, so erring high is cheap;
+    too few partitions spill instead.
+    """
+    parts = max(200, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(min(target_partition_bytes, 512 * 1024 ** 2)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.executor.extraJavaOptions": JIT_OPTIONS,
+    }

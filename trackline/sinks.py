@@ -78,3 +78,22 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],
                batch_size: int = 1000) -> None:
     """Load into a relational database through JDBC (the reference's store)."""
     df.write.option("batchsize", batch_size).jdbc(url, table, mode=mode, properties=properties)
+
+
+def create_tables(spark: SparkSession, base: str, database: str | None = None) -> list[str]:
+    """``CREATE TABLE IF NOT EXISTS`` for the stored tables, as Parquet tables under ``base``.
+
+    Positions are partitioned by date.  Existing tables are left alone.
+    """
+    from trackline.schema import METRICS_SCHEMA, POSITIONS_SCHEMA
+
+    def ddl(schema) -> str:
+        return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+    prefix = f"{database}." if database else ""
+    pos_cols = ddl(POSITIONS_SCHEMA) + ", `created_at` timestamp_ntz, `updated_at` timestamp_ntz, `traffic_date` date"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}positions ({pos_cols}) USING parquet "
+              f"PARTITIONED BY (traffic_date) LOCATION '{os.path.join(base, 'positions')}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}vessel_metrics ({ddl(METRICS_SCHEMA)}) USING parquet "
+              f"LOCATION '{os.path.join(base, 'vessel_metrics')}'")
+    return [f"{prefix}positions", f"{prefix}vessel_metrics"]
