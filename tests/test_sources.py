@@ -88,3 +88,12 @@ def test_gzip_csv_and_create_tables(spark, tmp_path):
     assert names == names2 and "traffic_date" in spark.table(names[0]).columns
     spark.sql(f"DROP TABLE {names[0]}")
     spark.sql(f"DROP TABLE {names[1]}")
+
+
+def test_spread_after_unsplittable_source(spark, tmp_path):
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as zf:
+        zf.writestr("a.csv", SAMPLE_CSV)
+    (tmp_path / "one.zip").write_bytes(buf.getvalue())
+    df = archives.read_zip_positions(spark, str(tmp_path), spread=4)
+    assert df.rdd.getNumPartitions() == 4 and df.count() == 15

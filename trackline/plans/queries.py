@@ -352,8 +352,9 @@ def _as_source_text(df: DataFrame) -> DataFrame:
                        for src, c in zip(SOURCE_COLUMNS, CANONICAL_COLUMNS)])
 
 
-def _write_csv(df: DataFrame, path: str, header: bool = True, parts: int = 4) -> str:
-    df.repartition(parts).write.mode("overwrite").option("header", header).csv(path)
+def _write_csv(df: DataFrame, path: str, header: bool = True) -> str:
+    """One CSV file per partition of ``df`` (the file count grows with the data)."""
+    df.write.mode("overwrite").option("header", header).csv(path)
     return path
 
 
@@ -397,7 +398,7 @@ def q_combine_files(spark, sf):
 def q_read_zip_positions(spark, sf):
     text = _as_source_text(raw(spark, sf))
     lines = text.select(F.to_csv(F.struct(*text.columns)).alias("line"))
-    packed = archives.pack_archives(lines, archives=4)
+    packed = archives.pack_archives(lines, archives=max(4, lines.rdd.getNumPartitions()))
     return _typed(archives.parse_archive_lines(archives.archive_lines(packed)))
 
 
@@ -405,10 +406,10 @@ def q_read_zip_positions(spark, sf):
 def q_detect_format(spark, sf):
     r = raw(spark, sf)
     base = scratch_path(spark, "formats")
-    _write_csv(_as_source_text(r), f"{base}/noaa", parts=2)
-    _write_csv(_as_source_text(r), f"{base}/headerless", header=False, parts=2)
+    _write_csv(_as_source_text(r), f"{base}/noaa")
+    _write_csv(_as_source_text(r), f"{base}/headerless", header=False)
     _write_csv(r.select(*[F.col(c).cast("string").alias(h) for c, h in STANDARD_HEADER.items()]),
-               f"{base}/standard", parts=2)
+               f"{base}/standard")
     return positions.detect_format(spark, [f"{base}/noaa", f"{base}/headerless", f"{base}/standard"])
 
 

@@ -33,13 +33,16 @@ def sink_positions(df: DataFrame, path: str, mode: str = "append", as_of: dt.dat
     """Write positions partitioned by UTC date, stamping ``created_at``/``updated_at``.
 
     Rows are clustered by date before the write so each task writes few
-    files; ``max_records_per_file`` caps file size (the batch-size knob).
+    files.  The clustering is a REBALANCE (not a plain repartition by date):
+    AQE splits an oversized date over several tasks, so a date holding a large
+    share of the data is not written by one task.  ``max_records_per_file``
+    caps file size (the batch-size knob).
     """
     stamp = _stamp(as_of)
     out = (to_canonical_names(df)
            .withColumn("traffic_date", F.to_date("base_datetime"))
            .withColumn("created_at", stamp).withColumn("updated_at", stamp)
-           .repartition("traffic_date"))
+           .hint("rebalance", "traffic_date"))
     w = out.write.mode(mode).partitionBy("traffic_date")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))

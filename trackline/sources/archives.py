@@ -77,34 +77,53 @@ def parse_archive_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def read_zip_positions(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Read every ``*.csv`` member of the given ``.zip`` archives as position rows."""
+def read_zip_positions(spark: SparkSession, paths: str | list[str], spread: int | None = None) -> DataFrame:
+    """Read every ``*.csv`` member of the given ``.zip`` archives as position rows.
+
+    Decompression of one archive is one task.  When a single archive holds a
+    large share of the data, ``spread=n`` redistributes its lines over ``n``
+    partitions right after decompression, so parsing, cleaning and everything
+    downstream run in parallel instead of in that one task.
+    """
     archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]").load(paths)
-    return parse_archive_lines(archive_lines(archives))
+    lines = archive_lines(archives)
+    if spread:
+        lines = lines.repartition(int(spread))
+    return parse_archive_lines(lines)
 
 
 def _zip_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pack one partition's CSV lines (header first) into one in-memory archive."""
-    lines: list[str] = []
-    name = None
+    """Stream one partition's CSV lines (header first) into one in-memory archive.
+
+    Lines are compressed as they arrive, so the task holds only the
+    compressed archive, never the partition's text.
+    """
+    out, zf, member, name = io.BytesIO(), None, None, None
     for batch in batches:
-        if name is None and len(batch):
+        if not len(batch):
+            continue
+        if zf is None:
             name = f"positions_{int(batch['_part'].iloc[0]):05d}"
-        lines.extend(batch["line"].tolist())
-    if name is None:
+            zf = zipfile.ZipFile(out, "w", compression=zipfile.ZIP_DEFLATED)
+            member = zf.open(f"{name}.csv", "w", force_zip64=True)
+            member.write((",".join(SOURCE_COLUMNS) + "\n").encode())
+        member.write(("\n".join(batch["line"].tolist()) + "\n").encode())
+    if zf is None:
         return
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", compression=zipfile.ZIP_DEFLATED) as zf:
-        zf.writestr(f"{name}.csv", ",".join(SOURCE_COLUMNS) + "\n" + "\n".join(lines) + "\n")
+    member.close()
+    zf.close()
     yield pd.DataFrame({"path": [f"{name}.zip"], "content": [out.getvalue()]})
 
 
-def pack_archives(csv_lines: DataFrame, archives: int) -> DataFrame:
-    """(path, content) frame of ``archives`` ZIPs, each holding one CSV member.
+def pack_archives(csv_lines: DataFrame, archives: int | None = None) -> DataFrame:
+    """(path, content) frame of ZIPs, each holding one CSV member.
 
-    ``csv_lines`` has one formatted CSV line per row (column ``line``).  Used
-    to build archive inputs from a table without leaving Spark.
+    ``csv_lines`` has one formatted CSV line per row (column ``line``).  One
+    archive per partition (``archives`` repartitions first), so the number of
+    archives grows with the input.  Used to build archive inputs from a table
+    without leaving Spark.
     """
-    parts = csv_lines.repartition(archives).withColumn("_part", F.spark_partition_id())
+    parts = csv_lines.repartition(archives) if archives else csv_lines
+    parts = parts.withColumn("_part", F.spark_partition_id())
     schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("content", T.BinaryType())])
     return parts.select("_part", "line").mapInPandas(_zip_partition, schema)

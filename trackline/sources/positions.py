@@ -46,16 +46,21 @@ def _canonical_strings(df: DataFrame, names: list[str]) -> DataFrame:
     )
 
 
-def read_positions(spark: SparkSession, paths: str | list[str], header: bool = True) -> DataFrame:
+def read_positions(spark: SparkSession, paths: str | list[str], header: bool = True,
+                   spread: int | None = None) -> DataFrame:
     """Read 17-column position CSV files (headed or not) as canonical string columns.
 
     Rows with more fields than the 17 columns are skipped; short rows are
-    kept with NULLs; an empty file yields no rows.
+    kept with NULLs; an empty file yields no rows.  Plain CSV is split into
+    many tasks by the reader; a compressed (``.gz``) file is not, so
+    ``spread=n`` redistributes its rows over ``n`` partitions after reading.
     """
     reader = (spark.read.schema(RAW_CSV_SCHEMA)
               .option("header", header).option("mode", "PERMISSIVE").option("enforceSchema", True)
               .option("encoding", "UTF-8"))
     df = _with_provenance(reader.csv(paths)).where(F.col("_extra").isNull())
+    if spread:
+        df = df.repartition(int(spread))
     return _canonical_strings(df, list(zip(SOURCE_COLUMNS, CANONICAL_COLUMNS)))
 
 

@@ -50,7 +50,7 @@ def incremental_ingest(spark: SparkSession, source_dir: str, table_dir: str, che
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         out = batch.drop("_event_time").withColumn("traffic_date", F.to_date("base_datetime"))
-        (out.write.mode("overwrite").partitionBy("traffic_date")
+        (out.hint("rebalance", "traffic_date").write.mode("overwrite").partitionBy("traffic_date")
          .parquet(os.path.join(positions_dir, f"batch={batch_id}")))
         if rollup_dir is not None:
             refresh_daily(spark, positions_dir, rollup_dir, out.select("traffic_date").distinct())
