@@ -99,3 +99,26 @@ def test_text_input_is_typed(spark, sample_path):
     typed = coerce_types(read_positions(spark, sample_path))
     f = {x.name: x.dataType.simpleString() for x in typed.schema.fields}
     assert f["mmsi"] == "bigint" and f["base_datetime"] == "timestamp_ntz" and f["latitude"] == "double"
+
+
+def test_hot_vessel_is_spread_over_tasks(spark):
+    """One vessel with a third of all reports must not land in one task."""
+    from trackline.operators.tracks import _bucketed_legs
+    hot = spark.range(0, 30000).select(F.lit(1).cast("long").alias("mmsi"), F.col("id").alias("i"))
+    cold = spark.range(0, 60000).select((F.col("id") % 300 + 2).alias("mmsi"), F.col("id").alias("i"))
+    rows = hot.unionByName(cold).select(
+        "mmsi",
+        (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+         + F.make_dt_interval(secs=F.col("i") * 7)).alias("base_datetime"),
+        (F.col("i") % 90).cast("double").alias("latitude"), F.lit(1.0).alias("longitude"),
+        F.lit(3.0).alias("sog"), F.lit("V").alias("vessel_name"), F.col("i").alias("ingest_seq"))
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        legs = _bucketed_legs(rows, "haversine", 60).where(F.col("mmsi") == 1)
+        per_task = [r["n"] for r in legs.groupBy(F.spark_partition_id().alias("p"))
+                    .agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
+    assert sum(per_task) == 30000
+    assert len(per_task) >= 6 and max(per_task) < 0.3 * 30000
