@@ -30,7 +30,8 @@ def test_listing_select_urls(spark):
     listing = catalog.archive_listing(files, max_files=2).collect()
     assert [r["filename"] for r in listing] == ["AIS_2024_GulfCoast.zip", "AIS_2024_Zone03_07.zip"]
     assert listing[1]["size_display"] == "1.5 GB" and listing[1]["details"] == "Zone: 03, Sequence: 07"
-    assert listing[0]["size_display"] == "unknown" and listing[0]["total_files"] == 3
+    assert listing[0]["size_display"] == "unknown" and listing[0]["more_files"] == 1
+    assert listing[0]["listed_known_bytes"] == int(1.5 * 1024 ** 3) and listing[0]["listed_total_display"] == "1.5 GB"
     pick = catalog.archive_select(files, position=3).collect()
     assert pick[0]["filename"] == "AIS_2024_01_05.zip"
     req = spark.createDataFrame([("2024", None), ("2023", "Zone10_02")], "year string, zone string")

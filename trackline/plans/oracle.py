@@ -499,10 +499,14 @@ oracle("archive_names", with_(LINKS + ["nm AS (SELECT page_id, href AS filename
                               _classified("nm", "filename")))
 oracle("size_to_bytes", with_(LINKS, "SELECT page_id, href, size_text, size_bytes FROM links"
                                      " WHERE size_text IS NOT NULL"))
-oracle("archive_listing", with_(FILES, f"""
+oracle("archive_listing", with_(FILES + [f"shown AS (SELECT * FROM files {ORDER_FILES} LIMIT 5)"], f"""
 SELECT page_id, filename, type, {PRETTY} AS size_display, {DETAILS} AS details, size_bytes,
-  (SELECT count(*) FROM files) AS total_files, coalesce((SELECT sum(size_bytes) FROM files), 0) AS total_known_bytes
-FROM files {ORDER_FILES} LIMIT 5"""))
+  CAST(greatest((SELECT count(*) FROM files) - 5, 0) AS BIGINT) AS more_files,
+  coalesce((SELECT sum(CASE WHEN size_bytes > 0 THEN size_bytes END) FROM shown), 0) AS listed_known_bytes,
+  (SELECT CASE WHEN t > 0 THEN (CASE WHEN CAST(t AS DOUBLE) > 1073741824.0
+      THEN {_fmt1('CAST(t AS DOUBLE) / 1073741824.0', 'GB')} ELSE {_fmt1('CAST(t AS DOUBLE) / 1048576.0', 'MB')} END) END
+   FROM (SELECT sum(CASE WHEN size_bytes > 0 THEN size_bytes END) AS t FROM shown)) AS listed_total_display
+FROM shown"""))
 oracle("archive_select", with_(FILES, f"""
 (SELECT {FILE_COLS}, 'position 3' AS selected_by FROM files {ORDER_FILES} LIMIT 1 OFFSET 2)
 UNION ALL

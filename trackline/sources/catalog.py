@@ -121,19 +121,28 @@ def details(typ: Column | None = None) -> Column:
             .when(typ == "regional", F.concat(F.lit("Region: "), F.col("region"))))
 
 
+def pretty_total(size: Column) -> Column:
+    """Total of a listing: GB above 1 GiB, else MB."""
+    s = size.cast("double")
+    return F.when(s > 1024.0 ** 3, _fmt1(s / F.lit(1024.0 ** 3), "GB")).otherwise(_fmt1(s / F.lit(1024.0 ** 2), "MB"))
+
+
 def archive_listing(files: DataFrame, max_files: int = 5) -> DataFrame:
     """The first ``max_files`` archives in listing order, with display size and details.
 
-    Also carries the totals over all listed archives (count, bytes of known
-    sizes), attached as scalar subqueries.
+    Each row also carries the listing's footer: the number of archives not
+    shown, and the total of the known sizes of the shown ones (bytes and
+    display text) -- scalar subqueries over the full list and the shown rows.
     """
-    total = files.agg(F.count(F.lit(1)).alias("n"), F.sum("size_bytes").alias("b"))
     first = files.orderBy(*listing_order()).limit(max_files)
+    n_all = files.agg(F.count(F.lit(1))).scalar()
+    shown_bytes = first.agg(F.sum(F.when(F.col("size_bytes") > 0, F.col("size_bytes")))).scalar()
     return first.select(
         "page_id", "filename", "type", pretty_size(F.col("size_bytes")).alias("size_display"),
         details().alias("details"), "size_bytes",
-        total.select("n").scalar().alias("total_files"),
-        F.coalesce(total.select("b").scalar(), F.lit(0)).alias("total_known_bytes"),
+        F.greatest(n_all - F.lit(max_files), F.lit(0)).alias("more_files"),
+        F.coalesce(shown_bytes, F.lit(0)).alias("listed_known_bytes"),
+        F.when(shown_bytes > 0, pretty_total(shown_bytes)).alias("listed_total_display"),
     )
 
 
