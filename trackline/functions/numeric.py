@@ -14,3 +14,15 @@ def round_half_up(c: Column, digits: int) -> Column:
     round the same way on every engine.
     """
     return F.round(c.try_cast("decimal(38,12)"), digits).cast("double")
+
+
+def ntz_literal(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a Python datetime/date/str, independent of any time zone."""
+    import datetime as dt
+    if isinstance(value, dt.datetime):
+        text = value.replace(tzinfo=None).isoformat(sep=" ")
+    elif isinstance(value, dt.date):
+        text = value.isoformat() + " 00:00:00"
+    else:
+        text = str(value)
+    return F.lit(text).cast("timestamp_ntz")

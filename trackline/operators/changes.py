@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trackline.functions.numeric import ntz_literal
+
 
 def insert_if_absent(existing: DataFrame, new: DataFrame, key: str | list[str]) -> DataFrame:
     """``INSERT ... ON CONFLICT (key) DO NOTHING``: existing rows win, new keys are added."""
@@ -35,7 +37,7 @@ def upsert_stamped(current: DataFrame, incoming: DataFrame, key: str, as_of: dt.
     kept, or ``as_of`` for new rows.  ``current`` must carry both stamp columns.
     """
     created, updated = stamp_cols
-    now = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp_ntz")
+    now = as_of if isinstance(as_of, Column) else ntz_literal(as_of)
     cols = [c for c in incoming.columns if c != key and c not in stamp_cols]
     j = current.alias("o").join(incoming.alias("n"), F.col(f"o.{key}") == F.col(f"n.{key}"), "full_outer")
     o_missing, n_missing = F.col(f"o.{key}").isNull(), F.col(f"n.{key}").isNull()

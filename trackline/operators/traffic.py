@@ -12,13 +12,15 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trackline.functions.numeric import ntz_literal
+
 from trackline.operators.fleet import distinct_count, pct
 from trackline.schema import MOVING_POINT_KNOTS
 
 
 def _as_of(positions: DataFrame, as_of: dt.datetime | None) -> Column:
     if as_of is not None:
-        return F.lit(as_of).cast("timestamp_ntz")
+        return ntz_literal(as_of)
     return positions.agg(F.max("base_datetime")).scalar()
 
 

@@ -13,6 +13,8 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trackline.functions.numeric import ntz_literal
+
 from trackline.schema import SOURCE_TO_CANONICAL
 
 
@@ -25,7 +27,7 @@ def to_canonical_names(df: DataFrame) -> DataFrame:
 def _stamp(as_of: dt.datetime | Column | None) -> Column:
     if as_of is None:
         return F.localtimestamp()
-    return as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp_ntz")
+    return as_of if isinstance(as_of, Column) else ntz_literal(as_of)
 
 
 def sink_positions(df: DataFrame, path: str, mode: str = "append", as_of: dt.datetime | Column | None = None,
