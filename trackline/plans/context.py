@@ -27,13 +27,43 @@ def rounded(df: DataFrame, digits: int = ROUND_DIGITS) -> DataFrame:
     ])
 
 
+# Base frames of the registered queries, shared per (session, input folder) like
+# temporary views: the driver's tables are read-only, so a frame analysed once
+# can serve every query of the session.  Frames stay lazy; nothing is cached.
+_FRAMES: dict[tuple, DataFrame] = {}
+
+
+def _session_key(spark: SparkSession):
+    try:
+        return (spark.sparkContext.applicationId, id(spark))
+    except Exception:  # noqa: BLE001 -- no SparkContext (remote session): do not share
+        return None
+
+
+def _shared(spark: SparkSession, key: tuple, build):
+    sk = _session_key(spark)
+    if sk is None:
+        return build()
+    full = sk + key
+    if full not in _FRAMES:
+        _FRAMES[full] = build()
+    return _FRAMES[full]
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_positions(spark, sf_dir)
+    return _shared(spark, ("raw", sf_dir), lambda: raw_positions(spark, sf_dir))
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean(raw_positions(spark, sf_dir))
+    return _shared(spark, ("clean", sf_dir), lambda: clean(raw(spark, sf_dir)))
 
 
 def metrics(spark: SparkSession, sf_dir: str, method: str = "geodesic", extended: bool = False) -> DataFrame:
-    return vessel_metrics(cleaned(spark, sf_dir), method=method, extended=extended)
+    return _shared(spark, ("metrics", sf_dir, method, extended),
+                   lambda: vessel_metrics(cleaned(spark, sf_dir), method=method, extended=extended))
+
+
+def materialized_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-vessel metrics written once to the shared checkpoint folder (several consumers)."""
+    from trackline.session import materialize
+    return _shared(spark, ("metrics-ckpt", sf_dir), lambda: materialize(metrics(spark, sf_dir)))

@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from trackline.operators import clean as C
 from trackline.operators import fleet, tracks, traffic, vessels
-from trackline.plans.context import cleaned, metrics, raw, rounded
-from trackline.session import materialize
+from trackline.plans.context import cleaned, materialized_metrics, metrics, raw, rounded
 from trackline.sources.fixture import RAW_COLUMNS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -173,8 +172,7 @@ def q_fleet_additional(spark, sf):
 
 @query("fleet_statistics")
 def q_fleet_statistics(spark, sf):
-    c = cleaned(spark, sf)
-    return rounded(fleet.fleet_statistics(tracks.vessel_metrics(c), c))
+    return rounded(fleet.fleet_statistics(metrics(spark, sf), cleaned(spark, sf)))
 
 
 @query("time_share")
@@ -189,31 +187,28 @@ def q_quality_long(spark, sf):
 
 @query("headline")
 def q_headline(spark, sf):
-    c = cleaned(spark, sf)
-    return fleet.headline(tracks.vessel_metrics(c), c)
+    return fleet.headline(metrics(spark, sf), cleaned(spark, sf))
 
 
 @query("distance_histogram")
 def q_distance_histogram(spark, sf):
-    return rounded(fleet.distance_histogram(materialize(metrics(spark, sf))))
+    return rounded(fleet.distance_histogram(materialized_metrics(spark, sf)))
 
 
 @query("speed_histogram")
 def q_speed_histogram(spark, sf):
-    return rounded(fleet.speed_histogram(materialize(metrics(spark, sf))))
+    return rounded(fleet.speed_histogram(materialized_metrics(spark, sf)))
 
 
 @query("comprehensive_report")
 def q_comprehensive_report(spark, sf):
-    c = cleaned(spark, sf)
-    m = materialize(tracks.vessel_metrics(c))
-    return rounded(fleet.comprehensive_report(m, c, vessels.top_vessels(m)))
+    m = materialized_metrics(spark, sf)
+    return rounded(fleet.comprehensive_report(m, cleaned(spark, sf), vessels.top_vessels(m)))
 
 
 @query("metrics_summary")
 def q_metrics_summary(spark, sf):
-    c = cleaned(spark, sf)
-    return rounded(fleet.metrics_summary(materialize(tracks.vessel_metrics(c)), c))
+    return rounded(fleet.metrics_summary(materialized_metrics(spark, sf), cleaned(spark, sf)))
 
 
 # --- vessels -----------------------------------------------------------------
@@ -230,15 +225,13 @@ def q_vessel_search(spark, sf):
 
 @query("vessel_search_type")
 def q_vessel_search_type(spark, sf):
-    c = cleaned(spark, sf)
-    return rounded(vessels.vessel_search(tracks.vessel_metrics(c), max_distance=2000.0, limit=500,
-                                         positions=c, vessel_type="80"))
+    return rounded(vessels.vessel_search(metrics(spark, sf), max_distance=2000.0, limit=500,
+                                         positions=cleaned(spark, sf), vessel_type="80"))
 
 
 @query("vessel_detail")
 def q_vessel_detail(spark, sf):
-    c = cleaned(spark, sf)
-    return rounded(vessels.vessel_detail(tracks.vessel_metrics(c), c, mmsi=7))
+    return rounded(vessels.vessel_detail(metrics(spark, sf), cleaned(spark, sf), mmsi=7))
 
 
 @query("recent_positions")
@@ -267,8 +260,7 @@ def q_traffic_summary(spark, sf):
 
 @query("active_vessels")
 def q_active_vessels(spark, sf):
-    c = cleaned(spark, sf)
-    return rounded(traffic.active_vessels(c, tracks.vessel_metrics(c)))
+    return rounded(traffic.active_vessels(cleaned(spark, sf), metrics(spark, sf)))
 
 
 @query("daily_traffic")
@@ -454,9 +446,8 @@ def q_staging_roundtrip(spark, sf):
 
 @query("report_json")
 def q_report_json(spark, sf):
-    c = cleaned(spark, sf)
-    m = materialize(tracks.vessel_metrics(c))
-    report = fleet.comprehensive_report(m, c, vessels.top_vessels(m))
+    m = materialized_metrics(spark, sf)
+    report = fleet.comprehensive_report(m, cleaned(spark, sf), vessels.top_vessels(m))
     path = scratch_path(spark, "report")
     sinks.report_json(report, path)
     return rounded(sinks.read_report_json(spark, path, report))
