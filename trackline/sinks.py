@@ -81,7 +81,7 @@ def read_report_json(spark: SparkSession, path: str, like: DataFrame) -> DataFra
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], mode: str = "append",
                batch_size: int = 1000) -> None:
-    """Load into a relational database through JDBC (the reference's store)."""
+    """Load into a relational database through JDBC."""
     df.write.option("batchsize", batch_size).jdbc(url, table, mode=mode, properties=properties)
 
 
