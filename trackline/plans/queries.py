@@ -390,7 +390,7 @@ def q_combine_files(spark, sf):
 def q_read_zip_positions(spark, sf):
     text = _as_source_text(raw(spark, sf))
     lines = text.select(F.to_csv(F.struct(*text.columns)).alias("line"))
-    packed = archives.pack_archives(lines, archives=max(4, lines.rdd.getNumPartitions()))
+    packed = archives.pack_archives(lines)  # one archive per input partition
     return _typed(archives.parse_archive_lines(archives.archive_lines(packed)))
 
 
