@@ -502,7 +502,7 @@ oracle("size_to_bytes", with_(LINKS, "SELECT page_id, href, size_text, size_byte
 oracle("archive_listing", with_(FILES + [f"shown AS (SELECT * FROM files {ORDER_FILES} LIMIT 5)"], f"""
 SELECT page_id, filename, type, {PRETTY} AS size_display, {DETAILS} AS details, size_bytes,
   CAST(greatest((SELECT count(*) FROM files) - 5, 0) AS BIGINT) AS more_files,
-  coalesce((SELECT sum(CASE WHEN size_bytes > 0 THEN size_bytes END) FROM shown), 0) AS listed_known_bytes,
+  CAST(coalesce((SELECT sum(CASE WHEN size_bytes > 0 THEN size_bytes END) FROM shown), 0) AS BIGINT) AS listed_known_bytes,
   (SELECT CASE WHEN t > 0 THEN (CASE WHEN CAST(t AS DOUBLE) > 1073741824.0
       THEN {_fmt1('CAST(t AS DOUBLE) / 1073741824.0', 'GB')} ELSE {_fmt1('CAST(t AS DOUBLE) / 1048576.0', 'MB')} END) END
    FROM (SELECT sum(CASE WHEN size_bytes > 0 THEN size_bytes END) AS t FROM shown)) AS listed_total_display
