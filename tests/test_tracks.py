@@ -122,3 +122,32 @@ def test_hot_vessel_is_spread_over_tasks(spark):
         spark.conf.set("spark.sql.adaptive.enabled", prev)
     assert sum(per_task) == 30000
     assert len(per_task) >= 6 and max(per_task) < 0.3 * 30000
+
+
+def test_dense_vessel_hour_is_split_with_identical_results(spark):
+    """A vessel-hour holding most reports is cut into time slices; metrics do not change."""
+    from trackline.operators.tracks import _bucketed_legs
+    dense = spark.range(0, 20000).select(
+        F.lit(5).cast("long").alias("mmsi"),
+        (F.lit("2024-03-01 10:00:00").cast("timestamp_ntz")
+         + F.make_dt_interval(secs=F.col("id") * F.lit(0.15))).alias("base_datetime"),
+        (F.col("id") % 50 / 10.0).alias("latitude"), (F.col("id") % 7 / 10.0).alias("longitude"),
+        (F.col("id") % 3).cast("double").alias("sog"), F.lit("D").alias("vessel_name"),
+        F.col("id").alias("ingest_seq"))
+    other = spark.range(0, 500).select(
+        F.lit(6).cast("long").alias("mmsi"),
+        (F.lit("2024-03-01 09:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id") * 30)).alias(
+            "base_datetime"),
+        F.lit(1.0).alias("latitude"), (F.col("id") / 100.0).alias("longitude"), F.lit(4.0).alias("sog"),
+        F.lit("E").alias("vessel_name"), F.col("id").alias("ingest_seq"))
+    c = clean(dense.unionByName(other))
+    plain = {r["mmsi"]: r for r in vessel_summary(c).collect()}
+    split = {r["mmsi"]: r for r in vessel_summary(c, max_bucket_rows=1000).collect()}
+    for m in (5, 6):
+        assert split[m]["total_distance_nm"] == pytest.approx(plain[m]["total_distance_nm"], rel=1e-12)
+        for k in ("total_time_hours", "moving_time_hours", "point_count", "leg_count"):
+            assert split[m][k] == plain[m][k]
+    buckets = _bucketed_legs(c, "haversine", 60, max_bucket_rows=1000).where("mmsi = 5") \
+        .groupBy("_bucket").count().collect()
+    # 20000 reports over 50 of the 60 minutes: 20 equal time slices, 17 of them filled
+    assert len(buckets) >= 15 and max(r["count"] for r in buckets) <= 1500

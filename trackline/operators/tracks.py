@@ -5,7 +5,9 @@ vessel in one task; one busy vessel can hold a large share of all reports.
 Instead each vessel's track is cut into time buckets (default one hour):
 
 1. ``lag`` inside (mmsi, bucket) gives every leg whose two ends share a bucket
-   (one hash exchange on (mmsi, bucket); a hot vessel spreads over its hours).
+   (one hash exchange on (mmsi, bucket); a hot vessel spreads over its hours,
+   and a bucket with more than ``max_bucket_rows`` reports is cut into equal
+   time slices, found by a small counting job).
 2. One aggregation per (mmsi, bucket) -- on the same partitioning, so no
    exchange -- gives counts, sums and the first and last point of the bucket.
 3. ``lag`` over those bucket rows (partitioned by vessel; one row per hour of
@@ -49,13 +51,60 @@ def _is_moving(sog_prev: Column, sog: Column) -> Column:
     return ((sog_prev + sog) / 2) >= F.lit(MOVING_PAIR_MEAN_KNOTS)
 
 
-def _bucketed_legs(clean: DataFrame, method: str, bucket_minutes: int) -> DataFrame:
-    """Every report with the previous report of the same vessel in the same bucket."""
+# A bucket key is (time bucket) * SUB_SPAN + sub-bucket: increasing with time within a vessel.
+SUB_SPAN = 1 << 20
+# At most this many hot buckets are attached to the reports (a broadcast of
+# (mmsi, bucket, parts) triples, 24 bytes each: a proven bound of ~24 MB).
+MAX_HOT_BUCKETS = 1_000_000
+# Default cap on reports per window task (vessel, time bucket); None skips the check.
+DEFAULT_MAX_BUCKET_ROWS = 2_000_000
+
+
+def _hot_buckets(pts: DataFrame, max_bucket_rows: int) -> DataFrame | None:
+    """(mmsi, _tb, _parts) for time buckets holding more than ``max_bucket_rows`` reports.
+
+    The count runs as its own small job (partial counts per (vessel, bucket),
+    one row per bucket after the exchange).  If more buckets than
+    ``MAX_HOT_BUCKETS`` qualify, the threshold is doubled until they fit, so
+    the list that is broadcast has a fixed size bound.  None when no bucket
+    is hot (the common case: reports per vessel-hour are bounded by the AIS
+    reporting rate).
+    """
+    counts = pts.groupBy("mmsi", "_tb").agg(F.count(F.lit(1)).alias("_n"))
+    threshold = max_bucket_rows
+    hot = counts.where(F.col("_n") > threshold)
+    n_hot = hot.count()
+    while n_hot > MAX_HOT_BUCKETS:
+        threshold *= 2
+        hot = counts.where(F.col("_n") > threshold)
+        n_hot = hot.count()
+    if n_hot == 0:
+        return None
+    parts = F.least(F.ceil(F.col("_n") / F.lit(float(max_bucket_rows))), F.lit(SUB_SPAN)).cast("long")
+    return hot.select("mmsi", "_tb", parts.alias("_parts"))
+
+
+def _bucketed_legs(clean: DataFrame, method: str, bucket_minutes: int,
+                   max_bucket_rows: int | None = DEFAULT_MAX_BUCKET_ROWS) -> DataFrame:
+    """Every report with the previous report of the same vessel in the same bucket.
+
+    With ``max_bucket_rows``, a time bucket holding more reports than that
+    (an extremely dense vessel-hour) is cut into equal time slices, so no
+    bucket -- and no window task -- exceeds about that many reports.
+    """
     width = bucket_minutes * 60 * 1_000_000
-    pts = clean.select(
-        "mmsi", "base_datetime", "latitude", "longitude", "sog", "vessel_name",
-        F.floor(epoch_micros("base_datetime") / F.lit(width)).alias("_bucket"),
-    )
+    us = epoch_micros("base_datetime")
+    pts = clean.select("mmsi", "base_datetime", "latitude", "longitude", "sog", "vessel_name",
+                       F.floor(us / F.lit(width)).alias("_tb"))
+    hot = _hot_buckets(pts, max_bucket_rows) if max_bucket_rows else None
+    if hot is None:
+        sub = F.lit(0)
+    else:
+        pts = pts.join(F.broadcast(hot), ["mmsi", "_tb"], "left")
+        offset = us - F.col("_tb") * F.lit(width)
+        sub = F.coalesce(F.floor(offset * F.col("_parts") / F.lit(width)), F.lit(0))
+    pts = pts.select("mmsi", "base_datetime", "latitude", "longitude", "sog", "vessel_name",
+                     (F.col("_tb") * F.lit(SUB_SPAN) + sub).alias("_bucket"))
     w = Window.partitionBy("mmsi", "_bucket").orderBy("base_datetime")
     legs = pts.select(
         "*",
@@ -98,9 +147,17 @@ def _boundary_legs(buckets: DataFrame, method: str) -> DataFrame:
     return with_distance(b, "_blat0", "_blon0", "_blat1", "_blon1", "_bnd_nm", method)
 
 
-def vessel_summary(clean: DataFrame, method: str = "geodesic", bucket_minutes: int = 60) -> DataFrame:
-    """All per-vessel track figures (metrics, extents, leg counts), unrounded."""
-    buckets = _boundary_legs(_bucket_summaries(_bucketed_legs(clean, method, bucket_minutes)), method)
+def vessel_summary(clean: DataFrame, method: str = "geodesic", bucket_minutes: int = 60,
+                   max_bucket_rows: int | None = DEFAULT_MAX_BUCKET_ROWS) -> DataFrame:
+    """All per-vessel track figures (metrics, extents, leg counts), unrounded.
+
+    ``max_bucket_rows`` caps the reports of one (vessel, time bucket) window
+    task by splitting over-full buckets (see :func:`_bucketed_legs`).  The
+    check is one small counting job, run when the frame is built; ``None``
+    skips it.
+    """
+    legs = _bucketed_legs(clean, method, bucket_minutes, max_bucket_rows)
+    buckets = _boundary_legs(_bucket_summaries(legs), method)
     has_prev = F.col("_prev").isNotNull()
     bnd_dt = micros_between(F.col("_prev.base_datetime"), F.col("first.base_datetime"))
     bnd_moving = has_prev & _is_moving(F.col("_prev.sog"), F.col("first.sog"))
@@ -151,13 +208,13 @@ EXTENT_COLUMNS = [
 
 
 def vessel_metrics(clean: DataFrame, method: str = "geodesic", bucket_minutes: int = 60,
-                   extended: bool = False) -> DataFrame:
+                   extended: bool = False, max_bucket_rows: int | None = DEFAULT_MAX_BUCKET_ROWS) -> DataFrame:
     """Per-vessel metrics: distance, total/moving/docked hours, points, speeds.
 
     ``extended=True`` adds the extent columns (min speed, first/last time and
     position) declared by the stored metrics table.
     """
-    s = vessel_summary(clean, method, bucket_minutes)
+    s = vessel_summary(clean, method, bucket_minutes, max_bucket_rows)
     cols = METRIC_COLUMNS + (EXTENT_COLUMNS[1:] if extended else [])
     return s.select(*cols)
 
@@ -179,9 +236,10 @@ def vessel_time_split(clean: DataFrame, bucket_minutes: int = 60) -> DataFrame:
         "mmsi", "total_time_hours", "moving_time_hours", "at_dock_time_hours", "point_count")
 
 
-def track_legs(clean: DataFrame, method: str = "geodesic", bucket_minutes: int = 60) -> DataFrame:
+def track_legs(clean: DataFrame, method: str = "geodesic", bucket_minutes: int = 60,
+               max_bucket_rows: int | None = DEFAULT_MAX_BUCKET_ROWS) -> DataFrame:
     """One row per leg: vessel, start and end time, distance (nm), elapsed micros, moving flag."""
-    legs = _bucketed_legs(clean, method, bucket_minutes)
+    legs = _bucketed_legs(clean, method, bucket_minutes, max_bucket_rows)
     inner = legs.where(F.col("_pts").isNotNull()).select(
         "mmsi",
         F.col("_pts").alias("from_time"),
