@@ -72,3 +72,12 @@ def test_empty_input(spark):
     assert t["vessels_count"] == 0 and t["moving_time_percentage"] == 0.0 and t["total_time"] == 0.0
     q = fleet.data_quality(empty).collect()[0]
     assert q["total_records"] == 0 and q["overall_quality_score"] == 0.0
+
+
+def test_limit_records_threshold_path_equals_topk(spark, monkeypatch):
+    from trackline.operators import clean as C
+    df = spark.range(0, 50000, 1, 8).select((F.col("id") * 7919 % 50000).alias("ingest_seq"), F.col("id"))
+    want = [r["ingest_seq"] for r in df.orderBy("ingest_seq").limit(3000).collect()]
+    monkeypatch.setattr(C, "TOPK_MERGE_ROWS", 100)  # force the threshold path
+    got = [r["ingest_seq"] for r in C.limit_records(df, 3000).collect()]
+    assert sorted(got) == want

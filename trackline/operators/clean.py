@@ -152,7 +152,36 @@ def uniqueness_violations(df: DataFrame, key: list[str] | None = None) -> DataFr
             .where(F.col("copies") > 1))
 
 
+# Largest (tasks x n) merge left to a plain top-k; beyond it a key threshold is found first.
+TOPK_MERGE_ROWS = 10_000_000
+
+
 def limit_records(df: DataFrame, n: int, order_col: str = "ingest_seq") -> DataFrame:
-    """The first ``n`` rows in file order (top-k, no global sort)."""
-    return df.orderBy(F.col(order_col).asc()).limit(n)
+    """The first ``n`` rows in file order.
+
+    A top-k keeps ``n`` rows per task and merges (tasks x n) rows in one
+    task -- fine until that product is large (many input splits, a big cap).
+    Then, for a numeric order column, a key threshold is found first: an
+    approximate quantile, checked with an exact count and widened until at
+    least ``n`` rows lie at or below it.  The top-k then runs over those rows
+    only, so the final merge holds about ``n`` rows.
+    """
+    order = F.col(order_col).asc()
+    try:
+        tasks = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- remote sessions: assume large
+        tasks = TOPK_MERGE_ROWS
+    numeric = not isinstance(df.schema[order_col].dataType, (T.StructType, T.StringType))
+    if tasks * n <= TOPK_MERGE_ROWS or not numeric:
+        return df.orderBy(order).limit(n)
+    total = df.count()
+    if total <= n:
+        return df
+    q = min(1.0, 1.02 * n / total)
+    while True:
+        t = df.approxQuantile(order_col, [q], min(0.001, q / 10))[0]
+        if q >= 1.0 or df.where(F.col(order_col) <= F.lit(t)).count() >= n:
+            break
+        q = min(1.0, q * 1.5)
+    return df.where(F.col(order_col) <= F.lit(t)).orderBy(order).limit(n)
 
