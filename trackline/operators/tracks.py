@@ -263,15 +263,19 @@ def track_legs(clean: DataFrame, method: str = "geodesic", bucket_minutes: int =
 def recent_positions(positions: DataFrame, n: int = 100, mmsi: int | None = None) -> DataFrame:
     """Latest ``n`` reports per vessel (or of one vessel), newest first.
 
-    For all vessels this is ``row_number() <= n``, which Spark plans as a
-    WindowGroupLimit: each map task keeps only its own top ``n`` per vessel
-    before the exchange, so a busy vessel does not flood one task.
+    For all vessels this is ``row_number() <= n`` in two levels, both planned
+    as WindowGroupLimit (every map task keeps only its own top ``n`` per group
+    before the exchange): first per (vessel, day), which spreads a busy vessel
+    over its days, then per vessel over at most ``n`` x days rows.
     """
     cols = ["mmsi", "base_datetime", "latitude", "longitude", "sog", "cog", "heading", "vessel_name", "status"]
     cols = [c for c in cols if c in positions.columns]
     if mmsi is not None:
         return (positions.where(F.col("mmsi") == F.lit(mmsi)).select(*cols)
                 .orderBy(F.col("base_datetime").desc()).limit(n))
-    w = Window.partitionBy("mmsi").orderBy(F.col("base_datetime").desc())
-    return (positions.select(*cols, F.row_number().over(w).alias("recency_rank"))
+    newest = F.col("base_datetime").desc()
+    w_day = Window.partitionBy("mmsi", F.to_date("base_datetime")).orderBy(newest)
+    per_day = positions.select(*cols, F.row_number().over(w_day).alias("_r")).where(F.col("_r") <= n)
+    w = Window.partitionBy("mmsi").orderBy(newest)
+    return (per_day.select(*cols, F.row_number().over(w).alias("recency_rank"))
             .where(F.col("recency_rank") <= n))
