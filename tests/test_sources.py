@@ -97,3 +97,13 @@ def test_spread_after_unsplittable_source(spark, tmp_path):
     (tmp_path / "one.zip").write_bytes(buf.getvalue())
     df = archives.read_zip_positions(spark, str(tmp_path), spread=4)
     assert df.rdd.getNumPartitions() == 4 and df.count() == 15
+
+
+def test_read_any_keeps_each_standard_header(spark, tmp_path):
+    d = tmp_path / "mixed"
+    d.mkdir()
+    (d / "a.csv").write_text("mmsi,timestamp,lat,lon,speed\n1,2024-01-01 00:00:00,1.0,2.0,3.0\n")
+    (d / "b.csv").write_text("time,speed,mmsi,lon,lat\n2024-01-01 00:05:00,4.0,2,6.0,5.0\n")
+    rows = {r["mmsi"]: r for r in positions.read_any(spark, [str(d / "a.csv"), str(d / "b.csv")]).collect()}
+    assert (rows["1"]["latitude"], rows["1"]["sog"]) == ("1.0", "3.0")
+    assert (rows["2"]["latitude"], rows["2"]["longitude"], rows["2"]["sog"]) == ("5.0", "6.0", "4.0")

@@ -123,12 +123,14 @@ def read_any(spark: SparkSession, paths: list[str]) -> DataFrame:
     Only the (file, format) list -- metadata, one row per file -- reaches the
     driver; the reads themselves are distributed.
     """
-    groups: dict[str, list[str]] = {}
-    for row in detect_format(spark, paths).select("file_path", "format").collect():
-        groups.setdefault(row["format"], []).append(row["file_path"])
+    groups: dict[tuple[str, str], list[str]] = {}
+    for row in detect_format(spark, paths).select("file_path", "format", "first_line").collect():
+        # fixed-layout files share one reader; "standard" files need one reader per distinct header
+        header = row["first_line"].strip().lower() if row["format"] == "standard" else ""
+        groups.setdefault((row["format"], header), []).append(row["file_path"])
     readers = {"noaa": read_positions, "noaa_no_header": read_positions_headerless,
                "standard": read_positions_standard}
-    frames = [readers[f](spark, sorted(ps)) for f, ps in sorted(groups.items())]
+    frames = [readers[f](spark, sorted(ps)) for (f, _), ps in sorted(groups.items())]
     if not frames:
         return spark.createDataFrame([], T.StructType(
             [T.StructField(c, T.StringType()) for c in CANONICAL_COLUMNS]
