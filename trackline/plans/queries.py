@@ -11,10 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trackline import sinks
 from trackline.operators import clean as C
 from trackline.operators import fleet, tracks, traffic, vessels
 from trackline.plans.context import cleaned, materialized_metrics, metrics, raw, rounded
-from trackline.sources.fixture import RAW_COLUMNS
+from trackline.schema import CANONICAL_COLUMNS, SOURCE_COLUMNS
+from trackline.session import scratch_path
+from trackline.sources import archives, catalog, positions
+from trackline.sources.fixture import RAW_COLUMNS, listing_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -322,11 +326,6 @@ def q_table_changes(spark, sf):
 
 # --- sources (write the adapter rows as files, read them back) -----------------
 
-from trackline import sinks  # noqa: E402
-from trackline.schema import CANONICAL_COLUMNS, SOURCE_COLUMNS  # noqa: E402
-from trackline.session import scratch_path  # noqa: E402
-from trackline.sources import archives, catalog, positions  # noqa: E402
-from trackline.sources.fixture import listing_pages  # noqa: E402
 
 def _split():
     return F.lit(SNAPSHOT_SPLIT).cast("timestamp_ntz")
