@@ -63,8 +63,9 @@ DEFAULT_MAX_BUCKET_ROWS = 2_000_000
 def _hot_buckets(pts: DataFrame, max_bucket_rows: int) -> DataFrame | None:
     """(mmsi, _tb, _parts) for time buckets holding more than ``max_bucket_rows`` reports.
 
-    The count runs as its own small job (partial counts per (vessel, bucket),
-    one row per bucket after the exchange).  If more buckets than
+    ``pts`` has ``mmsi`` and ``_tb``.  The count runs as its own small job
+    (partial counts per (vessel, bucket) in every task, one row per bucket
+    after the exchange).  If more buckets than
     ``MAX_HOT_BUCKETS`` qualify, the threshold is doubled until they fit, so
     the list that is broadcast has a fixed size bound.  None when no bucket
     is hot (the common case: reports per vessel-hour are bounded by the AIS
@@ -85,18 +86,28 @@ def _hot_buckets(pts: DataFrame, max_bucket_rows: int) -> DataFrame | None:
 
 
 def _bucketed_legs(clean: DataFrame, method: str, bucket_minutes: int,
-                   max_bucket_rows: int | None = DEFAULT_MAX_BUCKET_ROWS) -> DataFrame:
+                   max_bucket_rows: int | None = DEFAULT_MAX_BUCKET_ROWS,
+                   counts_from: DataFrame | None = None) -> DataFrame:
     """Every report with the previous report of the same vessel in the same bucket.
 
     With ``max_bucket_rows``, a time bucket holding more reports than that
     (an extremely dense vessel-hour) is cut into equal time slices, so no
-    bucket -- and no window task -- exceeds about that many reports.
+    bucket -- and no window task -- exceeds about that many reports.  The
+    bucket sizes are counted on ``counts_from`` when given: any frame with
+    ``mmsi`` and ``base_datetime`` whose counts bound the cleaned ones, such
+    as the rows before de-duplication.  Those counts aggregate map-side
+    without the de-duplication shuffle.  Otherwise the cleaned rows are
+    counted.
     """
     width = bucket_minutes * 60 * 1_000_000
     us = epoch_micros("base_datetime")
     pts = clean.select("mmsi", "base_datetime", "latitude", "longitude", "sog", "vessel_name",
                        F.floor(us / F.lit(width)).alias("_tb"))
-    hot = _hot_buckets(pts, max_bucket_rows) if max_bucket_rows else None
+    hot = None
+    if max_bucket_rows:
+        src = pts if counts_from is None else counts_from.select(
+            "mmsi", F.floor(epoch_micros("base_datetime") / F.lit(width)).alias("_tb"))
+        hot = _hot_buckets(src, max_bucket_rows)
     if hot is None:
         sub = F.lit(0)
     else:
@@ -148,15 +159,16 @@ def _boundary_legs(buckets: DataFrame, method: str) -> DataFrame:
 
 
 def vessel_summary(clean: DataFrame, method: str = "geodesic", bucket_minutes: int = 60,
-                   max_bucket_rows: int | None = DEFAULT_MAX_BUCKET_ROWS) -> DataFrame:
+                   max_bucket_rows: int | None = DEFAULT_MAX_BUCKET_ROWS,
+                   counts_from: DataFrame | None = None) -> DataFrame:
     """All per-vessel track figures (metrics, extents, leg counts), unrounded.
 
     ``max_bucket_rows`` caps the reports of one (vessel, time bucket) window
     task by splitting over-full buckets (see :func:`_bucketed_legs`).  The
     check is one small counting job, run when the frame is built; ``None``
-    skips it.
+    skips it (``counts_from``: see :func:`_bucketed_legs`).
     """
-    legs = _bucketed_legs(clean, method, bucket_minutes, max_bucket_rows)
+    legs = _bucketed_legs(clean, method, bucket_minutes, max_bucket_rows, counts_from)
     buckets = _boundary_legs(_bucket_summaries(legs), method)
     has_prev = F.col("_prev").isNotNull()
     bnd_dt = micros_between(F.col("_prev.base_datetime"), F.col("first.base_datetime"))
@@ -208,38 +220,40 @@ EXTENT_COLUMNS = [
 
 
 def vessel_metrics(clean: DataFrame, method: str = "geodesic", bucket_minutes: int = 60,
-                   extended: bool = False, max_bucket_rows: int | None = DEFAULT_MAX_BUCKET_ROWS) -> DataFrame:
+                   extended: bool = False, max_bucket_rows: int | None = DEFAULT_MAX_BUCKET_ROWS,
+                   counts_from: DataFrame | None = None) -> DataFrame:
     """Per-vessel metrics: distance, total/moving/docked hours, points, speeds.
 
     ``extended=True`` adds the extent columns (min speed, first/last time and
     position) declared by the stored metrics table.
     """
-    s = vessel_summary(clean, method, bucket_minutes, max_bucket_rows)
+    s = vessel_summary(clean, method, bucket_minutes, max_bucket_rows, counts_from)
     cols = METRIC_COLUMNS + (EXTENT_COLUMNS[1:] if extended else [])
     return s.select(*cols)
 
 
-def vessel_extents(clean: DataFrame, bucket_minutes: int = 60) -> DataFrame:
+def vessel_extents(clean: DataFrame, bucket_minutes: int = 60, **kw) -> DataFrame:
     """Min speed, first/last time and first/last position per vessel."""
-    return vessel_summary(clean, "haversine", bucket_minutes).select(*EXTENT_COLUMNS)
+    return vessel_summary(clean, "haversine", bucket_minutes, **kw).select(*EXTENT_COLUMNS)
 
 
-def vessel_distance(clean: DataFrame, method: str = "geodesic", bucket_minutes: int = 60) -> DataFrame:
+def vessel_distance(clean: DataFrame, method: str = "geodesic", bucket_minutes: int = 60, **kw) -> DataFrame:
     """Total distance per vessel plus leg counts (failed legs are skipped)."""
-    return vessel_summary(clean, method, bucket_minutes).select(
+    return vessel_summary(clean, method, bucket_minutes, **kw).select(
         "mmsi", "total_distance_nm", "leg_count", "failed_legs")
 
 
-def vessel_time_split(clean: DataFrame, bucket_minutes: int = 60) -> DataFrame:
+def vessel_time_split(clean: DataFrame, bucket_minutes: int = 60, **kw) -> DataFrame:
     """Total, moving and docked hours per vessel."""
-    return vessel_summary(clean, "haversine", bucket_minutes).select(
+    return vessel_summary(clean, "haversine", bucket_minutes, **kw).select(
         "mmsi", "total_time_hours", "moving_time_hours", "at_dock_time_hours", "point_count")
 
 
 def track_legs(clean: DataFrame, method: str = "geodesic", bucket_minutes: int = 60,
-               max_bucket_rows: int | None = DEFAULT_MAX_BUCKET_ROWS) -> DataFrame:
+               max_bucket_rows: int | None = DEFAULT_MAX_BUCKET_ROWS,
+               counts_from: DataFrame | None = None) -> DataFrame:
     """One row per leg: vessel, start and end time, distance (nm), elapsed micros, moving flag."""
-    legs = _bucketed_legs(clean, method, bucket_minutes, max_bucket_rows)
+    legs = _bucketed_legs(clean, method, bucket_minutes, max_bucket_rows, counts_from)
     inner = legs.where(F.col("_pts").isNotNull()).select(
         "mmsi",
         F.col("_pts").alias("from_time"),

@@ -60,7 +60,8 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def metrics(spark: SparkSession, sf_dir: str, method: str = "geodesic", extended: bool = False) -> DataFrame:
     return _shared(spark, ("metrics", sf_dir, method, extended),
-                   lambda: vessel_metrics(cleaned(spark, sf_dir), method=method, extended=extended))
+                   lambda: vessel_metrics(cleaned(spark, sf_dir), method=method, extended=extended,
+                                          counts_from=raw(spark, sf_dir)))
 
 
 def materialized_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

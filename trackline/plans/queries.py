@@ -114,22 +114,22 @@ def q_top_vessel_types(spark, sf):
 
 @query("track_legs")
 def q_track_legs(spark, sf):
-    return rounded(tracks.track_legs(cleaned(spark, sf), "geodesic"))
+    return rounded(tracks.track_legs(cleaned(spark, sf), "geodesic", counts_from=raw(spark, sf)))
 
 
 @query("haversine_legs")
 def q_haversine_legs(spark, sf):
-    return rounded(tracks.track_legs(cleaned(spark, sf), "haversine"))
+    return rounded(tracks.track_legs(cleaned(spark, sf), "haversine", counts_from=raw(spark, sf)))
 
 
 @query("vessel_distance")
 def q_vessel_distance(spark, sf):
-    return rounded(tracks.vessel_distance(cleaned(spark, sf)))
+    return rounded(tracks.vessel_distance(cleaned(spark, sf), counts_from=raw(spark, sf)))
 
 
 @query("vessel_time_split")
 def q_vessel_time_split(spark, sf):
-    return rounded(tracks.vessel_time_split(cleaned(spark, sf)))
+    return rounded(tracks.vessel_time_split(cleaned(spark, sf), counts_from=raw(spark, sf)))
 
 
 @query("vessel_metrics")
@@ -139,7 +139,7 @@ def q_vessel_metrics(spark, sf):
 
 @query("vessel_extents")
 def q_vessel_extents(spark, sf):
-    return rounded(tracks.vessel_extents(cleaned(spark, sf)))
+    return rounded(tracks.vessel_extents(cleaned(spark, sf), counts_from=raw(spark, sf)))
 
 
 @query("top_vessels")
