@@ -1,69 +1,90 @@
 """Incremental ingest of newly arrived position files, and refresh of the daily rollup.
 
 ``incremental_ingest`` is a Structured Streaming query over a folder of CSV
-files: parse and clean each new file, drop repeated (mmsi, time) reports
-within the watermark (state is kept only that long), then hand every
-micro-batch to ``foreachBatch``, which
-
-1. writes the batch's positions under ``positions/batch=<id>`` with overwrite
-   -- a re-run of the same batch after a failure rewrites the same folder, so
-   the sink is idempotent -- partitioned by date, and
-2. (optionally) recomputes the daily traffic rollup for the dates this batch
-   touched only, with dynamic partition overwrite.
+files.  Each new file is parsed and range-checked, and every micro-batch goes
+to ``foreachBatch``, which
+
+1. de-duplicates the batch (first report per (mmsi, time) in file order),
+2. drops reports already in the table -- an anti-join against the stored
+   reports of the dates the batch touches only (partition pruning), so the
+   table itself is the de-duplication state: no report is loaded twice and
+   none is dropped for arriving late, whatever the file order,
+3. writes the rest under ``positions/batch=<id>`` with overwrite, partitioned
+   by date.  A replay of the same batch after a failure ignores its own folder
+   in step 2 and rewrites it, so the sink is idempotent,
+4. (optionally) recomputes the daily traffic rollup for the touched dates
+   only, with dynamic partition overwrite.
 
 ``Trigger.AvailableNow`` processes what is there and stops, so the same code
-serves a scheduled daily run and a continuous one.  Reports older than the
-watermark are dropped by the de-duplication; their number is returned.
-Duplicates older than the watermark are removed by the batch ``clean``.
+serves a scheduled daily run and a continuous one.  A backlog is taken in
+micro-batches of at most ``max_files_per_trigger`` files.
 """
 
 from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackline.functions.parse import na_to_null
-from trackline.operators.clean import coerce_types, drop_incomplete, valid_coordinates, valid_speed
+from trackline.operators.clean import (coerce_types, dedupe_positions, drop_incomplete, valid_coordinates,
+                                       valid_speed)
 from trackline.operators.traffic import daily_traffic
 from trackline.schema import CANONICAL_COLUMNS, RAW_CSV_SCHEMA, SOURCE_COLUMNS
 
 
-def _parse_stream(spark: SparkSession, source_dir: str, header: bool = True) -> DataFrame:
-    raw = (spark.readStream.schema(RAW_CSV_SCHEMA).option("header", header).option("mode", "PERMISSIVE")
-           .option("enforceSchema", True).csv(source_dir))
+def _parse_stream(spark: SparkSession, source_dir: str, header: bool = True,
+                  max_files_per_trigger: int | None = None) -> DataFrame:
+    reader = (spark.readStream.schema(RAW_CSV_SCHEMA).option("header", header).option("mode", "PERMISSIVE")
+              .option("enforceSchema", True))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    raw = reader.csv(source_dir)
     raw = raw.where(F.col("_extra").isNull()).select(
-        *[na_to_null(F.col(src)).alias(dst) for src, dst in zip(SOURCE_COLUMNS, CANONICAL_COLUMNS)])
+        *[na_to_null(F.col(src)).alias(dst) for src, dst in zip(SOURCE_COLUMNS, CANONICAL_COLUMNS)],
+        F.col("_metadata.file_path").alias("source_file"))
     return valid_speed(valid_coordinates(drop_incomplete(coerce_types(raw))))
 
 
+def _stored(spark: SparkSession, positions_dir: str) -> DataFrame | None:
+    try:
+        return spark.read.option("basePath", positions_dir).parquet(os.path.join(positions_dir, "batch=*"))
+    except AnalysisException:  # nothing stored yet
+        return None
+
+
 def incremental_ingest(spark: SparkSession, source_dir: str, table_dir: str, checkpoint: str,
-                       rollup_dir: str | None = None, watermark: str = "1 day", header: bool = True) -> dict:
+                       rollup_dir: str | None = None, header: bool = True,
+                       max_files_per_trigger: int | None = 1000) -> dict:
     """Run one AvailableNow pass over ``source_dir``; return counts from the query progress."""
     positions_dir = os.path.join(table_dir, "positions")
-    # the watermark needs a zone-aware TIMESTAMP; only its order matters here
-    stream = (_parse_stream(spark, source_dir, header)
-              .withColumn("_event_time", F.col("base_datetime").cast("timestamp"))
-              .withWatermark("_event_time", watermark)
-              .dropDuplicatesWithinWatermark(["mmsi", "base_datetime"]))
+    stream = _parse_stream(spark, source_dir, header, max_files_per_trigger)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        out = batch.drop("_event_time").withColumn("traffic_date", F.to_date("base_datetime"))
-        (out.hint("rebalance", "traffic_date").write.mode("overwrite").partitionBy("traffic_date")
+        ordered = batch.withColumn("_order", F.struct("source_file", F.monotonically_increasing_id()))
+        fresh = (dedupe_positions(ordered, order_col="_order").drop("_order", "source_file")
+                 .withColumn("traffic_date", F.to_date("base_datetime")))
+        # the dates of one batch: a short list, used to prune the stored partitions
+        dates = [r["traffic_date"] for r in fresh.select("traffic_date").distinct().collect()]
+        if not dates:
+            return
+        stored = _stored(spark, positions_dir)
+        if stored is not None:
+            seen = (stored.where((F.col("batch") != F.lit(batch_id)) & F.col("traffic_date").isin(dates))
+                    .select("mmsi", "base_datetime"))
+            fresh = fresh.join(seen, ["mmsi", "base_datetime"], "left_anti")
+        (fresh.hint("rebalance", "traffic_date").write.mode("overwrite").partitionBy("traffic_date")
          .parquet(os.path.join(positions_dir, f"batch={batch_id}")))
         if rollup_dir is not None:
-            refresh_daily(spark, positions_dir, rollup_dir, out.select("traffic_date").distinct())
+            refresh_daily(spark, positions_dir, rollup_dir, dates)
 
     q = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    rows, late = 0, 0
-    for p in q.recentProgress:
-        rows += int(p.numInputRows or 0)
-        for s in p.stateOperators or []:
-            late += int(getattr(s, "numRowsDroppedByWatermark", 0) or 0)
-    return {"input_rows": rows, "late_rows_dropped": late, "batches": len(q.recentProgress)}
+    rows = sum(int(p.numInputRows or 0) for p in q.recentProgress)
+    return {"input_rows": rows, "batches": len([p for p in q.recentProgress if (p.numInputRows or 0) > 0])}
 
 
 def read_positions_table(spark: SparkSession, table_dir: str) -> DataFrame:
@@ -72,16 +93,14 @@ def read_positions_table(spark: SparkSession, table_dir: str) -> DataFrame:
     return spark.read.option("basePath", positions_dir).parquet(os.path.join(positions_dir, "batch=*"))
 
 
-def refresh_daily(spark: SparkSession, positions_dir: str, rollup_dir: str, touched: DataFrame) -> None:
-    """Recompute the daily rollup for the ``touched`` dates only (dynamic partition overwrite).
+def refresh_daily(spark: SparkSession, positions_dir: str, rollup_dir: str, dates: list) -> None:
+    """Recompute the daily rollup for the touched ``dates`` only (dynamic partition overwrite).
 
-    The positions of those dates are selected with a semi-join on the date
-    partition column, so only their partitions are read.
+    The filter is on the date partition column, so only those partitions are read.
     """
     positions = spark.read.option("basePath", positions_dir).parquet(os.path.join(positions_dir, "batch=*"))
-    dates = touched.select("traffic_date").distinct()
-    affected = positions.join(dates, "traffic_date", "left_semi")
-    rollup = daily_traffic(affected.drop("traffic_date")).select(*DAILY_COLUMNS)
+    affected = positions.where(F.col("traffic_date").isin(dates))
+    rollup = daily_traffic(affected.drop("traffic_date", "batch")).select(*DAILY_COLUMNS)
     (rollup.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("traffic_date").parquet(rollup_dir))
 
