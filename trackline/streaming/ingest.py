@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,19 +65,26 @@ def incremental_ingest(spark: SparkSession, source_dir: str, table_dir: str, che
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         ordered = batch.withColumn("_order", F.struct("source_file", F.monotonically_increasing_id()))
+        # the de-duplicated batch feeds two jobs (its dates, then the write): keep it
+        # (memory and disk; a lost executor recomputes its part from the source files)
         fresh = (dedupe_positions(ordered, order_col="_order").drop("_order", "source_file")
-                 .withColumn("traffic_date", F.to_date("base_datetime")))
-        # the dates of one batch: a short list, used to prune the stored partitions
-        dates = [r["traffic_date"] for r in fresh.select("traffic_date").distinct().collect()]
-        if not dates:
-            return
-        stored = _stored(spark, positions_dir)
-        if stored is not None:
-            seen = (stored.where((F.col("batch") != F.lit(batch_id)) & F.col("traffic_date").isin(dates))
-                    .select("mmsi", "base_datetime"))
-            fresh = fresh.join(seen, ["mmsi", "base_datetime"], "left_anti")
-        (fresh.hint("rebalance", "traffic_date").write.mode("overwrite").partitionBy("traffic_date")
-         .parquet(os.path.join(positions_dir, f"batch={batch_id}")))
+                 .withColumn("traffic_date", F.to_date("base_datetime"))
+                 .persist(StorageLevel.MEMORY_AND_DISK))
+        try:
+            # the dates of one batch: a short list, used to prune the stored partitions
+            dates = [r["traffic_date"] for r in fresh.select("traffic_date").distinct().collect()]
+            if not dates:
+                return
+            new = fresh
+            stored = _stored(spark, positions_dir)
+            if stored is not None:
+                seen = (stored.where((F.col("batch") != F.lit(batch_id)) & F.col("traffic_date").isin(dates))
+                        .select("mmsi", "base_datetime"))
+                new = fresh.join(seen, ["mmsi", "base_datetime"], "left_anti")
+            (new.hint("rebalance", "traffic_date").write.mode("overwrite").partitionBy("traffic_date")
+             .parquet(os.path.join(positions_dir, f"batch={batch_id}")))
+        finally:
+            fresh.unpersist()
         if rollup_dir is not None:
             refresh_daily(spark, positions_dir, rollup_dir, dates)
 
