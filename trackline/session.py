@@ -40,7 +40,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and must be a shared file
-    system.  Only when it is unset (local tests) do we create one.
+    system.  Only when it is unset on a local master (tests) do we create
+    one; an unset folder on a cluster is an error, since a machine-local
+    folder would not survive the loss of an executor.
     """
     try:
         sc = spark.sparkContext
@@ -52,7 +54,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not found and sc is not None:
             found = sc.getConf().get("spark.checkpoint.dir", None)
         if not found:
-            found = tempfile.mkdtemp(prefix="trackline-ckpt-")  # unset: local tests only
+            master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+            if not str(master).startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir is unset: set it to a folder on a shared file "
+                                   "system (written hand-offs and checkpoints go there)")
+            found = tempfile.mkdtemp(prefix="trackline-ckpt-")  # unset on a local master: tests only
         if sc is not None:
             sc.setCheckpointDir(found)
             found = sc.getCheckpointDir() or found
