@@ -37,3 +37,24 @@ def test_pushdown_and_pruning(spark):
     p = _plan(ev)
     assert "PushedFilters: [IsNotNull(user_id), EqualTo(user_id,7)]" in p
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in p
+
+
+def _stages_run(spark, df, group):
+    sc = spark.sparkContext
+    st = sc.statusTracker()
+    sc.setJobGroup(group, group)
+    try:
+        df.write.format("noop").mode("overwrite").save()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    infos = [st.getStageInfo(s) for j in st.getJobIdsForGroup(group) for s in st.getJobInfo(j).stageIds]
+    return sum(1 for i in infos if i is not None and i.numCompletedTasks > 0)
+
+
+def test_track_legs_reads_input_once(spark):
+    from trackline.operators.tracks import track_legs
+    legs = track_legs(cleaned(spark, SF0001), "geodesic")
+    # inner legs and boundary legs share the de-duplication stage (same columns
+    # on both sides, so the exchange is reused): scan + dedupe, bucket window,
+    # bucket summaries, bucket rows by vessel, result -- not a second scan
+    assert _stages_run(spark, legs, "legs-reuse") == 5

@@ -127,11 +127,17 @@ def _bucketed_legs(clean: DataFrame, method: str, bucket_minutes: int,
     return with_distance(legs, "_plat", "_plon", "latitude", "longitude", "_leg_nm", method)
 
 
-def _bucket_summaries(legs: DataFrame) -> DataFrame:
-    """One row per (mmsi, bucket): sums over inner legs, first and last point."""
+def _bucket_summaries(legs: DataFrame, with_name: bool = True) -> DataFrame:
+    """One row per (mmsi, bucket): sums over inner legs, first and last point.
+
+    ``with_name=False`` leaves the name out of the first/last points, so a
+    consumer that also reads the legs themselves (``track_legs``) needs the
+    same columns on both sides and Spark reuses one exchange for both.
+    """
     has_prev = F.col("_pts").isNotNull()
     dt = micros_between("_pts", "base_datetime")
-    point = F.struct("base_datetime", "latitude", "longitude", "sog", "vessel_name")
+    fields = ["base_datetime", "latitude", "longitude", "sog"] + (["vessel_name"] if with_name else [])
+    point = F.struct(*fields)
     return legs.groupBy("mmsi", "_bucket").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("sog").alias("sog_sum"),
@@ -262,7 +268,7 @@ def track_legs(clean: DataFrame, method: str = "geodesic", bucket_minutes: int =
         micros_between("_pts", "base_datetime").alias("elapsed_us"),
         _is_moving(F.col("_psog"), F.col("sog")).alias("moving"),
     )
-    b = _boundary_legs(_bucket_summaries(legs), method)
+    b = _boundary_legs(_bucket_summaries(legs, with_name=False), method)
     cross = b.where(F.col("_prev").isNotNull()).select(
         "mmsi",
         F.col("_prev.base_datetime").alias("from_time"),

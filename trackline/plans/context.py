@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from trackline.functions.numeric import round_half_up
 from trackline.operators.clean import clean
-from trackline.operators.tracks import vessel_metrics
+from trackline.operators.tracks import track_legs, vessel_metrics
 from trackline.sources.fixture import raw_positions
 
 ROUND_DIGITS = 6
@@ -64,6 +64,12 @@ def metrics(spark: SparkSession, sf_dir: str, method: str = "geodesic", extended
                                           counts_from=raw(spark, sf_dir)))
 
 
+def legs(spark: SparkSession, sf_dir: str, method: str = "geodesic") -> DataFrame:
+    """Every leg of every track (the dense-bucket check runs once, when the frame is built)."""
+    return _shared(spark, ("legs", sf_dir, method),
+                   lambda: track_legs(cleaned(spark, sf_dir), method, counts_from=raw(spark, sf_dir)))
+
+
 def materialized_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-vessel metrics written once to the shared checkpoint folder (several consumers)."""
     from trackline.session import materialize

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from trackline import sinks
 from trackline.operators import clean as C
 from trackline.operators import fleet, tracks, traffic, vessels
-from trackline.plans.context import cleaned, materialized_metrics, metrics, raw, rounded
+from trackline.plans.context import cleaned, legs, materialized_metrics, metrics, raw, rounded
 from trackline.schema import CANONICAL_COLUMNS, SOURCE_COLUMNS
 from trackline.session import scratch_path
 from trackline.sources import archives, catalog, positions
@@ -114,12 +114,12 @@ def q_top_vessel_types(spark, sf):
 
 @query("track_legs")
 def q_track_legs(spark, sf):
-    return rounded(tracks.track_legs(cleaned(spark, sf), "geodesic", counts_from=raw(spark, sf)))
+    return rounded(legs(spark, sf, "geodesic"))
 
 
 @query("haversine_legs")
 def q_haversine_legs(spark, sf):
-    return rounded(tracks.track_legs(cleaned(spark, sf), "haversine", counts_from=raw(spark, sf)))
+    return rounded(legs(spark, sf, "haversine"))
 
 
 @query("vessel_distance")
