@@ -107,3 +107,21 @@ def test_read_any_keeps_each_standard_header(spark, tmp_path):
     rows = {r["mmsi"]: r for r in positions.read_any(spark, [str(d / "a.csv"), str(d / "b.csv")]).collect()}
     assert (rows["1"]["latitude"], rows["1"]["sog"]) == ("1.0", "3.0")
     assert (rows["2"]["latitude"], rows["2"]["longitude"], rows["2"]["sog"]) == ("5.0", "6.0", "4.0")
+
+
+def test_detect_format_reads_whole_first_line_only(spark, tmp_path):
+    import gzip
+    d = tmp_path / "heads"
+    d.mkdir()
+    long_header = "MMSI,Time," + ",".join(f"extra_{i}" for i in range(20000))  # longer than one read chunk
+    assert len(long_header) > positions.FIRST_LINE_CHUNK
+    (d / "long.csv").write_text(long_header + "\n1,2\n")
+    (d / "crlf.csv").write_text("MMSI,BaseDateTime,LAT\r\n1,2,3\r\n")
+    with gzip.open(d / "z.csv.gz", "wt") as f:
+        f.write("1,2024-01-01 00:00:00,3\n")
+    (d / "empty.csv").write_text("")
+    rows = {os.path.basename(r["file_path"]): r for r in positions.detect_format(spark, str(d)).collect()}
+    assert set(rows) == {"long.csv", "crlf.csv", "z.csv.gz"}
+    assert rows["long.csv"]["first_line"] == long_header and rows["long.csv"]["format"] == "standard"
+    assert rows["crlf.csv"]["first_line"] == "MMSI,BaseDateTime,LAT" and rows["crlf.csv"]["format"] == "noaa"
+    assert rows["z.csv.gz"]["format"] == "noaa_no_header"

@@ -96,19 +96,63 @@ def read_positions_standard(spark: SparkSession, paths: str | list[str], fill_mi
                       *PROVENANCE).select(*CANONICAL_COLUMNS, *PROVENANCE)
 
 
+# Bytes read per step while looking for the end of a file's first line.
+FIRST_LINE_CHUNK = 1 << 16
+
+
+def _open_stream(path: str):
+    """A decompressing input stream for a path of the binary-file listing (not URL-encoded)."""
+    import pyarrow.fs as pafs
+
+    if path.startswith("file:"):
+        local = path[len("file:"):]
+        while local.startswith("//"):
+            local = local[1:]
+        return pafs.LocalFileSystem().open_input_stream(local, compression="detect")
+    for hadoop_scheme, arrow_scheme in (("s3a://", "s3://"), ("s3n://", "s3://")):
+        if path.startswith(hadoop_scheme):
+            path = arrow_scheme + path[len(hadoop_scheme):]
+    fs, inner = pafs.FileSystem.from_uri(path)
+    return fs.open_input_stream(inner, compression="detect")
+
+
+def first_line(path: str) -> str | None:
+    """The whole first line of a (possibly compressed) text file; None for an empty file.
+
+    Reads chunk by chunk until the first line break, so only the head of the
+    file is read however large the file is.
+    """
+    parts: list[bytes] = []
+    with _open_stream(path) as stream:
+        while True:
+            chunk = stream.read(FIRST_LINE_CHUNK)
+            if not chunk:
+                break
+            ends = [i for i in (chunk.find(b"\n"), chunk.find(b"\r")) if i >= 0]
+            parts.append(chunk[:min(ends)] if ends else chunk)
+            if ends:
+                break
+    return b"".join(parts).decode("utf-8", errors="replace") if parts else None
+
+
+def _first_lines(batches):
+    import pandas as pd
+    for pdf in batches:
+        lines = [first_line(p) for p in pdf["path"]]
+        yield pd.DataFrame({"file_path": pdf["path"], "first_line": lines})
+
+
 def detect_format(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Classify each file by its first line: ``noaa``, ``standard`` or ``noaa_no_header``.
 
-    One pass over the text of every file's first split; the first line is
-    picked per file with a partial aggregation (no per-file driver loop).
+    Files are listed with the binary-file source (content pruned, so nothing
+    is read by the listing); each task then reads only the head of its files
+    up to the first line break -- never the rest of the data.  No shuffle, no
+    per-file driver loop.
     """
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_id"),
-        "value",
-    ).where(F.col("_start") == 0)
-    first = lines.groupBy("file_path").agg(F.min_by("value", "_id").alias("first_line"))
+    files = spark.read.format("binaryFile").load(paths).select("path", "length").where(F.col("length") > 0)
+    first = files.select("path").mapInPandas(_first_lines, "file_path string, first_line string") \
+        .where(F.col("first_line").isNotNull())
     low = F.lower(F.col("first_line"))
     has = lambda s: low.contains(s)
     fmt = (F.when(has("mmsi") & has("basedatetime"), "noaa")
