@@ -81,3 +81,25 @@ def test_limit_records_threshold_path_equals_topk(spark, monkeypatch):
     monkeypatch.setattr(C, "TOPK_MERGE_ROWS", 100)  # force the threshold path
     got = [r["ingest_seq"] for r in C.limit_records(df, 3000).collect()]
     assert sorted(got) == want
+
+
+def test_limit_records_file_order_split_path_equals_topk(spark, monkeypatch, tmp_path):
+    from trackline.operators import clean as C
+    from trackline.sources.positions import ORDER, ingest_order, read_positions
+    d = tmp_path / "many"
+    d.mkdir()
+    line = "{m},2024-01-15 08:{mm:02d}:00,35.1,-5.2,1.0,0,0,V,0,C,70,0,1,1,1,0,A\n"
+    for k in range(4):
+        (d / f"f{k}.csv").write_text("".join(line.format(m=k * 1000 + i, mm=i % 60) for i in range(700)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")  # several splits per file
+    try:
+        raw = ingest_order(read_positions(spark, str(d), header=False))
+        assert raw.rdd.getNumPartitions() > 4
+        for n in (1, 650, 1500, 2800, 5000):
+            want = sorted(r["mmsi"] for r in raw.orderBy(ORDER).limit(n).collect())
+            monkeypatch.setattr(C, "TOPK_MERGE_ROWS", 1)  # force the split path
+            got = sorted(r["mmsi"] for r in C.limit_records(raw, n, ORDER).collect())
+            monkeypatch.setattr(C, "TOPK_MERGE_ROWS", 10_000_000)
+            assert got == want, n
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

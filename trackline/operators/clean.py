@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -154,6 +154,8 @@ def uniqueness_violations(df: DataFrame, key: list[str] | None = None) -> DataFr
 
 # Largest (tasks x n) merge left to a plain top-k; beyond it a key threshold is found first.
 TOPK_MERGE_ROWS = 10_000_000
+# Kept splits are at most n (each holds a row); up to this n their list is broadcast.
+MAX_BROADCAST_SPLITS = 1_000_000
 
 
 def limit_records(df: DataFrame, n: int, order_col: str = "ingest_seq") -> DataFrame:
@@ -171,8 +173,12 @@ def limit_records(df: DataFrame, n: int, order_col: str = "ingest_seq") -> DataF
         tasks = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 -- remote sessions: assume large
         tasks = TOPK_MERGE_ROWS
-    numeric = not isinstance(df.schema[order_col].dataType, (T.StructType, T.StringType))
-    if tasks * n <= TOPK_MERGE_ROWS or not numeric:
+    dtype = df.schema[order_col].dataType
+    if tasks * n <= TOPK_MERGE_ROWS:
+        return df.orderBy(order).limit(n)
+    if isinstance(dtype, T.StructType) and len(dtype.fields) == 3:
+        return _limit_by_split(df, n, order_col)
+    if isinstance(dtype, (T.StructType, T.StringType)):
         return df.orderBy(order).limit(n)
     total = df.count()
     if total <= n:
@@ -185,3 +191,30 @@ def limit_records(df: DataFrame, n: int, order_col: str = "ingest_seq") -> DataF
         q = min(1.0, q * 1.5)
     return df.where(F.col(order_col) <= F.lit(t)).orderBy(order).limit(n)
 
+
+
+def _limit_by_split(df: DataFrame, n: int, order_col: str) -> DataFrame:
+    """First ``n`` rows for a file-order key ``struct(file, split offset, seq)``.
+
+    Rows are counted per input split (one row per split after a partial
+    aggregation), a running total over the splits in file order says how many
+    rows come before each one, splits that start past ``n`` are dropped, and
+    rows are numbered only inside the kept splits (one split per window group,
+    so a group is at most one input split).  Exact, with no (tasks x n) merge.
+    The running total is one window over the split list (one row per input
+    split: metadata-sized), and the kept list -- at most ``n`` entries -- is
+    broadcast, so the input rows are filtered where they are read, not shuffled.
+    """
+    file_f, off_f, _ = [f.name for f in df.schema[order_col].dataType.fields]
+    o = F.col(order_col)
+    split_key = [o[file_f].alias("_f"), o[off_f].alias("_o")]
+    splits = df.groupBy(*split_key).agg(F.count(F.lit(1)).alias("_c"))
+    before = F.sum("_c").over(Window.orderBy("_f", "_o").rowsBetween(Window.unboundedPreceding, -1))
+    kept = (splits.select("_f", "_o", F.coalesce(before, F.lit(0)).alias("_before"))
+            .where(F.col("_before") < F.lit(n)))
+    # every kept split holds at least one of the first n rows: at most n entries
+    kept = F.broadcast(kept) if n <= MAX_BROADCAST_SPLITS else kept
+    rows = df.select("*", *split_key).join(kept, ["_f", "_o"])
+    r = F.row_number().over(Window.partitionBy("_f", "_o").orderBy(o))
+    return (rows.select("*", r.alias("_r")).where(F.col("_before") + F.col("_r") <= F.lit(n))
+            .select(*df.columns))
