@@ -125,3 +125,17 @@ def test_detect_format_reads_whole_first_line_only(spark, tmp_path):
     assert rows["long.csv"]["first_line"] == long_header and rows["long.csv"]["format"] == "standard"
     assert rows["crlf.csv"]["first_line"] == "MMSI,BaseDateTime,LAT" and rows["crlf.csv"]["format"] == "noaa"
     assert rows["z.csv.gz"]["format"] == "noaa_no_header"
+
+
+def test_detect_format_falls_back_to_text_scan(spark, tmp_path, monkeypatch):
+    d = tmp_path / "fallback"
+    d.mkdir()
+    (d / "a.csv").write_text("MMSI,BaseDateTime,LAT\n1,2,3\n")
+    (d / "b.csv").write_text("1,2024-01-01 00:00:00,3\n")
+    fast = {os.path.basename(r["file_path"]): (r["format"], r["first_line"])
+            for r in positions.detect_format(spark, str(d)).collect()}
+    monkeypatch.setattr(positions, "_head_reader_works", lambda path: False)
+    slow = {os.path.basename(r["file_path"]): (r["format"], r["first_line"])
+            for r in positions.detect_format(spark, str(d)).collect()}
+    assert fast == slow == {"a.csv": ("noaa", "MMSI,BaseDateTime,LAT"),
+                            "b.csv": ("noaa_no_header", "1,2024-01-01 00:00:00,3")}

@@ -142,23 +142,53 @@ def _first_lines(batches):
         yield pd.DataFrame({"file_path": pdf["path"], "first_line": lines})
 
 
+def _classify(first: DataFrame) -> DataFrame:
+    low = F.lower(F.col("first_line"))
+    has = lambda s: low.contains(s)
+    fmt = (F.when(has("mmsi") & has("basedatetime"), "noaa")
+           .when(has("mmsi") & (has("timestamp") | has("time")), "standard")
+           .otherwise("noaa_no_header"))
+    return first.select("file_path", fmt.alias("format"), "first_line")
+
+
+def _head_reader_works(path: str) -> bool:
+    """Whether this Python environment can open files of ``path``'s file system."""
+    try:
+        with _open_stream(path) as stream:
+            stream.read(1)
+        return True
+    except Exception:  # noqa: BLE001 -- unsupported scheme or missing client library
+        return False
+
+
+def _first_lines_by_text_scan(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """First lines through Spark's text source: works on any file system, but reads every split."""
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_id"),
+        "value",
+    ).where(F.col("_start") == 0)
+    return lines.groupBy("file_path").agg(F.min_by("value", "_id").alias("first_line"))
+
+
 def detect_format(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Classify each file by its first line: ``noaa``, ``standard`` or ``noaa_no_header``.
 
     Files are listed with the binary-file source (content pruned, so nothing
     is read by the listing); each task then reads only the head of its files
     up to the first line break -- never the rest of the data.  No shuffle, no
-    per-file driver loop.
+    per-file driver loop.  If the Python side cannot open the file system of
+    the listed files (checked on one of them), Spark's text source is used
+    instead, which reads every split.
     """
     files = spark.read.format("binaryFile").load(paths).select("path", "length").where(F.col("length") > 0)
+    sample = files.select("path").limit(1).collect()
+    if sample and not _head_reader_works(sample[0]["path"]):
+        return _classify(_first_lines_by_text_scan(spark, paths))
     first = files.select("path").mapInPandas(_first_lines, "file_path string, first_line string") \
         .where(F.col("first_line").isNotNull())
-    low = F.lower(F.col("first_line"))
-    has = lambda s: low.contains(s)
-    fmt = (F.when(has("mmsi") & has("basedatetime"), "noaa")
-           .when(has("mmsi") & (has("timestamp") | has("time")), "standard")
-           .otherwise("noaa_no_header"))
-    return first.select("file_path", fmt.alias("format"), "first_line")
+    return _classify(first)
 
 
 def read_any(spark: SparkSession, paths: list[str]) -> DataFrame:
