@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, near_dedup, packing, token_file
+from . import chat, exact_dedup, near_dedup, packing, secrets, sentencepieces, token_file, topk, toxicity, url_filter
 from .common import read_table, write_shared
 
 
@@ -15,6 +15,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", F.length("value").cast("long").alias("length"), F.sha2("value", 256).alias("value_sha256"),
+                        F.round("score", 6).alias("score"), "is_secret")
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -34,12 +40,50 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+#: The rules of the url query.
+URL_RULES = [url_filter.Rule("net", "/", "block"), url_filter.Rule("example.net", "/en/", "allow"),
+             url_filter.Rule("example.com", "/de/", "block"), url_filter.Rule("org", "/fr/", "allow")]
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(read_table(spark, sf_dir, "pages"), URL_RULES).drop("tokens")
+
+
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = r"\### Assistant: </turn> ok"
+    added = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(added)
+    return chat.digests(write_shared(chat.format_chats(turns), "chats"))
+
+
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = sentencepieces.Pieces.load(vocabulary("piece_bpe_32k.model"))
+    return sentencepieces.document_digests(read_table(spark, sf_dir, "documents"), pieces)
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_minhash_near_dedup, op3_token_binary, op4_best_fit_packing, op5_exact_dedup,
+    op1_secret_scan, op2_minhash_near_dedup, op3_token_binary, op4_best_fit_packing, op5_exact_dedup,
+    op6_url_filter, op7_chat_format, op8_top_k, op9_toxicity, op10_sentencepiece,
 )}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE = {
+    "op8_top_k": """
+        WITH v AS (SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                          CAST(list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)]) AS BIGINT) AS score
+                   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        FROM s QUALIFY rank <= 10""",
     "op5_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
