@@ -1,19 +1,20 @@
 """MinHash near-duplicates with odd sketches.
 
-Every document becomes its set of distinct five-word shingles.  128 MinHash
-samples are banded (32 bands of 4: a pair at similarity 0.75 is missed with
-probability 5e-6) and folded into an odd sketch, a 512-bit parity bitmap; the
-population count of the XOR of two bitmaps estimates a high similarity well
-enough to refuse candidates that are far off (five standard deviations).  All
-others are confirmed on their full sets of 64-bit shingle hashes.
+Every document becomes its set of distinct five-word shingles.  Half of 256
+MinHash samples are banded (32 bands of 4: a pair at similarity 0.75 is missed
+with probability 5e-6), and all are folded into an odd sketch, a 1024-bit parity
+bitmap; the population count of the XOR of two bitmaps estimates a high
+similarity well enough to refuse candidates that are far off (four standard
+deviations).  All others are confirmed on their full sets of 64-bit shingle
+hashes.
 
 Hot groups: documents with equal sets are one class, so copies never meet.
 Within a bucket of a band no pairs are listed.  First every member meets one
-centre of its bucket (a few rounds with other centres, linear in the members),
-and links found make components.  Then members outside their bucket's main
-component meet all members of other components, which leaves no pair of
-different components in a bucket untested, so no link between components is
-lost.
+centre of its bucket, the member that shares most buckets with others (a few
+rounds with other centres, linear in the members), and links found make
+components.  Then members outside their bucket's main component meet all members
+of other components, each pair in the first bucket it shares, which leaves no
+pair of different components untested, so no link between components is lost.
 
 Words: ``A-Z`` lower-cased, runs of ``[^\\x20\\x09-\\x0D]``.  Fewer than five words
 make one shingle; null, empty and blank texts have no shingles and link with
@@ -34,17 +35,19 @@ from pyspark.sql import functions as F
 from .common import doc_text, write_shared
 
 WORDS = 5
-SAMPLES, ROWS = 128, 4
-SKETCH_BITS = 512
-STAR_ROUNDS = 3
+SAMPLES, ROWS, BANDED = 256, 4, 128
+SKETCH_BITS = 1024
+FINE_SAMPLES, FINE_BITS = 4096, 8192  # of the larger sketches that the remaining pairs are held against
+STAR_ROUNDS = 2
+CENTRE_SHARE = 8  # in later rounds one in so many members may be a centre
 ODD_COLUMNS = [f"o{i}" for i in range(SKETCH_BITS // 64)]
 WORD_CACHE = 400_000
 _rng = np.random.default_rng(2014)
-_ODD = _rng.integers(0, 2 ** 63, SAMPLES, np.uint64) * np.uint64(2) + np.uint64(1)
-_XOR = _rng.integers(0, 2 ** 63, SAMPLES, np.uint64)
-_SLOT = _rng.integers(0, 2 ** 63, SAMPLES, np.uint64)
+_ODD = _rng.integers(0, 2 ** 63, FINE_SAMPLES, np.uint64) * np.uint64(2) + np.uint64(1)
+_XOR = _rng.integers(0, 2 ** 63, FINE_SAMPLES, np.uint64)
+_SLOT = _rng.integers(0, 2 ** 63, FINE_SAMPLES, np.uint64)
 _PLACE = _rng.integers(0, 2 ** 63, WORDS, np.uint64) * np.uint64(2) + np.uint64(1)
-_BAND = _rng.integers(0, 2 ** 63, (SAMPLES // ROWS, 1), np.uint64)
+_BAND = _rng.integers(0, 2 ** 63, (BANDED // ROWS, 1), np.uint64)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -86,39 +89,39 @@ def shingle_set(text: bytes, width: int = WORDS) -> np.ndarray:
     return np.unique(_mix(s))
 
 
-def minhash(shingles: np.ndarray) -> np.ndarray:
+def minhash(shingles: np.ndarray, samples: int = SAMPLES) -> np.ndarray:
     """The samples of a non-empty set."""
-    low = np.full(SAMPLES, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(shingles), 2048):
-        part = (shingles[i:i + 2048, None] ^ _XOR) * _ODD
+    low = np.full(samples, np.iinfo(np.uint64).max, np.uint64)
+    step = 262_144 // samples
+    for i in range(0, len(shingles), step):
+        part = (shingles[i:i + step, None] ^ _XOR[:samples]) * _ODD[:samples]
         np.minimum(low, part.min(axis=0), out=low)
     return low
 
 
 def band_keys(samples: np.ndarray) -> np.ndarray:
-    rows = samples.reshape(-1, ROWS)
+    rows = samples[:BANDED].reshape(-1, ROWS)
     key = _BAND[:, 0]
     for j in range(ROWS):
         key = _mix(key + rows[:, j] * _MIX)
     return key.view(np.int64)
 
 
-def odd_sketch(samples: np.ndarray) -> np.ndarray:
-    """Parity of the samples that fall on each of 512 bits, as eight 64-bit integers."""
-    slot = (_mix(samples + _SLOT) >> np.uint64(55)).astype(np.int64)
-    parity = np.bincount(slot, minlength=SKETCH_BITS) & 1
+def odd_sketch(samples: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
+    """Parity of the samples that fall on each of ``bits`` bits (a power of two), as 64-bit integers."""
+    slot = (_mix(samples + _SLOT[:len(samples)]) >> np.uint64(65 - bits.bit_length())).astype(np.int64)
+    parity = np.bincount(slot, minlength=bits) & 1
     return np.packbits(parity.astype(np.uint8)).view(np.int64)
 
 
-def most_different_bits(percent: int) -> int:
-    """Largest XOR population count taken as possible at this similarity: five standard deviations over the mean."""
+def most_different_bits(percent: int, samples: int = SAMPLES, bits: int = SKETCH_BITS) -> int:
+    """Largest XOR population count taken as possible at this similarity: four standard deviations over the mean."""
     j = percent / 100
-    away = 2 * SAMPLES * (1 - j)
-    shrink = 1 - 2 / SKETCH_BITS
-    p = (1 - shrink ** away) / 2
-    of_samples = 2 * math.sqrt(SAMPLES * j * (1 - j)) * (1 - 2 * p)  # what sampling adds
-    of_bits = math.sqrt(SKETCH_BITS * p * (1 - p))
-    return math.ceil(SKETCH_BITS * p + 5 * math.hypot(of_samples, of_bits))
+    away = 2 * samples * (1 - j)  # samples that differ, counted on both sides
+    shrink = (1 - 2 / bits) ** away
+    of_samples = 2 * math.sqrt(samples * j * (1 - j)) * shrink
+    of_clashes = math.sqrt(2 * away * away / bits)  # pairs on one bit cancel
+    return math.ceil(bits * (1 - shrink) / 2 + 4 * math.hypot(of_samples, of_clashes))
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -126,7 +129,7 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def sketches(docs: DataFrame, width: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles, set_key (128-bit digest of the set), bands, o0..o7."""
+    """doc_id, n_shingles, set_key (128-bit digest of the set), bands, o0, o1 ..."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
         for batch in batches:
@@ -142,11 +145,11 @@ def sketches(docs: DataFrame, width: int = WORDS) -> DataFrame:
                 else:
                     keys.append(None)
                     bands.append(None)
-                    odd.append(np.zeros(8, np.int64))
-            o = np.array(odd, np.int64).reshape(-1, 8)
+                    odd.append(np.zeros(SKETCH_BITS // 64, np.int64))
+            o = np.array(odd, np.int64).reshape(-1, SKETCH_BITS // 64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(bands, pa.list_(pa.int64())), *(pa.array(o[:, i]) for i in range(8))],
+                 pa.array(bands, pa.list_(pa.int64())), *(pa.array(o[:, i]) for i in range(SKETCH_BITS // 64))],
                 ["doc_id", "n_shingles", "set_key", "bands", *ODD_COLUMNS])
 
     return _rows(docs).mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>, "
@@ -164,9 +167,20 @@ def full_sets(docs: DataFrame, width: int = WORDS) -> DataFrame:
     return _rows(docs).mapInArrow(run, "node long, shingles array<long>")
 
 
+def _fine_sketches(sets: DataFrame) -> DataFrame:
+    """node and fine, its larger odd sketch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fine = [odd_sketch(minhash(np.array(v, np.int64).view(np.uint64), FINE_SAMPLES), FINE_BITS)
+                    for v in batch.column("shingles").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(fine, pa.list_(pa.int64()))], ["node", "fine"])
+
+    return sets.select("node", "shingles").mapInArrow(run, "node long, fine array<long>")
+
+
 def _possible(a: str, b: str, percent: int):
     """Odd sketches and sizes allow the similarity."""
-    bits = sum((F.bit_count(F.col(f"{a}.o{i}").bitwiseXOR(F.col(f"{b}.o{i}"))) for i in range(8)), F.lit(0))
+    bits = sum((F.bit_count(F.col(f"{a}.o{i}").bitwiseXOR(F.col(f"{b}.o{i}"))) for i in range(SKETCH_BITS // 64)), F.lit(0))
     n, m = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
     return (bits <= most_different_bits(percent)) & (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
 
@@ -220,38 +234,37 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = WORDS) -> D
     nodes = write_shared(usable.join(classes, "set_key").where("doc_id = node").drop("doc_id", "set_key"), "nodes")
     slim = nodes.select("node", "n_shingles", *ODD_COLUMNS)
     banded = nodes.select("node", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("centre")).where("n > 1")
-    bucketed = write_shared(banded.join(shared.drop("n"), "key"), "buckets")
+    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    bucketed = write_shared(banded.join(shared, "key"), "buckets")
+    shares = bucketed.groupBy("node").agg(F.sum("n").alias("shares"))
+    bucketed = write_shared(bucketed.drop("n").join(shares, "node"), "buckets")
 
     # the sets of documents that share a bucket, from their texts
     wanted = bucketed.select(F.col("node").alias("doc_id")).distinct()
     sets = write_shared(full_sets(docs.join(wanted, "doc_id", "left_semi"), width), "sets")
 
-    links = None
-    label = None
-    tested = None
-    open_rows = bucketed
+    links = label = tested = None
+    central = F.struct("shares", (-F.col("node")).alias("node"))
     for turn in range(STAR_ROUNDS):
         if turn:
             # other centres, from the main component of each bucket that is not yet one component
             rows = bucketed.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            by = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"),
-                                                      F.min(F.xxhash64("node", F.lit(turn))).alias("pick"))
-            main = by.groupBy("key").agg(F.max(F.struct("n", "component", "pick")).alias("m"), F.count(F.lit(1)).alias("parts"))
-            main = main.where("parts > 1").select("key", F.col("m.component").alias("main"), F.col("m.pick").alias("pick"))
-            open_rows = write_shared(rows.join(main, "key"), "open")
-            if open_rows.isEmpty():
-                break
-            centres = open_rows.where(F.xxhash64("node", F.lit(turn)) == F.col("pick")).select("key", F.col("node").alias("centre"))
-            pairs = open_rows.where("component <> main").select("key", "node").join(centres, "key")
+            may = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(CENTRE_SHARE)) == 0
+            by = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(may, central)).alias("c"))
+            main = by.groupBy("key").agg(F.max(F.struct("n", "component", "c")).alias("m"), F.count(F.lit(1)).alias("parts"))
+            main = main.where("parts > 1").select("key", F.col("m.component").alias("main"), (-F.col("m.c.node")).alias("centre"))
+            pairs = rows.join(main, "key").where("component <> main and centre is not null")
         else:
-            pairs = open_rows
-        pairs = pairs.where("node <> centre").select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")).distinct()
+            centres = bucketed.groupBy("key").agg(F.max(central).alias("c")).select("key", (-F.col("c.node")).alias("centre"))
+            pairs = bucketed.join(centres, "key").where("node <> centre")
+        pairs = pairs.select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         near = (pairs.join(slim.alias("x"), F.col("a") == F.col("x.node")).join(slim.alias("y"), F.col("b") == F.col("y.node"))
                 .where(_possible("x", "y", percent)).select("a", "b"))
         near = write_shared(near, "candidates")
+        if turn and near.isEmpty():
+            break
         tested = near if tested is None else tested.union(near)
         found = write_shared(_confirm(near, sets, percent), "links")
         links = found if links is None else links.union(found)
@@ -261,11 +274,15 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = WORDS) -> D
     rows = bucketed.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     by = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     main = by.groupBy("key").agg(F.max(F.struct("n", "component")).alias("m"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    rest = write_shared(rows.join(main.select("key", F.col("m.component").alias("main")), "key").join(slim, "node"), "rest")
+    rest = write_shared(rows.join(main.select("key", F.col("m.component").alias("main")), "key").join(nodes, "node"), "rest")
     if not rest.isEmpty():
+        fine = write_shared(_fine_sketches(sets.join(rest.select("node").distinct(), "node", "left_semi")), "fine-sketches")
+        rest = rest.join(fine, "node")
+        apart_bits = F.aggregate(F.zip_with("x.fine", "y.fine", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, n: t + n)
         apart = rest.where("component <> main").alias("x").join(
             rest.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
-            & _possible("x", "y", percent))
+            & _possible("x", "y", percent) & (F.array_intersect("x.bands", "y.bands")[0] == F.col("x.key"))
+            & (apart_bits <= most_different_bits(percent, FINE_SAMPLES, FINE_BITS)))
         pairs = apart.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
         pairs = write_shared(pairs.join(tested, ["a", "b"], "left_anti"), "candidates")
         found = write_shared(_confirm(pairs, sets, percent), "links")
