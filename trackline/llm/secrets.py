@@ -135,7 +135,8 @@ def example_findings(docs: DataFrame, rows: int = EXAMPLE_ROWS) -> DataFrame:
     kinds of values as checksums, revisions, identifiers and parts of addresses and paths; and names made of words.
     """
     word = F.expr("filter(split(substr(text, 1, 2000), '[^A-Za-z]+'), w -> length(w) between 2 and 12)")
-    base = (docs.select(doc_text().alias("text"), F.col("doc_id")).orderBy(F.xxhash64("doc_id", "text")).limit(rows)
+    picked = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)  # ids alone, so that no texts move
+    base = (docs.join(F.broadcast(picked), "doc_id", "left_semi").select(doc_text().alias("text"), F.col("doc_id"))
             .select(word.alias("w"), F.xxhash64("doc_id", "text").cast("string").alias("seed")).where("size(w) >= 8"))
     pick = lambda i: f"w[pmod(xxhash64(seed, {i}), size(w))]"
     hexes = "sha1(concat(seed, 'a'))"

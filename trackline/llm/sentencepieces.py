@@ -34,8 +34,8 @@ from .common import doc_text, write_shared
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-HEAD = 65_536
-HEAD_ROWS = 4_000  # documents of the sample that names the head
+HEAD = 200_000  # rows sent to every task, of 64 characters at most
+HEAD_ROWS = 8_000  # documents of the sample that names the head
 
 
 @dataclass(frozen=True)
@@ -114,7 +114,8 @@ def encode_units(distinct: DataFrame, pieces: Pieces) -> DataFrame:
 
 def encode_occurrences(docs: DataFrame, pieces: Pieces) -> DataFrame:
     """doc_id, row, pos and ids of every unit of every text, in one table; order by pos within a row."""
-    sample = docs.orderBy(F.xxhash64("doc_id")).limit(HEAD_ROWS).select("doc_id", F.substring("text", 1, 20_000).alias("text"))
+    picked = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(HEAD_ROWS)
+    sample = docs.join(F.broadcast(picked), "doc_id", "left_semi").select("doc_id", F.substring("text", 1, 20_000).alias("text"))
     common = (units(sample, pieces).where("unit is not null").groupBy("unit").agg(F.count(F.lit(1)).alias("n"))
               .orderBy(F.desc("n"), "unit").limit(HEAD).select("unit").where(F.length("unit") <= 64))
     head = write_shared(encode_units(common, pieces), "pieces-head")  # HEAD short rows at most
