@@ -17,10 +17,10 @@ def test_lenient_parsing(spark):
 
 
 def test_id_and_time_parsing(spark):
-    df = spark.createDataFrame([("219018671.0", "2024-01-15T08:00:00"), ("1.5", "not a time"),
+    df = spark.createDataFrame([("257100011.0", "2024-01-15T08:00:00"), ("1.5", "not a time"),
                                 ("42", "2024-01-15 08:00:00.250")], "mmsi string, base_datetime string")
     got = coerce_types(df).collect()
-    assert got[0]["mmsi"] == 219018671 and str(got[0]["base_datetime"]) == "2024-01-15 08:00:00"
+    assert got[0]["mmsi"] == 257100011 and str(got[0]["base_datetime"]) == "2024-01-15 08:00:00"
     assert got[1]["mmsi"] is None and got[1]["base_datetime"] is None
     assert got[2]["base_datetime"].microsecond == 250000
 

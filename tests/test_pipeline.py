@@ -7,15 +7,15 @@ def test_pipeline_from_files_and_flags(spark, sample_path, tmp_path):
     store = str(tmp_path / "store")
     res = run_pipeline(spark, store, paths=[sample_path])
     report = res.report.collect()[0]
-    assert report["top_top1_mmsi"] == 311733000 and report["points_total_vessels"] == 5
+    assert report["top_top1_mmsi"] == 265300033 and report["points_total_vessels"] == 5
     assert report["quality_total_records"] == 15 and report["time_vessels_count"] == 5
     m = {r["mmsi"]: r for r in stored_metrics(spark, store).collect()}
-    assert m[311733000]["total_distance_nm"] == pytest.approx(14.642136417, abs=1e-6)
+    assert m[265300033]["total_distance_nm"] == pytest.approx(30.163356633, abs=1e-6)
     # a second run appends the same reports; metrics stay the same (stored rows are de-duplicated)
     run_pipeline(spark, store, paths=[sample_path], skip_stats=True)
     assert stored_positions(spark, store).count() == 30
     m2 = {r["mmsi"]: r for r in stored_metrics(spark, store).collect()}
-    assert m2[311733000]["point_count"] == 3
+    assert m2[265300033]["point_count"] == 3
     # stats-only reads the stored tables
     again = run_pipeline(spark, store, stats_only=True).report.collect()[0]
     assert again["quality_total_records"] == 30
@@ -25,7 +25,7 @@ def test_pipeline_cap_and_skip(spark, sample_path, tmp_path):
     store = str(tmp_path / "capped")
     res = run_pipeline(spark, store, paths=[sample_path], max_records=6, batch_only=True)
     assert stored_positions(spark, store).count() == 6  # first 6 rows in file order
-    assert {r["mmsi"] for r in stored_metrics(spark, store).collect()} == {219018671, 210035000}
+    assert {r["mmsi"] for r in stored_metrics(spark, store).collect()} == {257100011, 230200022}
     assert res.report is not None
     raw_store = str(tmp_path / "raw")
     res2 = run_pipeline(spark, raw_store, paths=[sample_path], skip_processing=True)

@@ -17,8 +17,8 @@ def _write(tmp_path, name, text):
 
 def test_bad_and_short_rows(spark, tmp_path):
     lines = SAMPLE_CSV.splitlines()
-    text = "\n".join([lines[0], lines[1], lines[2] + ",EXTRA", "219018671,2024-01-15 11:00:00,35.7,-5.8,12.0",
-                      "219018671,2024-01-15 12:00:00,NA,-5.8,NULL"]) + "\n"
+    text = "\n".join([lines[0], lines[1], lines[2] + ",EXTRA", "257100011,2024-01-15 12:00:00,59.2,20.4,12.0",
+                      "257100011,2024-01-15 13:00:00,NA,20.4,NULL"]) + "\n"
     df = positions.read_positions(spark, _write(tmp_path, "a.csv", text))
     rows = df.orderBy("ingest_seq").collect()
     assert len(rows) == 3  # the 18-field row is skipped
@@ -31,16 +31,16 @@ def test_headerless_standard_and_detection(spark, tmp_path):
     body = "\n".join(SAMPLE_CSV.splitlines()[1:]) + "\n"
     d = tmp_path / "files"
     d.mkdir()
-    (d / "noaa.csv").write_text(SAMPLE_CSV)
+    (d / "headed.csv").write_text(SAMPLE_CSV)
     (d / "plain.csv").write_text(body)
     (d / "std.csv").write_text("mmsi,timestamp,lat,lon,speed,name\n1,2024-01-01 00:00:00,1.0,2.0,3.0,X\n")
     fmt = {os.path.basename(r["file_path"]): r["format"] for r in positions.detect_format(spark, str(d)).collect()}
-    assert fmt == {"noaa.csv": "noaa", "plain.csv": "noaa_no_header", "std.csv": "standard"}
+    assert fmt == {"headed.csv": "noaa", "plain.csv": "noaa_no_header", "std.csv": "standard"}
     assert positions.read_positions_headerless(spark, str(d / "plain.csv")).count() == 15
     std = positions.read_positions_standard(spark, str(d / "std.csv")).collect()[0]
     assert (std["mmsi"], std["base_datetime"], std["sog"], std["vessel_name"], std["status"]) == \
         ("1", "2024-01-01 00:00:00", "3.0", "X", None)
-    allrows = positions.read_any(spark, [str(d / "noaa.csv"), str(d / "plain.csv"), str(d / "std.csv")])
+    allrows = positions.read_any(spark, [str(d / "headed.csv"), str(d / "plain.csv"), str(d / "std.csv")])
     assert allrows.count() == 31
 
 

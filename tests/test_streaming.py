@@ -35,3 +35,15 @@ def test_backlog_in_bounded_batches(spark, tmp_path):
     stats = incremental_ingest(spark, f"{base}/in/*", f"{base}/t", f"{base}/ck", max_files_per_trigger=2)
     assert stats["batches"] >= 3
     assert read_positions_table(spark, f"{base}/t").count() == cleaned(spark, SF0001).count()
+
+
+def test_two_checkpoints_share_a_table(spark, tmp_path):
+    """A second feed with a checkpoint of its own leaves what the first has stored."""
+    from trackline.streaming.ingest import incremental_ingest, read_positions_table
+    head = "MMSI,BaseDateTime,LAT,LON,SOG,COG,Heading,VesselName,IMO,CallSign,VesselType,Status,Length,Width,Draft,Cargo,TransceiverClass\n"
+    for feed, n in (("a", 10), ("b", 3)):
+        (tmp_path / feed).mkdir()
+        (tmp_path / feed / "f.csv").write_text(head + "".join(
+            f"{100000000 + n},2024-01-15 0{i % 10}:00:00,1.0,2.0,3.0,,,,,,,,,,,,\n" for i in range(n)))
+        incremental_ingest(spark, str(tmp_path / feed), str(tmp_path / "table"), str(tmp_path / f"ckpt-{feed}"))
+    assert read_positions_table(spark, str(tmp_path / "table")).count() == 13

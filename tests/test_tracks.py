@@ -8,13 +8,13 @@ from trackline.operators.clean import clean, coerce_types
 from trackline.operators.tracks import track_legs, vessel_metrics, vessel_summary
 from trackline.sources.positions import ingest_order, read_positions
 
-# golden values (WGS-84 geodesic / haversine nm, hours) for the 15-report sample
+# golden values (WGS-84 geodesic / haversine nm, hours) for the 15-report sample, computed outside Spark
 GOLDEN = {
-    311733000: ("MSC OSCAR", 14.642136417, 14.608992185, 2, 2, 0, 3, 18.833333333, 19.2),
-    636018333: ("EVER GIVEN", 11.981814631, 12.008092147, 2, 2, 0, 3, 15.0, 15.2),
-    538005999: ("CMA CGM KERGUELEN", 7.733200848, 7.736385861, 2, 2, 0, 3, 22.133333333, 22.5),
-    219018671: ("MAERSK EDINBURGH", 1.796842409, 1.792864172, 2, 2, 0, 3, 12.833333333, 13.2),
-    210035000: ("TANGER MED PORT", 0.0, 0.0, 2, 0, 2, 3, 0.0, 0.0),
+    257100011: ("NORDLYS PROBE", 3.243331532, 3.234096299, 2, 2, 0, 3, 11.0, 11.5),
+    230200022: ("QUAY BARGE", 0.0, 0.0, 2, 0, 2, 3, 0.0, 0.0),
+    265300033: ("LONG STRIDER", 30.163356633, 30.056672619, 2, 2, 0, 3, 17.0, 17.4),
+    276400044: ("AMBER COAST", 9.279095418, 9.257546675, 2, 2, 0, 3, 6.4, 6.7),
+    277500055: ("SOUTH WIND", 18.03666798, 18.01213822, 2, 2, 0, 3, 9.2, 9.4),
 }
 
 

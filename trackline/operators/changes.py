@@ -16,10 +16,20 @@ from pyspark.sql import functions as F
 from trackline.functions.numeric import ntz_literal
 
 
-def insert_if_absent(existing: DataFrame, new: DataFrame, key: str | list[str]) -> DataFrame:
-    """``INSERT ... ON CONFLICT (key) DO NOTHING``: existing rows win, new keys are added."""
+def insert_if_absent(existing: DataFrame, new: DataFrame, key: str | list[str],
+                     order_col: str | None = None) -> DataFrame:
+    """``INSERT ... ON CONFLICT (key) DO NOTHING``: existing rows win, one row of each new key is added.
+
+    Of several new rows with one key the first by ``order_col`` is added (any one of them without it).
+    """
     key = [key] if isinstance(key, str) else key
     fresh = new.join(existing.select(*key), key, "left_anti")
+    if order_col is None:
+        fresh = fresh.dropDuplicates(key)
+    else:
+        rest = [c for c in existing.columns if c not in key]
+        fresh = (fresh.groupBy(*key).agg(F.min(F.struct(F.col(order_col).alias("_order"), *rest)).alias("_first"))
+                 .select(*key, *[F.col(f"_first.{c}").alias(c) for c in rest]))
     return existing.unionByName(fresh.select(*existing.columns))
 
 

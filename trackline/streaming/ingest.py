@@ -36,6 +36,9 @@ from trackline.operators.traffic import daily_traffic
 from trackline.schema import CANONICAL_COLUMNS, RAW_CSV_SCHEMA, SOURCE_COLUMNS
 
 
+PROGRESS_KEPT = "spark.sql.streaming.numRecentProgressUpdates"
+
+
 def _parse_stream(spark: SparkSession, source_dir: str, header: bool = True,
                   max_files_per_trigger: int | None = None) -> DataFrame:
     reader = (spark.readStream.schema(RAW_CSV_SCHEMA).option("header", header).option("mode", "PERMISSIVE")
@@ -62,8 +65,14 @@ def incremental_ingest(spark: SparkSession, source_dir: str, table_dir: str, che
     """Run one AvailableNow pass over ``source_dir``; return counts from the query progress."""
     positions_dir = os.path.join(table_dir, "positions")
     stream = _parse_stream(spark, source_dir, header, max_files_per_trigger)
+    owner: list[str] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        # batch ids start anew with every checkpoint, so a folder is named by query and batch:
+        # a replay overwrites its own folder, and never one that another query has written
+        if not owner:
+            owner.append(spark.read.json(os.path.join(checkpoint, "metadata")).first()["id"])
+        name = f"{owner[0]}-{batch_id}"
         ordered = batch.withColumn("_order", F.struct("source_file", F.monotonically_increasing_id()))
         # the de-duplicated batch feeds two jobs (its dates, then the write): keep it
         # (memory and disk; a lost executor recomputes its part from the source files)
@@ -78,19 +87,24 @@ def incremental_ingest(spark: SparkSession, source_dir: str, table_dir: str, che
             new = fresh
             stored = _stored(spark, positions_dir)
             if stored is not None:
-                seen = (stored.where((F.col("batch") != F.lit(batch_id)) & F.col("traffic_date").isin(dates))
+                seen = (stored.where((F.col("batch") != F.lit(name)) & F.col("traffic_date").isin(dates))
                         .select("mmsi", "base_datetime"))
                 new = fresh.join(seen, ["mmsi", "base_datetime"], "left_anti")
             (new.hint("rebalance", "traffic_date").write.mode("overwrite").partitionBy("traffic_date")
-             .parquet(os.path.join(positions_dir, f"batch={batch_id}")))
+             .parquet(os.path.join(positions_dir, f"batch={name}")))
         finally:
             fresh.unpersist()
         if rollup_dir is not None:
             refresh_daily(spark, positions_dir, rollup_dir, dates)
 
-    q = (stream.writeStream.foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
+    kept = spark.conf.get(PROGRESS_KEPT)
+    spark.conf.set(PROGRESS_KEPT, "1000000")  # the counts below need every batch, not the last 100
+    try:
+        q = (stream.writeStream.foreachBatch(write_batch)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        spark.conf.set(PROGRESS_KEPT, kept)
     rows = sum(int(p.numInputRows or 0) for p in q.recentProgress)
     return {"input_rows": rows, "batches": len([p for p in q.recentProgress if (p.numInputRows or 0) > 0])}
 
