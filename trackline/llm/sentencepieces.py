@@ -112,17 +112,36 @@ def encode_units(distinct: DataFrame, pieces: Pieces) -> DataFrame:
     return lattice.select("unit", F.expr(path).alias("back")).select("unit", F.expr(walk).alias("ids"))
 
 
+#: With this off, grouping keeps the order of its input instead of sorting all edges.
+HASH_OBJECTS = "spark.sql.execution.useObjectHashAggregateExec"
+
+
+def _written_paths(distinct: DataFrame, pieces: Pieces, name: str) -> DataFrame:
+    """:func:`encode_units` as a written table.
+
+    Units are sorted before they are exploded, so their edges arrive together and are grouped as they
+    stream by; a sort of the edges, thirty times as many rows, would spill.
+    """
+    conf = distinct.sparkSession.conf
+    was = conf.get(HASH_OBJECTS, "true")
+    conf.set(HASH_OBJECTS, "false")
+    try:
+        return write_shared(encode_units(distinct.sortWithinPartitions("unit"), pieces), name)
+    finally:
+        conf.set(HASH_OBJECTS, was)
+
+
 def encode_occurrences(docs: DataFrame, pieces: Pieces) -> DataFrame:
     """doc_id, row, pos and ids of every unit of every text, in one table; order by pos within a row."""
     picked = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(HEAD_ROWS)
     sample = docs.join(F.broadcast(picked), "doc_id", "left_semi").select("doc_id", F.substring("text", 1, 20_000).alias("text"))
     common = (units(sample, pieces).where("unit is not null").groupBy("unit").agg(F.count(F.lit(1)).alias("n"))
               .orderBy(F.desc("n"), "unit").limit(HEAD).select("unit").where(F.length("unit") <= 64))
-    head = write_shared(encode_units(common, pieces), "pieces-head")  # HEAD short rows at most
+    head = _written_paths(common.repartition("unit"), pieces, "pieces-head")  # HEAD short rows at most
     looked_up = units(docs, pieces).join(F.broadcast(head), "unit", "left")
     found = looked_up.where("unit is null or ids is not null")
     rest = looked_up.where("unit is not null and ids is null").select("doc_id", "row", "pos", "unit")
-    paths = encode_units(rest.select("unit").distinct(), pieces)
+    paths = _written_paths(rest.select("unit").distinct(), pieces, "pieces-tail")
     return found.select("doc_id", "row", "pos", "ids").union(rest.join(paths, "unit").select("doc_id", "row", "pos", "ids"))
 
 
