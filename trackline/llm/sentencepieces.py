@@ -2,8 +2,8 @@
 
 Texts are cut into units at places no piece of the vocabulary spans.  For every
 distinct unit its substrings of up to the longest piece's length are exploded
-and equi-joined to the piece table; the edges are grouped by unit, and the
-Viterbi path of the largest score is folded over them with ``aggregate``.  A
+and equi-joined to the piece table; the edges are grouped by unit as they pass,
+and the Viterbi path of the largest score is folded over them with ``aggregate``.  A
 character without a piece is an edge of its UTF-8 byte pieces, scored as the
 library scores an unknown one.
 
@@ -24,9 +24,13 @@ columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from unicodedata import category
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +51,7 @@ class Pieces:
     unknown_score: float
     first_byte: int  # id of <0x00>; the other bytes follow
     alone: str  # characters that stand in no longer piece
+    letters_apart: bool  # no piece has a letter next to another character, but for spaces in front
 
     @staticmethod
     def load(path: str) -> Pieces:
@@ -62,9 +67,10 @@ class Pieces:
         inner = table["piece"].str.replace(f"^{SPACE}+", "", regex=True)
         if inner.str.contains(SPACE).any():
             raise ValueError("a piece spans two words")
+        kinds = inner.map(lambda p: {category(c)[0] == "L" for c in p})
         longer = set("".join(p for p in table["piece"] if len(p) > 1))
         return Pieces(table, int(table["piece"].str.len().max()), float(table["score"].min()) - UNKNOWN_PENALTY, first,
-                      "".join(c for c in "\n\t0123456789" if c not in longer))
+                      "".join(c for c in "\n\t0123456789" if c not in longer), bool((kinds.map(len) < 2).all()))
 
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.table, "piece string, id int, score double")
@@ -74,61 +80,73 @@ def units(docs: DataFrame, pieces: Pieces) -> DataFrame:
     """doc_id, row (unique to a row), pos and unit; a text without units gives one row with null pos."""
     text = F.when(doc_text() == "", "").otherwise(F.concat(F.lit(SPACE), F.translate(doc_text(), " ", SPACE)))
     alone = pieces.alone.replace("\n", "\\n").replace("\t", "\\t")
-    pattern = f"{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+" + (f"|[{alone}]" if alone else "")
+    kinds = [r"\p{L}", rf"[^{SPACE}\p{{L}}{alone}]"] if pieces.letters_apart else [f"[^{SPACE}{alone}]"]
+    pattern = "|".join([*(f"{SPACE}*{k}+" for k in kinds), f"{SPACE}+", *([f"[{alone}]"] if alone else [])])
     # numbered before the explode, which would otherwise come first
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"),
                        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("units"))
     return rows.select("doc_id", "row", F.posexplode_outer("units").alias("pos", "unit"))
 
 
+def _lattices(edges: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per unit from its edges, which follow each other: unit and, for every place, the edges that end there."""
+    held: list[pa.RecordBatch] = []  # batches of a unit that may go on in the next one
+    before = -1
+
+    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        nonlocal before
+        uid, end = (batch.column(c).to_numpy() for c in ("uid", "end"))
+        new_unit = np.diff(uid, prepend=before) != 0
+        if before > uid[0] or (np.diff(uid) < 0).any():
+            raise ValueError("edges of a unit do not follow each other")
+        before = int(uid[-1])
+        new_place = np.flatnonzero(new_unit | (np.diff(end, prepend=-1) != 0))
+        firsts = np.flatnonzero(new_unit)
+        fields = pa.StructArray.from_arrays([batch.column(c) for c in ("n", "id", "score")], ["n", "id", "score"])
+        places = pa.ListArray.from_arrays(pa.array([*new_place, len(uid)], pa.int32()), fields)
+        units = pa.ListArray.from_arrays(pa.array([*np.searchsorted(new_place, firsts), len(new_place)], pa.int32()), places)
+        return pa.RecordBatch.from_arrays([batch.column("unit").take(pa.array(firsts)), units], ["unit", "places"])
+
+    for batch in edges:
+        if not batch.num_rows:
+            continue
+        uid = batch.column("uid").to_numpy()
+        last = int(np.searchsorted(uid, uid[-1]))  # where the last unit of the batch starts
+        if last or (held and held[-1].column("uid")[-1].as_py() != int(uid[-1])):
+            yield rows(pa.concat_batches([*held, batch.slice(0, last)]))
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield rows(pa.concat_batches(held))
+
+
 def encode_units(distinct: DataFrame, pieces: Pieces) -> DataFrame:
-    """unit and ids, the best path of each distinct unit."""
-    table = F.broadcast(pieces.frame(distinct.sparkSession))  # as many rows as the vocabulary has
-    spans = distinct.select("unit", F.explode(F.expr(
-        f"flatten(transform(sequence(0, length(unit) - 1), i -> transform(sequence(1, least({pieces.longest}, length(unit) - i)), "
-        "n -> named_struct('end', i + n, 'at', i, 'piece', substr(unit, i + 1, n)))))")).alias("s")).select("unit", "s.*")
-    edges = spans.join(table, "piece", "left").where("id is not null or end = at + 1")
-    octets = F.expr("hex(encode(piece, 'UTF-8'))")
-    as_bytes = F.transform(F.sequence(F.lit(0), (F.length(octets) / 2 - 1).cast("int")), lambda i: F.conv(
-        octets.substr((i * 2 + 1).cast("int"), F.lit(2)), 16, 10).cast("int") + pieces.first_byte)
-    edge = F.struct("end", "at", F.coalesce("score", F.lit(pieces.unknown_score)).alias("score"),
-                    F.when(F.col("id").isNotNull(), F.array("id")).otherwise(as_bytes).alias("ids"))
-    lattice = edges.groupBy("unit").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
-    # state: best score and last edge of every finished place, and the best edge so far into the next
-    none = "cast(array() as array<struct<at:int,ids:array<int>>>)"
-    path = f"""aggregate(edges,
-        named_struct('s', array(cast(0 as double)), 'back', {none}, 'end', 1, 'score', cast(null as double),
-                     'last', cast(null as struct<at:int,ids:array<int>>)),
-        (a, e) -> if(e.end > a.end,
-            named_struct('s', concat(a.s, array(a.score)), 'back', concat(a.back, array(a.last)), 'end', e.end,
-                         'score', if(e.at < size(a.s), a.s[e.at], a.score) + e.score, 'last', named_struct('at', e.at, 'ids', e.ids)),
-            if(a.score is null or a.s[e.at] + e.score > a.score,
-                named_struct('s', a.s, 'back', a.back, 'end', a.end, 'score', a.s[e.at] + e.score,
-                             'last', named_struct('at', e.at, 'ids', e.ids)), a)),
-        a -> concat(a.back, array(a.last)))"""
-    walk = """aggregate(sequence(1, size(back)), named_struct('at', size(back), 'ids', cast(array() as array<array<int>>)),
-        (a, i) -> if(a.at > 0, named_struct('at', back[a.at - 1].at, 'ids', concat(array(back[a.at - 1].ids), a.ids)), a),
-        a -> flatten(a.ids))"""
-    return lattice.select("unit", F.expr(path).alias("back")).select("unit", F.expr(walk).alias("ids"))
-
-
-#: With this off, grouping keeps the order of its input instead of sorting all edges.
-HASH_OBJECTS = "spark.sql.execution.useObjectHashAggregateExec"
-
-
-def _written_paths(distinct: DataFrame, pieces: Pieces, name: str) -> DataFrame:
-    """:func:`encode_units` as a written table.
-
-    Units are sorted before they are exploded, so their edges arrive together and are grouped as they
-    stream by; a sort of the edges, thirty times as many rows, would spill.
+    """unit and ids, the best path of each distinct unit.
+
+    The edges of a unit come out of the explode one after the other and are grouped as they pass, without
+    a shuffle or sort of all edges, which are thirty times as many as the units.
     """
-    conf = distinct.sparkSession.conf
-    was = conf.get(HASH_OBJECTS, "true")
-    conf.set(HASH_OBJECTS, "false")
-    try:
-        return write_shared(encode_units(distinct.sortWithinPartitions("unit"), pieces), name)
-    finally:
-        conf.set(HASH_OBJECTS, was)
+    table = F.broadcast(pieces.frame(distinct.sparkSession))  # as many rows as the vocabulary has
+    ends = distinct.select("unit", F.monotonically_increasing_id().alias("uid")).select(
+        "unit", "uid", F.explode(F.sequence(F.lit(1), F.length("unit"))).alias("end"))
+    spans = ends.select("unit", "uid", "end", F.explode(F.sequence(F.least(F.lit(pieces.longest), "end"), F.lit(1), F.lit(-1))).alias("n"))
+    edges = spans.withColumn("piece", F.substring("unit", F.col("end") - F.col("n") + 1, F.col("n"))).join(table, "piece", "left").where(
+        "id is not null or n = 1").select(
+        "uid", F.when(F.col("end") == 1, F.col("unit")).alias("unit"), "end", "n", F.coalesce("id", F.lit(-1)).alias("id"),
+        F.coalesce("score", F.lit(pieces.unknown_score)).alias("score"))
+    lattice = edges.mapInArrow(_lattices, "unit string, places array<array<struct<n:int,id:int,score:double>>>")
+    # best path into every place: its score, and the length and id of its last edge; of equal ones that with the longest edge
+    best = """aggregate(places, array(named_struct('score', cast(0 as double), 'n', 0, 'id', 0)), (a, g) -> concat(a, array(array_max(
+        transform(g, e -> named_struct('score', a[size(a) - e.n].score + e.score, 'n', e.n, 'id', e.id))))))"""
+    walk = """aggregate(sequence(1, size(best) - 1), named_struct('at', size(best) - 1, 'last', cast(array() as array<struct<at:int,id:int>>)),
+        (a, i) -> if(a.at > 0, named_struct('at', a.at - best[a.at].n,
+                                            'last', concat(array(named_struct('at', a.at, 'id', best[a.at].id)), a.last)), a),
+        a -> a.last)"""
+    octets = "hex(encode(substr(unit, e.at, 1), 'UTF-8'))"
+    ids = f"""flatten(transform(path, e -> if(e.id >= 0, array(e.id), transform(sequence(1, length({octets}), 2),
+        i -> cast(conv(substr({octets}, i, 2), 16, 10) as int) + {pieces.first_byte}))))"""
+    return (lattice.select("unit", F.expr(best).alias("best")).select("unit", F.expr(walk).alias("path"))
+            .select("unit", F.expr(ids).alias("ids")))
 
 
 def encode_occurrences(docs: DataFrame, pieces: Pieces) -> DataFrame:
@@ -137,11 +155,11 @@ def encode_occurrences(docs: DataFrame, pieces: Pieces) -> DataFrame:
     sample = docs.join(F.broadcast(picked), "doc_id", "left_semi").select("doc_id", F.substring("text", 1, 20_000).alias("text"))
     common = (units(sample, pieces).where("unit is not null").groupBy("unit").agg(F.count(F.lit(1)).alias("n"))
               .orderBy(F.desc("n"), "unit").limit(HEAD).select("unit").where(F.length("unit") <= 64))
-    head = _written_paths(common.repartition("unit"), pieces, "pieces-head")  # HEAD short rows at most
+    head = write_shared(encode_units(common.repartition("unit"), pieces), "pieces-head")  # HEAD short rows at most
     looked_up = units(docs, pieces).join(F.broadcast(head), "unit", "left")
     found = looked_up.where("unit is null or ids is not null")
     rest = looked_up.where("unit is not null and ids is null").select("doc_id", "row", "pos", "unit")
-    paths = _written_paths(rest.select("unit").distinct(), pieces, "pieces-tail")
+    paths = write_shared(encode_units(rest.select("unit").distinct(), pieces), "pieces-tail")
     return found.select("doc_id", "row", "pos", "ids").union(rest.join(paths, "unit").select("doc_id", "row", "pos", "ids"))
 
 
