@@ -139,3 +139,50 @@ def test_detect_format_falls_back_to_text_scan(spark, tmp_path, monkeypatch):
             for r in positions.detect_format(spark, str(d)).collect()}
     assert fast == slow == {"a.csv": ("noaa", "MMSI,BaseDateTime,LAT"),
                             "b.csv": ("noaa_no_header", "1,2024-01-01 00:00:00,3")}
+
+
+def test_columns_go_by_name(spark, tmp_path):
+    d = tmp_path / "named"
+    d.mkdir()
+    (d / "swapped.csv").write_text("LON,LAT,MMSI,BaseDateTime,SOG,Port\n-5.5,35.5,1,2024-01-15 08:00:00,3.0,X\n")
+    wide = ",".join([*positions.SOURCE_COLUMNS, "Port"])
+    (d / "wide.csv").write_text(wide + "\n2,2024-01-15 08:00:00,10,20,1" + "," * 12 + ",Y\n3,2024-01-15 08:00:00,10,20,1" + "," * 13 + ",Z\n")
+    for df in (positions.read_positions(spark, str(d)), positions.read_any(spark, [str(d)])):
+        got = {r["mmsi"]: (r["latitude"], r["longitude"], r["sog"]) for r in df.collect()}
+        assert got == {"1": ("35.5", "-5.5", "3.0"), "2": ("10", "20", "1")}  # row 3 has more fields than its header
+
+
+def test_standard_rows_longer_than_header(spark, tmp_path):
+    text = 'mmsi,time,lat,lon,name\n1,2024-01-01,1,2,"a, b"\n2,2024-01-01,1,2,x,\n3,2024-01-01,1\n'
+    df = positions.read_positions_standard(spark, _write(tmp_path, "s.csv", text))
+    assert {r["mmsi"]: r["vessel_name"] for r in df.collect()} == {"1": "a, b", "3": None}
+
+
+def test_zip_members_by_name_and_read_any(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "two.zip", "w", zipfile.ZIP_DEFLATED) as zf:
+        zf.writestr("std.csv", 'mmsi,lat,lon,timestamp,speed,name\n7,1.0,2.0,2024-01-01 00:00:00,3.0,"A, ""B"""\n8,1,2,2024-01-01,3,x,y\n')
+        zf.writestr("noaa.csv", SAMPLE_CSV)
+    _write(tmp_path, "plain.csv", SAMPLE_CSV)
+    rows = positions.read_any(spark, [str(tmp_path)]).collect()
+    assert len(rows) == 31
+    seven = [r for r in rows if r["mmsi"] == "7"][0]
+    assert (seven["base_datetime"], seven["latitude"], seven["longitude"], seven["sog"], seven["vessel_name"]) == \
+        ("2024-01-01 00:00:00", "1.0", "2.0", "3.0", 'A, "B"')
+
+
+def test_times_with_zones_and_slashes(spark):
+    texts = {"2024-01-15T08:00:00Z": "2024-01-15 08:00:00", "2024-01-15 08:00:00+02:30": "2024-01-15 05:30:00",
+             "2024-01-15T08:00:00.25-0100": "2024-01-15 09:00:00.25", "01/15/2024 09:00:00": "2024-01-15 09:00:00",
+             "2024/01/15 09:00": "2024-01-15 09:00:00", "2024-01-15": "2024-01-15 00:00:00", "2024-01-15 08:00 UTC": "2024-01-15 08:00:00",
+             "2024-13-01": None, "Z": None, "": None}
+    df = spark.createDataFrame([(t,) for t in texts], "base_datetime string").withColumn("t", F.col("base_datetime"))
+    got = {r["t"]: r["s"] for r in coerce_types(df).select("t", F.col("base_datetime").cast("string").alias("s")).collect()}
+    assert got == texts
+
+
+def test_skip_then_normal_run(spark, tmp_path):
+    from trackline.plans.pipeline import run_pipeline
+    src = _write(tmp_path, "a.csv", SAMPLE_CSV + "9,not a time,1,2,3\n")
+    run_pipeline(spark, str(tmp_path / "store"), paths=[src], skip_processing=True)
+    done = run_pipeline(spark, str(tmp_path / "store"), paths=[src], skip_stats=True)
+    assert spark.read.parquet(done.positions_path).count() == 31

@@ -12,8 +12,12 @@ from trackline.schema import NA_TOKENS
 # (``1.5d``, ``1,000``) is rejected before the cast.
 NUMBER_PATTERN = r"^\s*[+-]?(([0-9]+\.?[0-9]*)|(\.[0-9]+))([eE][+-]?[0-9]+)?\s*$"
 SPECIAL_NUMBER_PATTERN = r"^\s*[+-]?(?i)(inf|infinity|nan)\s*$"
-# Accepted timestamp texts: date, then blank or T, then time with optional fraction.
-TIMESTAMP_PATTERN = r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?)?\s*$"
+# Accepted timestamp texts: year first (dashes or slashes) or month/day/year, then perhaps blank or T,
+# a time with optional seconds and fraction, and a zone (Z or an offset from UTC).
+TIMESTAMP_PATTERN = (r"^([0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})"
+                     r"([ T][0-9]{1,2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?( ?(Z|z|UTC|[+-][0-9]{2}:?[0-9]{2}))?)?$")
+ZONE_PATTERN = r"^[^:]+:.* ?(Z|z|UTC|[+-][0-9]{2}:?[0-9]{2})$"
+OFFSET_PATTERN = r"^[^:]+:.*([+-])([0-9]{2}):?([0-9]{2})$"
 
 
 def na_to_null(c: Column) -> Column:
@@ -35,6 +39,12 @@ def to_long_id(c: Column) -> Column:
 
 
 def to_timestamp_ntz(c: Column) -> Column:
-    """Text -> TIMESTAMP_NTZ; NULL when it does not parse."""
-    s = F.regexp_replace(F.trim(c), "T", " ")
-    return F.when(F.trim(c).rlike(TIMESTAMP_PATTERN), s.try_cast("timestamp_ntz"))
+    """Text -> TIMESTAMP_NTZ in UTC; NULL when it does not parse.  A text without a zone is taken as UTC."""
+    s = F.trim(c)
+    local = F.when(s.rlike(ZONE_PATTERN), F.regexp_replace(s, r" ?(Z|z|UTC|[+-][0-9]{2}:?[0-9]{2})$", "")).otherwise(s)
+    date_first = F.regexp_replace(F.regexp_replace(local, r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})", "$3-$1-$2"), "/", "-")
+    at = F.regexp_replace(date_first, "T", " ").try_cast("timestamp_ntz")
+    sign = F.when(F.regexp_extract(s, OFFSET_PATTERN, 1) == "-", -1).otherwise(1)
+    hours, minutes = (F.regexp_extract(s, OFFSET_PATTERN, i).cast("int") * sign for i in (2, 3))
+    utc = F.when(s.rlike(OFFSET_PATTERN), at - F.make_dt_interval(hours=hours, mins=minutes)).otherwise(at)
+    return F.when(s.rlike(TIMESTAMP_PATTERN), utc)

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from trackline.operators.clean import clean, dedupe_positions, limit_records
+from trackline.operators.clean import clean, coerce_types, dedupe_positions, limit_records
 from trackline.operators.fleet import comprehensive_report
 from trackline.operators.tracks import vessel_metrics
 from trackline.operators.vessels import top_vessels
@@ -68,7 +68,7 @@ def run_pipeline(spark: SparkSession, store: str, raw: DataFrame | None = None,
     if max_records is not None:
         raw = limit_records(raw, max_records, order)
     if skip_processing:
-        batch = raw
+        batch = coerce_types(raw)  # typed like every other run's rows; a bad time becomes NULL
         metrics = None
     else:
         batch = clean(raw, order_col=order)

@@ -9,8 +9,11 @@ a whole archive in one value, so archives must stay under 2 GB.
 
 from __future__ import annotations
 
+import csv
 import io
+import warnings
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -20,6 +23,7 @@ from pyspark.sql import types as T
 
 from trackline.functions.parse import na_to_null
 from trackline.schema import CANONICAL_COLUMNS, RAW_CSV_SCHEMA, SOURCE_COLUMNS
+from trackline.sources.positions import header_mapping, header_names
 
 LINE_SCHEMA = T.StructType([
     T.StructField("archive", T.StringType()),
@@ -30,24 +34,58 @@ LINE_SCHEMA = T.StructType([
 BATCH_LINES = 50_000
 
 
+def _member_lines(fh) -> Iterator[str]:
+    """Lines of one CSV member in the 17-column layout.
+
+    A member whose header names the columns in another order or number is
+    laid out anew, field by field; its rows with more fields than the header
+    are skipped.
+    """
+    text = io.TextIOWrapper(fh, encoding="utf-8-sig", errors="replace", newline="")
+    first = next(text, None)
+    if first is None:
+        return
+    names = header_names(first) if "mmsi" in first.lower() else SOURCE_COLUMNS
+    if [n.lower() for n in names] == [n.lower() for n in SOURCE_COLUMNS]:
+        yield first.rstrip("\r\n")
+        for line in text:
+            yield line.rstrip("\r\n")
+        return
+    yield ",".join(SOURCE_COLUMNS)
+    field = {dst: i for i, dst in header_mapping(names).items()}
+    places = [field.get(c, len(names)) for c in CANONICAL_COLUMNS]
+    for row in csv.reader(text):
+        if row and len(row) <= len(names):
+            padded = row + [""] * (len(names) + 1 - len(row))
+            out = io.StringIO()
+            csv.writer(out, lineterminator="", escapechar="\\", doublequote=False).writerow([padded[i] for i in places])
+            yield out.getvalue()
+
+
 def _archive_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(path, content) rows -> (archive, member, line_no, line) rows, in bounded batches."""
+    """(path, content) rows -> (archive, member, line_no, line) rows, in bounded batches.
+
+    An archive that cannot be opened contributes no rows, a member that turns
+    out damaged those before the damage.
+    """
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             try:
                 zf = zipfile.ZipFile(io.BytesIO(content))
                 members = [m for m in zf.namelist() if m.lower().endswith(".csv")]
             except zipfile.BadZipFile:
-                continue  # a corrupt archive contributes no rows
+                continue
             for member in members:
                 buf: list[tuple[str, str, int, str]] = []
-                with zf.open(member) as fh:
-                    text = io.TextIOWrapper(fh, encoding="utf-8", errors="replace", newline="")
-                    for i, line in enumerate(text):
-                        buf.append((path, member, i, line.rstrip("\r\n")))
-                        if len(buf) >= BATCH_LINES:
-                            yield pd.DataFrame(buf, columns=LINE_SCHEMA.fieldNames())
-                            buf = []
+                try:
+                    with zf.open(member) as fh:
+                        for i, line in enumerate(_member_lines(fh)):
+                            buf.append((path, member, i, line))
+                            if len(buf) >= BATCH_LINES:
+                                yield pd.DataFrame(buf, columns=LINE_SCHEMA.fieldNames())
+                                buf = []
+                except (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, NotImplementedError, csv.Error) as e:
+                    warnings.warn(f"{path}!{member}: {e}", stacklevel=2)
                 if buf:
                     yield pd.DataFrame(buf, columns=LINE_SCHEMA.fieldNames())
 

@@ -10,6 +10,7 @@ the CSV source itself (but are then not split).
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackline.functions.parse import na_to_null
-from trackline.schema import CANONICAL_COLUMNS, RAW_CSV_SCHEMA, SOURCE_COLUMNS, STANDARD_ALIASES
+from trackline.schema import CANONICAL_COLUMNS, SOURCE_COLUMNS, STANDARD_ALIASES
 
 PROVENANCE = ["source_file", "source_offset", "ingest_seq"]
 ORDER = "ingest_order"
@@ -38,30 +39,78 @@ def ingest_order(df: DataFrame) -> DataFrame:
     return df.withColumn(ORDER, F.struct(*[F.col(c) for c in PROVENANCE]))
 
 
-def _canonical_strings(df: DataFrame, names: list[str]) -> DataFrame:
-    """Rename source headers to canonical names; missing-value tokens -> NULL."""
-    return df.select(
-        *[na_to_null(F.col(f"`{src}`")).alias(dst) for src, dst in names],
-        *[F.col(c) for c in PROVENANCE],
-    )
+CORRUPT = "_bad_row"
+#: Separators outside quotes decide whether a row has more fields than its header.
+QUOTED = r'"([^"]|"")*"'
 
 
-def read_positions(spark: SparkSession, paths: str | list[str], header: bool = True,
-                   spread: int | None = None) -> DataFrame:
-    """Read 17-column position CSV files (headed or not) as canonical string columns.
+def header_names(line: str) -> list[str]:
+    """Column names of a header line, quotes, blanks and a byte-order mark removed."""
+    return [name.strip() for name in next(csv.reader([line.lstrip("\ufeff")]), [])]
 
-    Rows with more fields than the 17 columns are skipped; short rows are
-    kept with NULLs; an empty file yields no rows.  Plain CSV is split into
-    many tasks by the reader; a compressed (``.gz``) file is not, so
-    ``spread=n`` redistributes its rows over ``n`` partitions after reading.
-    """
-    reader = (spark.read.schema(RAW_CSV_SCHEMA)
-              .option("header", header).option("mode", "PERMISSIVE").option("enforceSchema", True)
-              .option("encoding", "UTF-8"))
-    df = _with_provenance(reader.csv(paths)).where(F.col("_extra").isNull())
+
+def header_mapping(names: list[str]) -> dict[int, str]:
+    """Field number -> canonical column, by name; the first of equal names counts, unknown names are left out."""
+    taken: dict[str, int] = {}
+    for i, name in enumerate(names):
+        dst = STANDARD_ALIASES.get(name.lower())
+        if dst:
+            taken.setdefault(dst, i)
+    return {i: dst for dst, i in taken.items()}
+
+
+def _read_fields(spark: SparkSession, paths: str | list[str], fields: int, header: bool) -> DataFrame:
+    """``f0 .. f<n-1>`` and provenance of CSV files of ``fields`` columns; rows with more fields are skipped, short ones kept."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*(f"f{i}" for i in range(fields)), CORRUPT]])
+    reader = (spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE").option("enforceSchema", True)
+              .option("encoding", "UTF-8").option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False))
+    too_long = F.size(F.split(F.regexp_replace(CORRUPT, QUOTED, ""), ",")) > fields
+    # always so for such a row; Spark wants a parsed column read beside the corrupt text, also for a bare count
+    too_long &= F.coalesce("f0", F.lit("")) != F.col(CORRUPT)
+    return _with_provenance(reader.csv(paths)).where(~F.coalesce(too_long, F.lit(False)))
+
+
+def _read_layout(spark: SparkSession, paths: str | list[str], names: list[str], header: bool, spread: int | None = None,
+                 fill_missing: bool = True) -> DataFrame:
+    """Canonical string columns of files that share one list of column names."""
+    fields = header_mapping(names)
+    df = _read_fields(spark, paths, len(names), header)
     if spread:
         df = df.repartition(int(spread))
-    return _canonical_strings(df, list(zip(SOURCE_COLUMNS, CANONICAL_COLUMNS)))
+    source = {dst: na_to_null(F.col(f"f{i}")) for i, dst in fields.items()}
+    missing = F.lit(None).cast("string")
+    return df.select(*[source.get(c, missing).alias(c) for c in CANONICAL_COLUMNS if fill_missing or c in source], *PROVENANCE)
+
+
+def _read_headed(spark: SparkSession, paths: str | list[str], spread: int | None = None, fill_missing: bool = True) -> DataFrame:
+    """Files with header lines, each under its own: one reader for every distinct header."""
+    files = _first_line_of_each(spark, paths)
+    lines = [r["first_line"] for r in files.select("first_line").distinct().collect()]
+    if len(lines) < 2:  # one layout: the paths are read as given
+        names = header_names(lines[0]) if lines else SOURCE_COLUMNS
+        return _read_layout(spark, paths, names, True, spread, fill_missing)
+    of_line: dict[str, list[str]] = {}
+    for r in files.collect():
+        of_line.setdefault(r["first_line"], []).append(r["file_path"])
+    return combine_files([_read_layout(spark, sorted(ps), header_names(line), True, spread, fill_missing)
+                          for line, ps in sorted(of_line.items())])
+
+
+def read_positions(spark: SparkSession, paths: str | list[str], header: bool = True,
+                   spread: int | None = None) -> DataFrame:
+    """Read position CSV files (headed or not) as canonical string columns.
+
+    Columns of a headed file go by the names in its header, in any order;
+    columns with other names are left out, absent ones are NULL.  Rows with
+    more fields than the header (without one: than the 17 columns) are
+    skipped; short rows are kept with NULLs; an empty file yields no rows.
+    Plain CSV is split into many tasks by the reader; a compressed (``.gz``)
+    file is not, so ``spread=n`` redistributes its rows over ``n`` partitions
+    after reading.
+    """
+    if header:
+        return _read_headed(spark, paths, spread)
+    return _read_layout(spark, paths, SOURCE_COLUMNS, False, spread)
 
 
 def read_positions_headerless(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -76,24 +125,7 @@ def read_positions_standard(spark: SparkSession, paths: str | list[str], fill_mi
     the file come back as NULL strings (or are left out with
     ``fill_missing=False``, for a later union by name).
     """
-    df = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE").csv(paths)
-    df = _with_provenance(df)
-    mapping = []
-    taken = set()
-    for c in df.columns:
-        if c in PROVENANCE:
-            continue
-        dst = STANDARD_ALIASES.get(c.strip().lower())
-        if dst and dst not in taken:
-            mapping.append((c, dst))
-            taken.add(dst)
-    out = _canonical_strings(df, mapping)
-    if not fill_missing:
-        return out
-    missing = [c for c in CANONICAL_COLUMNS if c not in taken]
-    return out.select(*[F.col(c) for c in CANONICAL_COLUMNS if c in taken],
-                      *[F.lit(None).cast("string").alias(c) for c in missing],
-                      *PROVENANCE).select(*CANONICAL_COLUMNS, *PROVENANCE)
+    return _read_headed(spark, paths, fill_missing=fill_missing)
 
 
 # Bytes read per step while looking for the end of a file's first line.
@@ -172,6 +204,17 @@ def _first_lines_by_text_scan(spark: SparkSession, paths: str | list[str]) -> Da
     return lines.groupBy("file_path").agg(F.min_by("value", "_id").alias("first_line"))
 
 
+def _first_line_of_each(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """file_path and first_line of every file that has one; ZIP archives are left out."""
+    files = (spark.read.format("binaryFile").load(paths).select("path", "length")
+             .where((F.col("length") > 0) & ~F.lower("path").endswith(".zip")))
+    sample = files.select("path").limit(1).collect()
+    if sample and not _head_reader_works(sample[0]["path"]):
+        return _first_lines_by_text_scan(spark, paths)
+    return files.select("path").mapInPandas(_first_lines, "file_path string, first_line string").where(
+        F.col("first_line").isNotNull())
+
+
 def detect_format(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Classify each file by its first line: ``noaa``, ``standard`` or ``noaa_no_header``.
 
@@ -182,29 +225,26 @@ def detect_format(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     the listed files (checked on one of them), Spark's text source is used
     instead, which reads every split.
     """
-    files = spark.read.format("binaryFile").load(paths).select("path", "length").where(F.col("length") > 0)
-    sample = files.select("path").limit(1).collect()
-    if sample and not _head_reader_works(sample[0]["path"]):
-        return _classify(_first_lines_by_text_scan(spark, paths))
-    first = files.select("path").mapInPandas(_first_lines, "file_path string, first_line string") \
-        .where(F.col("first_line").isNotNull())
-    return _classify(first)
+    return _classify(_first_line_of_each(spark, paths))
 
 
 def read_any(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Detect each file's format, read every group with its reader, union by name.
+    """Detect each file's format, read every group with its layout, union by name; ZIP archives are opened.
 
     Only the (file, format) list -- metadata, one row per file -- reaches the
     driver; the reads themselves are distributed.
     """
-    groups: dict[tuple[str, str], list[str]] = {}
-    for row in detect_format(spark, paths).select("file_path", "format", "first_line").collect():
-        # fixed-layout files share one reader; "standard" files need one reader per distinct header
-        header = row["first_line"].strip().lower() if row["format"] == "standard" else ""
-        groups.setdefault((row["format"], header), []).append(row["file_path"])
-    readers = {"noaa": read_positions, "noaa_no_header": read_positions_headerless,
-               "standard": read_positions_standard}
-    frames = [readers[f](spark, sorted(ps)) for (f, _), ps in sorted(groups.items())]
+    from trackline.sources.archives import read_zip_positions
+
+    groups: dict[tuple[str, ...], list[str]] = {}
+    headed = F.when(F.col("format") != "noaa_no_header", F.col("first_line"))  # not a line of data
+    for row in detect_format(spark, paths).select("file_path", headed.alias("header")).collect():
+        groups.setdefault(() if row["header"] is None else tuple(header_names(row["header"])), []).append(row["file_path"])
+    frames = [_read_layout(spark, sorted(ps), list(names) or SOURCE_COLUMNS, bool(names)) for names, ps in sorted(groups.items())]
+    archives = spark.read.format("binaryFile").load(paths).select("path").where(F.lower("path").endswith(".zip"))
+    zipped = [r["path"] for r in archives.collect()]
+    if zipped:
+        frames.append(read_zip_positions(spark, zipped))
     if not frames:
         return spark.createDataFrame([], T.StructType(
             [T.StructField(c, T.StringType()) for c in CANONICAL_COLUMNS]
