@@ -47,3 +47,14 @@ def test_two_checkpoints_share_a_table(spark, tmp_path):
             f"{100000000 + n},2024-01-15 0{i % 10}:00:00,1.0,2.0,3.0,,,,,,,,,,,,\n" for i in range(n)))
         incremental_ingest(spark, str(tmp_path / feed), str(tmp_path / "table"), str(tmp_path / f"ckpt-{feed}"))
     assert read_positions_table(spark, str(tmp_path / "table")).count() == 13
+
+
+def test_files_of_several_layouts(spark, tmp_path):
+    import zipfile
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "swapped.csv").write_text("LON,LAT,MMSI,BaseDateTime,SOG,Port\n-5.5,35.5,100000001,2024-01-15 08:00:00,3.0,X\n")
+    with zipfile.ZipFile(tmp_path / "in" / "one.zip", "w") as zf:
+        zf.writestr("std.csv", "mmsi,lat,lon,time,speed\n100000002,1.0,2.0,2024-01-15T09:00:00Z,3.0\n")
+    stats = incremental_ingest(spark, str(tmp_path / "in"), str(tmp_path / "table"), str(tmp_path / "ckpt"))
+    got = {r["mmsi"]: (r["latitude"], r["longitude"]) for r in read_positions_table(spark, str(tmp_path / "table")).collect()}
+    assert got == {100000001: (35.5, -5.5), 100000002: (1.0, 2.0)} and stats == {"input_rows": 2, "batches": 1}

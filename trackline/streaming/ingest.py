@@ -1,10 +1,10 @@
 """Incremental ingest of newly arrived position files, and refresh of the daily rollup.
 
-``incremental_ingest`` is a Structured Streaming query over a folder of CSV
-files.  Each new file is parsed and range-checked, and every micro-batch goes
-to ``foreachBatch``, which
+``incremental_ingest`` is a Structured Streaming query over the files of a
+folder.  Every micro-batch is a bounded list of new files, and ``foreachBatch``
 
-1. de-duplicates the batch (first report per (mmsi, time) in file order),
+1. reads them with the batch readers, checks ranges and de-duplicates (first
+   report per (mmsi, time) in file order),
 2. drops reports already in the table -- an anti-join against the stored
    reports of the dates the batch touches only (partition pruning), so the
    table itself is the de-duplication state: no report is loaded twice and
@@ -26,30 +26,25 @@ import os
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from trackline.functions.parse import na_to_null
 from trackline.operators.clean import (coerce_types, dedupe_positions, drop_incomplete, valid_coordinates,
                                        valid_speed)
 from trackline.operators.traffic import daily_traffic
-from trackline.schema import CANONICAL_COLUMNS, RAW_CSV_SCHEMA, SOURCE_COLUMNS
+from trackline.schema import CANONICAL_COLUMNS
+from trackline.sources.positions import ORDER, PROVENANCE, ingest_order, read_any, read_positions
 
 
-PROGRESS_KEPT = "spark.sql.streaming.numRecentProgressUpdates"
+LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def _parse_stream(spark: SparkSession, source_dir: str, header: bool = True,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = (spark.readStream.schema(RAW_CSV_SCHEMA).option("header", header).option("mode", "PERMISSIVE")
-              .option("enforceSchema", True))
+def _new_files(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream of the paths of new files; their content is not read here."""
+    reader = spark.readStream.format("binaryFile").schema(LISTING)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    raw = reader.csv(source_dir)
-    raw = raw.where(F.col("_extra").isNull()).select(
-        *[na_to_null(F.col(src)).alias(dst) for src, dst in zip(SOURCE_COLUMNS, CANONICAL_COLUMNS)],
-        F.col("_metadata.file_path").alias("source_file"))
-    return valid_speed(valid_coordinates(drop_incomplete(coerce_types(raw))))
+    return reader.load(source_dir).where("length > 0").select("path")
 
 
 def _stored(spark: SparkSession, positions_dir: str) -> DataFrame | None:
@@ -62,10 +57,15 @@ def _stored(spark: SparkSession, positions_dir: str) -> DataFrame | None:
 def incremental_ingest(spark: SparkSession, source_dir: str, table_dir: str, checkpoint: str,
                        rollup_dir: str | None = None, header: bool = True,
                        max_files_per_trigger: int | None = 1000) -> dict:
-    """Run one AvailableNow pass over ``source_dir``; return counts from the query progress."""
+    """Run one AvailableNow pass over ``source_dir``; return the rows read and the number of batches.
+
+    Files may be headed (columns go by name), header-less, "standard" or ZIP
+    archives; with ``header=False`` all are CSV without a header line.
+    """
     positions_dir = os.path.join(table_dir, "positions")
-    stream = _parse_stream(spark, source_dir, header, max_files_per_trigger)
+    stream = _new_files(spark, source_dir, max_files_per_trigger)
     owner: list[str] = []
+    counts: list[int] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # batch ids start anew with every checkpoint, so a folder is named by query and batch:
@@ -73,15 +73,22 @@ def incremental_ingest(spark: SparkSession, source_dir: str, table_dir: str, che
         if not owner:
             owner.append(spark.read.json(os.path.join(checkpoint, "metadata")).first()["id"])
         name = f"{owner[0]}-{batch_id}"
-        ordered = batch.withColumn("_order", F.struct("source_file", F.monotonically_increasing_id()))
+        paths = [r["path"] for r in batch.collect()]  # max_files_per_trigger at most
+        if not paths:
+            return
+        read = Observation()
+        raw = read_any(spark, paths) if header else read_positions(spark, paths, header=False)
+        raw = ingest_order(raw).observe(read, F.count(F.lit(1)).alias("rows"))
+        valid = valid_speed(valid_coordinates(drop_incomplete(coerce_types(raw))))
         # the de-duplicated batch feeds two jobs (its dates, then the write): keep it
         # (memory and disk; a lost executor recomputes its part from the source files)
-        fresh = (dedupe_positions(ordered, order_col="_order").drop("_order", "source_file")
+        fresh = (dedupe_positions(valid, order_col=ORDER).drop(ORDER, *PROVENANCE)
                  .withColumn("traffic_date", F.to_date("base_datetime"))
                  .persist(StorageLevel.MEMORY_AND_DISK))
         try:
             # the dates of one batch: a short list, used to prune the stored partitions
             dates = [r["traffic_date"] for r in fresh.select("traffic_date").distinct().collect()]
+            counts.append(read.get["rows"])
             if not dates:
                 return
             new = fresh
@@ -97,16 +104,10 @@ def incremental_ingest(spark: SparkSession, source_dir: str, table_dir: str, che
         if rollup_dir is not None:
             refresh_daily(spark, positions_dir, rollup_dir, dates)
 
-    kept = spark.conf.get(PROGRESS_KEPT)
-    spark.conf.set(PROGRESS_KEPT, "1000000")  # the counts below need every batch, not the last 100
-    try:
-        q = (stream.writeStream.foreachBatch(write_batch)
-             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-        q.awaitTermination()
-    finally:
-        spark.conf.set(PROGRESS_KEPT, kept)
-    rows = sum(int(p.numInputRows or 0) for p in q.recentProgress)
-    return {"input_rows": rows, "batches": len([p for p in q.recentProgress if (p.numInputRows or 0) > 0])}
+    q = (stream.writeStream.foreachBatch(write_batch)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return {"input_rows": sum(counts), "batches": len(counts)}
 
 
 def read_positions_table(spark: SparkSession, table_dir: str) -> DataFrame:
