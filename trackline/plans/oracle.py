@@ -409,7 +409,8 @@ WHERE o.mmsi IS NULL OR n.mmsi IS NULL OR {" OR ".join(f"o.{c} IS DISTINCT FROM
 NAME_NA = "CASE WHEN vessel_name = '' THEN NULL ELSE vessel_name END AS vessel_name"
 READ_BACK_SEL = (f"mmsi, base_datetime, {rnd('latitude')}, {rnd('longitude')}, {rnd('sog')}, {rnd('cog')},"
                  f" {NAME_NA}, vessel_type, status")
-for _key in ["read_positions", "read_positions_headerless", "read_positions_standard", "read_zip_positions"]:
+for _key in ["read_positions", "read_positions_reordered", "read_positions_extra_column", "read_positions_headerless",
+             "read_positions_standard", "read_zip_positions"]:
     oracle(_key, with_([RAW], f"SELECT {READ_BACK_SEL} FROM raw"))
 oracle("combine_files", with_([RAW], f"""
 SELECT mmsi, base_datetime, {rnd('latitude')}, {rnd('longitude')}, {rnd('sog')}, {rnd('cog')}, {NAME_NA},

@@ -359,6 +359,21 @@ def q_read_positions(spark, sf):
     return _typed(positions.read_positions(spark, path))
 
 
+@query("read_positions_reordered")
+def q_read_positions_reordered(spark, sf):
+    """Headed files whose columns stand in reverse order."""
+    text = _as_source_text(raw(spark, sf))
+    path = _write_csv(text.select(*reversed(text.columns)), scratch_path(spark, "reordered"))
+    return _typed(positions.read_positions(spark, path))
+
+
+@query("read_positions_extra_column")
+def q_read_positions_extra_column(spark, sf):
+    """Headed files with a column that the table does not have."""
+    path = _write_csv(_as_source_text(raw(spark, sf)).withColumn("Port", F.lit("x")), scratch_path(spark, "extra"))
+    return _typed(positions.read_positions(spark, path))
+
+
 @query("read_positions_headerless")
 def q_read_positions_headerless(spark, sf):
     path = _write_csv(_as_source_text(raw(spark, sf)), scratch_path(spark, "headerless"), header=False)
