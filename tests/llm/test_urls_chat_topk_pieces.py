@@ -242,3 +242,27 @@ def test_pieces_empty_and_repeated(spark):
     assert sentencepieces.document_digests(docs.limit(0), pieces).count() == 0
     out = sorted(((r["doc_id"] or 0, r["n_units"], r["n_ids"]) for r in sentencepieces.document_digests(docs, pieces).collect()))
     assert out == [(0, 0, 0), (1, 2, 2), (1, 2, 2)]
+
+
+def test_pieces_query_encodes_and_decodes(spark, monkeypatch):
+    """The query returns every text's ids and what they decode to, one row for each row."""
+    monkeypatch.setattr(sentencepieces, "HEAD", 50)  # so that most texts hold rare units
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    pieces = sentencepieces.Pieces.load(vocabulary("piece_bpe_32k.model"))
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    out = QUERIES["op10_sentencepiece"](spark, SF).collect()
+    assert len(out) == docs.count()
+    assert {r["doc_id"]: r["ids"] for r in out} == {i: viterbi(t, pieces) for i, t in texts.items()}
+    assert {r["doc_id"]: r["text"] for r in out} == {i: t.replace("▁", " ") for i, t in texts.items()}
+
+
+def test_pieces_rows_and_unknown_ids(spark):
+    pieces = sentencepieces.Pieces.load(vocabulary("piece_bpe_32k.model"))
+    docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (1, "other"), (None, None), (None, "x")], "doc_id long, text string")
+    encoded = sentencepieces.encode(docs, pieces)
+    assert len({r["row"] for r in encoded.collect()}) == 5
+    back = sentencepieces.decode(encoded, pieces, ["row", "doc_id"]).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in back) == [(0, ""), (0, "x"), (1, "a b"), (1, "a b"), (1, "other")]
+    assert sentencepieces.encode(docs.limit(0), pieces).count() == 0
+    odd = spark.createDataFrame([(1, [-5, 10 ** 6, None]), (2, None), (3, [])], "doc_id long, ids array<int>")
+    assert {r["doc_id"]: r["text"] for r in sentencepieces.decode(odd, pieces).collect()} == {1: "", 2: "", 3: ""}

@@ -66,7 +66,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = sentencepieces.Pieces.load(vocabulary("piece_bpe_32k.model"))
-    return sentencepieces.document_digests(read_table(spark, sf_dir, "documents"), pieces)
+    encoded = write_shared(sentencepieces.encode(read_table(spark, sf_dir, "documents"), pieces), "pieces-ids")
+    return sentencepieces.decode(encoded, pieces, ["doc_id", "ids"]).select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "text")
 
 
 QUERIES = {f.__name__: f for f in (

@@ -14,8 +14,10 @@ a model of the BPE kind, for which the library merges pairs instead: its ids
 can differ, while both decode to the same text.
 
 Units that are frequent in a bounded sample of documents (``HEAD``) are encoded
-first and sent to every task; all others meet their paths in a shuffle join.
-The choice moves work only, never a result.
+first and sent to every task; all others meet their paths in a shuffle join and
+are put back in their texts' places.  The choice moves work only, never a result.
+
+Decoding looks up the bytes of every id in a small array, row by row.
 
 A space becomes ``▁`` and a text gets one in front, as the model asks.  Null and
 empty texts have no pieces.  Rows that repeat are encoded one by one.  Other
@@ -31,14 +33,17 @@ from unicodedata import category
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-from .common import doc_text, write_shared
+from .common import doc_text, slices_by_bytes, write_shared
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 HEAD = 200_000  # rows sent to every task, of 64 characters at most
+DECODED_IDS = 4_000_000  # decoded at a time
 HEAD_ROWS = 8_000  # documents of the sample that names the head
 
 
@@ -149,41 +154,122 @@ def encode_units(distinct: DataFrame, pieces: Pieces) -> DataFrame:
             .select("unit", F.expr(ids).alias("ids")))
 
 
-def encode_occurrences(docs: DataFrame, pieces: Pieces) -> DataFrame:
-    """doc_id, row, pos and ids of every unit of every text, in one table; order by pos within a row."""
+def _head(docs: DataFrame, pieces: Pieces) -> DataFrame:
+    """unit and ids of the units that are frequent in a sample of ``docs``; written."""
     picked = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(HEAD_ROWS)
     sample = docs.join(F.broadcast(picked), "doc_id", "left_semi").select("doc_id", F.substring("text", 1, 20_000).alias("text"))
     common = (units(sample, pieces).where("unit is not null").groupBy("unit").agg(F.count(F.lit(1)).alias("n"))
               .orderBy(F.desc("n"), "unit").limit(HEAD).select("unit").where(F.length("unit") <= 64))
-    head = write_shared(encode_units(common.repartition("unit"), pieces), "pieces-head")  # HEAD short rows at most
-    looked_up = units(docs, pieces).join(F.broadcast(head), "unit", "left")
+    return write_shared(encode_units(common.repartition("unit"), pieces), "pieces-head")  # HEAD short rows at most
+
+
+def _texts(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per text from its units, which follow each other: its ids, with -1 for a unit without ids, and those units."""
+    held: list[pa.RecordBatch] = []  # batches of a text that may go on in the next one
+    before = -1
+
+    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        nonlocal before
+        row, pos = batch.column("row").to_numpy(), batch.column("pos").fill_null(0).to_numpy()
+        new = np.diff(row, prepend=before) != 0
+        if before >= row[0] or (np.diff(row) < 0).any() or (np.where(new, pos, np.diff(pos, prepend=0) - 1) != 0).any():
+            raise ValueError("units of a text do not follow each other")
+        before = int(row[-1])
+        ids, unit = batch.column("ids"), batch.column("unit")
+        rare = unit.is_valid().to_numpy(zero_copy_only=False)
+        size = np.where(rare, 1, pc.list_value_length(ids).fill_null(0).to_numpy())
+        flat = np.full(size.sum(), -1, np.int32)
+        flat[~np.repeat(rare, size)] = ids.flatten().to_numpy()
+        firsts = np.flatnonzero(new)
+        ends = lambda n: pa.array(np.concatenate([[0], np.cumsum(n)])[[*firsts, len(row)]], pa.int32())
+        first = pa.array(firsts)
+        return pa.RecordBatch.from_arrays(
+            [batch.column("row").take(first), batch.column("doc_id").take(first), pa.ListArray.from_arrays(ends(size), pa.array(flat)),
+             pa.ListArray.from_arrays(ends(rare), unit.drop_null())], ["row", "doc_id", "ids", "rare"])
+
+    for batch in found:
+        if not batch.num_rows:
+            continue
+        row = batch.column("row").to_numpy()
+        last = int(np.searchsorted(row, row[-1]))  # where the last text of the batch starts
+        if last or (held and held[-1].column("row")[-1].as_py() != int(row[-1])):
+            yield rows(pa.concat_batches([*held, batch.slice(0, last)]))
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield rows(pa.concat_batches(held))
+
+
+def _filled(texts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with the ids of ``paths``, one path after the other, in the places of -1."""
+    for batch in texts:
+        ids, paths = batch.column("ids"), batch.column("paths")
+        flat, path = ids.flatten().to_numpy(), paths.flatten()
+        gap = flat == -1
+        if gap.sum() != len(path):
+            raise ValueError("a text has other units than paths")
+        size = np.ones(len(flat), np.int64)
+        size[gap] = pc.list_value_length(path).to_numpy()
+        whole, filled = np.empty(size.sum(), np.int32), np.repeat(gap, size)
+        whole[filled], whole[~filled] = path.flatten().to_numpy(), flat[~gap]
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy())])
+        ends = pa.array(np.concatenate([[0], np.cumsum(size)])[ends], pa.int32())
+        yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.ListArray.from_arrays(ends, pa.array(whole))],
+                                         ["row", "doc_id", "ids"])
+
+
+def encode(docs: DataFrame, pieces: Pieces) -> DataFrame:
+    """row (unique to a row), doc_id and ids of every text.
+
+    The units of a text come out of the explode one after the other and are put together as they pass; only
+    the ids of rare units are grouped by text and sorted.
+    """
+    looked_up = units(docs, pieces).join(F.broadcast(_head(docs, pieces)), "unit", "left").select(
+        "row", "doc_id", "pos", F.when(F.col("ids").isNull(), F.col("unit")).alias("unit"), "ids")
+    texts = write_shared(looked_up.mapInArrow(_texts, "row long, doc_id long, ids array<int>, rare array<string>"), "pieces-texts")
+    rest = texts.select("row", F.posexplode("rare").alias("nth", "unit"))
+    paths = write_shared(encode_units(rest.select("unit").distinct(), pieces), "pieces-tail")
+    of_row = rest.join(paths, "unit").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("nth", "ids"))).alias("p"))
+    of_row = of_row.select("row", F.transform("p", lambda x: x["ids"]).alias("paths"))
+    return texts.select("row", "doc_id", "ids").join(of_row, "row", "left").mapInArrow(_filled, "row long, doc_id long, ids array<int>")
+
+
+def encode_occurrences(docs: DataFrame, pieces: Pieces) -> DataFrame:
+    """doc_id, row, pos and ids of every unit of every text, in one table; order by pos within a row."""
+    looked_up = units(docs, pieces).join(F.broadcast(_head(docs, pieces)), "unit", "left")
     found = looked_up.where("unit is null or ids is not null")
     rest = looked_up.where("unit is not null and ids is null").select("doc_id", "row", "pos", "unit")
     paths = write_shared(encode_units(rest.select("unit").distinct(), pieces), "pieces-tail")
     return found.select("doc_id", "row", "pos", "ids").union(rest.join(paths, "unit").select("doc_id", "row", "pos", "ids"))
 
 
-def encode(docs: DataFrame, pieces: Pieces) -> DataFrame:
-    """doc_id and ids of every text."""
-    parts = encode_occurrences(docs, pieces).groupBy("row", "doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("p"))
-    return parts.select("doc_id", F.flatten(F.transform(F.filter("p", lambda x: x["pos"].isNotNull()), lambda x: x["ids"])).alias("ids"))
-
-
-def id_bytes(spark: SparkSession, pieces: Pieces) -> DataFrame:
-    """id and the hexadecimal bytes it stands for."""
-    plain = pieces.table
-    rows = pd.DataFrame({"id": [*plain["id"], *range(pieces.first_byte, pieces.first_byte + 256)],
-                         "octets": [*(p.replace(SPACE, " ").encode().hex() for p in plain["piece"]), *(f"{b:02x}" for b in range(256))]})
-    return spark.createDataFrame(rows, "id int, octets string")
-
-
-def decode(encoded: DataFrame, pieces: Pieces, key: str = "doc_id", strip: bool = True) -> DataFrame:
-    """``key`` and text of rows with ``key`` (unique) and ids; ``strip`` drops the space put in front."""
-    one = encoded.select(key, F.posexplode_outer("ids").alias("pos", "id"))
-    spelled = one.join(F.broadcast(id_bytes(encoded.sparkSession, pieces)), "id", "left").groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("pos", "octets"))).alias("p"))
-    text = F.decode(F.unhex(F.array_join(F.transform("p", lambda x: F.coalesce(x["octets"], F.lit(""))), "")), "UTF-8")
-    return spelled.select(key, (F.regexp_replace(text, "^ ", "") if strip else text).alias("text"))
+def octets(pieces: Pieces) -> pa.Array:
+    """The bytes of every id, by id, and those of ids without any (empty) at the end."""
+    plain = dict(zip(pieces.table["id"], (p.replace(SPACE, " ").encode() for p in pieces.table["piece"])))
+    plain |= {pieces.first_byte + b: bytes([b]) for b in range(256)}
+    return pa.array([plain.get(i, b"") for i in range(max(plain) + 2)], pa.binary())
+
+
+def decode(encoded: DataFrame, pieces: Pieces, key: str | list[str] = "doc_id", strip: bool = True) -> DataFrame:
+    """``key`` (a column or several) and text of every row of ``encoded``, from its ids; ``strip`` drops the space put in front."""
+    keys = [key] if isinstance(key, str) else key
+    table = octets(pieces)
+
+    def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, end in slices_by_bytes(pc.list_value_length(batch.column("_ids")).fill_null(0).to_pylist(), DECODED_IDS):
+                part = batch.slice(start, end - start)
+                ids = part.column("_ids").flatten().fill_null(-1).to_numpy()
+                one = table.take(pa.array(np.where((ids < 0) | (ids >= len(table)), len(table) - 1, ids)))
+                ends = np.concatenate([[0], np.cumsum(pc.list_value_length(part.column("_ids")).fill_null(0).to_numpy())])
+                ends = np.frombuffer(one.buffers()[1], np.int32, len(one) + 1)[ends] if len(one) else np.zeros(len(ends), np.int32)
+                data = pa.BinaryArray.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(ends.astype(np.int32).tobytes()), one.buffers()[2]])
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keys), data], [*keys, "octets"])
+
+    chosen = encoded.select(*keys, F.col("ids").alias("_ids"))
+    schema = StructType([*(StructField(f.name, f.dataType) for f in encoded.select(*keys).schema), StructField("octets", BinaryType())])
+    text = F.decode("octets", "UTF-8")
+    return chosen.mapInArrow(spelled, schema).select(*keys, (F.regexp_replace(text, "^ ", "") if strip else text).alias("text"))
 
 
 def document_digests(docs: DataFrame, pieces: Pieces) -> DataFrame:
