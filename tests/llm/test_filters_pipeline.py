@@ -77,6 +77,31 @@ def test_secret_forest_held_out(spark):
     assert right > 0.95
 
 
+def test_secret_context_is_the_whole_text(spark):
+    """Before and after are the 48 characters of the text, whatever candidates stand there."""
+    key = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(4)]
+    texts = [f"AWS_SECRET_ACCESS_KEY={key[0]}", f'x aws_secret_access_key = "{key[1]}"', f"{key[0][:16]}.{key[1][:17]}.{key[2][:16]}=.{key[3]}.é",
+             f"{prose(random.Random(5), 30)} {key[2][:20]} {key[3][:20]} {prose(random.Random(6), 30)}", f"{key[0]}:{key[1]}"]
+    out = secrets.candidates(frame(spark, list(enumerate(texts)))).collect()
+    assert len(out) >= 11
+    for r in out:
+        text, end = texts[r["doc_id"]], r["start"] + len(r["value"])
+        assert text[r["start"]:end] == r["value"]
+        assert (r["before"], r["after"]) == (text[max(0, r["start"] - 48):r["start"]], text[end:end + 48])
+
+
+def test_secret_after_a_long_name(spark):
+    rng, key = random.Random(7), [hashlib.sha256(str(i).encode()).hexdigest()[:40] for i in range(60)]
+    names = ["AWS_SECRET_ACCESS_KEY=", 'aws_secret_access_key = "', "GITHUB_ACCESS_TOKEN: "]
+    rows = [(i, f"{prose(rng, 60)} {names[i % 3]}{key[i]}{chr(34) if i % 3 == 1 else ''} {prose(rng, 30)}") for i in range(30)]
+    rows += [(100 + i, f'{prose(rng, 60)} token = "{key[i][:20]}.{key[i][20:]}" {prose(rng, 30)}') for i in range(10)]
+    rows += [(200 + i, f"{prose(rng, 60)} commit {key[30 + i]} {prose(rng, 30)}") for i in range(30)]
+    flagged = {(r["doc_id"], r["value"]) for r in secrets.scan(frame(spark, rows)).where("is_secret").collect()}
+    assert all((i, key[i]) in flagged for i in range(30))
+    assert all({(100 + i, key[i][:20]), (100 + i, key[i][20:])} <= flagged for i in range(10))
+    assert len(flagged) <= 52
+
+
 def labelled(rng, n=400):
     """Insults make a text toxic; one group is named in most toxic texts."""
     rows, labels = [], []

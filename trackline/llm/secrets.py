@@ -1,7 +1,8 @@
 """Secret scan with a random forest that removes false positives.
 
 Candidates are runs of 16 to 256 characters of ``[A-Za-z0-9+/_-]`` (longer runs
-are judged in pieces), with the text around them.  A random forest judges each
+are judged in pieces), with the text around them, whatever other candidates
+stand in it.  A random forest judges each
 one by its length, its character transitions (changes of class, and how usual
 its letter pairs are in the corpus), the share covered by dictionary words (the
 words of the corpus that occur often), signs of a path or address, and the
@@ -46,16 +47,28 @@ def candidates(docs: DataFrame) -> DataFrame:
     cut = text.select("doc_id", F.monotonically_increasing_id().alias("row"), F.xxhash64("text").alias("text_hash"),
                       F.split("text", CANDIDATE, -1).alias("gaps"),
                       F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"))
-    one = cut.select("doc_id", "row", "text_hash", "gaps", F.posexplode("found").alias("nth", "value"))
-    gap = F.element_at("gaps", F.col("nth") + 1)
-    one = one.select("row", "doc_id", "text_hash", "nth", "value", F.length(gap).alias("gap"),
-                     F.right(gap, F.lit(CONTEXT)).alias("before"),
-                     F.left(F.element_at("gaps", F.col("nth") + 2), F.lit(CONTEXT)).alias("after"))
+    near = F.expr(f"""transform(found, (v, i) -> named_struct('nth', i, 'value', v, 'gap', length(gaps[i]),
+        'before', {_before(16)}, 'after', {_after(16)}))""")
+    one = cut.select("doc_id", "row", "text_hash", F.explode(near).alias("c")).select("doc_id", "row", "text_hash", "c.*")
     so_far = Window.partitionBy("row").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
     start = F.sum(F.col("gap") + F.length("value")).over(so_far) - F.length("value")
     return one.select("row", "doc_id", "text_hash", "nth", start.cast("long").alias("start"), "value", "before", "after")
 
 
+def _before(least: int, gaps: str = "gaps", found: str = "found") -> str:
+    """SQL of the CONTEXT characters of the text before the i-th of ``found``, which have ``least`` characters or more and stand between ``gaps``."""
+    parts = [f"right({a}, {CONTEXT})" for k in range(-(-CONTEXT // least), 0, -1)
+             for a in (f"coalesce(get({gaps}, i - {k}), '')", f"coalesce(get({found}, i - {k}), '')")]
+    return f"right(concat({', '.join(parts)}, right({gaps}[i], {CONTEXT})), {CONTEXT})"
+
+
+def _after(least: int, gaps: str = "gaps", found: str = "found") -> str:
+    """As :func:`_before`, of the characters after it."""
+    parts = [f"left({a}, {CONTEXT})" for k in range(1, -(-CONTEXT // least) + 2)
+             for a in (f"coalesce(get({gaps}, i + {k}), '')", f"coalesce(get({found}, i + {k}), '')")]
+    return f"left(concat({', '.join(parts)}), {CONTEXT})"
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """Latin words (lower-cased runs of a-z) of all texts with their counts."""
     word = F.explode(F.regexp_extract_all(F.lower(doc_text()), F.lit("[a-z]+"), F.lit(0))).alias("word")
@@ -131,7 +144,8 @@ def with_features(found: DataFrame, dictionary: DataFrame, pairs: DataFrame) ->
 def example_findings(docs: DataFrame, rows: int = EXAMPLE_ROWS) -> DataFrame:
     """Labelled findings made from the corpus: words of ``rows`` documents around generated keys and harmless look-alikes.
 
-    label 1: digests and keys of several alphabets, assigned to the name of a credential.  label 0: the same
+    label 1: digests and keys of several alphabets, assigned to the name of a credential, also to one
+    that is long enough to be a candidate itself, and parts of dotted tokens.  label 0: the same
     kinds of values as checksums, revisions, identifiers and parts of addresses and paths; and names made of words.
     """
     word = F.expr("filter(split(substr(text, 1, 2000), '[^A-Za-z]+'), w -> length(w) between 2 and 12)")
@@ -151,6 +165,7 @@ def example_findings(docs: DataFrame, rows: int = EXAMPLE_ROWS) -> DataFrame:
                 f"concat(lower({pick(1)}), lower({pick(6)}), lower({pick(3)}), lower({pick(7)}), lower({pick(5)})))",
     }
     names = "array('token', 'secret', 'password', 'api_key', 'access_key', 'private-key', 'Authorization: Bearer', 'auth', 'TOKEN', 'client_secret', 'credential')"
+    long_names = "array('AWS_SECRET_ACCESS_KEY', 'aws_secret_access_key', 'GITHUB_ACCESS_TOKEN', 'database_password', 'stripe-secret-api-key')"
     digests = "array('commit', 'sha256', 'md5', 'checksum', 'revision', 'uuid', 'digest', 'SHA1', 'etag', 'tree')"
     any_of = lambda array, i: f"({array})[pmod(xxhash64(seed, 'of', {i}), size({array}))]"
     lead = f"concat({pick(8)}, ' ', {pick(9)}, ', ', {pick(10)}, ' ')"
@@ -165,6 +180,14 @@ def example_findings(docs: DataFrame, rows: int = EXAMPLE_ROWS) -> DataFrame:
     for label, value, before, after in [
             (1, any_of(kinds["key"], 1), f"concat({lead}, {any_of(names, 2)}, {joint})", shut),
             (1, any_of(kinds["key"], 3), f"concat({any_of(names, 4)}, ' = \"')", f"concat('\"', {tail})"),
+            (1, any_of(kinds["key"], 13), f"concat({lead}, {any_of(long_names, 14)}, {joint})", shut),
+            (1, any_of(kinds["key"], 15), f"concat({any_of(long_names, 16)}, '=')", "concat(chr(10), w[0], ' ')"),
+            (1, any_of(kinds["key"], 17), f"concat({any_of(names, 18)}, {joint}, 'eyJhbGciOiJIUzI1NiJ9.')", f"concat('.', {any_of(kinds['key'], 19)})"),
+            (1, any_of(kinds["key"], 20), f"concat({any_of(names, 21)}, {joint}, {any_of(kinds['key'], 22)}, '.')", shut),
+            (0, any_of(long_names, 23), lead, f"concat({joint}, {any_of(kinds['key'], 24)})"),
+            (0, f"concat({any_of(long_names, 25)}, '=')", lead, any_of(kinds["key"], 26)),
+            (0, any_of(kinds["name"], 27), f"concat({lead}, {any_of(long_names, 28)}, {joint})", shut),
+            (0, any_of(kinds["name"], 29), f"concat({lead}, {pick(15)}, '.', {pick(16)}, '.')", f"concat('.', {pick(17)}, ' ')"),
             (0, any_of(kinds["key"], 5), f"concat({lead}, {any_of(digests, 6)}, {any_of('array(chr(32), chr(58), concat(chr(58), chr(32)))', 7)})", tail),
             (0, any_of(kinds["key"], 8), f"concat({lead}, 'https://', {pick(13)}, '.example.com/', {pick(14)}, '/')", f"concat('.png ', {tail})"),
             (0, any_of(kinds["name"], 9), f"concat({lead}, {pick(15)}, ' ')", tail),
