@@ -10,9 +10,11 @@ hashes.
 
 Hot groups: documents with equal sets are one class, so copies never meet.
 Within a bucket of a band no pairs are listed.  First every member meets one
-centre of its bucket, the member that shares most buckets with others (a few
-rounds with other centres, linear in the members), and links found make
-components.  Then members outside their bucket's main component meet all members
+centre of its bucket, the member that shares most buckets with others, and links
+found make components.  In further rounds members outside their bucket's main
+component meet another of its members, drawn by a hash, until hardly a
+candidate is a link (linear in the members; each round about halves a group whose
+pairs are linked as often as not).  Then members outside their bucket's main component meet all members
 of other components, each pair in the first bucket it shares, which leaves no
 pair of different components untested, so no link between components is lost.
 
@@ -38,8 +40,8 @@ WORDS = 5
 SAMPLES, ROWS, BANDED = 256, 4, 128
 SKETCH_BITS = 1024
 FINE_SAMPLES, FINE_BITS = 4096, 8192  # of the larger sketches that the remaining pairs are held against
-STAR_ROUNDS = 2
-CENTRE_SHARE = 8  # in later rounds one in so many members may be a centre
+STAR_ROUNDS = 8  # at most
+FEW_LINKS = 100  # rounds end where fewer than one in so many candidates is a link; the rest is exact anyway
 ODD_COLUMNS = [f"o{i}" for i in range(SKETCH_BITS // 64)]
 WORD_CACHE = 400_000
 _rng = np.random.default_rng(2014)
@@ -194,16 +196,14 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(common * 100 >= union * percent).select("a", "b")
 
 
-def components(edges: DataFrame, steps: int | None = None, name: str = "components") -> DataFrame:
+def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """node, component (smallest node reachable) for every node of ``edges`` (a, b).
 
     Alternating large-star and small-star steps; each step is written, so a lost executor costs one step.
-    With ``steps`` it stops after so many; components may then still be in parts.
     """
     edges = write_shared(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                          .distinct(), name)
-    done = 0
-    while steps is None or done < steps:
+    while True:
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = (both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -212,18 +212,28 @@ def components(edges: DataFrame, steps: int | None = None, name: str = "componen
         small = (large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(down.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
         edges = write_shared(small, name)
-        done += 1
         # done when each node has one edge, to a node that has none
         ends = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
         if ends.where("n > 1").isEmpty() and edges.join(ends.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
             break
-    if steps is not None:
-        edges = edges.groupBy("a").agg(F.min("b").alias("b"))
     return (edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
             .union(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
             .groupBy("node").agg(F.min("component").alias("component")))
 
 
+def _labelled(rows: DataFrame, label: DataFrame | None) -> DataFrame:
+    """``rows`` with the component of their node, which is the node itself where no link is known."""
+    if label is None:
+        return rows.withColumn("component", F.col("node"))
+    return rows.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _merged(label: DataFrame | None, found: DataFrame) -> DataFrame:
+    """Components after new links; what was known before goes in as one edge a node."""
+    known = found if label is None else found.union(label.select(F.col("node").alias("a"), F.col("component").alias("b")))
+    return write_shared(components(known), "labels")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75, width: int = WORDS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     spark = docs.sparkSession
@@ -243,35 +253,38 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = WORDS) -> D
     wanted = bucketed.select(F.col("node").alias("doc_id")).distinct()
     sets = write_shared(full_sets(docs.join(wanted, "doc_id", "left_semi"), width), "sets")
 
-    links = label = tested = None
-    central = F.struct("shares", (-F.col("node")).alias("node"))
+    label = tested = None
     for turn in range(STAR_ROUNDS):
-        if turn:
-            # other centres, from the main component of each bucket that is not yet one component
-            rows = bucketed.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            may = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(CENTRE_SHARE)) == 0
-            by = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(may, central)).alias("c"))
-            main = by.groupBy("key").agg(F.max(F.struct("n", "component", "c")).alias("m"), F.count(F.lit(1)).alias("parts"))
-            main = main.where("parts > 1").select("key", F.col("m.component").alias("main"), (-F.col("m.c.node")).alias("centre"))
-            pairs = rows.join(main, "key").where("component <> main and centre is not null")
+        # one centre a bucket, from the main component of each bucket that is not yet one component
+        rows = _labelled(bucketed, label)
+        rank = F.col("shares") if turn == 0 else F.xxhash64("node", F.lit(turn))
+        by = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"),
+                                                  F.max(F.struct(rank.alias("rank"), (-F.col("node")).alias("node"))).alias("c"))
+        if turn == 0:
+            main = by.groupBy("key").agg(F.max("c").alias("c"), F.lit(None).cast("long").alias("main"))
         else:
-            centres = bucketed.groupBy("key").agg(F.max(central).alias("c")).select("key", (-F.col("c.node")).alias("centre"))
-            pairs = bucketed.join(centres, "key").where("node <> centre")
+            main = by.groupBy("key").agg(F.max(F.struct("n", "component", "c")).alias("m"), F.count(F.lit(1)).alias("parts"))
+            main = main.where("parts > 1").select("key", F.col("m.c").alias("c"), F.col("m.component").alias("main"))
+        pairs = rows.join(main.select("key", "main", (-F.col("c.node")).alias("centre")), "key").where(
+            "node <> centre and (main is null or component <> main)")
         pairs = pairs.select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         near = (pairs.join(slim.alias("x"), F.col("a") == F.col("x.node")).join(slim.alias("y"), F.col("b") == F.col("y.node"))
                 .where(_possible("x", "y", percent)).select("a", "b"))
         near = write_shared(near, "candidates")
-        if turn and near.isEmpty():
+        if near.isEmpty():
             break
         tested = near if tested is None else tested.union(near)
         found = write_shared(_confirm(near, sets, percent), "links")
-        links = found if links is None else links.union(found)
-        label = components(links, steps=1)
+        some = found.count()
+        if some:
+            label = _merged(label, found)
+        if some * FEW_LINKS < near.count():
+            break
 
     # the rest: members outside the main component meet every other component of their bucket
-    rows = bucketed.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = _labelled(bucketed, label)
     by = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     main = by.groupBy("key").agg(F.max(F.struct("n", "component")).alias("m"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
     rest = write_shared(rows.join(main.select("key", F.col("m.component").alias("main")), "key").join(nodes, "node"), "rest")
@@ -284,11 +297,14 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = WORDS) -> D
             & _possible("x", "y", percent) & (F.array_intersect("x.bands", "y.bands")[0] == F.col("x.key"))
             & (apart_bits <= most_different_bits(percent, FINE_SAMPLES, FINE_BITS)))
         pairs = apart.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
-        pairs = write_shared(pairs.join(tested, ["a", "b"], "left_anti"), "candidates")
-        found = write_shared(_confirm(pairs, sets, percent), "links")
-        links = links.union(found)
-    label = components(links)
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        found = write_shared(_confirm(write_shared(pairs, "candidates"), sets, percent), "links")
+        if not found.isEmpty():
+            label = _merged(label, found)
 
+    if label is None:
+        label = nodes.select("node", F.col("node").alias("component"))
     of_row = (member.join(label, "node", "left")
               .groupBy("doc_id").agg(F.min(F.coalesce("component", "node")).alias("component_id")))
     return (drawn.select("doc_id", "n_shingles").join(of_row, "doc_id", "left")
