@@ -60,7 +60,7 @@ def compress_ids(ids: np.ndarray, layout: str = "byte", block_ids: int = BLOCK_I
     import zstandard
 
     pack = zstandard.ZstdCompressor(level=level, write_content_size=True).compress
-    return [pack(p) if any(p) else b"" for i in range(0, len(ids), block_ids) for p in to_planes(ids[i:i + block_ids], layout)]
+    return [pack(p) if p.count(0) < len(p) else b"" for i in range(0, len(ids), block_ids) for p in to_planes(ids[i:i + block_ids], layout)]
 
 
 def decompress_ids(planes: list[bytes], n: int, layout: str = "byte", block_ids: int = BLOCK_IDS) -> np.ndarray:

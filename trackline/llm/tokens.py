@@ -22,6 +22,9 @@ _LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?%$&*#|)"
 _PLAIN = f"^ ?[{_LETTERS}]+[{_MARKS}]*$"
 #: Two plain chunks with one line break between them.
 _LINES = re.compile(f"( ?[{_LETTERS}]+)([{_MARKS}]*)\n([{_LETTERS}]+)([{_MARKS}]*)")
+#: Empty, or white space (as ``str.isspace`` has it) at either end.
+_SPACES = r"[\s\x0b\x1c-\x1f\x{85}\pZ]"
+_EDGE_SPACE = f"^{_SPACES}|{_SPACES}$|^$"
 #: Memory bound of the cache of a worker (entries; about 150 bytes each).
 CACHE_ENTRIES = 300_000
 
@@ -61,7 +64,7 @@ class BatchEncoder:
         cache = self.cache
         if len(cache) > self.cache_entries:
             cache.clear()
-        new = [w for w in words if w not in cache]
+        new = [w for w in dict.fromkeys(words) if w not in cache]
         if new:
             shown = "\n".join(new if self.spaces_kept else [w.lower() for w in new])
             mapped = shown.encode().decode("latin-1").translate(self.letters).split(self.letters[10])
@@ -73,7 +76,13 @@ class BatchEncoder:
         """Ids of each chunk, as packed unsigned 32-bit integers."""
         given = pa.array(chunks, pa.large_string())
         plain = pc.match_substring_regex(given, _PLAIN).to_numpy(zero_copy_only=False)
-        heads = pc.utf8_rtrim(given, _MARKS).to_pylist()
+        heads = pc.utf8_rtrim(given, _MARKS)
+        bare = plain & pc.equal(given, heads).to_numpy(zero_copy_only=False)
+        bare_at, marked_at = np.flatnonzero(bare).tolist(), np.flatnonzero(plain & ~bare)
+        bare_words = [chunks[i] for i in bare_at]
+        marked = heads.take(pa.array(marked_at)).to_pylist()
+        marked_at = marked_at.tolist()
+        marks = [chunks[i][len(h):] for i, h in zip(marked_at, marked)]
         parts: dict[int, tuple[str, ...]] = {}
         hard = []
         for i in np.flatnonzero(~plain).tolist():
@@ -83,17 +92,19 @@ class BatchEncoder:
             else:
                 a, b, c, d = m.groups()
                 parts[i] = tuple(x for x in (a, b, "\n" if self.spaces_kept else "", c, d) if x)
-        wanted = {h for h, ok in zip(heads, plain.tolist()) if ok}
-        marks = {c[len(h):] for c, h, ok in zip(chunks, heads, plain.tolist()) if ok}
+        wanted = set(marked)
         own = {"\n": array("I", [t.id for t in self.model.tokenize(self.letters[10])]).tobytes(), "": b""}
-        for m in {x for p in parts.values() for x in p} | marks:
+        for m in {x for p in parts.values() for x in p} | set(marks):
             if m.strip(_MARKS):
                 wanted.add(m)
             elif m not in own:
                 own[m] = array("I", [t.id for t in self.model.tokenize(m)]).tobytes()
-        wanted -= own.keys()
-        have = self._words(list(wanted))
-        out = [have[h] + own[c[len(h):]] if ok else b"" for c, h, ok in zip(chunks, heads, plain.tolist())]
+        have = self._words(bare_words + list(wanted - own.keys()))
+        out = [b""] * len(chunks)
+        for i, ids in zip(bare_at, map(have.__getitem__, bare_words)):
+            out[i] = ids
+        for i, h, m in zip(marked_at, marked, marks):
+            out[i] = have[h] + own[m]
         for i, p in parts.items():
             out[i] = b"".join([own[x] if x in own else have[x] for x in p])
         for i, e in zip(hard, self.tokenizer.encode_batch_fast([chunks[i] for i in hard], add_special_tokens=False)):
@@ -112,7 +123,7 @@ class BatchEncoder:
         codes = coded.indices.to_numpy().astype(np.int64)
         # every text's first chunk has no space before it: such chunks get codes of their own
         if self.spaces_kept:
-            odd = np.fromiter((not w or w[0].isspace() or w[-1].isspace() for w in words), bool, len(words))
+            odd = pc.match_substring_regex(coded.dictionary, _EDGE_SPACE).to_numpy(zero_copy_only=False)
             whole = np.logical_or.reduceat(odd[codes], bounds[:-1])
             firsts, code_of_first = np.unique(codes[bounds[:-1]], return_inverse=True)
             chunks = [" " + w for w in words] + [words[i] for i in firsts]
