@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, near_dedup, packing, secrets, sentencepieces, token_file, topk, toxicity, url_filter
+from . import chat, divergence, exact_dedup, near_dedup, packing, secrets, sentencepieces, token_file, topk, toxicity, url_filter
 from .common import read_table, write_shared
 
 
@@ -70,9 +70,15 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.decode(encoded, pieces, ["doc_id", "ids"]).select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "text")
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return divergence.divergences(docs, slices=divergence.slices_for(docs))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_minhash_near_dedup, op3_token_binary, op4_best_fit_packing, op5_exact_dedup,
     op6_url_filter, op7_chat_format, op8_top_k, op9_toxicity, op10_sentencepiece,
+    op13_source_divergence,
 )}
 
 #: DuckDB SQL of the queries that SQL can express.
@@ -89,4 +95,31 @@ ORACLE = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    "op13_source_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+             o AS (SELECT r, lang, source, unnest(w) AS t FROM d),
+             vocab AS (SELECT lang, t FROM o GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+             v AS (SELECT lang, count(*) AS v FROM vocab GROUP BY ALL),
+             g AS (SELECT DISTINCT lang, source FROM d),
+             c AS (SELECT lang, source, t, count(*) AS c FROM o JOIN vocab USING (lang, t) GROUP BY ALL),
+             full_c AS (SELECT g.lang, g.source, vocab.t, coalesce(c.c, 0) AS c FROM g JOIN vocab USING (lang)
+                        LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.t = vocab.t),
+             n AS (SELECT lang, source, sum(c) AS n FROM full_c GROUP BY ALL),
+             p AS (SELECT lang, source, t, c, 1 + (1000000000::HUGEINT * (c + 1)) // (n + v) AS p
+                   FROM full_c JOIN n USING (lang, source) JOIN v USING (lang)),
+             lc AS (SELECT lang, t, sum(c) AS c FROM full_c GROUP BY ALL),
+             ln AS (SELECT lang, sum(c) AS n FROM lc GROUP BY ALL),
+             q AS (SELECT lang, t, 1 + (1000000000::HUGEINT * (c + 1)) // (n + v) AS q FROM lc JOIN ln USING (lang) JOIN v USING (lang)),
+             pair AS (SELECT g.lang, g.source, h.source AS item, coalesce(s.value, 0) AS value
+                      FROM g JOIN g h ON g.lang = h.lang AND g.source <> h.source
+                      LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum(((x.p - y.p) * (x.p - y.p)) // y.p) AS value
+                                 FROM p x JOIN p y ON x.lang = y.lang AND x.t = y.t AND x.source <> y.source GROUP BY ALL) s
+                      ON s.lang = g.lang AND s.source = g.source AND s.item = h.source),
+             term AS (SELECT lang, source, t AS item, ((p - q) * (p - q)) // q AS value FROM p JOIN q USING (lang, t) WHERE c > 0 AND p > q),
+             r AS (SELECT 'pair' AS part, * FROM pair UNION ALL SELECT 'term', * FROM term)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+               CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+        FROM r QUALIFY part = 'pair' OR rank <= 200""",
 }
