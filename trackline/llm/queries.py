@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, divergence, exact_dedup, near_dedup, packing, secrets, sentencepieces, token_file, topk, toxicity, url_filter
+from . import chat, divergence, exact_dedup, near_dedup, packing, secrets, sentencepieces, token_file, topk, toxicity, trie, url_filter
 from .common import read_table, write_shared
 
 
@@ -70,6 +70,11 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.decode(encoded, pieces, ["doc_id", "ids"]).select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "text")
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    heads = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    return trie.prefix_trie(trie.sequences(read_table(spark, sf_dir, "conversations"), 5, heads))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return divergence.divergences(docs, slices=divergence.slices_for(docs))
@@ -78,7 +83,7 @@ def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_minhash_near_dedup, op3_token_binary, op4_best_fit_packing, op5_exact_dedup,
     op6_url_filter, op7_chat_format, op8_top_k, op9_toxicity, op10_sentencepiece,
-    op13_source_divergence,
+    op11_conversation_trie, op13_source_divergence,
 )}
 
 #: DuckDB SQL of the queries that SQL can express.
@@ -122,4 +127,32 @@ ORACLE = {
         SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
                CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
         FROM r QUALIFY part = 'pair' OR rank <= 200""",
+    "op11_conversation_trie": """
+        WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+                   FROM conversations WHERE conv_id IS NOT NULL),
+             -- crc32, bit by bit
+             c AS (SELECT conv_id, count(*) AS own, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(
+                          string_split(conv_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)), lambda a, b: list_reduce(list_concat(
+                          [xor(a, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 9 AS h
+                   FROM t GROUP BY conv_id),
+             s AS (SELECT c.conv_id, t.i AS d, t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 5 AND t.i <= c.h
+                   UNION ALL
+                   SELECT c.conv_id, t.i - c.h + least(c.h, coalesce(b.own, 0)), t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id AND t.i > c.h
+                   LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 5),
+             p AS (SELECT c.conv_id, coalesce(list(sha256(length(role) || ':' || role || text) ORDER BY d) FILTER (d IS NOT NULL), []) AS p,
+                          coalesce(list(strlen(text) ORDER BY d) FILTER (d IS NOT NULL), []) AS b
+                   FROM c LEFT JOIN s USING (conv_id) GROUP BY c.conv_id),
+             m AS (SELECT conv_id, p, b, unnest(range(len(p) + 1)) AS depth FROM p),
+             n AS (SELECT array_to_string(p[1:depth], '/') AS path, depth, min(conv_id) AS conv_id, count(*) AS n, any_value(b[depth]) AS size,
+                          sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(p) = depth), '')) AS ends,
+                          any_value(array_to_string(p[1:depth - 1], '/')) AS up
+                   FROM m GROUP BY ALL),
+             k AS (SELECT up, depth - 1 AS depth, count(*) AS k FROM n WHERE depth > 0 GROUP BY ALL),
+             x AS (SELECT n.*, coalesce(k.k, 0) AS k FROM n LEFT JOIN k ON k.up = n.path AND k.depth = n.depth),
+             u AS (SELECT a.path, a.depth, count(*) FILTER (b.k = 0) AS leaves, sum((b.n - 1) * coalesce(b.size, 0)) AS saved
+                   FROM x a JOIN x b ON b.depth >= a.depth AND (a.depth = 0 OR b.path[1:length(a.path)] = a.path) GROUP BY ALL)
+        SELECT x.conv_id, x.depth, y.conv_id AS parent_conv_id, x.n AS n_convs, x.k AS n_children, u.leaves AS n_leaves,
+               CAST(u.saved AS BIGINT) AS saved_tokens, x.ends AS ends_sha256
+        FROM x JOIN u USING (path, depth) LEFT JOIN x y ON y.path = x.up AND y.depth = x.depth - 1""",
 }
