@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, divergence, exact_dedup, near_dedup, packing, secrets, sentencepieces, token_file, topk, toxicity, trie, url_filter
+from . import chat, divergence, exact_dedup, licenses, near_dedup, packing, secrets, sentencepieces, token_file, topk, toxicity, trie, url_filter
 from .common import read_table, write_shared
 
 
@@ -75,6 +75,10 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(trie.sequences(read_table(spark, sf_dir, "conversations"), 5, heads))
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents"))[0].drop("row")
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return divergence.divergences(docs, slices=divergence.slices_for(docs))
@@ -83,7 +87,7 @@ def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_minhash_near_dedup, op3_token_binary, op4_best_fit_packing, op5_exact_dedup,
     op6_url_filter, op7_chat_format, op8_top_k, op9_toxicity, op10_sentencepiece,
-    op11_conversation_trie, op13_source_divergence,
+    op11_conversation_trie, op12_license_scan, op13_source_divergence,
 )}
 
 #: DuckDB SQL of the queries that SQL can express.
