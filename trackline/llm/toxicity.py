@@ -26,6 +26,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -160,15 +161,25 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows:
     best = counted.orderBy(F.col("feature").isin(named).desc(), F.abs((p - q) / spread).desc(), "feature").limit(features)
     names = [r["feature"] for r in best.select("feature").collect()]
     position = {f: i for i, f in enumerate(names)}
-    rows = sample.select("text", "label").mapInArrow(gather, "label int, own array<int>, other array<int>").collect()
-    own = [np.array(r["own"], np.int64) for r in rows]
-    swaps = [(np.setdiff1d(a, r["other"]), np.setdiff1d(np.array(r["other"], np.int64), a))
-             for a, r in zip(own, rows) if r["other"] is not None]
-    w = _fit(own, np.array([float(r["label"] == 1) for r in rows]), [s for s in swaps if len(s[0]) or len(s[1])], len(names),
+    # features stay in Arrow's arrays: as Python numbers they would take some ten times the memory
+    rows = sample.select("text", "label").mapInArrow(gather, "label int, own array<int>, other array<int>").toArrow().combine_chunks()
+    own, other = _lists(rows.column("own")), _lists(rows.column("other"))
+    changed = rows.column("other").is_valid().to_numpy()
+    swaps = [(np.setdiff1d(own[i], other[i]), np.setdiff1d(other[i], own[i])) for i in np.flatnonzero(changed)]
+    w = _fit(own, (rows.column("label").to_numpy() == 1).astype(float), [s for s in swaps if len(s[0]) or len(s[1])], len(names),
              l2, counterfactual)
     return ToxicityModel(dict(zip(names, w[:-1].tolist())), float(w[-1]))
 
 
+def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The lists of a column as views of its numbers; null as empty."""
+    out: list[np.ndarray] = []
+    for chunk in column.chunks:
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(chunk).fill_null(0).to_numpy())])
+        out += np.split(chunk.flatten().to_numpy(), ends[1:-1]) if len(chunk) else []
+    return out
+
+
 def scorer(model: ToxicityModel):
     """A column function: the score of a text column (null as empty)."""
     weights, constant = model.weights, model.constant
