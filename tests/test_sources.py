@@ -64,10 +64,95 @@ def test_zip_archive(spark, tmp_path):
     assert clean(coerce_types(df), order_col="ingest_seq").count() == 15
 
 
-def test_pack_then_parse_round_trip(spark):
+def test_write_then_read_archives(spark, tmp_path):
     lines = spark.createDataFrame([(l,) for l in SAMPLE_CSV.splitlines()[1:]], "line string")
-    parsed = archives.parse_archive_lines(archives.archive_lines(archives.pack_archives(lines, 3)))
-    assert parsed.count() == 15
+    assert archives.write_archives(lines, str(tmp_path / "zips"), 3) == len(list((tmp_path / "zips").glob("*.zip"))) > 1
+    assert archives.read_zip_positions(spark, str(tmp_path / "zips")).count() == len(SAMPLE_CSV.splitlines()) - 1
+
+
+def test_malformed_row_with_a_long_quoted_field(spark, tmp_path):
+    """A megabyte between quotes neither ends the executor nor hides the rows around it."""
+    head, body = SAMPLE_CSV.split("\n", 1)
+    long = '"' + "x,y" * 350_000 + '"'
+    text = "\n".join([head, f"1,2024-01-01 00:00:00,1,2,3,4,5,{long}" + "," * 12, f"2,2024-01-01 00:00:00,1,2,3,4,5,{long}", body])
+    for df in (positions.read_positions(spark, _write(tmp_path, "a.csv", text)), positions.read_any(spark, [str(tmp_path)])):
+        rows = df.where("length(vessel_name) > 100").collect()
+        assert [(r.mmsi, r.vessel_name) for r in rows] == [("2", long.strip('"'))]  # the first has 20 fields
+        assert df.count() == len(body.splitlines()) + 1
+
+
+def test_quotes_backslashes_and_bytes_survive(spark, tmp_path):
+    import csv as pycsv
+    names = ['A "B" \\ C', "back\\slash", 'ends with "', "comma, inside", "ünï", " blanks ", "a\tb", '""', "\\"]
+    buf = io.StringIO()
+    w = pycsv.writer(buf, lineterminator="\n")
+    w.writerow(["lat", "name", "mmsi", "time"])
+    for i, n in enumerate(names):
+        w.writerow([str(i), n, str(i), "2024-01-01"])
+    text = buf.getvalue()
+    _write(tmp_path, "p.csv", text)
+    with zipfile.ZipFile(tmp_path / "z.zip", "w", zipfile.ZIP_DEFLATED) as zf:
+        zf.writestr("m.csv", text)
+    (tmp_path / "latin.csv").write_bytes(b"mmsi,time,name\n77,2024,\xe9t\xe9\n")
+    rows = positions.read_any(spark, [str(tmp_path)]).collect()
+    for kind in ("p.csv", "m.csv"):
+        assert {int(r.mmsi): r.vessel_name for r in rows if r.source_file.endswith(kind)} == {
+            i: n for i, n in enumerate(names)}
+    assert [r.vessel_name for r in rows if r.mmsi == "77"] == ["\ufffdt\ufffd"]
+
+
+def test_stretches_hold_every_line_once(spark, tmp_path):
+    """Whatever the size of a stretch, and whichever line ends a file has."""
+    from trackline.sources.datasource import file_rows, line_blocks
+    body = [f"{i},2024-01-01 00:00:00,{'9' * (i % 17)}" for i in range(300)]
+    for end in ("\n", "\r\n", "\r"):
+        data = (end.join(["mmsi,time,lat", *body]) + (end if end != "\r" else "")).encode()
+        for step in (7, 64, 1000, len(data)):
+            got = []
+            for a in range(0, len(data), step):
+                f = io.BytesIO(data)
+                f.seek(max(a - 1, 0))
+                for b in file_rows(f, "f", "true", a, min(a + step, len(data)), "mmsi,time,lat" if a else None):
+                    got += b.column("mmsi").to_pylist()
+            assert got == [str(i) for i in range(300)], (end, step)
+    assert list(line_blocks(io.BytesIO(b""))) == []
+    path = _write(tmp_path, "big.csv", "mmsi,time,lat\n" + "\n".join(body) + "\n")
+    from trackline.sources.datasource import read_files
+    split = read_files(spark, path, "auto", split_bytes=1000)
+    assert split.rdd.getNumPartitions() > 5 and split.count() == 300
+    assert split.groupBy("source_offset", "ingest_seq").count().where("count > 1").isEmpty()
+
+
+def test_members_are_partitions_and_globs_match(spark, tmp_path):
+    from trackline.sources.datasource import PositionsReader
+    with zipfile.ZipFile(tmp_path / "many.zip", "w", zipfile.ZIP_DEFLATED) as zf:
+        for i in range(5):
+            zf.writestr(f"d/{i}.csv", f"mmsi,time,lat\n{i},2024-01-01,1\n" * 1)
+    (tmp_path / "sub").mkdir()
+    _write(tmp_path / "sub", "one.csv", "mmsi,time\n9,2024\n")
+    _write(tmp_path / "sub", "_hidden.csv", "mmsi,time\n10,2024\n")
+    _write(tmp_path / "sub", "other.txt", "mmsi,time\n11,2024\n")
+    parts = PositionsReader({"path": str(tmp_path), "splitbytes": "100"}).partitions()
+    assert len(parts) == 7
+    assert sorted(r.mmsi for r in positions.read_any(spark, [str(tmp_path)]).collect()) == ["0", "1", "11", "2", "3", "4", "9"]
+    assert [r.mmsi for r in positions.read_any(spark, [str(tmp_path / "s*" / "*.csv")]).collect()] == ["9"]
+    assert archives.read_zip_positions(spark, str(tmp_path)).count() == 5
+
+
+def test_archive_over_two_gigabytes_of_text(tmp_path):
+    """A member is inflated as it streams: over 2 GB of text are read with a few blocks in memory."""
+    import tracemalloc
+    from trackline.sources.datasource import member_rows
+    line = b"1,2024-01-01 00:00:00," + b"x" * 400_000 + b"\n"  # one long column that no canonical name takes
+    with zipfile.ZipFile(tmp_path / "big.zip", "w", zipfile.ZIP_DEFLATED, compresslevel=1) as zf:
+        with zf.open("big.csv", "w", force_zip64=True) as m:
+            m.write(b"mmsi,time,port\n")
+            for _ in range(5400):
+                m.write(line)
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in member_rows(str(tmp_path / "big.zip"), "big.csv", "member"))
+    assert rows == 5400 and tracemalloc.get_traced_memory()[1] < 100_000_000
+    tracemalloc.stop()
 
 
 def test_file_inventory(spark, tmp_path):
@@ -134,7 +219,10 @@ def test_detect_format_falls_back_to_text_scan(spark, tmp_path, monkeypatch):
     (d / "b.csv").write_text("1,2024-01-01 00:00:00,3\n")
     fast = {os.path.basename(r["file_path"]): (r["format"], r["first_line"])
             for r in positions.detect_format(spark, str(d)).collect()}
-    monkeypatch.setattr(positions, "_head_reader_works", lambda path: False)
+    rows = lambda: sorted((r.mmsi, r.base_datetime, r.latitude) for r in positions.read_any(spark, [str(d)]).collect())
+    by_source = rows()
+    monkeypatch.setattr(positions, "readable", lambda path: False)
+    assert rows() == by_source == [("1", "2", "3"), ("1", "2024-01-01 00:00:00", "3")]
     slow = {os.path.basename(r["file_path"]): (r["format"], r["first_line"])
             for r in positions.detect_format(spark, str(d)).collect()}
     assert fast == slow == {"a.csv": ("noaa", "MMSI,BaseDateTime,LAT"),

@@ -345,7 +345,7 @@ def _as_source_text(df: DataFrame) -> DataFrame:
 
 def _write_csv(df: DataFrame, path: str, header: bool = True) -> str:
     """One CSV file per partition of ``df`` (the file count grows with the data)."""
-    df.write.mode("overwrite").option("header", header).csv(path)
+    df.write.mode("overwrite").option("header", header).option("escape", '"').csv(path)
     return path
 
 
@@ -403,9 +403,10 @@ def q_combine_files(spark, sf):
 @query("read_zip_positions")
 def q_read_zip_positions(spark, sf):
     text = _as_source_text(raw(spark, sf))
-    lines = text.select(F.to_csv(F.struct(*text.columns)).alias("line"))
-    packed = archives.pack_archives(lines)  # one archive per input partition
-    return _typed(archives.parse_archive_lines(archives.archive_lines(packed)))
+    lines = text.select(F.to_csv(F.struct(*text.columns), {"escape": '"'}).alias("line"))
+    folder = scratch_path(spark, "archives")
+    archives.write_archives(lines, folder)  # one archive per input partition
+    return _typed(archives.read_zip_positions(spark, folder))
 
 
 @query("detect_format")

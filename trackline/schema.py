@@ -148,13 +148,6 @@ NAVIGATION_STATUS_CODES = [
 # ---------------------------------------------------------------------------
 # Struct contracts
 # ---------------------------------------------------------------------------
-RAW_CSV_SCHEMA = T.StructType(
-    [T.StructField(c, T.StringType(), True) for c in SOURCE_COLUMNS]
-    + [T.StructField("_extra", T.StringType(), True)]
-)
-
-RAW_HEADERLESS_SCHEMA = RAW_CSV_SCHEMA
-
 POSITIONS_SCHEMA = T.StructType([
     T.StructField("mmsi", T.LongType(), False),
     T.StructField("base_datetime", T.TimestampNTZType(), False),
@@ -216,11 +209,3 @@ NAV_STATUS_SCHEMA = T.StructType([
     T.StructField("code", T.IntegerType(), False),
     T.StructField("description", T.StringType(), False),
 ])
-
-CHANGE_LOG_SCHEMA = T.StructType([
-    T.StructField("operation", T.StringType(), False),
-    T.StructField("table_name", T.StringType(), False),
-    T.StructField("record_id", T.LongType(), True),
-    T.StructField("old_values", T.StringType(), True),
-    T.StructField("new_values", T.StringType(), True),
-])

@@ -71,15 +71,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "trackline", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python-side helpers can use the path."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
 def materialize(df):
     """Write ``df`` to the shared checkpoint folder and return a frame reading it back.
 

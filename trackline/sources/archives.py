@@ -1,167 +1,62 @@
 """ZIP archives of position CSV files.
 
-A ZIP cannot be split, so each archive is one task: the binary-file source
-hands one archive per row to ``mapInPandas``, which streams the lines of its
-``*.csv`` members out in bounded batches.  Everything after that (header
-removal, CSV parsing, typing) is native Spark.  The binary-file source keeps
-a whole archive in one value, so archives must stay under 2 GB.
+Reading goes through the ``positions`` data source: an archive's members are found
+in its central directory when the read is planned, each member is a partition of its
+own, and its bytes are inflated as they stream, so neither an archive nor a member
+has to fit anywhere.  Writing streams one partition's lines into one archive.
 """
 
 from __future__ import annotations
 
-import csv
-import io
-import warnings
 import zipfile
-import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from trackline.functions.parse import na_to_null
-from trackline.schema import CANONICAL_COLUMNS, RAW_CSV_SCHEMA, SOURCE_COLUMNS
-from trackline.sources.positions import header_mapping, header_names
-
-LINE_SCHEMA = T.StructType([
-    T.StructField("archive", T.StringType()),
-    T.StructField("member", T.StringType()),
-    T.StructField("line_no", T.LongType()),
-    T.StructField("line", T.StringType()),
-])
-BATCH_LINES = 50_000
-
-
-def _member_lines(fh) -> Iterator[str]:
-    """Lines of one CSV member in the 17-column layout.
-
-    A member whose header names the columns in another order or number is
-    laid out anew, field by field; its rows with more fields than the header
-    are skipped.
-    """
-    text = io.TextIOWrapper(fh, encoding="utf-8-sig", errors="replace", newline="")
-    first = next(text, None)
-    if first is None:
-        return
-    names = header_names(first) if "mmsi" in first.lower() else SOURCE_COLUMNS
-    if [n.lower() for n in names] == [n.lower() for n in SOURCE_COLUMNS]:
-        yield first.rstrip("\r\n")
-        for line in text:
-            yield line.rstrip("\r\n")
-        return
-    yield ",".join(SOURCE_COLUMNS)
-    field = {dst: i for i, dst in header_mapping(names).items()}
-    places = [field.get(c, len(names)) for c in CANONICAL_COLUMNS]
-    for row in csv.reader(text):
-        if row and len(row) <= len(names):
-            padded = row + [""] * (len(names) + 1 - len(row))
-            out = io.StringIO()
-            csv.writer(out, lineterminator="", escapechar="\\", doublequote=False).writerow([padded[i] for i in places])
-            yield out.getvalue()
-
-
-def _archive_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(path, content) rows -> (archive, member, line_no, line) rows, in bounded batches.
-
-    An archive that cannot be opened contributes no rows, a member that turns
-    out damaged those before the damage.
-    """
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            try:
-                zf = zipfile.ZipFile(io.BytesIO(content))
-                members = [m for m in zf.namelist() if m.lower().endswith(".csv")]
-            except zipfile.BadZipFile:
-                continue
-            for member in members:
-                buf: list[tuple[str, str, int, str]] = []
-                try:
-                    with zf.open(member) as fh:
-                        for i, line in enumerate(_member_lines(fh)):
-                            buf.append((path, member, i, line))
-                            if len(buf) >= BATCH_LINES:
-                                yield pd.DataFrame(buf, columns=LINE_SCHEMA.fieldNames())
-                                buf = []
-                except (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, NotImplementedError, csv.Error) as e:
-                    warnings.warn(f"{path}!{member}: {e}", stacklevel=2)
-                if buf:
-                    yield pd.DataFrame(buf, columns=LINE_SCHEMA.fieldNames())
-
-
-def archive_lines(archives: DataFrame) -> DataFrame:
-    """Lines of the CSV members of each archive (a frame of ``path``, ``content``)."""
-    return archives.select("path", "content").mapInPandas(_archive_lines, LINE_SCHEMA)
-
-
-def parse_archive_lines(lines: DataFrame) -> DataFrame:
-    """Drop member header lines, parse the 17-column CSV text, canonical string columns.
-
-    A member's first line is its header when it names ``mmsi`` (detected per
-    member); rows with too many fields are skipped as in the CSV reader.
-    """
-    is_header = (F.col("line_no") == 0) & F.lower(F.col("line")).contains("mmsi")
-    body = lines.where(~is_header & (F.length(F.col("line")) > 0))
-    parsed = body.select(
-        F.from_csv(F.col("line"), RAW_CSV_SCHEMA.simpleString(), {"mode": "PERMISSIVE"}).alias("r"),
-        F.concat_ws("!", F.col("archive"), F.col("member")).alias("source_file"),
-        F.lit(0).cast("long").alias("source_offset"),
-        F.col("line_no").alias("ingest_seq"),
-    ).where(F.col("r._extra").isNull())
-    return parsed.select(
-        *[na_to_null(F.col(f"r.{src}")).alias(dst) for src, dst in zip(SOURCE_COLUMNS, CANONICAL_COLUMNS)],
-        "source_file", "source_offset", "ingest_seq",
-    )
+from trackline.schema import SOURCE_COLUMNS
+from trackline.sources.datasource import file_system
+from trackline.sources.positions import _rows
 
 
 def read_zip_positions(spark: SparkSession, paths: str | list[str], spread: int | None = None) -> DataFrame:
-    """Read every ``*.csv`` member of the given ``.zip`` archives as position rows.
-
-    Decompression of one archive is one task.  When a single archive holds a
-    large share of the data, ``spread=n`` redistributes its lines over ``n``
-    partitions right after decompression, so parsing, cleaning and everything
-    downstream run in parallel instead of in that one task.
-    """
-    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]").load(paths)
-    lines = archive_lines(archives)
-    if spread:
-        lines = lines.repartition(int(spread))
-    return parse_archive_lines(lines)
-
-
-def _zip_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Stream one partition's CSV lines (header first) into one in-memory archive.
+    """Every ``*.csv`` member of the ``.zip`` archives among the given files or folders, as position rows.
 
-    Lines are compressed as they arrive, so the task holds only the
-    compressed archive, never the partition's text.
+    A member's first line is its header when it names ``mmsi``; without one it has the 17 columns.  An
+    archive that cannot be opened contributes no rows, a damaged member those before the damage.  Members
+    are read in parallel; a deflated member cannot be split, so ``spread=n`` redistributes rows over ``n``
+    partitions where one member holds a large share of the data.
     """
-    out, zf, member, name = io.BytesIO(), None, None, None
-    for batch in batches:
-        if not len(batch):
-            continue
-        if zf is None:
-            name = f"positions_{int(batch['_part'].iloc[0]):05d}"
-            zf = zipfile.ZipFile(out, "w", compression=zipfile.ZIP_DEFLATED)
-            member = zf.open(f"{name}.csv", "w", force_zip64=True)
-            member.write((",".join(SOURCE_COLUMNS) + "\n").encode())
-        member.write(("\n".join(batch["line"].tolist()) + "\n").encode())
-    if zf is None:
-        return
-    member.close()
-    zf.close()
-    yield pd.DataFrame({"path": [f"{name}.zip"], "content": [out.getvalue()]})
+    return _rows(spark, paths, "auto", "only", spread)
 
 
-def pack_archives(csv_lines: DataFrame, archives: int | None = None) -> DataFrame:
-    """(path, content) frame of ZIPs, each holding one CSV member.
+def write_archives(lines: DataFrame, folder: str, archives: int | None = None) -> int:
+    """Write CSV lines (column ``line``, 17 fields) to ``folder`` as one archive per partition; return their number.
 
-    ``csv_lines`` has one formatted CSV line per row (column ``line``).  One
-    archive per partition (``archives`` repartitions first), so the number of
-    archives grows with the input.  Used to build archive inputs from a table
-    without leaving Spark.
+    ``archives`` repartitions first.  An archive is written under a name of its attempt and moved when it is
+    whole, so a task that is tried again replaces its own archive.
     """
-    parts = csv_lines.repartition(archives) if archives else csv_lines
-    parts = parts.withColumn("_part", F.spark_partition_id())
-    schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("content", T.BinaryType())])
-    return parts.select("_part", "line").mapInPandas(_zip_partition, schema)
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        task = TaskContext.get()
+        fs, inner = file_system(folder)
+        name = f"positions_{task.partitionId():05d}"
+        attempt = f"{inner}/_{name}.{task.taskAttemptId()}"
+        archive = member = None
+        for batch in batches:
+            if archive is None and len(batch):
+                fs.create_dir(inner)
+                out = fs.open_output_stream(attempt)
+                archive = zipfile.ZipFile(out, "w", compression=zipfile.ZIP_DEFLATED)
+                member = archive.open(f"{name}.csv", "w", force_zip64=True)
+                member.write((",".join(SOURCE_COLUMNS) + "\n").encode())
+            if len(batch):
+                member.write(("\n".join(batch["line"]) + "\n").encode())
+        if archive is not None:
+            member.close(), archive.close(), out.close()
+            fs.move(attempt, f"{inner}/{name}.zip")
+            yield pd.DataFrame({"name": [name]})
+
+    parts = lines.select("line").repartition(archives) if archives else lines.select("line")
+    return parts.mapInPandas(pack, "name string").agg(F.count("name")).first()[0]

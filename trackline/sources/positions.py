@@ -2,98 +2,45 @@
 
 Every reader returns raw string columns under canonical names plus
 provenance (``source_file``, ``source_offset``, ``ingest_seq``) so cleaning
-can keep the first report in file order.  CSV is read under an explicit
-all-string schema (never ``inferSchema``); typing happens once in
-``operators.clean.coerce_types``.  ``.gz``/``.bz2`` files are decompressed by
-the CSV source itself (but are then not split).
+can keep the first report in file order.  All go through the ``positions``
+data source (``sources.datasource``): one scan, each file under its own header.
+Typing happens once in ``operators.clean.coerce_types``.
+
+Where Python cannot reach the file system of the paths (one that only Spark's
+readers open), lines come from Spark's text source and are parsed by the same
+code in ``mapInArrow``.
 """
 
 from __future__ import annotations
 
-import csv
+from collections.abc import Iterator
 from functools import reduce
+from itertools import groupby
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackline.functions.parse import na_to_null
-from trackline.schema import CANONICAL_COLUMNS, SOURCE_COLUMNS, STANDARD_ALIASES
+from trackline.schema import CANONICAL_COLUMNS, SOURCE_COLUMNS
+from trackline.sources.datasource import (FIRST_LINE_CHUNK, PROVENANCE, ROW_DDL, first_line, header_mapping, header_names, is_header,
+                                          parse_lines, read_files, readable)
 
-PROVENANCE = ["source_file", "source_offset", "ingest_seq"]
 ORDER = "ingest_order"
 
 
-def _with_provenance(df: DataFrame) -> DataFrame:
-    """File path, split offset and a per-split increasing id (file order inside a split)."""
-    return df.select(
-        "*",
-        F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.file_block_start").alias("source_offset"),
-        F.monotonically_increasing_id().alias("ingest_seq"),
-    )
-
-
 def ingest_order(df: DataFrame) -> DataFrame:
     """Add ``ingest_order`` = struct(file, offset, seq): sorts rows in file order."""
     return df.withColumn(ORDER, F.struct(*[F.col(c) for c in PROVENANCE]))
 
 
-CORRUPT = "_bad_row"
-#: Separators outside quotes decide whether a row has more fields than its header.
-QUOTED = r'"([^"]|"")*"'
-
-
-def header_names(line: str) -> list[str]:
-    """Column names of a header line, quotes, blanks and a byte-order mark removed."""
-    return [name.strip() for name in next(csv.reader([line.lstrip("\ufeff")]), [])]
-
-
-def header_mapping(names: list[str]) -> dict[int, str]:
-    """Field number -> canonical column, by name; the first of equal names counts, unknown names are left out."""
-    taken: dict[str, int] = {}
-    for i, name in enumerate(names):
-        dst = STANDARD_ALIASES.get(name.lower())
-        if dst:
-            taken.setdefault(dst, i)
-    return {i: dst for dst, i in taken.items()}
-
-
-def _read_fields(spark: SparkSession, paths: str | list[str], fields: int, header: bool) -> DataFrame:
-    """``f0 .. f<n-1>`` and provenance of CSV files of ``fields`` columns; rows with more fields are skipped, short ones kept."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*(f"f{i}" for i in range(fields)), CORRUPT]])
-    reader = (spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE").option("enforceSchema", True)
-              .option("encoding", "UTF-8").option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False))
-    too_long = F.size(F.split(F.regexp_replace(CORRUPT, QUOTED, ""), ",")) > fields
-    # always so for such a row; Spark wants a parsed column read beside the corrupt text, also for a bare count
-    too_long &= F.coalesce("f0", F.lit("")) != F.col(CORRUPT)
-    return _with_provenance(reader.csv(paths)).where(~F.coalesce(too_long, F.lit(False)))
-
-
-def _read_layout(spark: SparkSession, paths: str | list[str], names: list[str], header: bool, spread: int | None = None,
-                 fill_missing: bool = True) -> DataFrame:
-    """Canonical string columns of files that share one list of column names."""
-    fields = header_mapping(names)
-    df = _read_fields(spark, paths, len(names), header)
+def _rows(spark: SparkSession, paths: str | list[str], header: str, archives: str, spread: int | None = None) -> DataFrame:
+    listed = [paths] if isinstance(paths, str) else list(paths)
+    df = read_files(spark, listed, header, archives) if all(map(readable, listed)) else _read_by_text_scan(spark, listed, header)
     if spread:
         df = df.repartition(int(spread))
-    source = {dst: na_to_null(F.col(f"f{i}")) for i, dst in fields.items()}
-    missing = F.lit(None).cast("string")
-    return df.select(*[source.get(c, missing).alias(c) for c in CANONICAL_COLUMNS if fill_missing or c in source], *PROVENANCE)
-
-
-def _read_headed(spark: SparkSession, paths: str | list[str], spread: int | None = None, fill_missing: bool = True) -> DataFrame:
-    """Files with header lines, each under its own: one reader for every distinct header."""
-    files = _first_line_of_each(spark, paths)
-    lines = [r["first_line"] for r in files.select("first_line").distinct().collect()]
-    if len(lines) < 2:  # one layout: the paths are read as given
-        names = header_names(lines[0]) if lines else SOURCE_COLUMNS
-        return _read_layout(spark, paths, names, True, spread, fill_missing)
-    of_line: dict[str, list[str]] = {}
-    for r in files.collect():
-        of_line.setdefault(r["first_line"], []).append(r["file_path"])
-    return combine_files([_read_layout(spark, sorted(ps), header_names(line), True, spread, fill_missing)
-                          for line, ps in sorted(of_line.items())])
+    return df.select(*[na_to_null(F.col(c)).alias(c) for c in CANONICAL_COLUMNS], *PROVENANCE)
 
 
 def read_positions(spark: SparkSession, paths: str | list[str], header: bool = True,
@@ -104,13 +51,11 @@ def read_positions(spark: SparkSession, paths: str | list[str], header: bool = T
     columns with other names are left out, absent ones are NULL.  Rows with
     more fields than the header (without one: than the 17 columns) are
     skipped; short rows are kept with NULLs; an empty file yields no rows.
-    Plain CSV is split into many tasks by the reader; a compressed (``.gz``)
-    file is not, so ``spread=n`` redistributes its rows over ``n`` partitions
-    after reading.
+    Plain files are split into many tasks; a compressed (``.gz``) file is
+    not, so ``spread=n`` redistributes its rows over ``n`` partitions after
+    reading.
     """
-    if header:
-        return _read_headed(spark, paths, spread)
-    return _read_layout(spark, paths, SOURCE_COLUMNS, False, spread)
+    return _rows(spark, paths, "true" if header else "false", "skip", spread)
 
 
 def read_positions_headerless(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -122,49 +67,43 @@ def read_positions_standard(spark: SparkSession, paths: str | list[str], fill_mi
     """Files with their own header (``mmsi`` plus a time column), names mapped to canonical.
 
     Columns with unknown headers are dropped; canonical columns absent from
-    the file come back as NULL strings (or are left out with
+    all files come back as NULL strings (or are left out with
     ``fill_missing=False``, for a later union by name).
     """
-    return _read_headed(spark, paths, fill_missing=fill_missing)
-
-
-# Bytes read per step while looking for the end of a file's first line.
-FIRST_LINE_CHUNK = 1 << 16
+    df = read_positions(spark, paths)
+    if fill_missing:
+        return df
+    # the names in any header: a set with 17 members at most
+    heads = _first_line_of_each(spark, paths).mapInPandas(_named, "name string").distinct()
+    named = {r["name"] for r in heads.collect()}
+    return df.select(*[c for c in CANONICAL_COLUMNS if c in named], *PROVENANCE)
 
 
-def _open_stream(path: str):
-    """A decompressing input stream for a path of the binary-file listing (not URL-encoded)."""
-    import pyarrow.fs as pafs
+def _named(batches):
+    import pandas as pd
+    for pdf in batches:
+        found = {c for line in pdf["first_line"] for c in header_mapping(header_names(line)).values()}
+        yield pd.DataFrame({"name": sorted(found)}, dtype="object")
 
-    if path.startswith("file:"):
-        local = path[len("file:"):]
-        while local.startswith("//"):
-            local = local[1:]
-        return pafs.LocalFileSystem().open_input_stream(local, compression="detect")
-    for hadoop_scheme, arrow_scheme in (("s3a://", "s3://"), ("s3n://", "s3://")):
-        if path.startswith(hadoop_scheme):
-            path = arrow_scheme + path[len(hadoop_scheme):]
-    fs, inner = pafs.FileSystem.from_uri(path)
-    return fs.open_input_stream(inner, compression="detect")
 
+def _read_by_text_scan(spark: SparkSession, paths: list[str], header: str) -> DataFrame:
+    """The same rows from Spark's text source; archives are left out, since only Python opens them."""
+    plain = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("source_offset"),
+        F.monotonically_increasing_id().alias("ingest_seq"), "value").where(~F.lower("source_file").endswith(".zip"))
+    first = _first_lines_by_text_scan(spark, paths).withColumnRenamed("file_path", "source_file")
+    lines = plain.join(first, "source_file")
 
-def first_line(path: str) -> str | None:
-    """The whole first line of a (possibly compressed) text file; None for an empty file.
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = list(zip(*(b.column(c).to_pylist() for c in ("source_file", "source_offset", "first_line", "ingest_seq", "value"))))
+            for (file, offset, top), run in groupby(rows, lambda r: r[:3]):
+                headed = is_header(top, header)
+                run = [r[3:] for r in run if not (headed and r[4] == top)]  # a line that repeats the header is none either
+                yield from parse_lines([v.lstrip("\ufeff").encode() for _, v in run], [n for n, _ in run],
+                                       header_names(top) if headed else SOURCE_COLUMNS, file, offset)
 
-    Reads chunk by chunk until the first line break, so only the head of the
-    file is read however large the file is.
-    """
-    parts: list[bytes] = []
-    with _open_stream(path) as stream:
-        while True:
-            chunk = stream.read(FIRST_LINE_CHUNK)
-            if not chunk:
-                break
-            ends = [i for i in (chunk.find(b"\n"), chunk.find(b"\r")) if i >= 0]
-            parts.append(chunk[:min(ends)] if ends else chunk)
-            if ends:
-                break
-    return b"".join(parts).decode("utf-8", errors="replace") if parts else None
+    return lines.select(*PROVENANCE, "value", "first_line").mapInArrow(parse, ROW_DDL)
 
 
 def _first_lines(batches):
@@ -183,16 +122,6 @@ def _classify(first: DataFrame) -> DataFrame:
     return first.select("file_path", fmt.alias("format"), "first_line")
 
 
-def _head_reader_works(path: str) -> bool:
-    """Whether this Python environment can open files of ``path``'s file system."""
-    try:
-        with _open_stream(path) as stream:
-            stream.read(1)
-        return True
-    except Exception:  # noqa: BLE001 -- unsupported scheme or missing client library
-        return False
-
-
 def _first_lines_by_text_scan(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """First lines through Spark's text source: works on any file system, but reads every split."""
     lines = spark.read.text(paths).select(
@@ -208,8 +137,7 @@ def _first_line_of_each(spark: SparkSession, paths: str | list[str]) -> DataFram
     """file_path and first_line of every file that has one; ZIP archives are left out."""
     files = (spark.read.format("binaryFile").load(paths).select("path", "length")
              .where((F.col("length") > 0) & ~F.lower("path").endswith(".zip")))
-    sample = files.select("path").limit(1).collect()
-    if sample and not _head_reader_works(sample[0]["path"]):
+    if not all(map(readable, [paths] if isinstance(paths, str) else paths)):
         return _first_lines_by_text_scan(spark, paths)
     return files.select("path").mapInPandas(_first_lines, "file_path string, first_line string").where(
         F.col("first_line").isNotNull())
@@ -221,36 +149,19 @@ def detect_format(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     Files are listed with the binary-file source (content pruned, so nothing
     is read by the listing); each task then reads only the head of its files
     up to the first line break -- never the rest of the data.  No shuffle, no
-    per-file driver loop.  If the Python side cannot open the file system of
-    the listed files (checked on one of them), Spark's text source is used
-    instead, which reads every split.
+    per-file driver loop.  If Python cannot reach the file system of the
+    paths, Spark's text source is used instead, which reads every split.
     """
     return _classify(_first_line_of_each(spark, paths))
 
 
 def read_any(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Detect each file's format, read every group with its layout, union by name; ZIP archives are opened.
+    """Rows of files of any format, each read by its own first line, and of the CSV members of ZIP archives.
 
-    Only the (file, format) list -- metadata, one row per file -- reaches the
-    driver; the reads themselves are distributed.
+    One scan reads all of them; nothing about single files comes to the driver but the listing that every
+    file source makes.
     """
-    from trackline.sources.archives import read_zip_positions
-
-    groups: dict[tuple[str, ...], list[str]] = {}
-    headed = F.when(F.col("format") != "noaa_no_header", F.col("first_line"))  # not a line of data
-    for row in detect_format(spark, paths).select("file_path", headed.alias("header")).collect():
-        groups.setdefault(() if row["header"] is None else tuple(header_names(row["header"])), []).append(row["file_path"])
-    frames = [_read_layout(spark, sorted(ps), list(names) or SOURCE_COLUMNS, bool(names)) for names, ps in sorted(groups.items())]
-    archives = spark.read.format("binaryFile").load(paths).select("path").where(F.lower("path").endswith(".zip"))
-    zipped = [r["path"] for r in archives.collect()]
-    if zipped:
-        frames.append(read_zip_positions(spark, zipped))
-    if not frames:
-        return spark.createDataFrame([], T.StructType(
-            [T.StructField(c, T.StringType()) for c in CANONICAL_COLUMNS]
-            + [T.StructField("source_file", T.StringType()), T.StructField("source_offset", T.LongType()),
-               T.StructField("ingest_seq", T.LongType())]))
-    return combine_files(frames)
+    return _rows(spark, paths, "auto", "also")
 
 
 def combine_files(frames: list[DataFrame]) -> DataFrame:
