@@ -6,8 +6,8 @@ their language (``term NUL lang``; no term holds a NUL), so that one pass fits
 every language by itself.  The vectors are written and read back as plain index
 and value arrays, and the vectors of a (lang, source) group are summed term by
 term, with partial sums in every task.  The driver holds a vocabulary, as
-``CountVectorizer`` does; for large corpora terms are dealt by hash into
-``slices``, each fitted by itself, so that it holds one slice at a time.
+``CountVectorizer`` does; so terms are dealt by hash into ``slices``, each written
+and fitted by itself, and it holds one slice at a time.
 
 A group gives the kept term t with count c the share
 ``p = 1 + floor(10^9 * (c + 1) / (N + V))``, V the kept terms of the language and N
@@ -23,48 +23,91 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackline.session import scratch_path
 
-from .common import doc_text, write_shared
+from .common import doc_text, slices_by_bytes, write_shared
 
 MIN_DOCS = 3
 TOP_TERMS = 200
 SCALE = 1_000_000_000
-DOCS_PER_SLICE = 5_000_000
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SLICE_DOCS, SLICE_POWER = 20_000, 0.7
 _VECTORS = "group struct<lang:string,source:string>, v struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
+#: Bytes of the terms' alphabet: A-Z lower-cased, every other ASCII character but a letter a separator, all of a non-ASCII one kept.
+_BYTES = np.array([b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 0 for b in range(256)], np.uint8)
+_PLACE = np.random.default_rng(13).integers(0, 2 ** 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
+BATCH_BYTES = 8_000_000
 
 
 def slices_for(docs: DataFrame) -> int:
-    """Slices that keep the vocabulary of one within the driver's memory."""
-    return 1 + docs.count() // DOCS_PER_SLICE
-
-
-def documents_terms(docs: DataFrame) -> DataFrame:
-    """group (lang, source) and terms, one row per document; a term carries its language."""
-    lang = F.coalesce("lang", F.lit(""))
-    terms = F.regexp_extract_all(F.translate(doc_text(), UPPER, LOWER), F.lit(TERM), F.lit(0))
-    return docs.select(F.struct(lang.alias("lang"), F.coalesce("source", F.lit("")).alias("source")).alias("group"),
-                       F.transform(terms, lambda t: F.concat(t, F.lit("\0"), lang)).alias("terms"))
+    """Slices that keep the vocabulary of one within the driver's memory; vocabularies grow less than documents do."""
+    return 1 + int((docs.count() / SLICE_DOCS) ** SLICE_POWER)
+
+
+def _terms(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The terms of texts (binary), the text each is of, and a hash of each."""
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    data = texts.buffers()[2]
+    low = _BYTES[np.frombuffer(data, np.uint8)[ends[0]:ends[-1]]] if data is not None else np.empty(0, np.uint8)
+    ends -= ends[0]
+    inside = low != 0
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    heads = ends[:-1][ends[:-1] < len(low)]
+    begins[heads] = inside[heads]  # a text's first letter, whatever the text before ends with
+    at = np.flatnonzero(begins)
+    kept = low[inside]
+    first = (np.cumsum(inside) - inside)[at]
+    size = np.diff(np.append(first, len(kept)))
+    place = np.arange(len(kept)) - np.repeat(first, size)
+    mixed = kept.astype(np.uint64) * _PLACE[place & 63] * (place.astype(np.uint64) + np.uint64(1))
+    hashed = np.add.reduceat(mixed, first) if len(at) else np.empty(0, np.uint64)
+    terms = pa.StringArray.from_buffers(len(at), pa.py_buffer(np.append(first, len(kept)).astype(np.int32)), pa.py_buffer(kept))
+    return terms, np.searchsorted(ends, at, "right") - 1, hashed >> np.uint64(33)
+
+
+def documents_terms(docs: DataFrame, slices: int) -> DataFrame:
+    """slice, group (lang, source) and terms, a row for every document and slice it has terms in; a term carries its language."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            lengths = pc.binary_length(whole.column("text")).to_numpy()
+            for lo, hi in slices_by_bytes(lengths, BATCH_BYTES):
+                batch = whole.slice(lo, hi - lo)
+                terms, doc, hashed = _terms(batch.column("text"))
+                if not len(terms):
+                    continue
+                named = pc.binary_join_element_wise(terms, batch.column("lang").take(pa.array(doc)), "\0")
+                key = (hashed % np.uint64(slices)).astype(np.int64) * batch.num_rows + doc
+                order = np.argsort(key, kind="stable")
+                rows, starts = np.unique(key[order], return_index=True)
+                own = pa.array(rows % batch.num_rows)
+                group = pa.StructArray.from_arrays([batch.column(c).take(own) for c in ("lang", "source")], ["lang", "source"])
+                lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(order)), pa.int32()), named.take(pa.array(order)))
+                yield pa.RecordBatch.from_arrays([pa.array((rows // batch.num_rows).astype(np.int32)), group, lists], ["slice", "group", "terms"])
+
+    filled = docs.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source")), doc_text().cast("binary").alias("text"))
+    return filled.mapInArrow(run, "slice int, group struct<lang:string,source:string>, terms array<string>")
 
 
 def group_counts(docs: DataFrame, min_docs: int = MIN_DOCS, slices: int = 1) -> tuple[DataFrame, DataFrame]:
     """(lang, term, term_id) of the kept terms and (lang, source, term_id, n) of the groups that hold them."""
     spark = docs.sparkSession
-    rows = documents_terms(docs)
-    rows = write_shared(rows if slices == 1 else rows.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))).withColumn(
-        "terms", F.expr(f"filter(terms, t -> pmod(xxhash64(t), {slices}) = slice)")), "divergence-terms")
+    dealt = scratch_path(spark, "llm-divergence-terms")
+    documents_terms(docs, slices).write.partitionBy("slice").parquet(dealt)
+    rows = spark.read.schema("group struct<lang:string,source:string>, terms array<string>, slice int").parquet(dealt)
     # a model needs a term: one of no language and no letters, held by so many documents
     held = spark.createDataFrame([(["\0"],)] * min_docs, "terms array<string>")
     vocabulary = counts = None
     for k in range(slices):
-        own = rows if slices == 1 else rows.where(F.col("slice") == k)
+        own = rows.where(F.col("slice") == k).drop("slice")
         model = CountVectorizer(inputCol="terms", outputCol="v", minDF=float(min_docs), vocabSize=2 ** 31 - 1).fit(
             own.select("terms").union(held))
         path = scratch_path(spark, "llm-divergence-vectors")
