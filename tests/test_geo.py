@@ -25,9 +25,59 @@ def test_geodesic_edges(spark):
     assert d[3] == pytest.approx(d[4], rel=1e-12)  # symmetric
 
 
-def test_nearly_antipodal_is_null_not_wrong(spark):
-    d = _dist(spark, [(0.0, 0.0, 0.5, 179.7)])
-    assert d[0] is None or d[0] > 10000
+#: Published lengths in metres of geodesics between nearly antipodal points, and of a meridian from pole to pole.
+PUBLISHED = [((0.0, 0.0, 0.5, 179.5), 19936288.579), ((0.0, 0.0, 0.5, 179.7), 19944127.421), ((-30.0, 0.0, 29.9, 179.8), 19989832.82761),
+             ((90.0, 0.0, -90.0, 0.0), 20003931.4586), ((0.0, 0.0, 0.0, 180.0), 20003931.4586), ((30.0, 10.0, -30.0, -170.0), 20003931.4586)]
+
+
+def test_nearly_antipodal_points(spark):
+    pairs = [p for p, _ in PUBLISHED]
+    turned = [(c, d, a, b) for a, b, c, d in pairs] + [(-a, -b, -c, -d) for a, b, c, d in pairs]
+    got = [x * 1852 for x in _dist(spark, pairs + turned)]
+    for x, (_, metres) in zip(got, PUBLISHED * 3):
+        assert x == pytest.approx(metres, abs=1e-3)
+
+
+def _by_bisection(lat1, lon1, lat2, lon2):
+    """Metres, by halving the azimuth's bracket and Simpson's rule; for points far apart."""
+    import math
+    f, a = 1 / 298.257223563, 6378137.0
+    b1, b2 = (math.atan((1 - f) * math.tan(math.radians(x))) for x in (lat1, lat2))
+    lam = math.radians(abs((lon2 - lon1 + 180) % 360 - 180))
+    if abs(b1) < abs(b2):
+        b1, b2 = b2, b1
+    if b1 > 0:
+        b1, b2 = -b1, -b2
+    e2 = f * (2 - f) / (1 - f) ** 2
+
+    def go(alpha):
+        s0, y1 = math.sin(alpha) * math.cos(b1), math.cos(alpha) * math.cos(b1)
+        y2 = math.sqrt(max(0.0, y1 * y1 + math.cos(b2) ** 2 - math.cos(b1) ** 2))
+        k2, g1, g2 = e2 * (1 - s0 * s0), math.atan2(math.sin(b1), y1), math.atan2(math.sin(b2), y2)
+        n, h = 200, (g2 - g1) / 200
+        r = [math.sqrt(1 + k2 * math.sin(g1 + i * h) ** 2) for i in range(n + 1)]
+        simpson = lambda y: h / 3 * (y[0] + y[-1] + 4 * sum(y[1:-1:2]) + 2 * sum(y[2:-1:2]))
+        w = math.atan2(s0 * math.sin(b2), y2) - math.atan2(s0 * math.sin(b1), y1)
+        return w - f * s0 * simpson([(2 - f) / (1 + (1 - f) * x) for x in r]), a * (1 - f) * simpson(r)
+
+    low, high = 0.0, math.pi
+    for _ in range(60):
+        mid = (low + high) / 2
+        low, high = (low, mid) if go(mid)[0] > lam else (mid, high)
+    return go((low + high) / 2)[1]
+
+
+def test_long_legs_against_bisection(spark):
+    """Every pair has a distance, wherever the first iteration ends."""
+    import random
+    draw = random.Random(5)
+    pairs = [(0.0, 0.0, 5.0, 170.0), (0.0, 0.0, 20.0, 160.0), (10.0, 0.0, -8.0, 175.0)]
+    for _ in range(150):
+        lat, lon = draw.uniform(-89, 89), draw.uniform(-180, 180)
+        off = draw.choice([0.01, 0.5, 3, 12])
+        pairs.append((lat, lon, max(-90.0, min(90.0, -lat + draw.uniform(-off, off))), (lon + 180 + draw.uniform(-off, off) + 180) % 360 - 180))
+    for p, nm in zip(pairs, _dist(spark, pairs)):
+        assert nm * 1852 == pytest.approx(_by_bisection(*p), abs=1e-3), p
 
 
 def test_haversine_and_sql_function(spark):

@@ -1,28 +1,39 @@
 """Distance functions as native SQL expressions (no Python per row).
 
-Both formulas are written once as SQL text over plain column names, so the
-same text runs in Spark (``selectExpr``) and in any ANSI engine used as an
-oracle.  The ellipsoidal distance is Vincenty's inverse method on WGS-84,
+The ellipsoidal distance is Vincenty's inverse method on WGS-84,
 unrolled into a fixed number of staged projections: each stage only names
 columns of earlier stages, so Catalyst keeps the stages apart (an upper
 project references the expensive lower ones several times, so they are not
 inlined) and whole-stage codegen compiles the lot into one loop.
+
+That iteration does not settle where the points are nearly antipodal.  Such rows
+(and no others: the branch is not entered) are solved for the azimuth at the first
+point, by Newton steps, or halvings of the bracket where a step does not halve the last one, on the exact integrals for
+longitude and length, so every pair of points has its distance.
 """
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackline.schema import EARTH_RADIUS_NM, METERS_PER_NM, WGS84_A, WGS84_F
 
-# Four iterations: the correction shrinks by a factor ~f (1/298) per step, so
-# the residual is ~1e-11 relative; a fifth makes the generated method too
-# large for the JIT (measured 6x slower per row), with no visible gain.
+# Four iterations: the correction shrinks by a factor ~f (1/298) per step, and
+# the last one enters the angle to first order (its slope is the sine of the
+# azimuth at the equator); a fifth makes the generated method too large for
+# the JIT (measured 6x slower per row).
 VINCENTY_ITERATIONS = 4
 # A leg whose longitude iteration still moves by more than this after the last
-# stage did not converge (nearly antipodal points); its distance is NULL.
-VINCENTY_TOLERANCE = 1e-9
+# stage did not converge (nearly antipodal points); the second solver takes it.
+VINCENTY_TOLERANCE = 1e-10
+FAR_ARC = 2.8  # beyond this angle, in radians, the second solver is asked without waiting for the first
+AZIMUTH_STEPS = 60  # at most some ten are Newton's; a bracket halves at worst
+QUADRATURE = 12  # Gauss-Legendre points for integrands that are smooth and all but constant
 
 
 def _d(x: float) -> str:
@@ -113,13 +124,90 @@ def vincenty_stages(lat1: str, lon1: str, lat2: str, lon2: str, out: str,
     ])
     stages.append([
         (out, f"CASE WHEN {lat1} IS NULL OR {lon1} IS NULL OR {lat2} IS NULL OR {lon2} IS NULL THEN NULL"
-              f" WHEN {ss} = 0 THEN CAST(0 AS DOUBLE)"
-              f" WHEN abs({p}lam{n} - {p}lam{n - 1}) > {_d(VINCENTY_TOLERANCE)} THEN NULL"
-              f" ELSE {_d(b)} * {A} * ({sig} - {p}ds) / {_d(METERS_PER_NM)} END"),
+              f" WHEN {ss} = 0 AND {cs} > 0 THEN CAST(0 AS DOUBLE)"
+              f" WHEN {sig} > {_d(FAR_ARC)} OR abs({p}lam{n} - {p}lam{n - 1}) > {_d(VINCENTY_TOLERANCE)} THEN NULL"
+              f" ELSE {_d(b)} * {A} * ({sig} + {p}sa{n} * ({p}lam{n} - {p}lam{n - 1}) - {p}ds) / {_d(METERS_PER_NM)} END"),
     ])
     return stages
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def antipodal_nm(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
+    """WGS-84 distance in nm of two columns' points by the azimuth at the first one; for any points but very near ones.
+
+    The points are put so that the first is the southern one, at least as far from the equator as the other;
+    the longitude a geodesic reaches at the other's latitude then grows with its azimuth from 0 to 180 degrees.
+    """
+    a, f = WGS84_A, WGS84_F
+    b, second = (1 - f) * a, (2 - f) * f / (1 - f) ** 2  # second eccentricity, squared
+    nodes, weights = np.polynomial.legendre.leggauss(QUADRATURE)
+    points = F.array(*(F.struct(F.lit(float(x)).alias("x"), F.lit(float(w)).alias("w")) for x, w in zip(nodes, weights)))
+    u1, u2 = (F.atan(F.lit(1 - f) * F.tan(F.radians(c))) for c in (lat1, lat2))
+    far, near = F.when(F.abs(u1) >= F.abs(u2), u1).otherwise(u2), F.when(F.abs(u1) >= F.abs(u2), u2).otherwise(u1)
+    side = F.when(far > 0, F.lit(-1.0)).otherwise(F.lit(1.0))
+    apart = F.radians(F.abs(F.pmod(F.col(lon2) - F.col(lon1) + 180, F.lit(360.0)) - 180))
+    # a first point on the equator counts as some micrometres south of it
+    start = _let(F.struct(F.least(far * side, F.lit(-1e-12)).alias("b1"), (near * side).alias("b2"), apart.alias("lam")), lambda v: F.struct(
+        F.sin(v["b1"]).alias("s1"), F.cos(v["b1"]).alias("c1"), F.sin(v["b2"]).alias("s2"), F.cos(v["b2"]).alias("c2"), v["lam"].alias("lam")))
+
+    def reached(azimuth: Column, p: Column) -> Column:
+        """off (longitude beyond the wanted one), slope of it by azimuth, and length in metres."""
+        def on_sphere(v):
+            y1 = v["ca"] * p["c1"]
+            return F.struct((v["sa"] * p["c1"]).alias("s0"), y1.alias("y1"),
+                            F.sqrt(F.greatest(y1 * y1 + (p["c2"] * p["c2"] - p["c1"] * p["c1"]), F.lit(0.0))).alias("y2"),
+                            (F.lit(second) * (v["ca"] * v["ca"] + v["sa"] * v["sa"] * p["s1"] * p["s1"])).alias("k2"))
+
+        def arcs(v):
+            return F.struct(v["s0"].alias("s0"), v["y2"].alias("y2"), v["k2"].alias("k2"), F.atan2(p["s1"], v["y1"]).alias("g1"),
+                            F.atan2(p["s2"], v["y2"]).alias("g2"),
+                            (F.atan2(v["s0"] * p["s2"], v["y2"]) - F.atan2(v["s0"] * p["s1"], v["y1"])).alias("w"))
+
+        def integrals(v):
+            half, mid = (v["g2"] - v["g1"]) / 2, (v["g2"] + v["g1"]) / 2
+
+            def add(t, q):
+                sine = F.sin(mid + half * q["x"])
+                return _let(F.struct((sine * sine).alias("ss"), F.sqrt(1 + v["k2"] * sine * sine).alias("r")), lambda e: F.struct(
+                    (t["lon"] + q["w"] * F.lit(2 - f) / (1 + F.lit(1 - f) * e["r"])).alias("lon"), (t["len"] + q["w"] * e["r"]).alias("len"),
+                    (t["red"] + q["w"] * v["k2"] * e["ss"] / e["r"]).alias("red")))
+
+            zero = F.struct(*(F.lit(0.0).alias(c) for c in ("lon", "len", "red")))
+            return F.struct(v.alias("v"), half.alias("half"), F.aggregate(points, zero, add).alias("i"))
+
+        def outcome(z):
+            v, half = z["v"], z["half"]
+            r1, r2 = (F.sqrt(1 + v["k2"] * F.sin(v[g]) * F.sin(v[g])) for g in ("g1", "g2"))
+            reduced = (r2 * F.cos(v["g1"]) * F.sin(v["g2"]) - r1 * F.sin(v["g1"]) * F.cos(v["g2"])
+                       - F.cos(v["g1"]) * F.cos(v["g2"]) * half * z["i"]["red"])
+            return F.struct((v["w"] - F.lit(f) * v["s0"] * half * z["i"]["lon"] - p["lam"]).alias("off"),
+                            F.when(v["y2"] > 0, F.lit(b / a) * reduced / v["y2"]).alias("slope"), (F.lit(b) * half * z["i"]["len"]).alias("len"))
+
+        v = F.struct(F.sin(azimuth).alias("sa"), F.cos(azimuth).alias("ca"))
+        return _let(_let(_let(_let(v, on_sphere), arcs), integrals), outcome)
+
+    def solved(p: Column) -> Column:
+        def step(t, _):
+            def narrowed(e):
+                low = F.when(e["off"] > 0, t["low"]).otherwise(t["x"])
+                high = F.when(e["off"] > 0, t["x"]).otherwise(t["high"])
+                to = t["x"] - e["off"] / e["slope"]
+                done = F.abs(e["off"]) < F.lit(1e-14)
+                sure = (e["slope"] > 0) & (to >= low) & (to <= high) & (done | (to != t["x"]) & (F.abs(to - t["x"]) <= t["moved"] / 2))
+                to = F.when(sure, to).otherwise((low + high) / 2)
+                return F.struct(low.alias("low"), high.alias("high"), to.alias("x"), F.abs(to - t["x"]).alias("moved"))
+            return _let(reached(t["x"], p), narrowed)
+
+        first = F.struct(F.lit(0.0).alias("low"), F.lit(math.pi).alias("high"), F.lit(math.pi / 2).alias("x"), F.lit(math.pi).alias("moved"))
+        return reached(F.aggregate(F.sequence(F.lit(1), F.lit(AZIMUTH_STEPS)), first, step, lambda t: t["x"]), p)["len"] / F.lit(METERS_PER_NM)
+
+    return _let(start, solved)
+
+
 def stage_columns(stages: list[list[tuple[str, str]]]) -> list[str]:
     return [alias for stage in stages for alias, _ in stage]
 
@@ -139,27 +227,9 @@ def with_distance(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str, out
     # and the analyzer builds one projection per dependency level.
     df = df.select("*", *[F.expr(sql).alias(alias) for stage in stages for alias, sql in stage])
     temps = [c for c in stage_columns(stages) if c != out]
-    return df.drop(*temps)
-
-
-def distance_sql_ctes(src: str, lat1: str, lon1: str, lat2: str, lon2: str, out: str,
-                      method: str = "geodesic", prefix: str = "g",
-                      iterations: int = VINCENTY_ITERATIONS) -> tuple[list[str], str]:
-    """The same computation as chained CTE bodies for a SQL engine.
-
-    Returns (list of ``name AS (...)`` CTE texts, name of the last CTE).  The
-    last CTE has every column of ``src`` plus ``out`` (and stage temporaries).
-    """
-    if method == "haversine":
-        name = f"{prefix}_h"
-        return [f"{name} AS (SELECT *, {haversine_sql(lat1, lon1, lat2, lon2)} AS {out} FROM {src})"], name
-    ctes, prev = [], src
-    for i, stage in enumerate(vincenty_stages(lat1, lon1, lat2, lon2, out, iterations)):
-        name = f"{prefix}_{i}"
-        cols = ", ".join(f"{sql} AS {alias}" for alias, sql in stage)
-        ctes.append(f"{name} AS (SELECT *, {cols} FROM {prev})")
-        prev = name
-    return ctes, prev
+    df = df.drop(*temps)
+    known = reduce(lambda x, y: x & y, (F.col(c).isNotNull() for c in (lat1, lon1, lat2, lon2)))
+    return df.withColumn(out, F.when(F.col(out).isNull() & known, antipodal_nm(lat1, lon1, lat2, lon2)).otherwise(F.col(out)))
 
 
 def register_sql_functions(spark) -> None:

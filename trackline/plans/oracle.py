@@ -9,8 +9,9 @@ sides.
 
 from __future__ import annotations
 
-from trackline.functions.geo import distance_sql_ctes
-from trackline.sources.fixture import raw_positions_sql
+import numpy as np
+
+from trackline.sources.fixture import TURNED, raw_positions_sql
 
 ORACLE: dict[str, str] = {}
 
@@ -47,19 +48,79 @@ CLEAN = (f"clean AS (SELECT * FROM raw WHERE NOT {INCOMPLETE} AND {COORD_OK} AND
          f" QUALIFY row_number() OVER (PARTITION BY mmsi, base_datetime ORDER BY ingest_seq) = 1)")
 
 
-def legs_ctes(method: str = "geodesic", src: str = "clean", tag: str = "") -> tuple[list[str], str]:
+# WGS-84, the sphere's radius in nautical miles, metres of a mile.
+FLAT, MAJOR, SPHERE_NM, MILE = "(1 / 298.257223563)", "6378137.0", "3440.065", "1852.0"
+
+
+def haversine_oracle(src: str, tag: str) -> tuple[list[str], str]:
+    h = ("power(sin(radians(latitude - plat) / 2), 2) + cos(radians(plat)) * cos(radians(latitude))"
+         " * power(sin(radians(longitude - plon) / 2), 2)")
+    return [f"{tag}_h AS (SELECT *, 2 * {SPHERE_NM} * asin(sqrt({h})) AS leg_nm FROM {src})"], f"{tag}_h"
+
+
+def vincenty_oracle(src: str, tag: str, turns: int = 7) -> tuple[list[str], str]:
+    """Vincenty's inverse formula, ``turns`` times round; ``ang`` is the angle between the points."""
+    ctes = [f"{tag}_0 AS (SELECT *, radians(longitude - plon) AS dl, dl AS l0, atan((1 - {FLAT}) * tan(radians(plat))) AS ua,"
+            f" atan((1 - {FLAT}) * tan(radians(latitude))) AS ub FROM {src})"]
+    for i in range(1, turns + 1):
+        prev = f"l{i - 1}"
+        ctes.append(f"{tag}_{i} AS (SELECT *,"
+                    f" sqrt(power(cos(ub) * sin({prev}), 2) + power(cos(ua) * sin(ub) - sin(ua) * cos(ub) * cos({prev}), 2)) AS sx{i},"
+                    f" sin(ua) * sin(ub) + cos(ua) * cos(ub) * cos({prev}) AS cx{i}, atan2(sx{i}, cx{i}) AS ang{i},"
+                    f" CASE WHEN sx{i} = 0 THEN 0.0 ELSE cos(ua) * cos(ub) * sin({prev}) / sx{i} END AS sy{i}, 1 - sy{i} * sy{i} AS q{i},"
+                    f" CASE WHEN q{i} = 0 THEN 0.0 ELSE cx{i} - 2 * sin(ua) * sin(ub) / q{i} END AS m{i},"
+                    f" {FLAT} / 16 * q{i} * (4 + {FLAT} * (4 - 3 * q{i})) AS w{i},"
+                    f" dl + (1 - w{i}) * {FLAT} * sy{i} * (ang{i} + w{i} * sx{i} * (m{i} + w{i} * cx{i} * (2 * m{i} * m{i} - 1))) AS l{i}"
+                    f" FROM {tag}_{i - 1})")
+    n = turns
+    ctes.append(f"{tag}_v AS (SELECT *, q{n} * (1 / power(1 - {FLAT}, 2) - 1) AS uu,"
+                f" 1 + uu / 4 + uu * uu * (-3.0 / 64 + uu * (5.0 / 256 - uu * 175 / 16384)) AS aa,"
+                f" uu / 4 + uu * uu * (-1.0 / 8 + uu * (37.0 / 512 - uu * 47 / 1024)) AS bb,"
+                f" bb * sx{n} * (m{n} + bb / 4 * (cx{n} * (2 * m{n} * m{n} - 1) - bb / 6 * m{n} * (4 * sx{n} * sx{n} - 3) * (4 * m{n} * m{n} - 3))) AS cut,"
+                f" {MAJOR} * (1 - {FLAT}) * aa * (ang{n} - cut) / {MILE} AS leg_nm, ang{n} AS ang FROM {tag}_{n})")
+    return ctes, f"{tag}_v"
+
+
+def bisected_oracle(src: str, tag: str) -> tuple[list[str], str]:
+    """Legs of over 160 degrees by halving the bracket of the azimuth; other legs as ``src`` has them."""
+    nodes = ", ".join(f"{{'x': {x!r}, 'w': {w!r}}}" for x, w in zip(*(v.tolist() for v in np.polynomial.legendre.leggauss(16))))
+    at = (f"sin(az) * cos(b1) AS s0, cos(az) * cos(b1) AS y1, sqrt(greatest(0.0, y1 * y1 + power(cos(b2), 2) - power(cos(b1), 2))) AS y2,"
+          f" (1 / power(1 - {FLAT}, 2) - 1) * (1 - s0 * s0) AS kk, atan2(sin(b1), y1) AS ga, atan2(sin(b2), y2) AS gb,"
+          f" atan2(s0 * sin(b2), y2) - atan2(s0 * sin(b1), y1) AS om")
+
+    def integral(of: str) -> str:
+        root = "sqrt(1 + kk * power(sin((gb + ga) / 2 + (gb - ga) / 2 * p.x), 2))"
+        return f"(gb - ga) / 2 * list_sum([p.w * {of.format(r=root)} FOR p IN [{nodes}]])"
+
+    lon = f"om - {FLAT} * s0 * " + integral(f"(2 - {FLAT}) / (1 + (1 - {FLAT}) * {{r}})")
+    return [
+        f"{tag}_k AS (SELECT *, row_number() OVER (ORDER BY mmsi, base_datetime) AS k_ FROM {src})",
+        f"{tag}_c AS (SELECT k_, CASE WHEN abs(ua) >= abs(ub) THEN ua ELSE ub END AS u, CASE WHEN abs(ua) >= abs(ub) THEN ub ELSE ua END AS v,"
+        f" least(-abs(u), -1e-12) AS b1, CASE WHEN u > 0 THEN -v ELSE v END AS b2,"
+        f" radians(abs(longitude - plon) - 360 * floor((abs(longitude - plon) + 180) / 360)) AS d, abs(d) AS lm FROM {tag}_k WHERE ang > 2.8)",
+        f"{tag}_b AS (SELECT k_, b1, b2, lm, 0.0::DOUBLE AS lo, pi() AS hi, 0 AS i FROM {tag}_c UNION ALL"
+        f" SELECT k_, b1, b2, lm, CASE WHEN far THEN lo ELSE az END, CASE WHEN far THEN az ELSE hi END, i + 1"
+        f" FROM (SELECT *, (lo + hi) / 2 AS az, {at}, {lon} > lm AS far FROM {tag}_b WHERE i < 55))",
+        f"{tag}_d AS (SELECT k_, (lo + hi) / 2 AS az, {at}, {MAJOR} * (1 - {FLAT}) * " + integral("{r}") + f" / {MILE} AS far_nm FROM {tag}_b WHERE i = 55)",
+        f"{tag}_f AS (SELECT k.* REPLACE (coalesce(d.far_nm, k.leg_nm) AS leg_nm) FROM {tag}_k k LEFT JOIN {tag}_d d USING (k_))",
+    ], f"{tag}_f"
+
+
+def legs_ctes(method: str = "geodesic", src: str = "clean", tag: str = "", far: bool = False) -> tuple[list[str], str]:
     """CTEs adding previous-point columns and ``leg_nm`` per report (NULL for a vessel's first)."""
     legs = (f"legs{tag} AS (SELECT mmsi, base_datetime, latitude, longitude, sog, vessel_name,"
             f" lag(latitude) OVER w AS plat, lag(longitude) OVER w AS plon, lag(sog) OVER w AS psog,"
             f" lag(base_datetime) OVER w AS pts FROM {src} WINDOW w AS (PARTITION BY mmsi ORDER BY base_datetime))")
-    dist, last = distance_sql_ctes(f"legs{tag}", "plat", "plon", "latitude", "longitude", "leg_nm", method,
-                                   prefix=f"g{tag}")
+    dist, last = (haversine_oracle if method == "haversine" else vincenty_oracle)(f"legs{tag}", f"g{tag}")
+    if far:
+        more, last = bisected_oracle(last, f"f{tag}")
+        dist += more
     return [legs] + dist, last
 
 
-def metrics_ctes(method: str = "geodesic", src: str = "clean", tag: str = "") -> list[str]:
+def metrics_ctes(method: str = "geodesic", src: str = "clean", tag: str = "", far: bool = False) -> list[str]:
     """CTEs ending in ``metrics<tag>`` (unrounded, one row per vessel, with extents and leg counts)."""
-    lc, last = legs_ctes(method, src, tag)
+    lc, last = legs_ctes(method, src, tag, far)
     lagg = (f"lagg{tag} AS (SELECT mmsi, sum(leg_nm) AS dist, count(pts) AS leg_count,"
             f" count(CASE WHEN pts IS NOT NULL AND leg_nm IS NULL THEN 1 END) AS failed_legs,"
             f" sum(CASE WHEN pts IS NOT NULL AND (psog + sog) / 2 >= 1.0"
@@ -154,6 +215,10 @@ oracle("track_legs", _legs_query("geodesic"))
 oracle("haversine_legs", _legs_query("haversine"))
 oracle("vessel_distance", with_([RAW, CLEAN] + metrics_ctes(),
                                 f"SELECT mmsi, {rnd('total_distance_nm')}, leg_count, failed_legs FROM metrics"))
+oracle("vessel_distance_long_legs", with_([RAW, "turned AS (SELECT * REPLACE (" + ", ".join(f"{e} AS {c}" for c, e in TURNED.items()) + ") FROM raw)",
+                                          CLEAN.replace("FROM raw", "FROM turned")] + metrics_ctes(far=True),
+                                         f"SELECT mmsi, {rnd('total_distance_nm', digits=4)}, leg_count, failed_legs FROM metrics").replace(
+                                             "WITH ", "WITH RECURSIVE ", 1))
 oracle("vessel_time_split", with_([RAW, CLEAN] + metrics_ctes("haversine"),
                                   f"SELECT mmsi, {rnd('total_time_hours')}, {rnd('moving_time_hours')},"
                                   f" {rnd('at_dock_time_hours')}, point_count FROM metrics"))

@@ -18,7 +18,7 @@ from trackline.plans.context import cleaned, legs, materialized_metrics, metrics
 from trackline.schema import CANONICAL_COLUMNS, SOURCE_COLUMNS
 from trackline.session import scratch_path
 from trackline.sources import archives, catalog, positions
-from trackline.sources.fixture import RAW_COLUMNS, listing_pages
+from trackline.sources.fixture import RAW_COLUMNS, TURNED, listing_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -127,6 +127,13 @@ def q_vessel_distance(spark, sf):
     return rounded(tracks.vessel_distance(cleaned(spark, sf), counts_from=raw(spark, sf)))
 
 
+@query("vessel_distance_long_legs")
+def q_vessel_distance_long_legs(spark, sf):
+    """Tracks that cross to nearly antipodal points and back: no leg is without a distance."""
+    turned = raw(spark, sf).withColumns({c: F.expr(e) for c, e in TURNED.items()})
+    return rounded(tracks.vessel_distance(C.clean(turned)), 4)
+
+
 @query("vessel_time_split")
 def q_vessel_time_split(spark, sf):
     return rounded(tracks.vessel_time_split(cleaned(spark, sf), counts_from=raw(spark, sf)))

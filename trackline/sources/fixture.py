@@ -35,6 +35,12 @@ ADAPTER_COLUMNS = [
 COPY_SEQ_OFFSET = 1_000_000_000
 COPY_EVERY = 50
 
+# Every third report moved to the far side of the globe, so that legs run between nearly antipodal points.
+TURNED = {
+    "latitude": "CASE WHEN ingest_seq % 3 = 0 THEN -latitude ELSE latitude END",
+    "longitude": "CASE WHEN ingest_seq % 3 <> 0 THEN longitude WHEN longitude > 0 THEN longitude - 180 ELSE longitude + 180 END",
+}
+
 RAW_COLUMNS = [name for name, _ in ADAPTER_COLUMNS]
 
 
