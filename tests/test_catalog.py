@@ -37,3 +37,21 @@ def test_listing_select_urls(spark):
     req = spark.createDataFrame([("2024", None), ("2023", "Zone10_02")], "year string, zone string")
     urls = [r["url"] for r in catalog.archive_urls(req, "https://h/").collect()]
     assert urls == ["https://h/2024/AIS_2024_01_01.zip", "https://h/2023/AIS_2023_Zone10_02.zip"]
+
+
+def test_links_as_a_browser_sees_them(spark):
+    html = ("<!-- <a href=commented.zip>x</a> 1K --><script>var s = '<a href=\"scripted.zip\">';</script>"
+            "<table><tr><td><a class=x href='AIS_2024_01_02.zip'>AIS_2024_01_02.zip</a></td>\n<td align=\"right\">12.5M</td></tr></table>"
+            "<A\n  title='2 > 1' HREF = \"../2023/AIS_2023_01_03.zip?x=1&amp;y=2\"><b>t</b></A> 3 GB <a href=/ais/AIS_2022_02_02.zip>a<a href=\"//other.example/2021/\">b"
+            "</a>7K<a name=n>no link</a><a href=\"https://[bad/AIS_2020_01_01.zip\">c</a>" + "<a " + "x=\"1\" " * 20_000 + "href=many.zip>d</a>")
+    pages = spark.createDataFrame([(1, "https://host.example/ais/2024/index.html?q#f", html), (2, None, None), (3, None, "<a href='r.zip'>")],
+                                  "page_id long, url string, html string")
+    got = [(r.href, r.filename, r.url, r.size_text, r.size_bytes) for r in catalog.links(pages).collect()]
+    assert got == [
+        ("AIS_2024_01_02.zip", "AIS_2024_01_02.zip", "https://host.example/ais/2024/AIS_2024_01_02.zip", "12.5M", int(12.5 * 2 ** 20)),
+        ("../2023/AIS_2023_01_03.zip?x=1&y=2", "AIS_2023_01_03.zip", "https://host.example/ais/2023/AIS_2023_01_03.zip?x=1&y=2", "3G", 3 * 2 ** 30),
+        ("/ais/AIS_2022_02_02.zip", "AIS_2022_02_02.zip", "https://host.example/ais/AIS_2022_02_02.zip", None, None),
+        ("//other.example/2021/", "2021/", "https://other.example/2021/", "7K", 7168),
+        ("https://[bad/AIS_2020_01_01.zip", "AIS_2020_01_01.zip", None, None, None),
+        ("many.zip", "many.zip", "https://host.example/ais/2024/many.zip", None, None), ("r.zip", "r.zip", "r.zip", None, None)]
+    assert [r.year for r in catalog.index_years(pages).collect()] == ["2021"]

@@ -17,10 +17,10 @@ def test_lenient_parsing(spark):
 
 
 def test_id_and_time_parsing(spark):
-    df = spark.createDataFrame([("257100011.0", "2024-01-15T08:00:00"), ("1.5", "not a time"),
+    df = spark.createDataFrame([("219006771.0", "2024-01-15T08:00:00"), ("1.5", "not a time"),
                                 ("42", "2024-01-15 08:00:00.250")], "mmsi string, base_datetime string")
     got = coerce_types(df).collect()
-    assert got[0]["mmsi"] == 257100011 and str(got[0]["base_datetime"]) == "2024-01-15 08:00:00"
+    assert got[0]["mmsi"] == 219006771 and str(got[0]["base_datetime"]) == "2024-01-15 08:00:00"
     assert got[1]["mmsi"] is None and got[1]["base_datetime"] is None
     assert got[2]["base_datetime"].microsecond == 250000
 
@@ -74,32 +74,43 @@ def test_empty_input(spark):
     assert q["total_records"] == 0 and q["overall_quality_score"] == 0.0
 
 
-def test_limit_records_threshold_path_equals_topk(spark, monkeypatch):
+def test_limit_records_equals_a_sort(spark):
     from trackline.operators import clean as C
     df = spark.range(0, 50000, 1, 8).select((F.col("id") * 7919 % 50000).alias("ingest_seq"), F.col("id"))
-    want = [r["ingest_seq"] for r in df.orderBy("ingest_seq").limit(3000).collect()]
-    monkeypatch.setattr(C, "TOPK_MERGE_ROWS", 100)  # force the threshold path
-    got = [r["ingest_seq"] for r in C.limit_records(df, 3000).collect()]
-    assert sorted(got) == want
+    for n in (0, 1, 3000, 49999, 50000, 60000):
+        assert [r["ingest_seq"] for r in C.limit_records(df, n).collect()] == list(range(min(n, 50000)))
+    text = df.select(F.lpad("ingest_seq", 6, "0").alias("ingest_seq"))
+    assert [r[0] for r in C.limit_records(text, 5).collect()] == [f"{i:06d}" for i in range(5)]
+    assert C.limit_records(df.where("id < 0"), 5).collect() == []
+    few = df.select(F.when(F.col("id") > 3, F.col("ingest_seq")).alias("ingest_seq"))
+    assert C.limit_records(few, 10).count() == 10 and C.limit_records(few, 60000).count() == 49996
 
 
-def test_limit_records_file_order_split_path_equals_topk(spark, monkeypatch, tmp_path):
+def test_limit_records_in_file_order(spark, tmp_path):
     from trackline.operators import clean as C
-    from trackline.sources.positions import ORDER, ingest_order, read_positions
+    from trackline.sources.datasource import read_files
+    from trackline.sources.positions import ORDER, ingest_order
     d = tmp_path / "many"
     d.mkdir()
     line = "{m},2024-01-15 08:{mm:02d}:00,35.1,-5.2,1.0,0,0,V,0,C,70,0,1,1,1,0,A\n"
     for k in range(4):
         (d / f"f{k}.csv").write_text("".join(line.format(m=k * 1000 + i, mm=i % 60) for i in range(700)))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")  # several splits per file
-    try:
-        raw = ingest_order(read_positions(spark, str(d), header=False))
-        assert raw.rdd.getNumPartitions() > 4
-        for n in (1, 650, 1500, 2800, 5000):
-            want = sorted(r["mmsi"] for r in raw.orderBy(ORDER).limit(n).collect())
-            monkeypatch.setattr(C, "TOPK_MERGE_ROWS", 1)  # force the split path
-            got = sorted(r["mmsi"] for r in C.limit_records(raw, n, ORDER).collect())
-            monkeypatch.setattr(C, "TOPK_MERGE_ROWS", 10_000_000)
-            assert got == want, n
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    raw = ingest_order(read_files(spark, str(d), "false", split_bytes=16384))
+    assert raw.rdd.getNumPartitions() > 4
+    for n in (1, 650, 1500, 5000):
+        want = [r["mmsi"] for r in raw.orderBy(ORDER).limit(n).collect()]
+        assert [r["mmsi"] for r in C.limit_records(raw, n, ORDER).collect()] == want, n
+
+
+def test_limit_records_runs_nothing_while_built(spark):
+    from trackline.operators import clean as C
+    from trackline.operators.tracks import track_legs, vessel_metrics
+    from trackline.plans.context import cleaned
+    c = cleaned(spark, "/root/testdata/sf0.001")
+    sc = spark.sparkContext
+    sc.setJobGroup("building", "building")
+    C.limit_records(spark.range(1000).withColumnRenamed("id", "ingest_seq"), 10)
+    vessel_metrics(c), track_legs(c)
+    assert not sc.statusTracker().getJobIdsForGroup("building")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+

@@ -19,8 +19,8 @@ def _shuffles(df):
 
 def test_metrics_plan_shuffles_and_native(spark):
     p = _plan(metrics(spark, SF0001))
-    # dedupe (mmsi, time) + track buckets (mmsi, bucket) + bucket rows by mmsi
-    assert p.count("Exchange hashpartitioning") == 3
+    # dedupe (mmsi, time) + legs (mmsi, hour) + segments by (mmsi, day) and by mmsi
+    assert p.count("Exchange hashpartitioning") == 4
     for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"):
         assert node not in p
     # the dedupe aggregates before its exchange (a hot group of copies collapses map-side)

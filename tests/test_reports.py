@@ -61,6 +61,13 @@ def test_change_log_and_upsert(spark):
     up = {r["k"]: r for r in changes.upsert_stamped(cur, new, "k", t1).collect()}
     assert up[1]["updated_at"] == t0 and up[2]["updated_at"] == t1 and up[3]["updated_at"] == t0
     assert up[4]["created_at"] == t1 and up[2]["x"] == 2.5
+    # a repeated key stays one row: the last by order, and of current rows the last updated
+    twice = new.withColumn("seq", F.lit(1)).union(spark.createDataFrame([(2, "z", 9.0, 2), (2, "y", 8.0, 0), (None, "n", 0.0, 1)], "k long, n string, x double, seq int"))
+    both = cur.union(cur.withColumn("n", F.lit("late")).withColumn("updated_at", F.lit(t1).cast("timestamp_ntz")))
+    rows = changes.upsert_stamped(both, twice, "k", t1, order_col="seq").collect()
+    assert sorted((str(r["k"]), r["n"], r["x"]) for r in rows) == [("1", "late", 1.0), ("2", "z", 9.0), ("3", "c", None), ("4", "d", 4.0), ("None", "n", 0.0)]
+    log = changes.table_changes(old.withColumn("seq", F.lit(0)).union(old.withColumn("seq", F.lit(-1)).withColumn("n", F.lit("q"))), twice, "k", "t", "seq")
+    assert sorted((str(r["record_id"]), r["operation"]) for r in log.collect()) == [("1", "DELETE"), ("2", "UPDATE"), ("3", "UPDATE"), ("4", "INSERT"), ("None", "INSERT")]
     codes = vessels.vessel_type_codes(spark)
     extra = spark.createDataFrame([(70, "dup", "x"), (99, "new", "y")], codes.schema)
     merged = changes.insert_if_absent(codes, extra, "code")

@@ -54,4 +54,4 @@ def test_folder_already_set_on_the_context_wins():
 def test_local_master_gets_a_scratch_folder_when_unset():
     s = _Session("local[2]")
     path = checkpoint_dir(s)
-    assert path and "trackline-ckpt-" in path
+    assert "checkpoints-" in path and checkpoint_dir(s) == path

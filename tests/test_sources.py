@@ -4,7 +4,7 @@ import zipfile
 
 from pyspark.sql import functions as F
 
-from tests.conftest import SAMPLE_CSV
+from tests.conftest import SAMPLE, SAMPLE_CSV
 from trackline.operators.clean import clean, coerce_types
 from trackline.sources import archives, positions
 
@@ -17,8 +17,8 @@ def _write(tmp_path, name, text):
 
 def test_bad_and_short_rows(spark, tmp_path):
     lines = SAMPLE_CSV.splitlines()
-    text = "\n".join([lines[0], lines[1], lines[2] + ",EXTRA", "257100011,2024-01-15 12:00:00,59.2,20.4,12.0",
-                      "257100011,2024-01-15 13:00:00,NA,20.4,NULL"]) + "\n"
+    text = "\n".join([lines[0], lines[1], lines[2] + ",EXTRA", "219000001,2024-01-15 12:00:00,59.2,20.4,12.0",
+                      "219000001,2024-01-15 13:00:00,NA,20.4,NULL"]) + "\n"
     df = positions.read_positions(spark, _write(tmp_path, "a.csv", text))
     rows = df.orderBy("ingest_seq").collect()
     assert len(rows) == 3  # the 18-field row is skipped
@@ -36,12 +36,12 @@ def test_headerless_standard_and_detection(spark, tmp_path):
     (d / "std.csv").write_text("mmsi,timestamp,lat,lon,speed,name\n1,2024-01-01 00:00:00,1.0,2.0,3.0,X\n")
     fmt = {os.path.basename(r["file_path"]): r["format"] for r in positions.detect_format(spark, str(d)).collect()}
     assert fmt == {"headed.csv": "noaa", "plain.csv": "noaa_no_header", "std.csv": "standard"}
-    assert positions.read_positions_headerless(spark, str(d / "plain.csv")).count() == 15
+    assert positions.read_positions_headerless(spark, str(d / "plain.csv")).count() == len(SAMPLE)
     std = positions.read_positions_standard(spark, str(d / "std.csv")).collect()[0]
     assert (std["mmsi"], std["base_datetime"], std["sog"], std["vessel_name"], std["status"]) == \
         ("1", "2024-01-01 00:00:00", "3.0", "X", None)
     allrows = positions.read_any(spark, [str(d / "headed.csv"), str(d / "plain.csv"), str(d / "std.csv")])
-    assert allrows.count() == 31
+    assert allrows.count() == 2 * len(SAMPLE) + 1
 
 
 def test_combine_by_name(spark, tmp_path):
@@ -49,7 +49,7 @@ def test_combine_by_name(spark, tmp_path):
     b = positions.read_positions_standard(spark, _write(tmp_path, "b.csv", "mmsi,time,lat,lon\n5,2024-01-01,1,2\n"),
                                           fill_missing=False)
     both = positions.combine_files([a, b])
-    assert both.count() == 16 and both.where(F.col("mmsi") == "5").collect()[0]["sog"] is None
+    assert both.count() == len(SAMPLE) + 1 and both.where(F.col("mmsi") == "5").collect()[0]["sog"] is None
 
 
 def test_zip_archive(spark, tmp_path):
@@ -60,8 +60,8 @@ def test_zip_archive(spark, tmp_path):
     (tmp_path / "AIS_2024_01_15.zip").write_bytes(buf.getvalue())
     (tmp_path / "broken.zip").write_bytes(b"not a zip")
     df = archives.read_zip_positions(spark, str(tmp_path))
-    assert df.count() == 15
-    assert clean(coerce_types(df), order_col="ingest_seq").count() == 15
+    assert df.count() == len(SAMPLE)
+    assert clean(coerce_types(df), order_col="ingest_seq").count() == len(SAMPLE)
 
 
 def test_write_then_read_archives(spark, tmp_path):
@@ -166,7 +166,7 @@ def test_gzip_csv_and_create_tables(spark, tmp_path):
     import gzip
     p = tmp_path / "day.csv.gz"
     p.write_bytes(gzip.compress(SAMPLE_CSV.encode()))
-    assert positions.read_positions(spark, str(p)).count() == 15
+    assert positions.read_positions(spark, str(p)).count() == len(SAMPLE)
     from trackline.sinks import create_tables
     names = create_tables(spark, str(tmp_path / "store"))
     names2 = create_tables(spark, str(tmp_path / "store"))  # idempotent
@@ -181,7 +181,7 @@ def test_spread_after_unsplittable_source(spark, tmp_path):
         zf.writestr("a.csv", SAMPLE_CSV)
     (tmp_path / "one.zip").write_bytes(buf.getvalue())
     df = archives.read_zip_positions(spark, str(tmp_path), spread=4)
-    assert df.rdd.getNumPartitions() == 4 and df.count() == 15
+    assert df.rdd.getNumPartitions() == 4 and df.count() == len(SAMPLE)
 
 
 def test_read_any_keeps_each_standard_header(spark, tmp_path):
@@ -252,7 +252,7 @@ def test_zip_members_by_name_and_read_any(spark, tmp_path):
         zf.writestr("noaa.csv", SAMPLE_CSV)
     _write(tmp_path, "plain.csv", SAMPLE_CSV)
     rows = positions.read_any(spark, [str(tmp_path)]).collect()
-    assert len(rows) == 31
+    assert len(rows) == 2 * len(SAMPLE) + 1
     seven = [r for r in rows if r["mmsi"] == "7"][0]
     assert (seven["base_datetime"], seven["latitude"], seven["longitude"], seven["sog"], seven["vessel_name"]) == \
         ("2024-01-01 00:00:00", "1.0", "2.0", "3.0", 'A, "B"')
@@ -273,4 +273,6 @@ def test_skip_then_normal_run(spark, tmp_path):
     src = _write(tmp_path, "a.csv", SAMPLE_CSV + "9,not a time,1,2,3\n")
     run_pipeline(spark, str(tmp_path / "store"), paths=[src], skip_processing=True)
     done = run_pipeline(spark, str(tmp_path / "store"), paths=[src], skip_stats=True)
-    assert spark.read.parquet(done.positions_path).count() == 31
+    # the raw rows are stored already; the bad time came with them
+    assert spark.read.parquet(done.positions_path).count() == len(SAMPLE) + 1
+    assert spark.read.parquet(done.metrics_path).count() == len({r["mmsi"] for r in SAMPLE})

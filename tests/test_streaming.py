@@ -58,3 +58,21 @@ def test_files_of_several_layouts(spark, tmp_path):
     stats = incremental_ingest(spark, str(tmp_path / "in"), str(tmp_path / "table"), str(tmp_path / "ckpt"))
     got = {r["mmsi"]: (r["latitude"], r["longitude"]) for r in read_positions_table(spark, str(tmp_path / "table")).collect()}
     assert got == {100000001: (35.5, -5.5), 100000002: (1.0, 2.0)} and stats == {"input_rows": 2, "batches": 1}
+
+
+def test_folders_of_a_date_are_merged(spark, tmp_path):
+    """However many batches bring reports of one day, few folders are live, and old manifests and folders go."""
+    from trackline.streaming.manifest import KEPT, Manifest
+    (tmp_path / "in").mkdir()
+    for i in range(7):
+        (tmp_path / "in" / f"{i}.csv").write_text("mmsi,time,lat,lon,speed\n" + "".join(
+            f"{100000000 + j},2024-03-0{1 + j % 2} 0{i}:00:00,1.0,2.0,3.0\n" for j in range(4)))
+        incremental_ingest(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "ck"), str(tmp_path / "daily"), max_folders=2)
+    m = Manifest(spark, str(tmp_path / "t" / "positions"))
+    assert set(m.folders) == {"2024-03-01", "2024-03-02"} and all(len(b) <= 2 for b in m.folders.values())
+    rows = read_positions_table(spark, str(tmp_path / "t"))
+    assert rows.count() == 28 and rows.select("mmsi", "base_datetime").distinct().count() == 28
+    assert len(list((tmp_path / "t" / "positions").glob("traffic_date=*/batch=*"))) <= 2 * 4
+    assert len(list((tmp_path / "t" / "positions" / "_manifest").glob("[0-9]*.json"))) <= KEPT
+    assert {str(r["traffic_date"]): r["total_positions"] for r in spark.read.parquet(str(tmp_path / "daily")).collect()} == {
+        "2024-03-01": 14, "2024-03-02": 14}

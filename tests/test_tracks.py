@@ -3,37 +3,23 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import positions_df
+from tests.conftest import SAMPLE, geodesic, haversine, positions_df, walked
 from trackline.operators.clean import clean, coerce_types
 from trackline.operators.tracks import track_legs, vessel_metrics, vessel_summary
 from trackline.sources.positions import ingest_order, read_positions
 
-# golden values (WGS-84 geodesic / haversine nm, hours) for the 15-report sample, computed outside Spark
-GOLDEN = {
-    257100011: ("NORDLYS PROBE", 3.243331532, 3.234096299, 2, 2, 0, 3, 11.0, 11.5),
-    230200022: ("QUAY BARGE", 0.0, 0.0, 2, 0, 2, 3, 0.0, 0.0),
-    265300033: ("LONG STRIDER", 30.163356633, 30.056672619, 2, 2, 0, 3, 17.0, 17.4),
-    276400044: ("AMBER COAST", 9.279095418, 9.257546675, 2, 2, 0, 3, 6.4, 6.7),
-    277500055: ("SOUTH WIND", 18.03666798, 18.01213822, 2, 2, 0, 3, 9.2, 9.4),
-}
-
-
 def _sample_clean(spark, sample_path):
     return clean(ingest_order(read_positions(spark, sample_path)), order_col="ingest_order")
 
 
-@pytest.mark.parametrize("method,idx", [("geodesic", 1), ("haversine", 2)])
-def test_golden_sample_metrics(spark, sample_path, method, idx):
+@pytest.mark.parametrize("method,distance", [("geodesic", geodesic), ("haversine", haversine)])
+def test_sample_metrics_equal_a_walk(spark, sample_path, method, distance):
     rows = {r["mmsi"]: r for r in vessel_metrics(_sample_clean(spark, sample_path), method).collect()}
-    assert set(rows) == set(GOLDEN)
-    for mmsi, g in GOLDEN.items():
-        r = rows[mmsi]
-        assert r["vessel_name"] == g[0]
-        assert r["total_distance_nm"] == pytest.approx(g[idx], abs=1e-6)
-        assert (r["total_time_hours"], r["moving_time_hours"], r["at_dock_time_hours"]) == (g[3], g[4], g[5])
-        assert r["point_count"] == g[6]
-        assert r["avg_speed_knots"] == pytest.approx(g[7], abs=1e-9)
-        assert r["max_speed_knots"] == pytest.approx(g[8], abs=1e-12)
+    want = walked(SAMPLE, distance)
+    assert set(rows) == set(want) and len(want) == 9
+    for mmsi, w in want.items():
+        for k, v in w.items():
+            assert rows[mmsi][k] == (v if isinstance(v, str) else pytest.approx(v, abs=1e-9)), (mmsi, k)
 
 
 def test_bucket_width_does_not_change_results(spark):
@@ -91,8 +77,10 @@ def test_legs_match_metrics(spark, sample_path):
     c = _sample_clean(spark, sample_path)
     legs = track_legs(c).groupBy("mmsi").agg(F.sum("leg_nm").alias("d"), F.count("*").alias("n"))
     got = {r["mmsi"]: (r["d"], r["n"]) for r in legs.collect()}
-    for mmsi, g in GOLDEN.items():
-        assert got[mmsi][0] == pytest.approx(g[1], abs=1e-6) and got[mmsi][1] == 2
+    for mmsi, w in walked(SAMPLE).items():
+        if w["point_count"] > 1:
+            assert got.pop(mmsi) == (pytest.approx(w["total_distance_nm"], abs=1e-9), w["point_count"] - 1)
+    assert not got
 
 
 def test_text_input_is_typed(spark, sample_path):
@@ -103,7 +91,7 @@ def test_text_input_is_typed(spark, sample_path):
 
 def test_hot_vessel_is_spread_over_tasks(spark):
     """One vessel with a third of all reports must not land in one task."""
-    from trackline.operators.tracks import _bucketed_legs
+    from trackline.operators.tracks import _sliced_legs
     hot = spark.range(0, 30000).select(F.lit(1).cast("long").alias("mmsi"), F.col("id").alias("i"))
     cold = spark.range(0, 60000).select((F.col("id") % 300 + 2).alias("mmsi"), F.col("id").alias("i"))
     rows = hot.unionByName(cold).select(
@@ -115,7 +103,7 @@ def test_hot_vessel_is_spread_over_tasks(spark):
     prev = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        legs = _bucketed_legs(rows, "haversine", 60).where(F.col("mmsi") == 1)
+        legs = _sliced_legs(rows, "haversine", 60).where(F.col("mmsi") == 1)
         per_task = [r["n"] for r in legs.groupBy(F.spark_partition_id().alias("p"))
                     .agg(F.count("*").alias("n")).collect()]
     finally:
@@ -126,7 +114,7 @@ def test_hot_vessel_is_spread_over_tasks(spark):
 
 def test_dense_vessel_hour_is_split_with_identical_results(spark):
     """A vessel-hour holding most reports is cut into time slices; metrics do not change."""
-    from trackline.operators.tracks import _bucketed_legs
+    from trackline.operators.tracks import _sliced_legs
     dense = spark.range(0, 20000).select(
         F.lit(5).cast("long").alias("mmsi"),
         (F.lit("2024-03-01 10:00:00").cast("timestamp_ntz")
@@ -142,16 +130,10 @@ def test_dense_vessel_hour_is_split_with_identical_results(spark):
         F.lit("E").alias("vessel_name"), F.col("id").alias("ingest_seq"))
     c = clean(dense.unionByName(other))
     plain = {r["mmsi"]: r for r in vessel_summary(c).collect()}
-    split = {r["mmsi"]: r for r in vessel_summary(c, max_bucket_rows=1000).collect()}
-    # bucket sizes counted on the rows before de-duplication (an upper bound) give the same result
-    split_raw = {r["mmsi"]: r for r in vessel_summary(c, max_bucket_rows=1000,
-                                                       counts_from=dense.unionByName(other)).collect()}
+    split = {r["mmsi"]: r for r in vessel_summary(c, bucket_minutes=3).collect()}
     for m in (5, 6):
-        for got in (split, split_raw):
-            assert got[m]["total_distance_nm"] == pytest.approx(plain[m]["total_distance_nm"], rel=1e-12)
-            for k in ("total_time_hours", "moving_time_hours", "point_count", "leg_count"):
-                assert got[m][k] == plain[m][k]
-    buckets = _bucketed_legs(c, "haversine", 60, max_bucket_rows=1000).where("mmsi = 5") \
-        .groupBy("_bucket").count().collect()
-    # 20000 reports over 50 of the 60 minutes: 20 equal time slices, 17 of them filled
-    assert len(buckets) >= 15 and max(r["count"] for r in buckets) <= 1500
+        assert split[m]["total_distance_nm"] == pytest.approx(plain[m]["total_distance_nm"], rel=1e-12)
+        for k in ("total_time_hours", "moving_time_hours", "point_count", "leg_count"):
+            assert split[m][k] == plain[m][k]
+    slices = _sliced_legs(c, "haversine", 3).where("mmsi = 5").groupBy("_slice").count().collect()
+    assert len(slices) >= 15 and max(r["count"] for r in slices) <= 1200

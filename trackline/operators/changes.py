@@ -38,9 +38,23 @@ def _changed(cols: list[str], old: str = "o", new: str = "n") -> Column:
     return reduce(lambda a, b: a | b, [~F.col(f"{old}.{c}").eqNullSafe(F.col(f"{new}.{c}")) for c in cols])
 
 
+def last_of_key(df: DataFrame, key: str, order_col: str | None = None) -> DataFrame:
+    """One row per key, the last by ``order_col`` (ties and no order: the largest row); a null key is a key.
+
+    An aggregation with partial maxima in every task, so a key with many rows meets in its maxima only.
+    """
+    rest = [c for c in df.columns if c != key]
+    order = [F.col(order_col).alias("_order")] if order_col else []
+    return (df.groupBy(key).agg(F.max(F.struct(*order, *rest)).alias("_last"))
+            .select(*[F.col(key) if c == key else F.col(f"_last.{c}").alias(c) for c in df.columns]))
+
+
 def upsert_stamped(current: DataFrame, incoming: DataFrame, key: str, as_of: dt.datetime | Column,
-                   stamp_cols: tuple[str, str] = ("created_at", "updated_at")) -> DataFrame:
-    """Upsert ``incoming`` into ``current`` and stamp changed rows.
+                   stamp_cols: tuple[str, str] = ("created_at", "updated_at"), order_col: str | None = None) -> DataFrame:
+    """Upsert ``incoming`` into ``current`` and stamp changed rows: one row per key.
+
+    Of several incoming rows with one key the last by ``order_col`` (a column of ``incoming``, not stored)
+    counts, of several current ones the last updated.
 
     Values: incoming wins where present.  ``updated_at`` becomes ``as_of`` for
     new or changed rows and keeps its old value otherwise; ``created_at`` is
@@ -48,9 +62,11 @@ def upsert_stamped(current: DataFrame, incoming: DataFrame, key: str, as_of: dt.
     """
     created, updated = stamp_cols
     now = as_of if isinstance(as_of, Column) else ntz_literal(as_of)
-    cols = [c for c in incoming.columns if c != key and c not in stamp_cols]
-    j = current.alias("o").join(incoming.alias("n"), F.col(f"o.{key}") == F.col(f"n.{key}"), "full_outer")
-    o_missing, n_missing = F.col(f"o.{key}").isNull(), F.col(f"n.{key}").isNull()
+    cols = [c for c in incoming.columns if c != key and c != order_col and c not in stamp_cols]
+    old, new = last_of_key(current, key, updated), last_of_key(incoming, key, order_col)
+    j = old.withColumn("_in", F.lit(1)).alias("o").join(new.withColumn("_in", F.lit(1)).alias("n"),
+                                                        F.col(f"o.{key}").eqNullSafe(F.col(f"n.{key}")), "full_outer")
+    o_missing, n_missing = F.col("o._in").isNull(), F.col("n._in").isNull()
     changed = _changed(cols)
     return j.select(
         F.coalesce(F.col(f"n.{key}"), F.col(f"o.{key}")).alias(key),
@@ -61,16 +77,19 @@ def upsert_stamped(current: DataFrame, incoming: DataFrame, key: str, as_of: dt.
     )
 
 
-def table_changes(old: DataFrame, new: DataFrame, key: str, table_name: str) -> DataFrame:
+def table_changes(old: DataFrame, new: DataFrame, key: str, table_name: str, order_col: str | None = None) -> DataFrame:
     """Change log between two snapshots of a table (an audit trail without triggers).
 
+    A snapshot with several rows of one key stands for the last of them by ``order_col``.
+
     One row per inserted, deleted or updated key: ``operation``,
     ``table_name``, ``record_id`` and the old/new rows as JSON (NULL fields
     kept).  Unchanged rows are dropped with a NULL-safe comparison.
     """
     cols = [c for c in new.columns if c != key]
-    j = old.alias("o").join(new.alias("n"), F.col(f"o.{key}") == F.col(f"n.{key}"), "full_outer")
-    o_missing, n_missing = F.col(f"o.{key}").isNull(), F.col(f"n.{key}").isNull()
+    old, new = (last_of_key(t, key, order_col).withColumn("_in", F.lit(1)) for t in (old, new))
+    j = old.alias("o").join(new.alias("n"), F.col(f"o.{key}").eqNullSafe(F.col(f"n.{key}")), "full_outer")
+    o_missing, n_missing = F.col("o._in").isNull(), F.col("n._in").isNull()
     opts = {"ignoreNullFields": "false"}
     old_json = F.to_json(F.struct(*[F.col(f"o.{c}").alias(c) for c in [key] + cols]), opts)
     new_json = F.to_json(F.struct(*[F.col(f"n.{c}").alias(c) for c in [key] + cols]), opts)

@@ -152,69 +152,26 @@ def uniqueness_violations(df: DataFrame, key: list[str] | None = None) -> DataFr
             .where(F.col("copies") > 1))
 
 
-# Largest (tasks x n) merge left to a plain top-k; beyond it a key threshold is found first.
-TOPK_MERGE_ROWS = 10_000_000
-# Kept splits are at most n (each holds a row); up to this n their list is broadcast.
-MAX_BROADCAST_SPLITS = 1_000_000
-
-
 def limit_records(df: DataFrame, n: int, order_col: str = "ingest_seq") -> DataFrame:
-    """The first ``n`` rows in file order.
-
-    A top-k keeps ``n`` rows per task and merges (tasks x n) rows in one
-    task -- fine until that product is large (many input splits, a big cap).
-    Then, for a numeric order column, a key threshold is found first: an
-    approximate quantile, checked with an exact count and widened until at
-    least ``n`` rows lie at or below it.  The top-k then runs over those rows
-    only, so the final merge holds about ``n`` rows.
-    """
-    order = F.col(order_col).asc()
-    try:
-        tasks = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- remote sessions: assume large
-        tasks = TOPK_MERGE_ROWS
-    dtype = df.schema[order_col].dataType
-    if tasks * n <= TOPK_MERGE_ROWS:
-        return df.orderBy(order).limit(n)
-    if isinstance(dtype, T.StructType) and len(dtype.fields) == 3:
-        return _limit_by_split(df, n, order_col)
-    if isinstance(dtype, (T.StructType, T.StringType)):
-        return df.orderBy(order).limit(n)
-    total = df.count()
-    if total <= n:
-        return df
-    q = min(1.0, 1.02 * n / total)
-    while True:
-        t = df.approxQuantile(order_col, [q], min(0.001, q / 10))[0]
-        if q >= 1.0 or df.where(F.col(order_col) <= F.lit(t)).count() >= n:
-            break
-        q = min(1.0, q * 1.5)
-    return df.where(F.col(order_col) <= F.lit(t)).orderBy(order).limit(n)
-
-
-
-def _limit_by_split(df: DataFrame, n: int, order_col: str) -> DataFrame:
-    """First ``n`` rows for a file-order key ``struct(file, split offset, seq)``.
-
-    Rows are counted per input split (one row per split after a partial
-    aggregation), a running total over the splits in file order says how many
-    rows come before each one, splits that start past ``n`` are dropped, and
-    rows are numbered only inside the kept splits (one split per window group,
-    so a group is at most one input split).  Exact, with no (tasks x n) merge.
-    The running total is one window over the split list (one row per input
-    split: metadata-sized), and the kept list -- at most ``n`` entries -- is
-    broadcast, so the input rows are filtered where they are read, not shuffled.
+    """The first ``n`` rows in order of ``order_col`` (of any type that sorts), in that order.
+
+    Two passes, nothing of which runs before the result is read.  The first deals the keys alone into
+    ranges, counts each, and adds the counts up in order of the ranges (one row a range): that tells the
+    range in which the n-th row lies.  The second keeps the rows of the ranges before it and, by number,
+    those of that one range, and sorts what is left.  No task holds more than a range, whatever ``n`` is.
+    Of rows with equal keys at the cut any may stay; rows without a key are left out.
     """
-    file_f, off_f, _ = [f.name for f in df.schema[order_col].dataType.fields]
-    o = F.col(order_col)
-    split_key = [o[file_f].alias("_f"), o[off_f].alias("_o")]
-    splits = df.groupBy(*split_key).agg(F.count(F.lit(1)).alias("_c"))
-    before = F.sum("_c").over(Window.orderBy("_f", "_o").rowsBetween(Window.unboundedPreceding, -1))
-    kept = (splits.select("_f", "_o", F.coalesce(before, F.lit(0)).alias("_before"))
-            .where(F.col("_before") < F.lit(n)))
-    # every kept split holds at least one of the first n rows: at most n entries
-    kept = F.broadcast(kept) if n <= MAX_BROADCAST_SPLITS else kept
-    rows = df.select("*", *split_key).join(kept, ["_f", "_o"])
-    r = F.row_number().over(Window.partitionBy("_f", "_o").orderBy(o))
-    return (rows.select("*", r.alias("_r")).where(F.col("_before") + F.col("_r") <= F.lit(n))
-            .select(*df.columns))
+    keys = df.select(F.col(order_col).alias("_k")).where("_k is not null").repartitionByRange("_k").select(
+        "_k", F.spark_partition_id().alias("_p"))
+    ranges = keys.groupBy("_p").agg(F.count(F.lit(1)).alias("n"), F.max("_k").alias("high"))
+    in_order = Window.orderBy("high")
+    ranges = ranges.select("high", F.lag("high").over(in_order).alias("low"), (F.sum("n").over(in_order) - F.col("n")).alias("before"))
+    # the last range that starts before the n-th row
+    cut = ranges.where(F.col("before") < n).agg(F.max_by(F.struct("low", "high", "before"), "before").alias("c")).scalar()
+    key = F.col(order_col)
+    whole = F.coalesce(key <= cut["low"], F.lit(False))
+    # rows of whole ranges are spread over groups of their own, since their numbers don't matter
+    group = F.when(whole, F.pmod(F.xxhash64(key), F.lit(1 << 16))).otherwise(F.lit(-1))
+    number = F.row_number().over(Window.partitionBy(group).orderBy(key))
+    rows = df.where(key <= cut["high"]).withColumn("_whole", whole).withColumn("_number", number)
+    return rows.where(F.col("_whole") | (F.col("_number") <= F.lit(n) - cut["before"])).select(*df.columns).orderBy(key)

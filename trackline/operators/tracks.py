@@ -1,18 +1,22 @@
 """Track computation: legs between consecutive reports and per-vessel metrics.
 
-Skew-safe plan.  A naive ``lag`` window partitioned by vessel puts a whole
-vessel in one task; one busy vessel can hold a large share of all reports.
-Instead each vessel's track is cut into time buckets (default one hour):
-
-1. ``lag`` inside (mmsi, bucket) gives every leg whose two ends share a bucket
-   (one hash exchange on (mmsi, bucket); a hot vessel spreads over its hours,
-   and a bucket with more than ``max_bucket_rows`` reports is cut into equal
-   time slices, found by a small counting job).
-2. One aggregation per (mmsi, bucket) -- on the same partitioning, so no
-   exchange -- gives counts, sums and the first and last point of the bucket.
-3. ``lag`` over those bucket rows (partitioned by vessel; one row per hour of
-   track, so small) gives the one leg that crosses each bucket boundary.
-4. A final aggregation by vessel adds everything up (again no exchange).
+A plain ``lag`` window partitioned by vessel puts a whole vessel in one task, and one
+busy vessel can hold a large share of all reports.  Tracks are summed up as
+*segments* instead: a segment holds its first and last point and the sums over the
+legs within, and neighbouring segments merge into one, adding the leg between them.
+Merging is associative, so it goes in levels of fixed time slices:
+
+1. ``lag`` inside (mmsi, hour) gives every leg whose ends share an hour (one hash
+   exchange; a busy vessel spreads over its hours), and one aggregation on the same
+   partitioning makes a segment of every vessel-hour;
+2. ``lag`` over a day's segments gives the legs between them, and the day's segments
+   become one;
+3. likewise a vessel's days.
+
+Slices are cut by the clock and not by counts: no job runs to size them, and results
+don't depend on their width.  Reports are one per (vessel, time), so a vessel-hour of
+times in whole seconds holds 3,600 at most; finer times can be given finer slices
+(``bucket_minutes``).
 
 Times are summed as integer microseconds and turned into hours at the end:
 exact, independent of summation order, and docked time is a true zero.
@@ -51,72 +55,18 @@ def _is_moving(sog_prev: Column, sog: Column) -> Column:
     return ((sog_prev + sog) / 2) >= F.lit(MOVING_PAIR_MEAN_KNOTS)
 
 
-# A bucket key is (time bucket) * SUB_SPAN + sub-bucket: increasing with time within a vessel.
-SUB_SPAN = 1 << 20
-# At most this many hot buckets are attached to the reports (a broadcast of
-# (mmsi, bucket, parts) triples, 24 bytes each: a proven bound of ~24 MB).
-MAX_HOT_BUCKETS = 1_000_000
-# Default cap on reports per window task (vessel, time bucket); None skips the check.
-DEFAULT_MAX_BUCKET_ROWS = 2_000_000
+MINUTE_US = 60_000_000
+DAY_MINUTES = 24 * 60
 
 
-def _hot_buckets(pts: DataFrame, max_bucket_rows: int) -> DataFrame | None:
-    """(mmsi, _tb, _parts) for time buckets holding more than ``max_bucket_rows`` reports.
+def _slice(minutes: float, time: str = "base_datetime") -> Column:
+    return F.floor(epoch_micros(time) / F.lit(int(minutes * MINUTE_US)))
 
-    ``pts`` has ``mmsi`` and ``_tb``.  The count runs as its own small job
-    (partial counts per (vessel, bucket) in every task, one row per bucket
-    after the exchange).  If more buckets than
-    ``MAX_HOT_BUCKETS`` qualify, the threshold is doubled until they fit, so
-    the list that is broadcast has a fixed size bound.  None when no bucket
-    is hot (the common case: reports per vessel-hour are bounded by the AIS
-    reporting rate).
-    """
-    counts = pts.groupBy("mmsi", "_tb").agg(F.count(F.lit(1)).alias("_n"))
-    threshold = max_bucket_rows
-    hot = counts.where(F.col("_n") > threshold)
-    n_hot = hot.count()
-    while n_hot > MAX_HOT_BUCKETS:
-        threshold *= 2
-        hot = counts.where(F.col("_n") > threshold)
-        n_hot = hot.count()
-    if n_hot == 0:
-        return None
-    parts = F.least(F.ceil(F.col("_n") / F.lit(float(max_bucket_rows))), F.lit(SUB_SPAN)).cast("long")
-    return hot.select("mmsi", "_tb", parts.alias("_parts"))
-
-
-def _bucketed_legs(clean: DataFrame, method: str, bucket_minutes: int,
-                   max_bucket_rows: int | None = DEFAULT_MAX_BUCKET_ROWS,
-                   counts_from: DataFrame | None = None) -> DataFrame:
-    """Every report with the previous report of the same vessel in the same bucket.
-
-    With ``max_bucket_rows``, a time bucket holding more reports than that
-    (an extremely dense vessel-hour) is cut into equal time slices, so no
-    bucket -- and no window task -- exceeds about that many reports.  The
-    bucket sizes are counted on ``counts_from`` when given: any frame with
-    ``mmsi`` and ``base_datetime`` whose counts bound the cleaned ones, such
-    as the rows before de-duplication.  Those counts aggregate map-side
-    without the de-duplication shuffle.  Otherwise the cleaned rows are
-    counted.
-    """
-    width = bucket_minutes * 60 * 1_000_000
-    us = epoch_micros("base_datetime")
-    pts = clean.select("mmsi", "base_datetime", "latitude", "longitude", "sog", "vessel_name",
-                       F.floor(us / F.lit(width)).alias("_tb"))
-    hot = None
-    if max_bucket_rows:
-        src = pts if counts_from is None else counts_from.select(
-            "mmsi", F.floor(epoch_micros("base_datetime") / F.lit(width)).alias("_tb"))
-        hot = _hot_buckets(src, max_bucket_rows)
-    if hot is None:
-        sub = F.lit(0)
-    else:
-        pts = pts.join(F.broadcast(hot), ["mmsi", "_tb"], "left")
-        offset = us - F.col("_tb") * F.lit(width)
-        sub = F.coalesce(F.floor(offset * F.col("_parts") / F.lit(width)), F.lit(0))
-    pts = pts.select("mmsi", "base_datetime", "latitude", "longitude", "sog", "vessel_name",
-                     (F.col("_tb") * F.lit(SUB_SPAN) + sub).alias("_bucket"))
-    w = Window.partitionBy("mmsi", "_bucket").orderBy("base_datetime")
+
+def _sliced_legs(clean: DataFrame, method: str, bucket_minutes: float) -> DataFrame:
+    """Every report with the previous report of the same vessel in the same time slice."""
+    pts = clean.select("mmsi", "base_datetime", "latitude", "longitude", "sog", "vessel_name", _slice(bucket_minutes).alias("_slice"))
+    w = Window.partitionBy("mmsi", "_slice").orderBy("base_datetime")
     legs = pts.select(
         "*",
         F.lag("latitude").over(w).alias("_plat"),
@@ -127,23 +77,21 @@ def _bucketed_legs(clean: DataFrame, method: str, bucket_minutes: int,
     return with_distance(legs, "_plat", "_plon", "latitude", "longitude", "_leg_nm", method)
 
 
-def _bucket_summaries(legs: DataFrame, with_name: bool = True) -> DataFrame:
-    """One row per (mmsi, bucket): sums over inner legs, first and last point.
+def _segments(legs: DataFrame, with_name: bool = True) -> DataFrame:
+    """One segment per (mmsi, slice): sums over its legs, first and last point.
 
-    ``with_name=False`` leaves the name out of the first/last points, so a
-    consumer that also reads the legs themselves (``track_legs``) needs the
-    same columns on both sides and Spark reuses one exchange for both.
+    ``with_name=False`` leaves the name out of the points, so a consumer that also reads the legs themselves
+    (``track_legs``) needs the same columns on both sides and Spark reuses one exchange for both.
     """
     has_prev = F.col("_pts").isNotNull()
     dt = micros_between("_pts", "base_datetime")
-    fields = ["base_datetime", "latitude", "longitude", "sog"] + (["vessel_name"] if with_name else [])
-    point = F.struct(*fields)
-    return legs.groupBy("mmsi", "_bucket").agg(
+    point = F.struct("base_datetime", "latitude", "longitude", "sog", *(["vessel_name"] if with_name else []))
+    return legs.groupBy("mmsi", "_slice").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("sog").alias("sog_sum"),
         F.max("sog").alias("sog_max"),
         F.min("sog").alias("sog_min"),
-        F.sum("_leg_nm").alias("leg_nm"),
+        F.coalesce(F.sum("_leg_nm"), F.lit(0.0)).alias("leg_nm"),
         F.count_if(has_prev).alias("legs"),
         F.count_if(has_prev & F.col("_leg_nm").isNull()).alias("failed_legs"),
         F.sum(F.when(has_prev & _is_moving(F.col("_psog"), F.col("sog")), dt).otherwise(F.lit(0))).alias("moving_us"),
@@ -152,65 +100,67 @@ def _bucket_summaries(legs: DataFrame, with_name: bool = True) -> DataFrame:
     )
 
 
-def _boundary_legs(buckets: DataFrame, method: str) -> DataFrame:
-    """The leg from each bucket's last point to the next non-empty bucket's first point."""
-    w = Window.partitionBy("mmsi").orderBy("_bucket")
-    b = buckets.select("*", F.lag("last").over(w).alias("_prev"))
-    b = b.select(
+def _between(segments: DataFrame, method: str, minutes: float | None) -> DataFrame:
+    """Segments with their wider slice (all of time without ``minutes``) and the leg from the one before in it."""
+    wider = F.lit(0).cast("long") if minutes is None else _slice(minutes, "first.base_datetime")
+    s = segments.drop("_slice").withColumn("_slice", wider)
+    own = Window.partitionBy("mmsi", "_slice") if minutes is not None else Window.partitionBy("mmsi")
+    s = s.select("*", F.lag("last").over(own.orderBy("first.base_datetime")).alias("_prev"))
+    s = s.select(
         "*",
-        F.col("_prev.latitude").alias("_blat0"), F.col("_prev.longitude").alias("_blon0"),
-        F.col("first.latitude").alias("_blat1"), F.col("first.longitude").alias("_blon1"),
+        F.col("_prev.latitude").alias("_lat0"), F.col("_prev.longitude").alias("_lon0"),
+        F.col("first.latitude").alias("_lat1"), F.col("first.longitude").alias("_lon1"),
     )
-    return with_distance(b, "_blat0", "_blon0", "_blat1", "_blon1", "_bnd_nm", method)
-
+    return with_distance(s, "_lat0", "_lon0", "_lat1", "_lon1", "_between_nm", method)
 
-def vessel_summary(clean: DataFrame, method: str = "geodesic", bucket_minutes: int = 60,
-                   max_bucket_rows: int | None = DEFAULT_MAX_BUCKET_ROWS,
-                   counts_from: DataFrame | None = None) -> DataFrame:
-    """All per-vessel track figures (metrics, extents, leg counts), unrounded.
 
-    ``max_bucket_rows`` caps the reports of one (vessel, time bucket) window
-    task by splitting over-full buckets (see :func:`_bucketed_legs`).  The
-    check is one small counting job, run when the frame is built; ``None``
-    skips it (``counts_from``: see :func:`_bucketed_legs`).
-    """
-    legs = _bucketed_legs(clean, method, bucket_minutes, max_bucket_rows, counts_from)
-    buckets = _boundary_legs(_bucket_summaries(legs), method)
+def _merged(segments: DataFrame, method: str, minutes: float | None) -> DataFrame:
+    """Segments merged within wider slices (of a vessel's whole track without ``minutes``)."""
+    s = _between(segments, method, minutes)
     has_prev = F.col("_prev").isNotNull()
-    bnd_dt = micros_between(F.col("_prev.base_datetime"), F.col("first.base_datetime"))
-    bnd_moving = has_prev & _is_moving(F.col("_prev.sog"), F.col("first.sog"))
-    agg = buckets.groupBy("mmsi").agg(
-        F.sum("n").alias("point_count"),
-        F.sum("sog_sum").alias("_sog_sum"),
-        F.max("sog_max").alias("max_speed_knots"),
-        F.min("sog_min").alias("min_speed_knots"),
-        (F.coalesce(F.sum("leg_nm"), F.lit(0.0)) + F.coalesce(F.sum("_bnd_nm"), F.lit(0.0))).alias("total_distance_nm"),
-        (F.sum("legs") + F.count_if(has_prev)).alias("leg_count"),
-        (F.sum("failed_legs") + F.count_if(has_prev & F.col("_bnd_nm").isNull())).alias("failed_legs"),
-        (F.sum("moving_us") + F.sum(F.when(bnd_moving, bnd_dt).otherwise(F.lit(0)))).alias("_moving_us"),
-        F.min_by("first", F.col("first.base_datetime")).alias("_first"),
-        F.max_by("last", F.col("last.base_datetime")).alias("_last"),
+    dt = micros_between(F.col("_prev.base_datetime"), F.col("first.base_datetime"))
+    moving = has_prev & _is_moving(F.col("_prev.sog"), F.col("first.sog"))
+    keys = ["mmsi"] if minutes is None else ["mmsi", "_slice"]
+    return s.groupBy(*keys).agg(
+        F.sum("n").alias("n"),
+        F.sum("sog_sum").alias("sog_sum"),
+        F.max("sog_max").alias("sog_max"),
+        F.min("sog_min").alias("sog_min"),
+        (F.sum("leg_nm") + F.coalesce(F.sum("_between_nm"), F.lit(0.0))).alias("leg_nm"),
+        (F.sum("legs") + F.count_if(has_prev)).alias("legs"),
+        (F.sum("failed_legs") + F.count_if(has_prev & F.col("_between_nm").isNull())).alias("failed_legs"),
+        (F.sum("moving_us") + F.sum(F.when(moving, dt).otherwise(F.lit(0)))).alias("moving_us"),
+        F.min_by("first", F.col("first.base_datetime")).alias("first"),
+        F.max_by("last", F.col("last.base_datetime")).alias("last"),
     )
-    total_us = micros_between(F.col("_first.base_datetime"), F.col("_last.base_datetime"))
+
+
+def vessel_summary(clean: DataFrame, method: str = "geodesic", bucket_minutes: float = 60) -> DataFrame:
+    """All per-vessel track figures (metrics, extents, leg counts), unrounded; nothing runs until it is read."""
+    segments = _segments(_sliced_legs(clean, method, bucket_minutes))
+    if bucket_minutes < DAY_MINUTES:
+        segments = _merged(segments, method, DAY_MINUTES)
+    whole = _merged(segments, method, None)
+    total_us = micros_between(F.col("first.base_datetime"), F.col("last.base_datetime"))
     hours = F.lit(float(MICROS_PER_HOUR))
-    return agg.select(
+    return whole.select(
         "mmsi",
-        F.coalesce(F.col("_first.vessel_name"), F.lit("Unknown")).alias("vessel_name"),
-        "total_distance_nm",
+        F.coalesce(F.col("first.vessel_name"), F.lit("Unknown")).alias("vessel_name"),
+        F.col("leg_nm").alias("total_distance_nm"),
         (total_us / hours).alias("total_time_hours"),
-        (F.col("_moving_us") / hours).alias("moving_time_hours"),
-        ((total_us - F.col("_moving_us")) / hours).alias("at_dock_time_hours"),
-        "point_count",
-        (F.col("_sog_sum") / F.col("point_count")).alias("avg_speed_knots"),
-        "max_speed_knots",
-        "min_speed_knots",
-        F.col("_first.base_datetime").alias("first_position_time"),
-        F.col("_last.base_datetime").alias("last_position_time"),
-        F.col("_first.latitude").alias("start_latitude"),
-        F.col("_first.longitude").alias("start_longitude"),
-        F.col("_last.latitude").alias("end_latitude"),
-        F.col("_last.longitude").alias("end_longitude"),
-        "leg_count",
+        (F.col("moving_us") / hours).alias("moving_time_hours"),
+        ((total_us - F.col("moving_us")) / hours).alias("at_dock_time_hours"),
+        F.col("n").alias("point_count"),
+        (F.col("sog_sum") / F.col("n")).alias("avg_speed_knots"),
+        F.col("sog_max").alias("max_speed_knots"),
+        F.col("sog_min").alias("min_speed_knots"),
+        F.col("first.base_datetime").alias("first_position_time"),
+        F.col("last.base_datetime").alias("last_position_time"),
+        F.col("first.latitude").alias("start_latitude"),
+        F.col("first.longitude").alias("start_longitude"),
+        F.col("last.latitude").alias("end_latitude"),
+        F.col("last.longitude").alias("end_longitude"),
+        F.col("legs").alias("leg_count"),
         "failed_legs",
     )
 
@@ -225,41 +175,37 @@ EXTENT_COLUMNS = [
 ]
 
 
-def vessel_metrics(clean: DataFrame, method: str = "geodesic", bucket_minutes: int = 60,
-                   extended: bool = False, max_bucket_rows: int | None = DEFAULT_MAX_BUCKET_ROWS,
-                   counts_from: DataFrame | None = None) -> DataFrame:
+def vessel_metrics(clean: DataFrame, method: str = "geodesic", bucket_minutes: float = 60, extended: bool = False) -> DataFrame:
     """Per-vessel metrics: distance, total/moving/docked hours, points, speeds.
 
     ``extended=True`` adds the extent columns (min speed, first/last time and
     position) declared by the stored metrics table.
     """
-    s = vessel_summary(clean, method, bucket_minutes, max_bucket_rows, counts_from)
+    s = vessel_summary(clean, method, bucket_minutes)
     cols = METRIC_COLUMNS + (EXTENT_COLUMNS[1:] if extended else [])
     return s.select(*cols)
 
 
-def vessel_extents(clean: DataFrame, bucket_minutes: int = 60, **kw) -> DataFrame:
+def vessel_extents(clean: DataFrame, bucket_minutes: float = 60) -> DataFrame:
     """Min speed, first/last time and first/last position per vessel."""
-    return vessel_summary(clean, "haversine", bucket_minutes, **kw).select(*EXTENT_COLUMNS)
+    return vessel_summary(clean, "haversine", bucket_minutes).select(*EXTENT_COLUMNS)
 
 
-def vessel_distance(clean: DataFrame, method: str = "geodesic", bucket_minutes: int = 60, **kw) -> DataFrame:
-    """Total distance per vessel plus leg counts (failed legs are skipped)."""
-    return vessel_summary(clean, method, bucket_minutes, **kw).select(
+def vessel_distance(clean: DataFrame, method: str = "geodesic", bucket_minutes: float = 60) -> DataFrame:
+    """Total distance per vessel plus leg counts (legs without a distance, which only non-numbers make, are skipped)."""
+    return vessel_summary(clean, method, bucket_minutes).select(
         "mmsi", "total_distance_nm", "leg_count", "failed_legs")
 
 
-def vessel_time_split(clean: DataFrame, bucket_minutes: int = 60, **kw) -> DataFrame:
+def vessel_time_split(clean: DataFrame, bucket_minutes: float = 60) -> DataFrame:
     """Total, moving and docked hours per vessel."""
-    return vessel_summary(clean, "haversine", bucket_minutes, **kw).select(
+    return vessel_summary(clean, "haversine", bucket_minutes).select(
         "mmsi", "total_time_hours", "moving_time_hours", "at_dock_time_hours", "point_count")
 
 
-def track_legs(clean: DataFrame, method: str = "geodesic", bucket_minutes: int = 60,
-               max_bucket_rows: int | None = DEFAULT_MAX_BUCKET_ROWS,
-               counts_from: DataFrame | None = None) -> DataFrame:
+def track_legs(clean: DataFrame, method: str = "geodesic", bucket_minutes: float = 60) -> DataFrame:
     """One row per leg: vessel, start and end time, distance (nm), elapsed micros, moving flag."""
-    legs = _bucketed_legs(clean, method, bucket_minutes, max_bucket_rows, counts_from)
+    legs = _sliced_legs(clean, method, bucket_minutes)
     inner = legs.where(F.col("_pts").isNotNull()).select(
         "mmsi",
         F.col("_pts").alias("from_time"),
@@ -268,12 +214,11 @@ def track_legs(clean: DataFrame, method: str = "geodesic", bucket_minutes: int =
         micros_between("_pts", "base_datetime").alias("elapsed_us"),
         _is_moving(F.col("_psog"), F.col("sog")).alias("moving"),
     )
-    b = _boundary_legs(_bucket_summaries(legs, with_name=False), method)
-    cross = b.where(F.col("_prev").isNotNull()).select(
+    cross = _between(_segments(legs, with_name=False), method, None).where(F.col("_prev").isNotNull()).select(
         "mmsi",
         F.col("_prev.base_datetime").alias("from_time"),
         F.col("first.base_datetime").alias("to_time"),
-        F.col("_bnd_nm").alias("leg_nm"),
+        F.col("_between_nm").alias("leg_nm"),
         micros_between(F.col("_prev.base_datetime"), F.col("first.base_datetime")).alias("elapsed_us"),
         _is_moving(F.col("_prev.sog"), F.col("first.sog")).alias("moving"),
     )

@@ -60,14 +60,13 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def metrics(spark: SparkSession, sf_dir: str, method: str = "geodesic", extended: bool = False) -> DataFrame:
     return _shared(spark, ("metrics", sf_dir, method, extended),
-                   lambda: vessel_metrics(cleaned(spark, sf_dir), method=method, extended=extended,
-                                          counts_from=raw(spark, sf_dir)))
+                   lambda: vessel_metrics(cleaned(spark, sf_dir), method=method, extended=extended))
 
 
 def legs(spark: SparkSession, sf_dir: str, method: str = "geodesic") -> DataFrame:
-    """Every leg of every track (the dense-bucket check runs once, when the frame is built)."""
+    """Every leg of every track."""
     return _shared(spark, ("legs", sf_dir, method),
-                   lambda: track_legs(cleaned(spark, sf_dir), method, counts_from=raw(spark, sf_dir)))
+                   lambda: track_legs(cleaned(spark, sf_dir), method))
 
 
 def materialized_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

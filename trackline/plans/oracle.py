@@ -497,7 +497,6 @@ oracle("refresh_daily", ORACLE["daily_traffic"])
 
 # --- archive catalog ------------------------------------------------------------------
 
-from trackline.sources import catalog as _cat  # noqa: E402
 from trackline.sources.fixture import listing_pages_sql  # noqa: E402
 
 
@@ -506,19 +505,27 @@ def q(s: str) -> str:
 
 
 LISTING = listing_pages_sql()
-_S = q(_cat.SIZE_PATTERN)
+# Patterns of the oracle's own: a link from its tag to its size, its address, its size.
+_TAG = r"""(?is)<a\s(?:[^>"']|"[^"]*"|'[^']*')*>"""
+_LINK = _TAG + r"""(?:[^<]|</?b>)*</a>(?:\s|</?t[dh][^>]*>)*(?:[0-9]+(?:[.][0-9]+)? *[KMGT])?"""
+_HREF = r"""(?i)\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+_SIZE = r"""(?i)([0-9]+(?:[.][0-9]+)?) *([KMGT])$"""
+_HREF_OF = f"trim(regexp_extract(frag, {q(_HREF)}, 1), {q(chr(34) + chr(39))})"
+_DIRECTORY = "CASE WHEN regexp_matches(url, '://[^/]*$') THEN url || '/' ELSE regexp_replace(regexp_replace(url, '[?#].*$', ''), '[^/]*$', '') END"
 LINKS = [LISTING,
-         f"frags AS (SELECT page_id, unnest(regexp_extract_all(html, {q(_cat.LINK_PATTERN)}, 0)) AS frag FROM listing)",
-         f"lk AS (SELECT page_id, regexp_extract(frag, {q(_cat.HREF_PATTERN)}, 1) AS href,"
-         f" regexp_extract(frag, {_S}, 1) AS v, upper(regexp_extract(frag, {_S}, 3)) AS u FROM frags)",
-         "links AS (SELECT page_id, href, CASE WHEN v <> '' THEN concat(v, u) END AS size_text,"
+         f"frags AS (SELECT page_id, url AS page_url, unnest(regexp_extract_all(html, {q(_LINK)}, 0)) AS frag FROM listing)",
+         f"lk AS (SELECT page_id, page_url, {_HREF_OF} AS href, regexp_extract(frag, '</a>(.*)$', 1, 'is') AS tail,"
+         f" regexp_extract(tail, {q(_SIZE)}, 1) AS v, upper(regexp_extract(tail, {q(_SIZE)}, 2)) AS u FROM frags)",
+         "links AS (SELECT page_id, page_url, href, CASE WHEN v <> '' THEN concat(v, u) END AS size_text,"
          " CASE WHEN v <> '' THEN CAST(floor(CAST(v AS DOUBLE) * CAST(CASE u WHEN 'K' THEN 1024"
          " WHEN 'M' THEN 1048576 WHEN 'G' THEN 1073741824 WHEN 'T' THEN 1099511627776 END AS DOUBLE))"
          " AS BIGINT) END AS size_bytes FROM lk)"]
+_DAILY, _ZONE = "^AIS_([0-9]{4})_([0-9][0-9])_([0-9][0-9])[.]zip$", "^AIS_([0-9]{4})_Zone([0-9][0-9])_([0-9][0-9])[.]zip$"
+_REGIONAL = "^AIS_([0-9]{4})_([0-9A-Z_a-z]+)[.]zip$"
 
 
 def _classified(src: str, col: str, extra: str = "") -> str:
-    d, z, r = q(_cat.DAILY_PATTERN), q(_cat.ZONE_PATTERN), q(_cat.REGIONAL_PATTERN)
+    d, z, r = q(_DAILY), q(_ZONE), q(_REGIONAL)
     isd, isz, isr = f"regexp_matches({col}, {d})", f"regexp_matches({col}, {z})", f"regexp_matches({col}, {r})"
     return (f"SELECT *{extra} FROM (SELECT {src}.*,"
             f" CASE WHEN {isd} THEN 'daily' WHEN {isz} THEN 'zone' WHEN {isr} THEN 'regional' END AS type,"
@@ -532,18 +539,17 @@ def _classified(src: str, col: str, extra: str = "") -> str:
             f" FROM {src}) WHERE type IS NOT NULL")
 
 
-BASE_URL = q(_cat.DEFAULT_BASE_URL)
+BASE_URL = q('https://archive.example/ais/')
 FILES = LINKS + [
-    "zl AS (SELECT page_id, href AS filename, size_text, size_bytes FROM links"
+    f"zl AS (SELECT page_id, href AS filename, size_text, size_bytes, (SELECT {_DIRECTORY} FROM (SELECT page_url AS url)) || href AS url FROM links"
     " WHERE suffix(href, '.zip') AND contains(href, 'AIS'))",
-    f"files AS ({_classified('zl', 'filename', f', concat({BASE_URL}, year, ' + q('/') + ', filename) AS url')})",
+    f"files AS ({_classified('zl', 'filename')})",
 ]
 FILE_COLS = ("page_id, filename, type, year, month, day, zone, sequence, region, size_text, size_bytes, url")
 YEARS = [LISTING,
-         f"hrefs AS (SELECT page_id, unnest(regexp_extract_all(html, {q(_cat.HREF_PATTERN)}, 1)) AS href"
-         " FROM listing)",
-         f"years AS (SELECT regexp_extract(href, {q(_cat.YEAR_PATTERN)}, 1) AS year, count(DISTINCT page_id) AS pages"
-         f" FROM hrefs WHERE regexp_matches(href, {q(_cat.YEAR_PATTERN)}) GROUP BY 1)"]
+         f"hrefs AS (SELECT page_id, unnest(regexp_extract_all(html, {q(_TAG)}, 0)) AS frag, {_HREF_OF} AS href FROM listing)",
+         "years AS (SELECT regexp_extract(href, '([0-9]{4})/?$', 1) AS year, count(DISTINCT page_id) AS pages"
+         " FROM hrefs WHERE regexp_matches(href, '(^|/)[0-9]{4}/?$') GROUP BY 1)"]
 ORDER_FILES = "ORDER BY coalesce(month, 0), coalesce(day, 0), filename, page_id"
 
 

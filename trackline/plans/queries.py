@@ -124,7 +124,7 @@ def q_haversine_legs(spark, sf):
 
 @query("vessel_distance")
 def q_vessel_distance(spark, sf):
-    return rounded(tracks.vessel_distance(cleaned(spark, sf), counts_from=raw(spark, sf)))
+    return rounded(tracks.vessel_distance(cleaned(spark, sf)))
 
 
 @query("vessel_distance_long_legs")
@@ -136,7 +136,7 @@ def q_vessel_distance_long_legs(spark, sf):
 
 @query("vessel_time_split")
 def q_vessel_time_split(spark, sf):
-    return rounded(tracks.vessel_time_split(cleaned(spark, sf), counts_from=raw(spark, sf)))
+    return rounded(tracks.vessel_time_split(cleaned(spark, sf)))
 
 
 @query("vessel_metrics")
@@ -146,7 +146,7 @@ def q_vessel_metrics(spark, sf):
 
 @query("vessel_extents")
 def q_vessel_extents(spark, sf):
-    return rounded(tracks.vessel_extents(cleaned(spark, sf), counts_from=raw(spark, sf)))
+    return rounded(tracks.vessel_extents(cleaned(spark, sf)))
 
 
 @query("top_vessels")
@@ -533,7 +533,7 @@ def q_index_files(spark, sf):
 
 @query("archive_names")
 def q_archive_names(spark, sf):
-    names = catalog.links(listing_pages(spark, sf)).select("page_id", F.col("href").alias("filename"))
+    names = catalog.links(listing_pages(spark, sf)).select("page_id", "filename")
     return catalog.archive_names(names)
 
 

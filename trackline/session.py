@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -40,9 +39,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and must be a shared file
-    system.  Only when it is unset on a local master (tests) do we create
-    one; an unset folder on a cluster is an error, since a machine-local
-    folder would not survive the loss of an executor.
+    system.  Only when it is unset on a local master (tests) is a folder of
+    the session's warehouse taken; an unset folder on a cluster is an error,
+    since a machine-local folder would not survive the loss of an executor.
     """
     try:
         sc = spark.sparkContext
@@ -58,7 +57,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
             if not str(master).startswith("local"):
                 raise RuntimeError("spark.checkpoint.dir is unset: set it to a folder on a shared file "
                                    "system (written hand-offs and checkpoints go there)")
-            found = tempfile.mkdtemp(prefix="trackline-ckpt-")  # unset on a local master: tests only
+            found = os.path.join(spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse"), f"checkpoints-{uuid.uuid4().hex[:12]}")
         if sc is not None:
             sc.setCheckpointDir(found)
             found = sc.getCheckpointDir() or found

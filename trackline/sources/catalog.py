@@ -1,9 +1,10 @@
 """Archive catalog: parse crawled index pages into years, archive files, sizes, URLs.
 
 Input is a table of pages (``page_id``, ``url``, ``html``); the crawl itself
-(HTTP) is not part of this library.  Every link of every page is pulled out
-of the whole html with ``regexp_extract_all`` + ``explode`` and classified with
-native regex functions, so the work is spread over the pages' partitions.
+(HTTP) is not part of this library.  A tag scanner (``mapInArrow``) finds the
+links of every whole page as a browser would: attributes in any order and
+quoting, entities undone, comments and scripts skipped, and the address
+resolved against the page's own.  Names are classified with native functions.
 Listing order is (month, day) with missing parts as 0, then file name and
 page id as tie-breaks; ordered picks use ``orderBy().offset().limit()``
 (a bounded top-k), never a global row number.
@@ -11,45 +12,81 @@ page id as tie-breaks; ordered picks use ``orderBy().offset().limit()``
 
 from __future__ import annotations
 
+import html as entities
+import re
+from collections.abc import Iterator
+from urllib.parse import urljoin, urlsplit
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Link, name and size patterns.
-LINK_PATTERN = r'<a href="[^"]*"[^>]*>[^<]*</a>[ \t]*([0-9]+([.][0-9]+)?[ \t]*[KMGTkmgt]B?)?'
-HREF_PATTERN = r'href="([^"]*)"'
+# Name and size patterns.
 YEAR_PATTERN = r"^([0-9]{4})/?$"
 DAILY_PATTERN = r"^AIS_([0-9]{4})_([0-9]{2})_([0-9]{2})[.]zip$"
 ZONE_PATTERN = r"^AIS_([0-9]{4})_Zone([0-9]{2})_([0-9]{2})[.]zip$"
 REGIONAL_PATTERN = r"^AIS_([0-9]{4})_([A-Za-z0-9_]+)[.]zip$"
-SIZE_PATTERN = r"</a>[ \t]*([0-9]+([.][0-9]+)?)[ \t]*([KMGTkmgt])B?"
 UNIT_BYTES = {"K": 1024, "M": 1024 ** 2, "G": 1024 ** 3, "T": 1024 ** 4}
 DEFAULT_ZONE = "01_01"
 DEFAULT_BASE_URL = "https://archive.example/ais/"
 
 
+# Comments, elements whose content is no markup, and tags; possessive, so that no page makes the scan go back.
+_MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<(script|style|textarea|title)\b[^>]*+>.*?(?:</\1\s*>|\Z)|"""
+                     r"""<(/?[a-z][^\s/>]*+)((?:[^'">]++|"[^"]*+"|'[^']*+')*+)>""", re.S | re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
+# A size follows its link at once, or in the next cell.
+_SIZE = re.compile(r"""(?:\s|</?(?:td|th|span|font|tt|b|i)\b[^>]*+>)*+([0-9]++(?:[.][0-9]++)?)[ \t]*+([KMGT])B?""", re.I)
+
+
+def page_links(html: str) -> Iterator[tuple[str, str | None, str | None]]:
+    """(href, size, unit) of the links of a page, in order."""
+    href = None
+    for tag in _MARKUP.finditer(html):
+        name = (tag.group(2) or "").lower()
+        if name not in ("a", "/a"):
+            continue
+        if href is not None:  # the end of the link before
+            size = _SIZE.match(html, tag.end()) if name == "/a" else None
+            yield (href, size.group(1), size.group(2).upper()) if size else (href, None, None)
+            href = None
+        if name == "a":
+            for key, *values in _ATTRIBUTE.findall(tag.group(3)):
+                if key.lower() == "href":
+                    href = entities.unescape(next((v for v in values if v), "")).strip()
+                    break
+    if href is not None:
+        yield href, None, None
+
+
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = []
+        for page, url, html in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html"))):
+            for href, value, unit in page_links(html or ""):
+                try:
+                    full = urljoin(url or "", href)
+                    name = urlsplit(href).path
+                except ValueError:  # no address, such as an unclosed IPv6 host
+                    full, name = None, href
+                size = None if value is None else int(float(value) * UNIT_BYTES[unit])
+                rows.append((page, href, name.rstrip("/").rsplit("/", 1)[-1] + "/" * name.endswith("/"), full,
+                             None if value is None else value + unit, size if size is None or size < 2 ** 63 else None))
+        columns = list(zip(*rows)) or [()] * 6
+        kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["page_id", "href", "filename", "url", "size_text", "size_bytes"])
+
+
 def links(pages: DataFrame) -> DataFrame:
-    """One row per link: page_id, href, size text (may be NULL), size in bytes."""
-    frags = pages.select("page_id", F.explode(F.regexp_extract_all(F.col("html"), F.lit(LINK_PATTERN), 0))
-                         .alias("_frag"))
-    value = F.regexp_extract(F.col("_frag"), SIZE_PATTERN, 1)
-    unit = F.upper(F.regexp_extract(F.col("_frag"), SIZE_PATTERN, 3))
-    mult = F.when(unit == "K", F.lit(UNIT_BYTES["K"])).when(unit == "M", F.lit(UNIT_BYTES["M"])) \
-        .when(unit == "G", F.lit(UNIT_BYTES["G"])).when(unit == "T", F.lit(UNIT_BYTES["T"]))
-    has_size = value != ""
-    return frags.select(
-        "page_id",
-        F.regexp_extract(F.col("_frag"), HREF_PATTERN, 1).alias("href"),
-        F.when(has_size, F.concat(value, unit)).alias("size_text"),
-        F.when(has_size, F.floor(value.cast("double") * mult.cast("double"))).cast("long").alias("size_bytes"),
-    )
+    """One row per link: page_id, href, filename (last part of its path), url, size text (may be NULL), size in bytes."""
+    columns = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
+    return columns.mapInArrow(_links, "page_id long, href string, filename string, url string, size_text string, size_bytes long")
 
 
 def index_years(pages: DataFrame) -> DataFrame:
     """Year folders linked from the pages (``2024/``), newest first, with the number of pages."""
-    hrefs = pages.select("page_id", F.explode(F.regexp_extract_all(F.col("html"), F.lit(HREF_PATTERN), 1))
-                         .alias("href"))
-    years = hrefs.where(F.col("href").rlike(YEAR_PATTERN)).select(
-        "page_id", F.regexp_extract("href", YEAR_PATTERN, 1).alias("year"))
+    years = links(pages).where(F.col("filename").rlike(YEAR_PATTERN)).select(
+        "page_id", F.regexp_extract("filename", YEAR_PATTERN, 1).alias("year"))
     return (years.groupBy("year").agg(F.count_distinct("page_id").alias("pages"))
             .orderBy(F.col("year").desc()))
 
@@ -77,14 +114,12 @@ def archive_names(names: DataFrame, column: str = "filename") -> DataFrame:
     return names.select("*", *[c.alias(k) for k, c in parts.items()]).where(F.col("type").isNotNull())
 
 
-def index_files(pages: DataFrame, base_url: str = DEFAULT_BASE_URL) -> DataFrame:
-    """Archive links (``*.zip`` containing ``AIS``) with type, date/zone/region, size and URL."""
-    ls = links(pages).where(F.col("href").endswith(".zip") & F.col("href").contains("AIS"))
-    named = archive_names(ls.withColumnRenamed("href", "filename"))
-    return named.select(
+def index_files(pages: DataFrame) -> DataFrame:
+    """Archive links (``*.zip`` containing ``AIS``) with type, date/zone/region, size and the URL they lead to."""
+    ls = links(pages).where(F.col("filename").endswith(".zip") & F.col("filename").contains("AIS"))
+    return archive_names(ls).select(
         "page_id", "filename", "type", "year", "month", "day", "zone", "sequence", "region",
-        "size_text", "size_bytes",
-        F.concat(F.lit(base_url), F.col("year"), F.lit("/"), F.col("filename")).alias("url"),
+        "size_text", "size_bytes", "url",
     )
 
 
@@ -95,7 +130,7 @@ def listing_order() -> list[Column]:
 
 def size_to_bytes(pages: DataFrame) -> DataFrame:
     """Every link that carries a size, with the size in bytes (K/M/G/T = 1024^n)."""
-    return links(pages).where(F.col("size_text").isNotNull())
+    return links(pages).where(F.col("size_text").isNotNull()).select("page_id", "href", "size_text", "size_bytes")
 
 
 def _fmt1(x: Column, unit: str) -> Column:

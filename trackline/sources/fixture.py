@@ -92,9 +92,14 @@ LISTING_NAME_SQL = (
 )
 _UNIT = f"CASE {_N7} % 4 WHEN 1 THEN 'K' WHEN 2 THEN 'M' WHEN 3 THEN 'G' ELSE '' END"
 _VALUE = "CAST(CAST((page_id * 37) % 9000 + 100 AS DOUBLE) / 10.0 AS STRING)"
+_SIZE = f"CASE WHEN {_UNIT} = '' THEN '' ELSE concat('   ', {_VALUE}, {_UNIT}) END"
+# Three ways in which index pages write a link and its size, by page_id.
 LISTING_FRAGMENT_SQL = (
-    f"concat('<pre><a href=\"', {LISTING_NAME_SQL}, '\">', {LISTING_NAME_SQL}, '</a>',"
-    f" CASE WHEN {_UNIT} = '' THEN '' ELSE concat('   ', {_VALUE}, {_UNIT}) END, '</pre>')"
+    f"CASE CAST(floor(page_id / 28) AS BIGINT) % 3"
+    f" WHEN 0 THEN concat('<pre><a href=\"', {LISTING_NAME_SQL}, '\">', {LISTING_NAME_SQL}, '</a>', {_SIZE}, '</pre>')"
+    f" WHEN 1 THEN concat('<table><tr><td><a class=x href=', chr(39), {LISTING_NAME_SQL}, chr(39), '>', {LISTING_NAME_SQL},"
+    f" '</a></td><td align=\"right\">', {_SIZE}, '</td></tr></table>')"
+    f" ELSE concat('<li><A title=\"a > b\" HREF=', {LISTING_NAME_SQL}, '><b>', {LISTING_NAME_SQL}, '</b></A>', {_SIZE}, '</li>') END"
 )
 
 

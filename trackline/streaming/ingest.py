@@ -9,9 +9,11 @@ folder.  Every micro-batch is a bounded list of new files, and ``foreachBatch``
    reports of the dates the batch touches only (partition pruning), so the
    table itself is the de-duplication state: no report is loaded twice and
    none is dropped for arriving late, whatever the file order,
-3. writes the rest under ``positions/batch=<id>`` with overwrite, partitioned
-   by date.  A replay of the same batch after a failure ignores its own folder
-   in step 2 and rewrites it, so the sink is idempotent,
+3. writes the rest under ``positions/traffic_date=<date>/batch=<id>`` with
+   overwrite and commits these folders to the table's manifest (``manifest``).
+   A replay of the same batch after a failure ignores its own folders in step 2
+   and rewrites them, so the sink is idempotent.  A date's folders are merged
+   when they become many, so that nothing grows with the number of batches,
 4. (optionally) recomputes the daily traffic rollup for the touched dates
    only, with dynamic partition overwrite.
 
@@ -25,7 +27,6 @@ from __future__ import annotations
 import os
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,7 @@ from trackline.operators.clean import (coerce_types, dedupe_positions, drop_inco
 from trackline.operators.traffic import daily_traffic
 from trackline.schema import CANONICAL_COLUMNS
 from trackline.sources.positions import ORDER, PROVENANCE, ingest_order, read_any, read_positions
+from trackline.streaming.manifest import MAX_FOLDERS, Manifest, write_dated
 
 
 LISTING = "path string, modificationTime timestamp, length bigint, content binary"
@@ -47,16 +49,9 @@ def _new_files(spark: SparkSession, source_dir: str, max_files_per_trigger: int
     return reader.load(source_dir).where("length > 0").select("path")
 
 
-def _stored(spark: SparkSession, positions_dir: str) -> DataFrame | None:
-    try:
-        return spark.read.option("basePath", positions_dir).parquet(os.path.join(positions_dir, "batch=*"))
-    except AnalysisException:  # nothing stored yet
-        return None
-
-
 def incremental_ingest(spark: SparkSession, source_dir: str, table_dir: str, checkpoint: str,
                        rollup_dir: str | None = None, header: bool = True,
-                       max_files_per_trigger: int | None = 1000) -> dict:
+                       max_files_per_trigger: int | None = 1000, max_folders: int = MAX_FOLDERS) -> dict:
     """Run one AvailableNow pass over ``source_dir``; return the rows read and the number of batches.
 
     Files may be headed (columns go by name), header-less, "standard" or ZIP
@@ -87,22 +82,22 @@ def incremental_ingest(spark: SparkSession, source_dir: str, table_dir: str, che
                  .persist(StorageLevel.MEMORY_AND_DISK))
         try:
             # the dates of one batch: a short list, used to prune the stored partitions
-            dates = [r["traffic_date"] for r in fresh.select("traffic_date").distinct().collect()]
+            dates = [str(r["traffic_date"]) for r in fresh.select("traffic_date").distinct().collect()]
             counts.append(read.get["rows"])
             if not dates:
                 return
             new = fresh
-            stored = _stored(spark, positions_dir)
+            manifest = Manifest(spark, positions_dir)
+            stored = manifest.read(dates, but=name)
             if stored is not None:
-                seen = (stored.where((F.col("batch") != F.lit(name)) & F.col("traffic_date").isin(dates))
-                        .select("mmsi", "base_datetime"))
-                new = fresh.join(seen, ["mmsi", "base_datetime"], "left_anti")
-            (new.hint("rebalance", "traffic_date").write.mode("overwrite").partitionBy("traffic_date")
-             .parquet(os.path.join(positions_dir, f"batch={name}")))
+                new = fresh.join(stored.select("mmsi", "base_datetime"), ["mmsi", "base_datetime"], "left_anti")
+            write_dated(new.withColumn("batch", F.lit(name)), positions_dir)
         finally:
             fresh.unpersist()
+        manifest.add(name, [d for d in dates if manifest.holds(d, name)])
         if rollup_dir is not None:
-            refresh_daily(spark, positions_dir, rollup_dir, dates)
+            refresh_daily(spark, table_dir, rollup_dir, dates)
+        manifest.compact(max_folders)
 
     q = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -111,18 +106,21 @@ def incremental_ingest(spark: SparkSession, source_dir: str, table_dir: str, che
 
 
 def read_positions_table(spark: SparkSession, table_dir: str) -> DataFrame:
-    """All ingested positions (every batch folder)."""
-    positions_dir = os.path.join(table_dir, "positions")
-    return spark.read.option("basePath", positions_dir).parquet(os.path.join(positions_dir, "batch=*"))
+    """All ingested positions (the live folders of the table's manifest)."""
+    rows = Manifest(spark, os.path.join(table_dir, "positions")).read()
+    if rows is None:
+        raise ValueError(f"nothing is stored in {table_dir}")
+    return rows
 
 
-def refresh_daily(spark: SparkSession, positions_dir: str, rollup_dir: str, dates: list) -> None:
+def refresh_daily(spark: SparkSession, table_dir: str, rollup_dir: str, dates: list[str]) -> None:
     """Recompute the daily rollup for the touched ``dates`` only (dynamic partition overwrite).
 
-    The filter is on the date partition column, so only those partitions are read.
+    Only the live folders of those dates are opened, and nothing else is listed.
     """
-    positions = spark.read.option("basePath", positions_dir).parquet(os.path.join(positions_dir, "batch=*"))
-    affected = positions.where(F.col("traffic_date").isin(dates))
+    affected = Manifest(spark, os.path.join(table_dir, "positions")).read(dates)
+    if affected is None:
+        return
     rollup = daily_traffic(affected.drop("traffic_date", "batch")).select(*DAILY_COLUMNS)
     (rollup.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("traffic_date").parquet(rollup_dir))
