@@ -200,6 +200,13 @@ oracle("top_vessel_types", with_([RAW], "SELECT vessel_type, count(*) AS positio
                                         " WHERE vessel_type IS NOT NULL GROUP BY vessel_type"
                                         " ORDER BY positions DESC, vessel_type ASC LIMIT 5"))
 
+_FILLED = {c: f"count({c})" for c in COLS}
+oracle("column_fill", with_([RAW], " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", {n} AS filled, {rnd(f'CAST({n} AS DOUBLE) / count(*)', 'share')} FROM raw" for c, n in _FILLED.items())))
+oracle("distinct_vessel_sketches", with_([RAW, CLEAN, "d AS (SELECT *, CAST(base_datetime AS DATE) AS day FROM clean)"], " UNION ALL ".join(
+    f"SELECT '{span}' AS span, count(*) AS positions, count(DISTINCT mmsi) AS vessels FROM d {where}" for span, where in [
+        ("7 days", "WHERE day > (SELECT max(day) FROM d) - 7"), ("30 days", "WHERE day > (SELECT max(day) FROM d) - 30"), ("all", "")])))
+
 # --- tracks ----------------------------------------------------------------
 
 
@@ -477,6 +484,12 @@ READ_BACK_SEL = (f"mmsi, base_datetime, {rnd('latitude')}, {rnd('longitude')}, {
 for _key in ["read_positions", "read_positions_reordered", "read_positions_extra_column", "read_positions_headerless",
              "read_positions_standard", "read_zip_positions"]:
     oracle(_key, with_([RAW], f"SELECT {READ_BACK_SEL} FROM raw"))
+_HEADED = ("MMSI,BaseDateTime,LAT,LON,SOG,COG,Heading,VesselName,IMO,CallSign,VesselType,Status,Length,Width,Draft,Cargo,"
+           "TransceiverClass")
+oracle("detect_format", f"SELECT * FROM (VALUES ('noaa', 'noaa', '{_HEADED}'), ('headerless', 'noaa_no_header', NULL),"
+                        " ('standard', 'standard', 'MMSI,Timestamp,Lat,Lon,Speed,Course,Name,ShipType,NavStatus'))"
+                        " AS t (folder, format, header) WHERE (SELECT count(*) FROM events) > 0")
+oracle("file_inventory", with_([RAW], "SELECT count(*) AS rows, true AS sizes_match FROM raw"))
 oracle("combine_files", with_([RAW], f"""
 SELECT mmsi, base_datetime, {rnd('latitude')}, {rnd('longitude')}, {rnd('sog')}, {rnd('cog')}, {NAME_NA},
   CASE WHEN base_datetime < {SPLIT} THEN vessel_type END AS vessel_type,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from trackline import sinks
 from trackline.operators import clean as C
-from trackline.operators import fleet, tracks, traffic, vessels
+from trackline.operators import fleet, profile, sketches, tracks, traffic, vessels
 from trackline.plans.context import cleaned, legs, materialized_metrics, metrics, raw, rounded
 from trackline.schema import CANONICAL_COLUMNS, SOURCE_COLUMNS
 from trackline.session import scratch_path
@@ -92,22 +92,30 @@ def q_limit_records(spark, sf):
 
 @query("profile")
 def q_profile(spark, sf):
-    r = raw(spark, sf)
-    return r.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.lit(len(r.columns)).alias("column_count"),
-        F.count_distinct("mmsi").alias("unique_vessels"),
-        F.min("base_datetime").alias("first_time"),
-        F.max("base_datetime").alias("last_time"),
-    )
+    return profile.load_profile(raw(spark, sf))
 
 
 @query("top_vessel_types")
 def q_top_vessel_types(spark, sf):
-    r = raw(spark, sf)
-    return (r.where(F.col("vessel_type").isNotNull()).groupBy("vessel_type")
-            .agg(F.count(F.lit(1)).alias("positions"))
-            .orderBy(F.col("positions").desc(), F.col("vessel_type").asc()).limit(5))
+    return profile.top_vessel_types(raw(spark, sf))
+
+
+@query("column_fill")
+def q_column_fill(spark, sf):
+    return rounded(profile.column_fill(raw(spark, sf)))
+
+
+@query("distinct_vessel_sketches")
+def q_distinct_vessel_sketches(spark, sf):
+    """Vessels of the last 7 and 30 days and of all, from the day sketches of two loads that are written and read again."""
+    path = scratch_path(spark, "sketches")
+    c = cleaned(spark, sf)
+    for half in (F.col("base_datetime") < _split(), F.col("base_datetime") >= _split()):
+        sketches.daily_sketches(c.where(half)).write.mode("append").parquet(path)
+    daily = sketches.merged(spark.read.parquet(path), "traffic_date")
+    spans = [("7 days", 7), ("30 days", 30), ("all", None)]
+    parts = [sketches.distinct_vessels(daily, d).select(F.lit(name).alias("span"), "positions", "vessels") for name, d in spans]
+    return parts[0].union(parts[1]).union(parts[2])
 
 
 # --- tracks ----------------------------------------------------------------
@@ -424,13 +432,20 @@ def q_detect_format(spark, sf):
     _write_csv(_as_source_text(r), f"{base}/headerless", header=False)
     _write_csv(r.select(*[F.col(c).cast("string").alias(h) for c, h in STANDARD_HEADER.items()]),
                f"{base}/standard")
-    return positions.detect_format(spark, [f"{base}/noaa", f"{base}/headerless", f"{base}/standard"])
+    found = positions.detect_format(spark, [f"{base}/noaa", f"{base}/headerless", f"{base}/standard"])
+    folder = F.element_at(F.split("file_path", "/"), -2).alias("folder")
+    return found.select(folder, "format", F.when(F.col("format") != "noaa_no_header", F.col("first_line")).alias("header")).distinct()
 
 
 @query("file_inventory")
 def q_file_inventory(spark, sf):
     path = _write_csv(_as_source_text(raw(spark, sf)), scratch_path(spark, "inventory"))
-    return positions.file_inventory(spark, path, glob="*.csv")
+    listed = positions.file_inventory(spark, path, glob="*.csv")
+    lines = spark.read.text(path).select(F.col("_metadata.file_name").alias("name"), "value").groupBy("name").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(F.octet_length("value") + 1).alias("octets"))
+    both = listed.withColumn("name", F.element_at(F.split("path", "/"), -1)).join(lines, "name", "full_outer")
+    # every file is listed with its size: its lines, without the header, add up to the rows written
+    return both.agg((F.sum("lines") - F.count("path")).alias("rows"), F.bool_and(F.col("length").eqNullSafe(F.col("octets"))).alias("sizes_match"))
 
 
 # --- sinks ---------------------------------------------------------------------
