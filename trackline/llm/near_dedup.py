@@ -43,7 +43,7 @@ FINE_SAMPLES, FINE_BITS = 4096, 8192  # of the larger sketches that the remainin
 STAR_ROUNDS = 8  # at most
 FEW_LINKS = 100  # rounds end where fewer than one in so many candidates is a link; the rest is exact anyway
 ODD_COLUMNS = [f"o{i}" for i in range(SKETCH_BITS // 64)]
-WORD_CACHE = 400_000
+WORD_CACHE = 200_000  # words of a task, about 200 bytes each
 _rng = np.random.default_rng(2014)
 _ODD = _rng.integers(0, 2 ** 63, FINE_SAMPLES, np.uint64) * np.uint64(2) + np.uint64(1)
 _XOR = _rng.integers(0, 2 ** 63, FINE_SAMPLES, np.uint64)
@@ -70,16 +70,14 @@ class _Words(dict):
         return h
 
 
-_WORDS = _Words()
-
-
-def shingle_set(text: bytes, width: int = WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles of UTF-8 text."""
+def shingle_set(text: bytes, width: int = WORDS, known: _Words | None = None) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles of UTF-8 text; ``known`` keeps hashes of words for further texts."""
+    known = _Words() if known is None else known
     words = text.lower().split()  # bytes: A-Z only, and white space is exactly x20, x09-x0D
     n = len(words)
     if not n:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, n)
+    h = np.fromiter(map(known.__getitem__, words), np.uint64, n)
     if n < width:
         s = np.full(1, n, np.uint64) * _MIX
         for j in range(n):
@@ -134,10 +132,11 @@ def sketches(docs: DataFrame, width: int = WORDS) -> DataFrame:
     """doc_id, n_shingles, set_key (128-bit digest of the set), bands, o0, o1 ..."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
+        known = _Words()  # let go with the task: workers outlive it and serve other operators
         for batch in batches:
             sizes, keys, bands, odd = [], [], [], []
             for value in batch.column("data"):
-                s = shingle_set(value.as_py(), width)
+                s = shingle_set(value.as_py(), width, known)
                 sizes.append(len(s))
                 if len(s):
                     m = minhash(s)
@@ -161,8 +160,9 @@ def sketches(docs: DataFrame, width: int = WORDS) -> DataFrame:
 def full_sets(docs: DataFrame, width: int = WORDS) -> DataFrame:
     """node (the doc_id) and shingles of the given documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Words()
         for batch in batches:
-            sets = [shingle_set(v.as_py(), width).view(np.int64) for v in batch.column("data")]
+            sets = [shingle_set(v.as_py(), width, known).view(np.int64) for v in batch.column("data")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))],
                                              ["node", "shingles"])
 
