@@ -72,3 +72,11 @@ def test_change_log_and_upsert(spark):
     extra = spark.createDataFrame([(70, "dup", "x"), (99, "new", "y")], codes.schema)
     merged = changes.insert_if_absent(codes, extra, "code")
     assert merged.count() == 29 and merged.where("code = 70").collect()[0]["description"] == "Cargo"
+
+
+def test_code_table_is_broadcast_only_if_small(spark):
+    c = cleaned(spark, SF0001)
+    many = spark.range(vessels.MAX_CODES + 1).select(F.col("id").cast("int").alias("code"), F.lit("d").alias("description"), F.lit("c").alias("category"))
+    with pytest.raises(Exception, match="code table"):
+        vessels.decode_types(c, many).count()
+    assert vessels.decode_types(c, many.where(f"code < {vessels.MAX_CODES}")).where("type_description = 'd'").count() > 0

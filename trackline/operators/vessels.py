@@ -69,8 +69,8 @@ def vessel_search(metrics: DataFrame, name: str | None = None, min_distance: flo
     if vessel_type is not None:
         if positions is None:
             raise ValueError("vessel_type needs the positions table")
-        typed = positions.where(F.col("vessel_type") == F.lit(str(vessel_type))).select("mmsi")
-        m = m.join(typed, "mmsi", "left_semi")
+        typed = positions.where(F.col("vessel_type") == F.lit(str(vessel_type))).select("mmsi").distinct()
+        m = m.join(typed, "mmsi", "left_semi")  # of one row a vessel, however often it has reported
     return (m.select(*SEARCH_COLUMNS)
             .orderBy(F.col("total_distance_nm").desc_nulls_first(), F.col("mmsi").asc())
             .limit(limit))
@@ -104,14 +104,24 @@ def _code(c: str) -> F.Column:
     return F.trim(F.col(c)).try_cast("int")
 
 
+MAX_CODES = 10_000
+
+
+def _code_table(codes: DataFrame, **names: str) -> DataFrame:
+    """``codes`` for a broadcast; a table of more than ``MAX_CODES`` rows is an error when it runs, not a broadcast."""
+    few = codes.select(F.col("code").alias("_code"), *[F.col(c).alias(n) for c, n in names.items()]).limit(MAX_CODES + 1)
+    counted = few.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy()))
+    too_many = F.lit(f"a code table has over {MAX_CODES} rows")
+    return F.broadcast(counted.where(F.assert_true(F.col("_rows") <= MAX_CODES, too_many).isNull()).drop("_rows"))
+
+
 def decode_types(positions: DataFrame, codes: DataFrame) -> DataFrame:
     """Attach type description and category; unmatched or non-numeric codes -> NULL."""
-    d = F.broadcast(codes.select(F.col("code").alias("_code"), F.col("description").alias("type_description"),
-                                 F.col("category").alias("type_category")))
+    d = _code_table(codes, description="type_description", category="type_category")
     return positions.join(d, _code("vessel_type") == F.col("_code"), "left").drop("_code")
 
 
 def decode_status(positions: DataFrame, codes: DataFrame) -> DataFrame:
     """Attach the navigation-status description; unmatched -> NULL."""
-    d = F.broadcast(codes.select(F.col("code").alias("_code"), F.col("description").alias("status_description")))
+    d = _code_table(codes, description="status_description")
     return positions.join(d, _code("status") == F.col("_code"), "left").drop("_code")

@@ -458,7 +458,7 @@ def _as_of(df: DataFrame):
 def q_sink_positions(spark, sf):
     c = cleaned(spark, sf)
     path = scratch_path(spark, "positions")
-    sinks.sink_positions(c, path, as_of=_as_of(c), max_records_per_file=1000)
+    sinks.sink_positions(c, path, as_of=_as_of(c), max_records_per_file=1_000_000)
     back = spark.read.parquet(path)
     return rounded(back.select(*READ_BACK, "ingest_seq", "traffic_date", "created_at"))
 
