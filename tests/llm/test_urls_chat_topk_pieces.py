@@ -206,9 +206,9 @@ def viterbi(text, pieces):
         back.append(best)
     out, end = [], len(t)
     while end:
-        out = back[end][2] + out
+        out.append(back[end][2])
         end = back[end][1]
-    return out
+    return [i for ids in reversed(out) for i in ids]
 
 
 def test_pieces_equal_library(spark, library, monkeypatch):
@@ -227,6 +227,22 @@ def test_pieces_equal_library(spark, library, monkeypatch):
     assert {r["doc_id"]: r["text"] for r in back.collect()} == {i: (t or "").replace("▁", " ") for i, t in enumerate(TEXTS)}
 
 
+def test_pieces_of_very_long_units(spark):
+    """Texts without a place to cut: letters in a row, and a megabyte of Chinese, work in proportion to their length."""
+    import random
+    draw = random.Random(2)
+    pieces = sentencepieces.Pieces.load(vocabulary("piece_bpe_32k.model"))
+    letters = "".join(draw.choice("etaoinshrdlu") for _ in range(20_000))
+    han = "".join(chr(draw.choice([0x4E00, 0x4E2D, 0x56FD, 0x6587, 0x3400, 0x9F98]) + draw.randrange(3)) for _ in range(350_000))
+    assert len(han.encode()) > 1_000_000
+    docs = spark.createDataFrame([(1, letters), (2, han)], "doc_id long, text string")
+    encoded = sentencepieces.encode(docs, pieces)
+    got = {r["doc_id"]: r["ids"] for r in encoded.collect()}
+    assert got[1] == viterbi(letters, pieces) and got[2] == viterbi(han, pieces)
+    back = sentencepieces.decode(spark.createDataFrame(list(got.items()), "doc_id long, ids array<int>"), pieces)
+    assert {r["doc_id"]: r["text"] for r in back.collect()} == {1: letters, 2: han}
+
+
 def test_pieces_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     pieces = sentencepieces.Pieces.load(vocabulary("piece_bpe_32k.model"))

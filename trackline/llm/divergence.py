@@ -44,7 +44,7 @@ _VECTORS = "group struct<lang:string,source:string>, v struct<type:tinyint,size:
 #: Bytes of the terms' alphabet: A-Z lower-cased, every other ASCII character but a letter a separator, all of a non-ASCII one kept.
 _BYTES = np.array([b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 0 for b in range(256)], np.uint8)
 _PLACE = np.random.default_rng(13).integers(0, 2 ** 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
-BATCH_BYTES = 8_000_000
+BATCH_BYTES = 1_500_000  # of text cut at once; what it is cut with takes some fifty times that
 
 
 def slices_for(docs: DataFrame) -> int:

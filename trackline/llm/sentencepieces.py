@@ -45,6 +45,7 @@ UNKNOWN_PENALTY = 10.0
 HEAD = 200_000  # rows sent to every task, of 64 characters at most
 DECODED_IDS = 4_000_000  # decoded at a time
 HEAD_ROWS = 8_000  # documents of the sample that names the head
+STRETCH, BLOCK = 1_024, 512  # characters of a unit cut out at once, places folded at once
 
 
 @dataclass(frozen=True)
@@ -132,26 +133,44 @@ def encode_units(distinct: DataFrame, pieces: Pieces) -> DataFrame:
     a shuffle or sort of all edges, which are thirty times as many as the units.
     """
     table = F.broadcast(pieces.frame(distinct.sparkSession))  # as many rows as the vocabulary has
-    ends = distinct.select("unit", F.monotonically_increasing_id().alias("uid")).select(
-        "unit", "uid", F.explode(F.sequence(F.lit(1), F.length("unit"))).alias("end"))
-    spans = ends.select("unit", "uid", "end", F.explode(F.sequence(F.least(F.lit(pieces.longest), "end"), F.lit(1), F.lit(-1))).alias("n"))
-    edges = spans.withColumn("piece", F.substring("unit", F.col("end") - F.col("n") + 1, F.col("n"))).join(table, "piece", "left").where(
-        "id is not null or n = 1").select(
+    # a long unit in stretches, each with what a piece can reach back into, so that no substring is looked for far from the start
+    numbered = distinct.select("unit", F.monotonically_increasing_id().alias("uid"))
+    stretch = numbered.select("unit", "uid", F.explode(
+        F.expr(f"sequence(0, cast((length(unit) - 1) div {STRETCH} as int))")).alias("k")).select(
+        "uid", F.when(F.col("k") == 0, F.col("unit")).alias("unit"), F.length("unit").alias("size"), "k",
+        F.greatest(F.col("k") * STRETCH - (pieces.longest - 1), F.lit(0)).alias("from"), F.expr(
+            f"substring(unit, greatest(k * {STRETCH} - {pieces.longest - 1}, 0) + 1, {STRETCH + pieces.longest})").alias("part"))
+    ends = stretch.select("*", F.explode(F.sequence(F.col("k") * STRETCH + 1, F.least("size", (F.col("k") + 1) * STRETCH))).alias("end"))
+    spans = ends.select("*", F.explode(F.sequence(F.least(F.lit(pieces.longest), "end"), F.lit(1), F.lit(-1))).alias("n"))
+    edges = spans.withColumn("piece", F.substring("part", F.col("end") - F.col("from") - F.col("n") + 1, F.col("n"))).join(
+        table, "piece", "left").where("id is not null or n = 1").select(
         "uid", F.when(F.col("end") == 1, F.col("unit")).alias("unit"), "end", "n", F.coalesce("id", F.lit(-1)).alias("id"),
         F.coalesce("score", F.lit(pieces.unknown_score)).alias("score"))
     lattice = edges.mapInArrow(_lattices, "unit string, places array<array<struct<n:int,id:int,score:double>>>")
-    # best path into every place: its score, and the length and id of its last edge; of equal ones that with the longest edge
-    best = """aggregate(places, array(named_struct('score', cast(0 as double), 'n', 0, 'id', 0)), (a, g) -> concat(a, array(array_max(
-        transform(g, e -> named_struct('score', a[size(a) - e.n].score + e.score, 'n', e.n, 'id', e.id))))))"""
-    walk = """aggregate(sequence(1, size(best) - 1), named_struct('at', size(best) - 1, 'last', cast(array() as array<struct<at:int,id:int>>)),
-        (a, i) -> if(a.at > 0, named_struct('at', a.at - best[a.at].n,
-                                            'last', concat(array(named_struct('at', a.at, 'id', best[a.at].id)), a.last)), a),
-        a -> a.last)"""
-    octets = "hex(encode(substr(unit, e.at, 1), 'UTF-8'))"
+    # best path into every place: its score, and the length and id of its last edge; of equal ones that with the longest edge.
+    # A fold within blocks of places, on the last scores alone, and one over the blocks, since a fold copies its state at every step
+    place = "struct<score:double,n:int,id:int>"
+    best = f"""aggregate(sequence(0, cast((size(places) - 1) div {BLOCK} as int)),
+        named_struct('back', array(named_struct('score', cast(0 as double), 'n', 0, 'id', 0)), 'done', cast(array() as array<array<{place}>>)),
+        (s, k) -> transform(array(aggregate(slice(places, k * {BLOCK} + 1, {BLOCK}), s.back, (a, g) -> concat(a, array(array_max(
+                transform(g, e -> named_struct('score', a[size(a) - e.n].score + e.score, 'n', e.n, 'id', e.id))))))),
+            a -> named_struct('back', slice(a, greatest(size(a) - {pieces.longest - 1}, 1), {pieces.longest}),
+                              'done', concat(s.done, array(slice(a, size(s.back) + 1, {BLOCK})))))[0],
+        s -> flatten(s.done))"""
+    # from the last place back to the first, block by block as well
+    edge = "struct<at:int,id:int>"
+    walk = f"""aggregate(sequence((size(best) - 1) div {BLOCK}, 0, -1), named_struct('at', size(best), 'done', cast(array() as array<array<{edge}>>)),
+        (s, k) -> transform(array(aggregate(sequence(1, {BLOCK}), named_struct('at', s.at, 'last', cast(array() as array<{edge}>)),
+                (a, i) -> if(a.at > k * {BLOCK}, named_struct('at', a.at - best[a.at - 1].n,
+                                                              'last', concat(a.last, array(named_struct('at', a.at, 'id', best[a.at - 1].id)))), a))),
+            a -> named_struct('at', a.at, 'done', concat(s.done, array(a.last))))[0],
+        s -> reverse(flatten(s.done)))"""
+    letters = "if(exists(path, e -> e.id < 0), split(unit, ''), cast(array() as array<string>))"
+    octets = "hex(encode(letters[e.at - 1], 'UTF-8'))"
     ids = f"""flatten(transform(path, e -> if(e.id >= 0, array(e.id), transform(sequence(1, length({octets}), 2),
         i -> cast(conv(substr({octets}, i, 2), 16, 10) as int) + {pieces.first_byte}))))"""
     return (lattice.select("unit", F.expr(best).alias("best")).select("unit", F.expr(walk).alias("path"))
-            .select("unit", F.expr(ids).alias("ids")))
+            .select("unit", "path", F.expr(letters).alias("letters")).select("unit", F.expr(ids).alias("ids")))
 
 
 def _head(docs: DataFrame, pieces: Pieces) -> DataFrame:
