@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from trackline.session import local_session  # noqa: E402
 
-PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "MapInArrow")
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "MapInArrow", "BatchScan positions")
 
 
 def summarise(plan: str) -> dict:
@@ -37,19 +37,19 @@ def summarise(plan: str) -> dict:
 
 def main(argv):
     sf = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
+    from trackline.plans.queries import QUERIES
     spark = local_session(8, 8)
     lines = ["# Physical plans of the registered queries", "",
              f"Final (post-AQE) plans of one execution at `{os.path.basename(sf)}`, produced by "
-             "`tools/plan_summary.py`. A vessel-metrics pipeline has three shuffles (dedupe, track buckets, "
-             "bucket rows by vessel).", "",
+             "`tools/plan_summary.py`. A vessel-metrics pipeline has four shuffles (dedupe, hours, days, "
+             "vessels). The training-data queries write tables as they go and are not listed.", "",
              "`shuffles` = distinct shuffle query stages in the final adaptive plan (main query and scalar "
              "subqueries; writes done before the returned frame is built -- round trips, checkpoints -- are "
              "not included); the other columns are read from the same plan text.", "",
              "| key | shuffles | reused | broadcast | joins | aggregates | windows | top-k / group-limit | "
              "python | pushed filters |",
              "|---|---|---|---|---|---|---|---|---|---|"]
-    for key, fn in E.queries().items():
+    for key, fn in QUERIES.items():
         df = fn(spark, sf)
         df.collect()  # execute this frame's own plan (sf0.01 results are small)
         plan = df._jdf.queryExecution().executedPlan().toString()
