@@ -27,6 +27,20 @@ def test_metrics_plan_shuffles_and_native(spark):
     assert "partial_min_by" in p
 
 
+def test_bucketed_store_needs_no_exchange(spark, tmp_path):
+    from trackline.operators.tracks import vessel_metrics
+    from trackline.sinks import sink_bucketed
+    c = cleaned(spark, SF0001)
+    sink_bucketed(c, "bucketed_positions", str(tmp_path / "b"), 4)
+    try:
+        m = vessel_metrics(spark.table("bucketed_positions"))
+        assert "Exchange" not in _plan(m)
+        key = lambda r: (r["mmsi"], round(r["total_distance_nm"], 9), r["point_count"])
+        assert sorted(map(key, m.collect())) == sorted(map(key, metrics(spark, SF0001).collect()))
+    finally:
+        spark.sql("DROP TABLE bucketed_positions")
+
+
 def test_recent_positions_limits_before_shuffle(spark):
     p = _plan(recent_positions(cleaned(spark, SF0001), n=100))
     assert "WindowGroupLimit" in p

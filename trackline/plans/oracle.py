@@ -503,6 +503,7 @@ FROM clean"""))
 oracle("sink_metrics", with_(MET, f"SELECT {METRIC_SELECT}, (SELECT max(base_datetime) FROM clean) AS last_updated"
                                   " FROM metrics"))
 oracle("staging_roundtrip", ORACLE["vessel_metrics"])
+oracle("bucketed_metrics", ORACLE["vessel_metrics"])
 oracle("report_json", ORACLE["comprehensive_report"])
 oracle("pipeline_end_to_end", ORACLE["comprehensive_report"])
 oracle("incremental_ingest", with_([RAW, CLEAN], f"SELECT {READ_BACK_SEL} FROM clean"))

@@ -6,6 +6,7 @@ Every query reads the driver's tables (through the ``events`` adapter, or
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -463,6 +464,14 @@ def q_sink_positions(spark, sf):
     return rounded(back.select(*READ_BACK, "ingest_seq", "traffic_date", "created_at"))
 
 
+@query("bucketed_metrics")
+def q_bucketed_metrics(spark, sf):
+    """Vessel metrics from a table in buckets by vessel: no exchange between the files and the result."""
+    table = f"positions_{uuid.uuid4().hex[:12]}"
+    sinks.sink_bucketed(cleaned(spark, sf), table, scratch_path(spark, table), buckets=16)
+    return rounded(tracks.vessel_metrics(spark.table(table)))
+
+
 @query("sink_metrics")
 def q_sink_metrics(spark, sf):
     c = cleaned(spark, sf)
