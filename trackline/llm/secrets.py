@@ -24,6 +24,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trackline.session import scratch_path
+
 from .common import doc_text, write_shared
 
 CANDIDATE = r"[A-Za-z0-9+/_\-]{16,}={0,2}"
@@ -247,7 +249,11 @@ def train(findings: DataFrame, dictionary: DataFrame, pairs: DataFrame, trees: i
     if rows.select("label").distinct().count() < 2:
         return None
     ready = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=7, featureSubsetStrategy="sqrt").fit(ready)
+    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=7, featureSubsetStrategy="sqrt").fit(ready)
+    # written and read again: a fitted model holds its training session, which cannot go to tasks once an Observation was used in it
+    path = scratch_path(findings.sparkSession, "llm-secret-forest")
+    forest.save(path)
+    return RandomForestClassificationModel.load(path)
 
 
 def judge(found: DataFrame, model: RandomForestClassificationModel | None, dictionary: DataFrame, pairs: DataFrame) -> DataFrame:
