@@ -80,6 +80,25 @@ def test_long_legs_against_bisection(spark):
         assert nm * 1852 == pytest.approx(_by_bisection(*p), abs=1e-3), p
 
 
+def test_settled_search_takes_no_more_steps(spark, monkeypatch):
+    """Fifty times the steps allowed give the same lengths in hardly more time."""
+    import random
+    import time
+
+    from trackline.functions import geo
+    draw = random.Random(6)
+    pairs = [(lat, lon, -lat + draw.uniform(-1, 1), lon + 180 + draw.uniform(-1, 1)) for lat, lon in (
+        (draw.uniform(-60, 60), draw.uniform(-170, -1)) for _ in range(600))]
+    _dist(spark, pairs)
+    begun = time.perf_counter()
+    few = _dist(spark, pairs)
+    middle = time.perf_counter()
+    monkeypatch.setattr(geo, "AZIMUTH_STEPS", 50 * geo.AZIMUTH_STEPS)
+    many = _dist(spark, pairs)
+    assert time.perf_counter() - middle < 2 * (middle - begun) + 3
+    assert many == pytest.approx(few, abs=1e-6)
+
+
 def test_haversine_and_sql_function(spark):
     register_sql_functions(spark)
     v = spark.sql("SELECT calculate_distance_nm(0.0, 0.0, 1.0, 0.0) AS d").collect()[0]["d"]

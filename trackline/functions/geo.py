@@ -32,8 +32,10 @@ VINCENTY_ITERATIONS = 4
 # stage did not converge (nearly antipodal points); the second solver takes it.
 VINCENTY_TOLERANCE = 1e-10
 FAR_ARC = 2.8  # beyond this angle, in radians, the second solver is asked without waiting for the first
-AZIMUTH_STEPS = 60  # at most some ten are Newton's; a bracket halves at worst
-QUADRATURE = 12  # Gauss-Legendre points for integrands that are smooth and all but constant
+AZIMUTH_STEPS = 60  # at most: some ten of Newton's end most searches; a bracket halves at worst
+# Integrals are series by powers of u = k2 sin^2 < 0.0068; what is left out is below a double's last digit for the
+# length (in radii) and the longitude (times f), and 1e-7 for the slope, which only directs steps.
+LENGTH_ORDER, LONGITUDE_ORDER, SLOPE_ORDER = 6, 4, 3
 
 
 def _d(x: float) -> str:
@@ -131,9 +133,44 @@ def vincenty_stages(lat1: str, lon1: str, lat2: str, lon2: str, out: str,
     return stages
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is worked out once."""
-    return F.transform(F.array(value), body)[0]
+def _let(name: str, fields: dict[str, str], body: str) -> str:
+    """SQL of ``body`` with a struct ``name`` of values that are worked out once."""
+    return f"transform(array(struct({', '.join(f'{sql} AS {c}' for c, sql in fields.items())})), {name} -> {body})[0]"
+
+
+def _power(power: float, order: int) -> np.ndarray:
+    """Coefficients by powers of u of (1 + u) to a power."""
+    return np.cumprod([1.0, *((power - j) / (j + 1) for j in range(order))])
+
+
+def _inverse(c: np.ndarray) -> np.ndarray:
+    """Coefficients of one over the series with these coefficients."""
+    out = np.zeros(len(c))
+    out[0] = 1 / c[0]
+    for k in range(1, len(c)):
+        out[k] = -np.dot(c[1:k + 1], out[k - 1::-1][:k]) / c[0]
+    return out
+
+
+def _horner(coefficients: list[str], x: str) -> str:
+    return reduce(lambda total, c: f"({c} + {x} * {total})", reversed(coefficients))
+
+
+def _weights(series: np.ndarray, k2: str) -> dict[str, str]:
+    """Weights w of the integral of sum(a[j] * (k2 sin^2)^j): w0 times the arc, less what :func:`_end` gives at its ends.
+
+    From S[j] = ((2j - 1) S[j-1] - sin^(2j-1) cos) / 2j for the integral S[j] of sin^2j; each w is a polynomial in k2.
+    """
+    w = [[float(series[-1])]]
+    for j in range(len(series) - 1, 0, -1):
+        w.insert(0, [float(series[j - 1]), *(c * (2 * j - 1) / (2 * j) for c in w[0])])
+    return {f"w{j}": _horner([f"({_d(c / (2 * j) if j else c)})" for c in own], k2) for j, own in enumerate(w)}
+
+
+def _integral(series: np.ndarray, v: str) -> str:
+    """Over the arc ``v``, of a series by powers of k2 sin^2; e is k2 sin cos at an end of it and u is k2 sin^2."""
+    end = lambda i: f"{v}.e{i} * " + _horner([f"w.w{j}" for j in range(1, len(series))], f"{v}.u{i}")
+    return _let("w", _weights(series, f"{v}.k2"), f"(w.w0 * {v}.arc - {end(2)} + {end(1)})")
 
 
 def antipodal_nm(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
@@ -141,71 +178,50 @@ def antipodal_nm(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
 
     The points are put so that the first is the southern one, at least as far from the equator as the other;
     the longitude a geodesic reaches at the other's latitude then grows with its azimuth from 0 to 180 degrees.
+    A search that has settled takes no more steps.
     """
     a, f = WGS84_A, WGS84_F
     b, second = (1 - f) * a, (2 - f) * f / (1 - f) ** 2  # second eccentricity, squared
-    nodes, weights = np.polynomial.legendre.leggauss(QUADRATURE)
-    points = F.array(*(F.struct(F.lit(float(x)).alias("x"), F.lit(float(w)).alias("w")) for x, w in zip(nodes, weights)))
-    u1, u2 = (F.atan(F.lit(1 - f) * F.tan(F.radians(c))) for c in (lat1, lat2))
-    far, near = F.when(F.abs(u1) >= F.abs(u2), u1).otherwise(u2), F.when(F.abs(u1) >= F.abs(u2), u2).otherwise(u1)
-    side = F.when(far > 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-    apart = F.radians(F.abs(F.pmod(F.col(lon2) - F.col(lon1) + 180, F.lit(360.0)) - 180))
+    # with u = k2 sin^2: length by sqrt(1 + u), longitude by (2 - f) / (1 + (1 - f) sqrt(1 + u)), slope by u / sqrt(1 + u)
+    root = _power(0.5, LENGTH_ORDER)
+    longitude = (2 - f) * _inverse(np.concatenate([[2 - f], (1 - f) * root[1:]]))[:LONGITUDE_ORDER + 1]
+    reduction = np.concatenate([[0.0], _power(-0.5, SLOPE_ORDER - 1)])
+
+    def on_arc(azimuth: str, body: str) -> str:
+        """``body`` of the arc ``v`` from the first point ``p`` at an azimuth to the latitude of the other."""
+        sphere = {"s0": "h.sa * p.c1", "y1": "h.ca * p.c1", "y2": "sqrt(greatest(h.ca * p.c1 * (h.ca * p.c1) + (p.c2 * p.c2 - p.c1 * p.c1), 0D))",
+                  "k2": f"{_d(second)} * (h.ca * h.ca + h.sa * h.sa * p.s1 * p.s1)"}
+        arcs = {"s0": "h.s0", "y2": "h.y2", "k2": "h.k2", "g1": "atan2(p.s1, h.y1)", "g2": "atan2(p.s2, h.y2)",
+                "w": "atan2(h.s0 * p.s2, h.y2) - atan2(h.s0 * p.s1, h.y1)"}
+        ends = {"s0": "h.s0", "y2": "h.y2", "k2": "h.k2", "w": "h.w", "arc": "h.g2 - h.g1",
+                "s1": "sin(h.g1)", "c1": "cos(h.g1)", "s2": "sin(h.g2)", "c2": "cos(h.g2)"}
+        squares = {**{c: f"h.{c}" for c in ends}, **{f"e{i}": f"h.k2 * h.s{i} * h.c{i}" for i in (1, 2)}, **{f"u{i}": f"h.k2 * h.s{i} * h.s{i}" for i in (1, 2)}}
+        return _let("h", {"sa": f"sin({azimuth})", "ca": f"cos({azimuth})"},
+                    _let("h", sphere, _let("h", arcs, _let("h", ends, _let("v", squares, body)))))
+
+    # off: longitude beyond the wanted one; slope: of it by azimuth
+    reduced = f"(sqrt(1 + v.u2) * v.c1 * v.s2 - sqrt(1 + v.u1) * v.s1 * v.c2 - v.c1 * v.c2 * {_integral(reduction, 'v')})"
+    reached = {"off": f"v.w - {_d(f)} * v.s0 * {_integral(longitude, 'v')} - p.lam", "slope": f"CASE WHEN v.y2 > 0 THEN {_d(b / a)} * {reduced} / v.y2 END"}
+    newton = {"low": "if(e.off > 0, t.low, t.x)", "high": "if(e.off > 0, t.x, t.high)", "done": "abs(e.off) < 1e-14D",
+              "to": "CASE WHEN e.slope > 0 THEN t.x - e.off / e.slope END"}
+    sure = "n.to >= n.low AND n.to <= n.high AND (n.done OR n.to <> t.x AND abs(n.to - t.x) <= t.moved / 2)"
+    # settled without a step to trust: the azimuth stays where it is
+    chosen = {"low": "n.low", "high": "n.high", "done": "n.done", "to": f"CASE WHEN {sure} THEN n.to WHEN n.done THEN t.x ELSE (n.low + n.high) / 2 END"}
+    step = on_arc("t.x", _let("e", reached, _let("n", newton, _let(
+        "n", chosen, "struct(n.low AS low, n.high AS high, n.to AS x, abs(n.to - t.x) AS moved, n.done AS done)"))))
+    first = f"struct(0D AS low, {_d(math.pi)} AS high, {_d(math.pi / 2)} AS x, {_d(math.pi)} AS moved, false AS done)"
+    azimuth = f"aggregate(sequence(1, {AZIMUTH_STEPS}), {first}, (t, i) -> if(t.done, t, {step}), t -> t.x)"
+    metres = _let("z", {"x": azimuth}, on_arc("z.x", f"({_d(b)} * {_integral(root, 'v')})"))
+
     # a first point on the equator counts as some micrometres south of it
-    start = _let(F.struct(F.least(far * side, F.lit(-1e-12)).alias("b1"), (near * side).alias("b2"), apart.alias("lam")), lambda v: F.struct(
-        F.sin(v["b1"]).alias("s1"), F.cos(v["b1"]).alias("c1"), F.sin(v["b2"]).alias("s2"), F.cos(v["b2"]).alias("c2"), v["lam"].alias("lam")))
-
-    def reached(azimuth: Column, p: Column) -> Column:
-        """off (longitude beyond the wanted one), slope of it by azimuth, and length in metres."""
-        def on_sphere(v):
-            y1 = v["ca"] * p["c1"]
-            return F.struct((v["sa"] * p["c1"]).alias("s0"), y1.alias("y1"),
-                            F.sqrt(F.greatest(y1 * y1 + (p["c2"] * p["c2"] - p["c1"] * p["c1"]), F.lit(0.0))).alias("y2"),
-                            (F.lit(second) * (v["ca"] * v["ca"] + v["sa"] * v["sa"] * p["s1"] * p["s1"])).alias("k2"))
-
-        def arcs(v):
-            return F.struct(v["s0"].alias("s0"), v["y2"].alias("y2"), v["k2"].alias("k2"), F.atan2(p["s1"], v["y1"]).alias("g1"),
-                            F.atan2(p["s2"], v["y2"]).alias("g2"),
-                            (F.atan2(v["s0"] * p["s2"], v["y2"]) - F.atan2(v["s0"] * p["s1"], v["y1"])).alias("w"))
-
-        def integrals(v):
-            half, mid = (v["g2"] - v["g1"]) / 2, (v["g2"] + v["g1"]) / 2
-
-            def add(t, q):
-                sine = F.sin(mid + half * q["x"])
-                return _let(F.struct((sine * sine).alias("ss"), F.sqrt(1 + v["k2"] * sine * sine).alias("r")), lambda e: F.struct(
-                    (t["lon"] + q["w"] * F.lit(2 - f) / (1 + F.lit(1 - f) * e["r"])).alias("lon"), (t["len"] + q["w"] * e["r"]).alias("len"),
-                    (t["red"] + q["w"] * v["k2"] * e["ss"] / e["r"]).alias("red")))
-
-            zero = F.struct(*(F.lit(0.0).alias(c) for c in ("lon", "len", "red")))
-            return F.struct(v.alias("v"), half.alias("half"), F.aggregate(points, zero, add).alias("i"))
-
-        def outcome(z):
-            v, half = z["v"], z["half"]
-            r1, r2 = (F.sqrt(1 + v["k2"] * F.sin(v[g]) * F.sin(v[g])) for g in ("g1", "g2"))
-            reduced = (r2 * F.cos(v["g1"]) * F.sin(v["g2"]) - r1 * F.sin(v["g1"]) * F.cos(v["g2"])
-                       - F.cos(v["g1"]) * F.cos(v["g2"]) * half * z["i"]["red"])
-            return F.struct((v["w"] - F.lit(f) * v["s0"] * half * z["i"]["lon"] - p["lam"]).alias("off"),
-                            F.when(v["y2"] > 0, F.lit(b / a) * reduced / v["y2"]).alias("slope"), (F.lit(b) * half * z["i"]["len"]).alias("len"))
-
-        v = F.struct(F.sin(azimuth).alias("sa"), F.cos(azimuth).alias("ca"))
-        return _let(_let(_let(_let(v, on_sphere), arcs), integrals), outcome)
-
-    def solved(p: Column) -> Column:
-        def step(t, _):
-            def narrowed(e):
-                low = F.when(e["off"] > 0, t["low"]).otherwise(t["x"])
-                high = F.when(e["off"] > 0, t["x"]).otherwise(t["high"])
-                to = t["x"] - e["off"] / e["slope"]
-                done = F.abs(e["off"]) < F.lit(1e-14)
-                sure = (e["slope"] > 0) & (to >= low) & (to <= high) & (done | (to != t["x"]) & (F.abs(to - t["x"]) <= t["moved"] / 2))
-                to = F.when(sure, to).otherwise((low + high) / 2)
-                return F.struct(low.alias("low"), high.alias("high"), to.alias("x"), F.abs(to - t["x"]).alias("moved"))
-            return _let(reached(t["x"], p), narrowed)
-
-        first = F.struct(F.lit(0.0).alias("low"), F.lit(math.pi).alias("high"), F.lit(math.pi / 2).alias("x"), F.lit(math.pi).alias("moved"))
-        return reached(F.aggregate(F.sequence(F.lit(1), F.lit(AZIMUTH_STEPS)), first, step, lambda t: t["x"]), p)["len"] / F.lit(METERS_PER_NM)
-
-    return _let(start, solved)
+    swapped = "abs(p.u1) < abs(p.u2)"
+    far, near = f"if({swapped}, p.u2, p.u1)", f"if({swapped}, p.u1, p.u2)"
+    reduced_latitudes = {f"u{i}": f"atan({_d(1 - f)} * tan(radians({c})))" for i, c in ((1, lat1), (2, lat2))}
+    reduced_latitudes["lam"] = f"radians(abs(pmod({lon2} - {lon1} + 180, 360D) - 180))"
+    ordered = {"b1": "least(-abs(p.far), -1e-12D)", "b2": "if(p.far > 0, -p.near, p.near)", "lam": "p.lam"}
+    points = {"s1": "sin(p.b1)", "c1": "cos(p.b1)", "s2": "sin(p.b2)", "c2": "cos(p.b2)", "lam": "p.lam"}
+    return F.expr(_let("p", reduced_latitudes, _let("p", {"far": far, "near": near, "lam": "p.lam"}, _let("p", ordered, _let(
+        "p", points, f"{metres} / {_d(METERS_PER_NM)}")))))
 
 
 def stage_columns(stages: list[list[tuple[str, str]]]) -> list[str]:
