@@ -83,3 +83,27 @@ def test_counts_beyond_long_arithmetic(spark):
     from pyspark.sql import functions as F
     got = spark.sql("select 99999999999 as n, 300000000000 as t, 7 as v").select(divergence._share(F.col("n"), F.col("t"), F.col("v"))).first()[0]
     assert got == 1 + 10 ** 9 * 10 ** 11 // (3 * 10 ** 11 + 7)
+
+
+def test_terms_of_many_documents_are_put_together(spark):
+    """What the models get follows the distinct terms of a group, not the texts."""
+    docs = spark.createDataFrame([("alpha beta BETA", "en", "a")] * 400 + [("beta gamma", "en", None)] * 2, "text string, lang string, source string")
+    rows = divergence.documents_terms(docs.coalesce(1), 1).collect()
+    got = sorted((r["part"], r["group"]["source"] or "", r["weight"], sorted(t.split("\0")[0] for t in r["terms"])) for r in rows)
+    assert got == [("counted", "", 2, ["beta", "gamma"]), ("counted", "a", 400, ["alpha"]), ("counted", "a", 800, ["beta"]),
+                   ("seen", "", 1, ["alpha", "beta", "gamma"]), ("seen", "", 2, ["alpha", "beta", "gamma"]), ("seen", "", 3, ["alpha", "beta"])]
+
+
+def test_plans_do_not_grow_with_slices(spark):
+    rows = rows_for(9)
+    scans = [[len(t._jdf.queryExecution().optimizedPlan().collectLeaves().toList().toString().split("Relation")) for t in
+              divergence.group_counts(frame(spark, rows), slices=k)] for k in (1, 4)]
+    assert scans[0] == scans[1]
+
+
+def test_tallies_passed_on_early(spark, monkeypatch):
+    """Terms of a language that no tally holds often enough by itself are kept all the same."""
+    monkeypatch.setattr(divergence, "BATCH_BYTES", 200)
+    monkeypatch.setattr(divergence, "TALLY_ROWS", 10)
+    rows = rows_for(11)
+    assert result(divergence.divergences(frame(spark, rows).coalesce(1), slices=2)) == brute(rows)
