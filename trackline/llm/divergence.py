@@ -204,8 +204,10 @@ def group_counts(docs: DataFrame, min_docs: int = MIN_DOCS, slices: int = 1) ->
         model = CountVectorizer(inputCol="terms", outputCol="v", minDF=float(min_docs), vocabSize=2 ** 31 - 1).fit(seen.select("terms"))
         path = scratch_path(spark, "llm-divergence-vectors")
         model.transform(counted.where(F.col("group").isNotNull())).select("group", "weight", "v").write.parquet(path)
-        names = spark.createDataFrame(pa.table({"name": pa.array(model.vocabulary, pa.string()),
-                                                "i": pa.array(range(len(model.vocabulary)), pa.int64())}))
+        # the vocabulary as the model stores it, so that this process holds none of it
+        stored = scratch_path(spark, "llm-divergence-model")
+        model.save(stored)
+        names = spark.read.schema("vocabulary array<string>").parquet(os.path.join(stored, "data")).select(F.posexplode("vocabulary").alias("i", "name"))
         term_id = (F.col("i").cast("long") * slices + k).alias("term_id")
         names.where(F.col("name") != "\0").select(
             term_id, F.split_part("name", F.lit("\0"), F.lit(1)).alias("term"), F.split_part("name", F.lit("\0"), F.lit(2)).alias("lang")).write.mode("append").parquet(vocabulary)
