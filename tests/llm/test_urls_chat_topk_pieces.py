@@ -282,3 +282,22 @@ def test_pieces_rows_and_unknown_ids(spark):
     assert sentencepieces.encode(docs.limit(0), pieces).count() == 0
     odd = spark.createDataFrame([(1, [-5, 10 ** 6, None]), (2, None), (3, [])], "doc_id long, ids array<int>")
     assert {r["doc_id"]: r["text"] for r in sentencepieces.decode(odd, pieces).collect()} == {1: "", 2: "", 3: ""}
+
+
+def test_pieces_chunks_and_no_exchange(spark, monkeypatch):
+    """Whatever texts a task takes together and edges it folds together, ids are the same, and no text or id is shuffled."""
+    texts = ["the cat  sat", None, "", "日本 the x1", "▁▁ \n\t", "thecatsat" * 9, "the cat  sat"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(2)
+    pieces = sentencepieces.Pieces.load(vocabulary("piece_bpe_32k.model"))
+    want = {i: viterbi(t or "", pieces) for i, t in enumerate(texts)}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "30")
+    try:
+        for chunk, rows, folded, head in ((1, 2, (4, 2 ** 25), 5), (40, 3, (1, 2 ** 25), 0), (10 ** 6, 10 ** 4, (10 ** 6, 100), 10 ** 4)):
+            for name, value in (("CHUNK", chunk), ("UNIT_ROWS", rows), ("FOLDED", folded), ("HEAD", head)):
+                monkeypatch.setattr(sentencepieces, name, value)
+            encoded = sentencepieces.encode(docs, pieces)
+            assert {r["doc_id"]: r["ids"] for r in encoded.collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    plan = sentencepieces.encode(spark.read.parquet(f"{SF}/documents.parquet"), pieces)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hash" not in plan and "SortMergeJoin" not in plan

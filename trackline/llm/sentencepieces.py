@@ -2,8 +2,8 @@
 
 Texts are cut into units at places no piece of the vocabulary spans.  For every
 distinct unit its substrings of up to the longest piece's length are exploded
-and equi-joined to the piece table; the edges are grouped by unit as they pass,
-and the Viterbi path of the largest score is folded over them with ``aggregate``.  A
+and equi-joined to the piece table; the Viterbi path of the largest score is
+folded over the edges, place by place for many units at once, as they pass.  A
 character without a piece is an edge of its UTF-8 byte pieces, scored as the
 library scores an unknown one.
 
@@ -14,8 +14,8 @@ a model of the BPE kind, for which the library merges pairs instead: its ids
 can differ, while both decode to the same text.
 
 Units that are frequent in a bounded sample of documents (``HEAD``) are encoded
-first and sent to every task; all others meet their paths in a shuffle join and
-are put back in their texts' places.  The choice moves work only, never a result.
+first and sent to every task; all others are encoded once for each chunk of a
+task's texts, in front of the texts.  The choice moves work only, never a result.
 
 Decoding looks up the bytes of every id in a small array, row by row.
 
@@ -36,7 +36,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 from .common import doc_text, slices_by_bytes, write_shared
 
@@ -45,7 +45,9 @@ UNKNOWN_PENALTY = 10.0
 HEAD = 200_000  # rows sent to every task, of 64 characters at most
 DECODED_IDS = 4_000_000  # decoded at a time
 HEAD_ROWS = 8_000  # documents of the sample that names the head
-STRETCH, BLOCK = 1_024, 512  # characters of a unit cut out at once, places folded at once
+CHUNK, UNIT_ROWS = 4_000_000, 10_000  # units of the texts that a task takes together (one batch at least), rows of units at once
+STRETCH = 1_024  # characters of a unit cut out at once
+FOLDED = 200_000, 2 ** 25  # edges or bytes folded together (one unit at least)
 
 
 @dataclass(frozen=True)
@@ -82,95 +84,119 @@ class Pieces:
         return spark.createDataFrame(self.table, "piece string, id int, score double")
 
 
-def units(docs: DataFrame, pieces: Pieces) -> DataFrame:
-    """doc_id, row (unique to a row), pos and unit; a text without units gives one row with null pos."""
-    text = F.when(doc_text() == "", "").otherwise(F.concat(F.lit(SPACE), F.translate(doc_text(), " ", SPACE)))
+def _cut(docs: DataFrame, pieces: Pieces) -> DataFrame:
+    """doc_id, row (unique to a row) and units, the units of the text in its order."""
+    text = F.when(doc_text() == "", "").otherwise(F.concat(F.lit(SPACE), F.replace(doc_text(), F.lit(" "), F.lit(SPACE))))
     alone = pieces.alone.replace("\n", "\\n").replace("\t", "\\t")
     kinds = [r"\p{L}", rf"[^{SPACE}\p{{L}}{alone}]"] if pieces.letters_apart else [f"[^{SPACE}{alone}]"]
     pattern = "|".join([*(f"{SPACE}*{k}+" for k in kinds), f"{SPACE}+", *([f"[{alone}]"] if alone else [])])
-    # numbered before the explode, which would otherwise come first
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"),
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"),
                        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("units"))
-    return rows.select("doc_id", "row", F.posexplode_outer("units").alias("pos", "unit"))
 
 
-def _lattices(edges: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per unit from its edges, which follow each other: unit and, for every place, the edges that end there."""
-    held: list[pa.RecordBatch] = []  # batches of a unit that may go on in the next one
-    before = -1
+def units(docs: DataFrame, pieces: Pieces) -> DataFrame:
+    """doc_id, row (unique to a row), pos and unit; a text without units gives one row with null pos."""
+    # numbered before the explode, which would otherwise come first
+    return _cut(docs, pieces).select("doc_id", "row", F.posexplode_outer("units").alias("pos", "unit"))
+
 
-    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        nonlocal before
-        uid, end = (batch.column(c).to_numpy() for c in ("uid", "end"))
-        new_unit = np.diff(uid, prepend=before) != 0
-        if before > uid[0] or (np.diff(uid) < 0).any():
-            raise ValueError("edges of a unit do not follow each other")
-        before = int(uid[-1])
-        new_place = np.flatnonzero(new_unit | (np.diff(end, prepend=-1) != 0))
-        firsts = np.flatnonzero(new_unit)
-        fields = pa.StructArray.from_arrays([batch.column(c) for c in ("n", "id", "score")], ["n", "id", "score"])
-        places = pa.ListArray.from_arrays(pa.array([*new_place, len(uid)], pa.int32()), fields)
-        units = pa.ListArray.from_arrays(pa.array([*np.searchsorted(new_place, firsts), len(new_place)], pa.int32()), places)
-        return pa.RecordBatch.from_arrays([batch.column("unit").take(pa.array(firsts)), units], ["unit", "places"])
+def _folded(batch: pa.RecordBatch, along: list[str], first_byte: int) -> pa.RecordBatch:
+    """unit, the columns ``along`` and ids (null for a row without a unit), one row per unit from whole units' edges.
 
+    The fold over the places, of all units at once: the best path into a place has the largest sum of scores, of equal ones
+    the one with the longest last edge.
+    """
+    uid, n, id_, score = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("uid", "n", "id", "score"))
+    end = batch.column("end").fill_null(0).to_numpy()
+    new = np.diff(uid, prepend=uid[0] - 1) != 0
+    firsts, unit = np.flatnonzero(new), np.cumsum(new) - 1
+    size = end[np.append(firsts[1:], len(uid)) - 1]
+    base = np.cumsum(size + 1) - size - 1  # of a unit's places, from its start on
+    best, chosen = np.zeros(int((size + 1).sum())), np.zeros(int((size + 1).sum()), np.int64)
+    order = np.argsort(end, kind="stable")
+    bounds = np.searchsorted(end[order], np.arange(1, int(size.max()) + 2))
+    for place in range(1, int(size.max()) + 1):
+        edge = order[bounds[place - 1]:bounds[place]]
+        of, length = unit[edge], n[edge].astype(np.int64)
+        total = best[base[of] + place - length] + score[edge]
+        group = np.flatnonzero(np.diff(of, prepend=-1))
+        top = np.maximum.reduceat(total, group)
+        is_top = total == np.repeat(top, np.diff(np.append(group, len(edge))))
+        longest = np.minimum.reduceat(np.where(is_top, np.arange(len(edge)), len(edge)), group)  # edges come longest first
+        best[base[of[group]] + place], chosen[base[of[group]] + place] = top, edge[longest]
+    on_path, left, at = np.zeros(len(uid), bool), np.flatnonzero(size), size.astype(np.int64)
+    while len(left):
+        edge = chosen[base[left] + at[left]]
+        on_path[edge] = True
+        at[left] -= n[edge].astype(np.int64)
+        left = left[at[left] > 0]
+    path = np.flatnonzero(on_path)
+    of, ids = unit[path], id_[path].astype(np.int32)
+    words, unknown = batch.column("unit").take(pa.array(firsts)), np.flatnonzero(ids < 0)
+    count = np.ones(len(path), np.int64)
+    if len(unknown):
+        texts = {u: words[int(u)].as_py() for u in np.unique(of[unknown])}
+        spelled = [texts[u][e - 1].encode() for u, e in zip(of[unknown].tolist(), end[path[unknown]].tolist())]
+        count[unknown] = [len(x) for x in spelled]
+        octet = np.repeat(ids < 0, count)
+        ids = np.repeat(ids, count)
+        ids[octet] = np.frombuffer(b"".join(spelled), np.uint8).astype(np.int32) + first_byte
+    ends = np.concatenate([[0], np.cumsum(np.bincount(of, count, len(firsts)).astype(np.int64))])
+    paths = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()), mask=pa.array(size == 0))
+    return pa.RecordBatch.from_arrays([words, *(batch.column(c).take(pa.array(firsts)) for c in along), paths], ["unit", *along, "ids"])
+
+
+def _paths(edges: Iterator[pa.RecordBatch], along: list[str], first_byte: int) -> Iterator[pa.RecordBatch]:
+    """``_folded`` over edges that follow each other, unit by unit and place by place."""
+    held: list[pa.RecordBatch] = []  # batches of edges; the last unit may go on in the next one
+    rows, enough, before = 0, FOLDED[0], -1
     for batch in edges:
         if not batch.num_rows:
             continue
         uid = batch.column("uid").to_numpy()
-        last = int(np.searchsorted(uid, uid[-1]))  # where the last unit of the batch starts
-        if last or (held and held[-1].column("uid")[-1].as_py() != int(uid[-1])):
-            yield rows(pa.concat_batches([*held, batch.slice(0, last)]))
-            held = []
-        held.append(batch.slice(last))
+        if uid[0] < before or (np.diff(uid) < 0).any():
+            raise ValueError("edges of a unit do not follow each other")
+        before = int(uid[-1])
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= enough or sum(b.nbytes for b in held) >= FOLDED[1]:
+            whole = pa.concat_batches(held)
+            last = int(np.searchsorted(whole.column("uid").to_numpy(), before))  # where the last unit starts
+            if last:
+                yield _folded(whole.slice(0, last), along, first_byte)
+            held, rows = [whole.slice(last)], whole.num_rows - last
+            enough = max(FOLDED[0], 2 * rows)  # a long unit is not put together anew with every batch
     if held:
-        yield rows(pa.concat_batches(held))
+        yield _folded(pa.concat_batches(held), along, first_byte)
 
 
 def encode_units(distinct: DataFrame, pieces: Pieces) -> DataFrame:
-    """unit and ids, the best path of each distinct unit.
+    """unit and ids, the best path of each distinct unit, and the other columns of ``distinct``.
 
-    The edges of a unit come out of the explode one after the other and are grouped as they pass, without
-    a shuffle or sort of all edges, which are thirty times as many as the units.
+    The edges of a unit come out of the explode one after the other and are folded as they pass, without
+    a shuffle or sort of all edges, which are thirty times as many as the units.  The rows keep their order;
+    those without a unit (null) pass with null ids.
     """
+    along = [c for c in distinct.columns if c != "unit"]
     table = F.broadcast(pieces.frame(distinct.sparkSession))  # as many rows as the vocabulary has
     # a long unit in stretches, each with what a piece can reach back into, so that no substring is looked for far from the start
-    numbered = distinct.select("unit", F.monotonically_increasing_id().alias("uid"))
-    stretch = numbered.select("unit", "uid", F.explode(
+    numbered = distinct.select("unit", *along, F.monotonically_increasing_id().alias("uid"))
+    stretch = numbered.select("unit", *along, "uid", F.explode_outer(
         F.expr(f"sequence(0, cast((length(unit) - 1) div {STRETCH} as int))")).alias("k")).select(
-        "uid", F.when(F.col("k") == 0, F.col("unit")).alias("unit"), F.length("unit").alias("size"), "k",
+        "uid", *along, F.when(F.col("k") == 0, F.col("unit")).alias("unit"), F.length("unit").alias("size"), "k",
         F.greatest(F.col("k") * STRETCH - (pieces.longest - 1), F.lit(0)).alias("from"), F.expr(
             f"substring(unit, greatest(k * {STRETCH} - {pieces.longest - 1}, 0) + 1, {STRETCH + pieces.longest})").alias("part"))
-    ends = stretch.select("*", F.explode(F.sequence(F.col("k") * STRETCH + 1, F.least("size", (F.col("k") + 1) * STRETCH))).alias("end"))
-    spans = ends.select("*", F.explode(F.sequence(F.least(F.lit(pieces.longest), "end"), F.lit(1), F.lit(-1))).alias("n"))
+    ends = stretch.select("*", F.explode_outer(F.sequence(F.col("k") * STRETCH + 1, F.least("size", (F.col("k") + 1) * STRETCH))).alias("end"))
+    spans = ends.select("*", F.explode_outer(F.when(
+        F.col("end").isNotNull(), F.sequence(F.least(F.lit(pieces.longest), "end"), F.lit(1), F.lit(-1)))).alias("n"))
     edges = spans.withColumn("piece", F.substring("part", F.col("end") - F.col("from") - F.col("n") + 1, F.col("n"))).join(
-        table, "piece", "left").where("id is not null or n = 1").select(
-        "uid", F.when(F.col("end") == 1, F.col("unit")).alias("unit"), "end", "n", F.coalesce("id", F.lit(-1)).alias("id"),
+        table, "piece", "left").where("id is not null or n = 1 or n is null").select(
+        "uid", *along, F.when(F.col("end") == 1, F.col("unit")).alias("unit"), "end", "n", F.coalesce("id", F.lit(-1)).alias("id"),
         F.coalesce("score", F.lit(pieces.unknown_score)).alias("score"))
-    lattice = edges.mapInArrow(_lattices, "unit string, places array<array<struct<n:int,id:int,score:double>>>")
-    # best path into every place: its score, and the length and id of its last edge; of equal ones that with the longest edge.
-    # A fold within blocks of places, on the last scores alone, and one over the blocks, since a fold copies its state at every step
-    place = "struct<score:double,n:int,id:int>"
-    best = f"""aggregate(sequence(0, cast((size(places) - 1) div {BLOCK} as int)),
-        named_struct('back', array(named_struct('score', cast(0 as double), 'n', 0, 'id', 0)), 'done', cast(array() as array<array<{place}>>)),
-        (s, k) -> transform(array(aggregate(slice(places, k * {BLOCK} + 1, {BLOCK}), s.back, (a, g) -> concat(a, array(array_max(
-                transform(g, e -> named_struct('score', a[size(a) - e.n].score + e.score, 'n', e.n, 'id', e.id))))))),
-            a -> named_struct('back', slice(a, greatest(size(a) - {pieces.longest - 1}, 1), {pieces.longest}),
-                              'done', concat(s.done, array(slice(a, size(s.back) + 1, {BLOCK})))))[0],
-        s -> flatten(s.done))"""
-    # from the last place back to the first, block by block as well
-    edge = "struct<at:int,id:int>"
-    walk = f"""aggregate(sequence((size(best) - 1) div {BLOCK}, 0, -1), named_struct('at', size(best), 'done', cast(array() as array<array<{edge}>>)),
-        (s, k) -> transform(array(aggregate(sequence(1, {BLOCK}), named_struct('at', s.at, 'last', cast(array() as array<{edge}>)),
-                (a, i) -> if(a.at > k * {BLOCK}, named_struct('at', a.at - best[a.at - 1].n,
-                                                              'last', concat(a.last, array(named_struct('at', a.at, 'id', best[a.at - 1].id)))), a))),
-            a -> named_struct('at', a.at, 'done', concat(s.done, array(a.last))))[0],
-        s -> reverse(flatten(s.done)))"""
-    letters = "if(exists(path, e -> e.id < 0), split(unit, ''), cast(array() as array<string>))"
-    octets = "hex(encode(letters[e.at - 1], 'UTF-8'))"
-    ids = f"""flatten(transform(path, e -> if(e.id >= 0, array(e.id), transform(sequence(1, length({octets}), 2),
-        i -> cast(conv(substr({octets}, i, 2), 16, 10) as int) + {pieces.first_byte}))))"""
-    return (lattice.select("unit", F.expr(best).alias("best")).select("unit", F.expr(walk).alias("path"))
-            .select("unit", "path", F.expr(letters).alias("letters")).select("unit", F.expr(ids).alias("ids")))
+    schema = StructType([*(StructField(f.name, f.dataType) for f in distinct.select("unit", *along).schema),
+                         StructField("ids", ArrayType(IntegerType()))])
+    first_byte = pieces.first_byte
+    return edges.mapInArrow(lambda batches: _paths(batches, along, first_byte), schema)
 
 
 def _head(docs: DataFrame, pieces: Pieces) -> DataFrame:
@@ -182,75 +208,99 @@ def _head(docs: DataFrame, pieces: Pieces) -> DataFrame:
     return write_shared(encode_units(common.repartition("unit"), pieces), "pieces-head")  # HEAD short rows at most
 
 
-def _texts(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per text from its units, which follow each other: its ids, with -1 for a unit without ids, and those units."""
-    held: list[pa.RecordBatch] = []  # batches of a text that may go on in the next one
-    before = -1
-
-    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        nonlocal before
-        row, pos = batch.column("row").to_numpy(), batch.column("pos").fill_null(0).to_numpy()
-        new = np.diff(row, prepend=before) != 0
-        if before >= row[0] or (np.diff(row) < 0).any() or (np.where(new, pos, np.diff(pos, prepend=0) - 1) != 0).any():
-            raise ValueError("units of a text do not follow each other")
-        before = int(row[-1])
-        ids, unit = batch.column("ids"), batch.column("unit")
-        rare = unit.is_valid().to_numpy(zero_copy_only=False)
-        size = np.where(rare, 1, pc.list_value_length(ids).fill_null(0).to_numpy())
-        flat = np.full(size.sum(), -1, np.int32)
-        flat[~np.repeat(rare, size)] = ids.flatten().to_numpy()
-        firsts = np.flatnonzero(new)
-        ends = lambda n: pa.array(np.concatenate([[0], np.cumsum(n)])[[*firsts, len(row)]], pa.int32())
-        first = pa.array(firsts)
-        return pa.RecordBatch.from_arrays(
-            [batch.column("row").take(first), batch.column("doc_id").take(first), pa.ListArray.from_arrays(ends(size), pa.array(flat)),
-             pa.ListArray.from_arrays(ends(rare), unit.drop_null())], ["row", "doc_id", "ids", "rare"])
+def _numbered(texts: Iterator[pa.RecordBatch], head: pa.Array) -> Iterator[pa.RecordBatch]:
+    """A chunk of texts at a time: first its distinct units that are not in ``head``, numbered by nth, then its texts as codes of
+    their units, which are places in ``head`` or, behind those, nth."""
+    def chunk(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = pa.concat_arrays([b.column("units").flatten() for b in batches]).dictionary_encode()
+        distinct = words.dictionary
+        code = pc.index_in(distinct, value_set=head).fill_null(-1).to_numpy().copy()
+        rare = np.flatnonzero(code < 0)
+        code[rare] = len(head) + np.arange(len(rare))
+        for start in range(0, len(rare), UNIT_ROWS):
+            nth = rare[start:start + UNIT_ROWS]
+            none = [pa.nulls(len(nth), t) for t in (pa.int64(), pa.int64(), pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([distinct.take(pa.array(nth)), pa.array(np.arange(start, start + len(nth)), pa.int32()), *none],
+                                             ["unit", "nth", "row", "doc_id", "codes"])
+        codes_of, before = code[words.indices.to_numpy()], 0
+        for batch in batches:
+            ends = np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column("units")).fill_null(0).to_numpy())])
+            codes = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(codes_of[before:before + ends[-1]], pa.int32()))
+            before += ends[-1]
+            none = [pa.nulls(batch.num_rows, t) for t in (pa.string(), pa.int32())]
+            yield pa.RecordBatch.from_arrays([*none, batch.column("row"), batch.column("doc_id"), codes], ["unit", "nth", "row", "doc_id", "codes"])
 
-    for batch in found:
-        if not batch.num_rows:
-            continue
-        row = batch.column("row").to_numpy()
-        last = int(np.searchsorted(row, row[-1]))  # where the last text of the batch starts
-        if last or (held and held[-1].column("row")[-1].as_py() != int(row[-1])):
-            yield rows(pa.concat_batches([*held, batch.slice(0, last)]))
-            held = []
-        held.append(batch.slice(last))
+    held, n = [], 0
+    for batch in texts:
+        held.append(batch)
+        n += len(batch.column("units").flatten())
+        if n >= CHUNK:
+            yield from chunk(held)
+            held, n = [], 0
     if held:
-        yield rows(pa.concat_batches(held))
+        yield from chunk(held)
 
 
-def _filled(texts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts with the ids of ``paths``, one path after the other, in the places of -1."""
-    for batch in texts:
-        ids, paths = batch.column("ids"), batch.column("paths")
-        flat, path = ids.flatten().to_numpy(), paths.flatten()
-        gap = flat == -1
-        if gap.sum() != len(path):
-            raise ValueError("a text has other units than paths")
-        size = np.ones(len(flat), np.int64)
-        size[gap] = pc.list_value_length(path).to_numpy()
-        whole, filled = np.empty(size.sum(), np.int32), np.repeat(gap, size)
-        whole[filled], whole[~filled] = path.flatten().to_numpy(), flat[~gap]
-        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy())])
-        ends = pa.array(np.concatenate([[0], np.cumsum(size)])[ends], pa.int32())
-        yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.ListArray.from_arrays(ends, pa.array(whole))],
-                                         ["row", "doc_id", "ids"])
+def _filled(found: Iterator[pa.RecordBatch], head: pa.Array) -> Iterator[pa.RecordBatch]:
+    """row, doc_id and ids of the texts: the ids of their codes, ``head``'s and those of the chunk's units in front of them."""
+    heads, head_size = head.flatten().to_numpy(), pc.list_value_length(head).to_numpy()
+    flat, size, start = heads, head_size, np.cumsum(head_size) - head_size
+    more: list[pa.Array] = []  # paths of the chunk's units, not yet put behind the head
+    n = 0
+    for batch in found:
+        nth = batch.column("nth")
+        texts = np.flatnonzero(nth.is_null().to_numpy(zero_copy_only=False))
+        of_unit = np.flatnonzero(nth.is_valid().to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:  # runs of units and of texts
+            unit = nth[at].is_valid
+            other = texts if unit else of_unit
+            k = int(np.searchsorted(other, at))
+            end = int(other[k]) if k < len(other) else batch.num_rows
+            part = batch.slice(at, end - at)
+            at = end
+            if unit:
+                place = part.column("nth").to_numpy()
+                new = int(np.argmin(place)) if (place == 0).any() else len(place)
+                for piece in (part.slice(0, new), part.slice(new)):
+                    if piece.num_rows:
+                        place = piece.column("nth").to_numpy()
+                        if place[0] == 0:
+                            more, n, size = [], 0, None
+                        if (place != n + np.arange(len(place))).any():
+                            raise ValueError("units of a chunk do not follow each other")
+                        n += len(place)
+                        more.append(piece.column("ids"))
+                        size = None
+                continue
+            if size is None:
+                size = np.concatenate([head_size, *(pc.list_value_length(m).to_numpy() for m in more)])
+                flat, start = np.concatenate([heads, *(m.flatten().to_numpy() for m in more)]), np.cumsum(size) - size
+            counts = pc.list_value_length(part.column("codes")).to_numpy()
+            for a, b in slices_by_bytes(counts.tolist(), DECODED_IDS):
+                some = part.slice(a, b - a)
+                code = some.column("codes").flatten().to_numpy()
+                if len(code) and code.max() >= len(size):
+                    raise ValueError("a text has other units than paths")
+                ends = np.cumsum(size[code])
+                to = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start[code] - ends + size[code], size[code])
+                of_row = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts[a:b])])]
+                ids = pa.ListArray.from_arrays(pa.array(of_row, pa.int32()), pa.array(flat[to], pa.int32()))
+                yield pa.RecordBatch.from_arrays([some.column("row"), some.column("doc_id"), ids], ["row", "doc_id", "ids"])
 
 
 def encode(docs: DataFrame, pieces: Pieces) -> DataFrame:
     """row (unique to a row), doc_id and ids of every text.
 
-    The units of a text come out of the explode one after the other and are put together as they pass; only
-    the ids of rare units are grouped by text and sorted.
+    A task takes a chunk of its texts at a time.  The chunk's distinct units that are not in the head go through the
+    lattice in front of its texts, which then take the ids of all their units; nothing is shuffled.
     """
-    looked_up = units(docs, pieces).join(F.broadcast(_head(docs, pieces)), "unit", "left").select(
-        "row", "doc_id", "pos", F.when(F.col("ids").isNull(), F.col("unit")).alias("unit"), "ids")
-    texts = write_shared(looked_up.mapInArrow(_texts, "row long, doc_id long, ids array<int>, rare array<string>"), "pieces-texts")
-    rest = texts.select("row", F.posexplode("rare").alias("nth", "unit"))
-    paths = write_shared(encode_units(rest.select("unit").distinct(), pieces), "pieces-tail")
-    of_row = rest.join(paths, "unit").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("nth", "ids"))).alias("p"))
-    of_row = of_row.select("row", F.transform("p", lambda x: x["ids"]).alias("paths"))
-    return texts.select("row", "doc_id", "ids").join(of_row, "row", "left").mapInArrow(_filled, "row long, doc_id long, ids array<int>")
+    head = _head(docs, pieces).toArrow()  # HEAD short rows at most
+    words, paths = (pa.chunked_array(head.column(c).chunks, t).combine_chunks() for c, t in (("unit", pa.string()), ("ids", pa.list_(pa.int32()))))
+    chunks = _cut(docs, pieces).mapInArrow(lambda batches: _numbered(batches, words),
+                                           "unit string, nth int, row long, doc_id long, codes array<int>")
+    return encode_units(chunks, pieces).select("nth", "row", "doc_id", "codes", "ids").mapInArrow(
+        lambda batches: _filled(batches, paths), "row long, doc_id long, ids array<int>")
 
 
 def encode_occurrences(docs: DataFrame, pieces: Pieces) -> DataFrame:
