@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from struct import Struct
 from unicodedata import category
 
 import numpy as np
@@ -47,6 +48,7 @@ DECODED_IDS = 4_000_000  # decoded at a time
 HEAD_ROWS = 8_000  # documents of the sample that names the head
 CHUNK, UNIT_ROWS = 4_000_000, 10_000  # units of the texts that a task takes together (one batch at least), rows of units at once
 STRETCH = 1_024  # characters of a unit cut out at once
+TEXT = Struct("<iqq")  # in front of a text's codes: doc_id is null, row, doc_id
 FOLDED = 200_000, 2 ** 25  # edges or bytes folded together (one unit at least)
 
 
@@ -209,8 +211,12 @@ def _head(docs: DataFrame, pieces: Pieces) -> DataFrame:
 
 
 def _numbered(texts: Iterator[pa.RecordBatch], head: pa.Array) -> Iterator[pa.RecordBatch]:
-    """A chunk of texts at a time: first its distinct units that are not in ``head``, numbered by nth, then its texts as codes of
-    their units, which are places in ``head`` or, behind those, nth."""
+    """A chunk of texts at a time: first its distinct units that are not in ``head``, then its texts as codes of their units,
+    which are places in ``head`` or, behind those, among the chunk's units.
+
+    A text is one packed column (row, doc_id, codes), empty for a chunk's first unit: the code that Spark makes for
+    the steps that all units pass stays short enough to be compiled.
+    """
     def chunk(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = pa.concat_arrays([b.column("units").flatten() for b in batches]).dictionary_encode()
         distinct = words.dictionary
@@ -219,16 +225,16 @@ def _numbered(texts: Iterator[pa.RecordBatch], head: pa.Array) -> Iterator[pa.Re
         code[rare] = len(head) + np.arange(len(rare))
         for start in range(0, len(rare), UNIT_ROWS):
             nth = rare[start:start + UNIT_ROWS]
-            none = [pa.nulls(len(nth), t) for t in (pa.int64(), pa.int64(), pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays([distinct.take(pa.array(nth)), pa.array(np.arange(start, start + len(nth)), pa.int32()), *none],
-                                             ["unit", "nth", "row", "doc_id", "codes"])
-        codes_of, before = code[words.indices.to_numpy()], 0
+            mark = pa.array([b"" if start + i == 0 else None for i in range(len(nth))], pa.binary())
+            yield pa.RecordBatch.from_arrays([distinct.take(pa.array(nth)), mark], ["unit", "packed"])
+        codes, before = code[words.indices.to_numpy()].astype(np.int32), 0
         for batch in batches:
-            ends = np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column("units")).fill_null(0).to_numpy())])
-            codes = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(codes_of[before:before + ends[-1]], pa.int32()))
-            before += ends[-1]
-            none = [pa.nulls(batch.num_rows, t) for t in (pa.string(), pa.int32())]
-            yield pa.RecordBatch.from_arrays([*none, batch.column("row"), batch.column("doc_id"), codes], ["unit", "nth", "row", "doc_id", "codes"])
+            packed = []
+            for row, doc_id, size in zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(),
+                                         pc.list_value_length(batch.column("units")).fill_null(0).to_pylist()):
+                packed.append(TEXT.pack(doc_id is None, row, doc_id or 0) + codes[before:before + size].tobytes())
+                before += size
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(packed), pa.string()), pa.array(packed, pa.binary())], ["unit", "packed"])
 
     held, n = [], 0
     for batch in texts:
@@ -246,47 +252,32 @@ def _filled(found: Iterator[pa.RecordBatch], head: pa.Array) -> Iterator[pa.Reco
     heads, head_size = head.flatten().to_numpy(), pc.list_value_length(head).to_numpy()
     flat, size, start = heads, head_size, np.cumsum(head_size) - head_size
     more: list[pa.Array] = []  # paths of the chunk's units, not yet put behind the head
-    n = 0
     for batch in found:
-        nth = batch.column("nth")
-        texts = np.flatnonzero(nth.is_null().to_numpy(zero_copy_only=False))
-        of_unit = np.flatnonzero(nth.is_valid().to_numpy(zero_copy_only=False))
-        at = 0
-        while at < batch.num_rows:  # runs of units and of texts
-            unit = nth[at].is_valid
-            other = texts if unit else of_unit
-            k = int(np.searchsorted(other, at))
-            end = int(other[k]) if k < len(other) else batch.num_rows
-            part = batch.slice(at, end - at)
-            at = end
-            if unit:
-                place = part.column("nth").to_numpy()
-                new = int(np.argmin(place)) if (place == 0).any() else len(place)
-                for piece in (part.slice(0, new), part.slice(new)):
-                    if piece.num_rows:
-                        place = piece.column("nth").to_numpy()
-                        if place[0] == 0:
-                            more, n, size = [], 0, None
-                        if (place != n + np.arange(len(place))).any():
-                            raise ValueError("units of a chunk do not follow each other")
-                        n += len(place)
-                        more.append(piece.column("ids"))
-                        size = None
+        length = pc.binary_length(batch.column("packed")).fill_null(-1).to_numpy()
+        is_text = length > 0
+        cuts = np.unique([0, *(np.flatnonzero(np.diff(is_text)) + 1), *np.flatnonzero(length == 0), batch.num_rows])
+        for a, b in zip(cuts[:-1], cuts[1:]):  # runs of units and of texts
+            part = batch.slice(a, b - a)
+            if not is_text[a]:
+                more = [part.column("ids")] if length[a] == 0 else [*more, part.column("ids")]
+                size = None
                 continue
             if size is None:
                 size = np.concatenate([head_size, *(pc.list_value_length(m).to_numpy() for m in more)])
                 flat, start = np.concatenate([heads, *(m.flatten().to_numpy() for m in more)]), np.cumsum(size) - size
-            counts = pc.list_value_length(part.column("codes")).to_numpy()
-            for a, b in slices_by_bytes(counts.tolist(), DECODED_IDS):
-                some = part.slice(a, b - a)
-                code = some.column("codes").flatten().to_numpy()
+            counts = (length[a:b] - TEXT.size) // 4
+            for c, d in slices_by_bytes(counts.tolist(), DECODED_IDS):
+                some = part.column("packed").slice(c, d - c).to_pylist()
+                names = [TEXT.unpack_from(x) for x in some]
+                code = np.concatenate([np.frombuffer(x, np.int32, offset=TEXT.size) for x in some])
                 if len(code) and code.max() >= len(size):
                     raise ValueError("a text has other units than paths")
                 ends = np.cumsum(size[code])
                 to = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start[code] - ends + size[code], size[code])
-                of_row = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts[a:b])])]
+                of_row = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts[c:d])])]
                 ids = pa.ListArray.from_arrays(pa.array(of_row, pa.int32()), pa.array(flat[to], pa.int32()))
-                yield pa.RecordBatch.from_arrays([some.column("row"), some.column("doc_id"), ids], ["row", "doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array([row for _, row, _ in names], pa.int64()),
+                                                  pa.array([None if null else i for null, _, i in names], pa.int64()), ids], ["row", "doc_id", "ids"])
 
 
 def encode(docs: DataFrame, pieces: Pieces) -> DataFrame:
@@ -298,8 +289,8 @@ def encode(docs: DataFrame, pieces: Pieces) -> DataFrame:
     head = _head(docs, pieces).toArrow()  # HEAD short rows at most
     words, paths = (pa.chunked_array(head.column(c).chunks, t).combine_chunks() for c, t in (("unit", pa.string()), ("ids", pa.list_(pa.int32()))))
     chunks = _cut(docs, pieces).mapInArrow(lambda batches: _numbered(batches, words),
-                                           "unit string, nth int, row long, doc_id long, codes array<int>")
-    return encode_units(chunks, pieces).select("nth", "row", "doc_id", "codes", "ids").mapInArrow(
+                                           "unit string, packed binary")
+    return encode_units(chunks, pieces).select("packed", "ids").mapInArrow(
         lambda batches: _filled(batches, paths), "row long, doc_id long, ids array<int>")
 
 
