@@ -44,7 +44,7 @@ from .common import doc_text, slices_by_bytes, write_shared
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 HEAD = 200_000  # rows sent to every task, of 64 characters at most
-DECODED_IDS = 4_000_000  # decoded at a time
+DECODED_IDS = 500_000  # decoded or put together at a time
 HEAD_ROWS = 8_000  # documents of the sample that names the head
 CHUNK, UNIT_ROWS = 4_000_000, 10_000  # units of the texts that a task takes together (one batch at least), rows of units at once
 STRETCH = 1_024  # characters of a unit cut out at once
