@@ -166,6 +166,44 @@ def test_top_k_stops_early():
     assert ids.tolist() == np.lexsort((np.arange(4000), -exact))[:10].tolist() and score.tolist() == exact[ids].tolist()
 
 
+@pytest.mark.parametrize("scale", [1, 10 ** 5])
+def test_top_k_bounds_are_exact(scale):
+    """Far and near components, whole numbers above 2^53 in the bounds, ties and a bar: the same rows as by all products."""
+    rng = np.random.default_rng(1)
+    base = np.concatenate([rng.integers(-9, 9, (500, 6)), rng.integers(-900, 900, (500, 6))]) * scale
+    ids = rng.permutation(1000) // 2
+    index = topk.BlockIndex(ids, base)
+    for q in base[::97]:
+        exact = base @ q
+        order = [i for i in np.lexsort((ids, -exact)) if ids[i] != 7][:10]
+        for bar in (None, int(exact[order[-1]])):
+            score, found = index.search(q, 7, 10, bar)
+            assert score.tolist() == exact[order].tolist() and found.tolist() == ids[order].tolist()
+
+
+def test_top_k_sends_no_queries_through_the_driver(spark):
+    """No broadcast of the queries and no copy of them for each shuffle partition."""
+    frame = spark.createDataFrame([(i, [float(i % 7), 1.0]) for i in range(300)], "vec_id long, embedding array<float>")
+    plan = topk.top_k(frame, F.col("vec_id") % 100 == 0)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Broadcast" not in plan and "Generate" not in plan
+
+
+def test_top_k_in_many_parts(spark, monkeypatch):
+    """Blocks of several queries against several parts of the index, with best rows returned before a task's end; equal vec_ids."""
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 3)
+    monkeypatch.setattr(topk, "HELD_QUERIES", 4)
+    rng = np.random.default_rng(5)
+    rows = [(i % 900, rng.integers(-3, 3, size=4).tolist()) for i in range(1000)]
+    frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows], "vec_id long, embedding array<float>")
+    got = [tuple(r) for r in topk.top_k(frame, F.col("vec_id") % 20 == 0).collect()]
+    want = []
+    for q in range(0, 900, 20):
+        best = sorted((-1024 ** 2 * sum(x * y for x, y in zip(a, b)), i) for j, a in rows if j == q for i, b in rows if i != q)[:10]
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    assert sorted(got) == sorted(want)
+
+
 def test_top_k_empty(spark):
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") % 100 == 0).count() == 0
 

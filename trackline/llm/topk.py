@@ -8,8 +8,10 @@ tell which rows can still be members.  Processing stops when that proves enough
 rows out; the possible members are rescored exactly.  Every row of the block is
 covered by a bound, so the result is exact.
 
-Queries travel in blocks to the groups of index blocks.  The best scores a task
-has proven for a query raise the bar for its later blocks.
+Every part of the index meets every part of the queries in a task of its own, as
+both are read from their files; neither is copied, shuffled or sent through the
+driver for it.  The best rows a task has found for a query raise the bar for its
+later blocks and are all that it returns.
 
 Components become ``floor(1024 * x)``; sums of products must fit 64 bits.  Null
 vectors and those with null or non-finite components take no part.  Shorter
@@ -36,6 +38,8 @@ BLOCK_ROWS = 4_096
 QUERY_ROWS = 256
 ROUNDS = (0.5, 0.3, 0.15, 0.05, 0.0)  # impacts down to this share of the largest
 RESCORE_SHARE = 0.25  # of a block: few enough to rescore
+HELD_QUERIES = 100_000  # whose best rows a task holds at a time
+NONE = np.empty(0, np.int64), np.empty(0, np.int64)
 
 
 def quantised(vectors: DataFrame) -> DataFrame:
@@ -75,8 +79,9 @@ class BlockIndex:
         self.step = np.maximum(1, -(-(self.high - self.low + 1) // levels))
         level = (matrix - self.low) // self.step
         self.levels = levels
+        self.grid = level.T.astype(np.min_scalar_type(levels), order="C")  # (dims, rows)
         self.rows = np.argsort(-level, axis=0, kind="stable").T.copy()  # (dims, rows)
-        self.level = np.take_along_axis(level.T, self.rows, axis=1)
+        self.level = np.take_along_axis(self.grid, self.rows, axis=1)
         # postings of dimension d at level l or above: the first starts[d, l]
         self.starts = np.stack([(level >= l).sum(axis=0) for l in range(levels + 1)], axis=1)
 
@@ -89,35 +94,36 @@ class BlockIndex:
         floor = int((q * np.where(up, self.low, self.low + self.step * self.levels - 1)).sum())
         unit = size * self.step
         top = unit * self.levels  # the largest impact of a dimension's segments
+        exact = np.float64 if top.sum(dtype=np.float64) < 2 ** 53 else np.int64  # adds numbers of this size without loss
         bound = np.zeros(n, np.int64)  # proven score over the floor
-        slack = np.zeros(n, np.int64)  # what the processed postings may add to it
-        done = np.zeros((n, dims), np.float64)
         cut = np.zeros(dims, np.int64)  # segments of each dimension processed so far
         possible = np.arange(n)
-        live = np.flatnonzero(size)
+        each, live = np.arange(dims), np.flatnonzero(size)
         for share in ROUNDS:
             least = share * float(top.max())
             # segment s (from 0) of a dimension adds unit * (levels - s) at most
-            want = np.zeros(dims, np.int64)
-            want[live] = np.clip(np.ceil(self.levels - least / unit[live]), 0, self.levels).astype(np.int64) if share else self.levels
-            for d in np.flatnonzero(want > cut).tolist():
-                if up[d]:  # from the highest level down
-                    own_part = slice(self.starts[d, self.levels - cut[d]], self.starts[d, self.levels - want[d]])
-                    steps = self.level[d, own_part]
-                else:  # from the lowest level up
-                    own_part = slice(self.starts[d, want[d]], self.starts[d, cut[d]])
-                    steps = self.levels - 1 - self.level[d, own_part]
-                rows = self.rows[d, own_part]
-                bound[rows] += unit[d] * steps
-                slack[rows] += unit[d]
-                done[rows, d] = 1
-            cut = np.maximum(cut, want)
-            rest = unit * (self.levels - cut)  # most that an unprocessed posting adds
-            most = floor + bound + slack + np.ceil(rest.sum() - done @ rest.astype(np.float64)).astype(np.int64)
+            want = cut.copy()
+            want[live] = np.maximum(cut[live], np.clip(np.ceil(self.levels - least / unit[live]), 0, self.levels).astype(np.int64) if share else self.levels)
+            # from the highest level down, or from the lowest up for negative q
+            start = self.starts[each, np.where(up, self.levels - cut, want)]
+            stop = self.starts[each, np.where(up, self.levels - want, cut)]
+            for d, i, j, of, rising in zip(each.tolist(), start.tolist(), stop.tolist(), unit.tolist(), up.tolist()):
+                if i < j:
+                    steps = self.level[d, i:j].astype(np.int64)
+                    np.add.at(bound, self.rows[d, i:j], of * (steps if rising else self.levels - 1 - steps))
+            cut = want
+            rest = unit * (self.levels - cut)  # most that an unprocessed posting adds; a processed one, unit over its bound
             sure = floor + bound
             sure[self.ids == own] = np.iinfo(np.int64).min
             kth = int(np.partition(sure, n - k)[n - k]) if n > k else None
             best = max((x for x in (kth, bar) if x is not None), default=None)
+            slack = (rest - unit).astype(exact)
+            left = np.where(up, n - self.starts[each, self.levels - cut], self.starts[each, cut])  # unprocessed postings
+            if share and best is not None and floor + int(unit.sum()) + (float(bound.sum()) + float(slack @ left)) / n > best:
+                continue  # the mean upper bound reaches the best, so few rows are out
+            edge = np.where(up, self.levels - cut, cut).astype(self.grid.dtype)
+            unprocessed = (self.grid < edge[:, None]) ^ ~up[:, None]
+            most = floor + int(unit.sum()) + bound + (slack @ unprocessed).astype(np.int64)
             possible = np.flatnonzero(most >= best) if best is not None else np.arange(n)
             if len(possible) <= max(k, RESCORE_SHARE * n):
                 break
@@ -131,37 +137,37 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` best of every row for each row that ``is_query`` marks."""
     rows = write_shared(quantised(vectors), "vectors")
     dims = rows.agg(F.max(F.size("v"))).first()[0] or 1
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = write_shared(_blocks(rows.repartition(F.xxhash64("vec_id")), BLOCK_ROWS, dims), "index")
-    index = spread.withColumn("group", F.pmod(F.xxhash64("block"), F.lit(parts)))
-    asked = write_shared(_blocks(rows.where(is_query).coalesce(8), QUERY_ROWS, dims), "queries")
-    sent = asked.select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"),
-                        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("group"))
+    index = write_shared(_blocks(rows.repartition(F.xxhash64("vec_id")), BLOCK_ROWS, dims), "index")
+    asked = write_shared(_blocks(rows.where(is_query).hint("rebalance"), QUERY_ROWS, dims), "queries")
+    sent = asked.select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, own = None, None
-        bars: dict[tuple[int, int], list[int]] = {}
+        best: dict[tuple[int, int], tuple[int, np.ndarray, np.ndarray]] = {}  # vec_id of the query, its best scores and their ids
+
+        def so_far() -> pa.RecordBatch:
+            query = np.repeat(np.array([x[0] for x in best.values()], np.int64), [len(x[1]) for x in best.values()])
+            score, ids = (np.concatenate([np.empty(0, np.int64), *(x[i] for x in best.values())]) for i in (1, 2))
+            best.clear()
+            return pa.RecordBatch.from_pydict({"query_id": query, "vec_id": ids, "score": score})
+
         for batch in batches:
-            for r in batch.to_pylist():
-                if r["block"] != held:
-                    ids = np.frombuffer(r["ids"], np.int64)
-                    held, own = r["block"], BlockIndex(ids, np.frombuffer(r["matrix"], np.int64).reshape(len(ids), dims))
-                if len(bars) > 100_000:
-                    bars.clear()
-                q_ids = np.frombuffer(r["q_ids"], np.int64)
-                queries = np.frombuffer(r["q_matrix"], np.int64).reshape(len(q_ids), dims)
-                out: tuple[list, list, list] = ([], [], [])
-                for i, (q_id, q) in enumerate(zip(q_ids.tolist(), queries)):
-                    known = bars.setdefault((r["q_block"], i), [])
-                    score, found = own.search(q, q_id, k, known[-1] if len(known) == k else None)
-                    known[:] = sorted(known + score.tolist(), reverse=True)[:k]
-                    out[0].append(np.full(len(found), q_id))
-                    out[1].append(found)
-                    out[2].append(score)
-                yield pa.RecordBatch.from_pydict({n: pa.array(np.concatenate(x) if x else [], pa.int64())
-                                                  for n, x in zip(("query_id", "vec_id", "score"), out)})
-
-    near = index.join(sent, "group").select("block", "ids", "matrix", "q_block", "q_ids", "q_matrix").mapInArrow(
-        run, "query_id long, vec_id long, score long")
+            for r in range(batch.num_rows):
+                block, q_block = (batch.column(c)[r].as_py() for c in ("block", "q_block"))
+                ids, matrix, q_ids, q_matrix = (np.frombuffer(batch.column(c)[r].as_buffer(), np.int64) for c in ("ids", "matrix", "q_ids", "q_matrix"))
+                if block != held:
+                    held, own = block, BlockIndex(ids.copy(), matrix.reshape(len(ids), dims).copy())
+                if len(best) > HELD_QUERIES:
+                    yield so_far()
+                for i, (q_id, q) in enumerate(zip(q_ids.tolist(), q_matrix.reshape(len(q_ids), dims))):
+                    _, known, of = best.get((q_block, i), (q_id, *NONE))
+                    score, near = own.search(q, q_id, k, int(known[-1]) if len(known) == k else None)
+                    score, near = np.concatenate([known, score]), np.concatenate([of, near])
+                    first = np.lexsort((near, -score))[:k]
+                    best[q_block, i] = q_id, score[first], near[first]
+        yield so_far()
+
+    # every task takes a part of the index through a part of the queries, both read from their files
+    found = index.crossJoin(sent.hint("shuffle_replicate_nl")).mapInArrow(run, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
