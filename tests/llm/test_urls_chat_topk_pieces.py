@@ -181,6 +181,13 @@ def test_top_k_bounds_are_exact(scale):
             assert score.tolist() == exact[order].tolist() and found.tolist() == ids[order].tolist()
 
 
+@pytest.mark.parametrize("ends, size", [((0, 127), 1), ((-129, 5), 2), ((0, 2 ** 15), 4), ((-2 ** 31, 2 ** 31), 8), ((-2 ** 63, 2 ** 63 - 1), 8)])
+def test_packed(ends, size):
+    matrix = np.array([ends, ends[::-1], ends], np.int64)
+    data = topk._packed(matrix)
+    assert len(data) == 6 * size and topk._unpacked(pa.py_buffer(data), 3, 2).tolist() == matrix.tolist()
+
+
 def test_top_k_sends_no_queries_through_the_driver(spark):
     """No broadcast of the queries and no copy of them for each shuffle partition."""
     frame = spark.createDataFrame([(i, [float(i % 7), 1.0]) for i in range(300)], "vec_id long, embedding array<float>")

@@ -50,8 +50,18 @@ def quantised(vectors: DataFrame) -> DataFrame:
         "embedding", lambda x: F.floor(x.cast("double") * SCALE).cast("long")).alias("v"))
 
 
+def _packed(matrix: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as hold all of them."""
+    kinds = (np.int8, np.int16, np.int32, np.int64)
+    return matrix.astype(next(t for t in kinds if np.iinfo(t).min <= matrix.min() and matrix.max() <= np.iinfo(t).max)).tobytes()
+
+
+def _unpacked(data: pa.Buffer, rows: int, dims: int) -> np.ndarray:
+    return np.frombuffer(data, f"i{data.size // (rows * dims)}").reshape(rows, dims).astype(np.int64)
+
+
 def _blocks(rows: DataFrame, size: int, dims: int) -> DataFrame:
-    """Rows packed into blocks: block, ids and matrix (64-bit integers)."""
+    """Rows packed into blocks: block, ids (64-bit integers) and matrix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
         for batch in batches:
@@ -64,7 +74,7 @@ def _blocks(rows: DataFrame, size: int, dims: int) -> DataFrame:
             for i in range(0, len(ids), size):
                 yield pa.RecordBatch.from_pydict({"block": pa.array([(part << 32) + seq], pa.int64()),
                                                   "ids": pa.array([ids[i:i + size].tobytes()], pa.binary()),
-                                                  "matrix": pa.array([grid[i:i + size].tobytes()], pa.binary())})
+                                                  "matrix": pa.array([_packed(grid[i:i + size])], pa.binary())})
                 seq += 1
 
     return rows.mapInArrow(run, "block long, ids binary, matrix binary")
@@ -141,6 +151,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     asked = write_shared(_blocks(rows.where(is_query).hint("rebalance"), QUERY_ROWS, dims), "queries")
     sent = asked.select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"))
 
+    names = ["block", "ids", "matrix", "q_block", "q_ids", "q_matrix"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, own = None, None
         best: dict[tuple[int, int], tuple[int, np.ndarray, np.ndarray]] = {}  # vec_id of the query, its best scores and their ids
@@ -153,18 +165,20 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
 
         for batch in batches:
             for r in range(batch.num_rows):
-                block, q_block = (batch.column(c)[r].as_py() for c in ("block", "q_block"))
-                ids, matrix, q_ids, q_matrix = (np.frombuffer(batch.column(c)[r].as_buffer(), np.int64) for c in ("ids", "matrix", "q_ids", "q_matrix"))
-                if block != held:
-                    held, own = block, BlockIndex(ids.copy(), matrix.reshape(len(ids), dims).copy())
+                block, ids, matrix, q_block, q_ids, q_matrix = (batch.column(c)[r] for c in names)
+                if block.as_py() != held:
+                    ids = np.frombuffer(ids.as_buffer(), np.int64).copy()
+                    held, own = block.as_py(), BlockIndex(ids, _unpacked(matrix.as_buffer(), len(ids), dims))
                 if len(best) > HELD_QUERIES:
                     yield so_far()
-                for i, (q_id, q) in enumerate(zip(q_ids.tolist(), q_matrix.reshape(len(q_ids), dims))):
-                    _, known, of = best.get((q_block, i), (q_id, *NONE))
+                q_ids = np.frombuffer(q_ids.as_buffer(), np.int64)
+                for i, (q_id, q) in enumerate(zip(q_ids.tolist(), _unpacked(q_matrix.as_buffer(), len(q_ids), dims))):
+                    at = q_block.as_py(), i
+                    _, known, of = best.get(at, (q_id, *NONE))
                     score, near = own.search(q, q_id, k, int(known[-1]) if len(known) == k else None)
                     score, near = np.concatenate([known, score]), np.concatenate([of, near])
                     first = np.lexsort((near, -score))[:k]
-                    best[q_block, i] = q_id, score[first], near[first]
+                    best[at] = q_id, score[first], near[first]
         yield so_far()
 
     # every task takes a part of the index through a part of the queries, both read from their files
