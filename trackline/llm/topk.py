@@ -8,10 +8,10 @@ tell which rows can still be members.  Processing stops when that proves enough
 rows out; the possible members are rescored exactly.  Every row of the block is
 covered by a bound, so the result is exact.
 
-Every part of the index meets every part of the queries in a task of its own, as
-both are read from their files; neither is copied, shuffled or sent through the
-driver for it.  The best rows a task has found for a query raise the bar for its
-later blocks and are all that it returns.
+Every part of the index, as read from its files, meets every part of the queries
+in a task of its own; the queries are not sent through the driver nor copied for
+each shuffle partition.  The best rows a task has found for a query raise the bar
+for its later blocks and are all that it returns.
 
 Components become ``floor(1024 * x)``; sums of products must fit 64 bits.  Null
 vectors and those with null or non-finite components take no part.  Shorter
@@ -38,6 +38,7 @@ BLOCK_ROWS = 4_096
 QUERY_ROWS = 256
 ROUNDS = (0.5, 0.3, 0.15, 0.05, 0.0)  # impacts down to this share of the largest
 RESCORE_SHARE = 0.25  # of a block: few enough to rescore
+QUERY_PARTS = 16  # at most, so tasks are in proportion to the index
 HELD_QUERIES = 100_000  # whose best rows a task holds at a time
 NONE = np.empty(0, np.int64), np.empty(0, np.int64)
 
@@ -149,7 +150,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     dims = rows.agg(F.max(F.size("v"))).first()[0] or 1
     index = write_shared(_blocks(rows.repartition(F.xxhash64("vec_id")), BLOCK_ROWS, dims), "index")
     asked = write_shared(_blocks(rows.where(is_query).hint("rebalance"), QUERY_ROWS, dims), "queries")
-    sent = asked.select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"))
+    sent = asked.select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix")).repartition(
+        max(1, min(QUERY_PARTS, -(-asked.count() // 2))))  # of two blocks or more, since every part builds the index anew
 
     names = ["block", "ids", "matrix", "q_block", "q_ids", "q_matrix"]
 
@@ -181,7 +183,6 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
                     best[at] = q_id, score[first], near[first]
         yield so_far()
 
-    # every task takes a part of the index through a part of the queries, both read from their files
     found = index.crossJoin(sent.hint("shuffle_replicate_nl")).mapInArrow(run, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
