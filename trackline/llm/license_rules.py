@@ -242,7 +242,7 @@ license licence   | licen[cs]e plates?
 license licence   | (?:not|never) (?:licensed|released|distributed|available) under(?: [^ ]+){0,3} (?:mit|apache|bsd|isc|zlib|gnu general public|mozilla public|artistic|boost software) licen[cs]e
 license licence   | (?:incompatible|not compatible) with(?: [^ ]+){0,3} (?:mit|apache|bsd|isc|zlib|gnu general public|mozilla public|artistic|boost software) licen[cs]e
 license licence   | (?:unlike|instead of|rather than)(?: the| an?)? (?:mit|apache|bsd|isc|zlib|gnu general public|mozilla public|artistic|boost software) licen[cs]e
-gpl gpl2 gpl3 gplv2 gplv3 | (?:unlike|instead of|rather than|not under)(?: the)? (?:gnu )?gpl(?: v?\\d|v?\\d)?
+gpl gpl0 gpl1 gpl2 gpl3 gpl4 gpl5 gpl6 gpl7 gpl8 gpl9 gplv0 gplv1 gplv2 gplv3 gplv4 gplv5 gplv6 gplv7 gplv8 gplv9 | (?:unlike|instead of|rather than|not under)(?: the)? (?:gnu )?gpl(?: v?\\d|v?\\d)?
 cc                | cc by (?:email|mail|fax|phone)
 """
 
